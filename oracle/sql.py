@@ -1,0 +1,62 @@
+"""Oracle SQL (DuckDB) per ``queries()`` key."""
+
+from __future__ import annotations
+
+from oracle.prelude import with_prelude
+
+LAYER_SQL = {
+    "S1_dim_routes": "SELECT * FROM dim_routes",
+    "P2_dim_vehicles": "SELECT * FROM dim_vehicles",
+    "P3_stg_trips": "SELECT * FROM stg_trips",
+    "P4_stg_bookings": "SELECT * FROM stg_bookings",
+    "C6_stg_scheduled_trips": "SELECT * FROM stg_scheduled_trips",
+    "C13_stg_delay_incidents": "SELECT * FROM stg_delay_incidents",
+    "J1_int_trip_occupancy": "SELECT * FROM int_trip_occupancy",
+    "J2_int_booking_revenue": "SELECT * FROM int_booking_revenue",
+    "A1_incident_rollup": """
+        SELECT a.trip_id, CAST(a.incident_count AS BIGINT) AS incident_count,
+          CAST(a.total_incident_delay_minutes AS BIGINT) AS total_incident_delay_minutes,
+          a.max_single_delay_minutes, CAST(a.total_passenger_delay_minutes AS BIGINT) AS total_passenger_delay_minutes,
+          a.delay_categories, a.delay_domains, a.has_cascading_incident, a.worst_severity,
+          pd.delay_category AS primary_delay_category
+        FROM trip_incidents_agg a LEFT JOIN primary_delay_per_trip pd ON a.trip_id = pd.trip_id AND pd.rn = 1""",
+    "W5_int_trip_punctuality": """
+        SELECT scheduled_trip_id, trip_id, route_id, vehicle_id, route_name, distance_km, vehicle_type, service_type,
+          departure_window, is_weekend_service, schedule_density, scheduled_departure_at, scheduled_arrival_at,
+          scheduled_duration_minutes, actual_departure_at, actual_arrival_at, actual_duration_minutes,
+          departure_delay_minutes, arrival_delay_minutes, travel_time_ratio, is_on_time_departure, is_on_time_arrival,
+          is_on_time, delay_severity, CAST(incident_count AS BIGINT) AS incident_count,
+          CAST(total_incident_delay_minutes AS BIGINT) AS total_incident_delay_minutes, max_single_delay_minutes,
+          CAST(total_passenger_delay_minutes AS BIGINT) AS total_passenger_delay_minutes, delay_categories, delay_domains,
+          has_cascading_incident, incident_worst_severity, vehicle_rolling_avg_delay_5trips, prev_trip_delay_minutes,
+          vehicle_turnaround_minutes, is_probable_cascade, delay_rank_on_route_day, route_day_avg_delay,
+          delay_risk_score, passengers_onboard, trip_date
+        FROM int_trip_punctuality""",
+    "P6_fct_trips": "SELECT * FROM fct_trips",
+    "P6_fct_revenue": "SELECT * FROM fct_revenue",
+    "C24_fct_punctuality": """
+        SELECT * REPLACE (CAST(incident_count AS BIGINT) AS incident_count,
+          CAST(total_incident_delay_minutes AS BIGINT) AS total_incident_delay_minutes,
+          CAST(total_passenger_delay_minutes AS BIGINT) AS total_passenger_delay_minutes)
+        FROM fct_punctuality""",
+    "C20_dim_delay_categories": "SELECT * FROM dim_delay_categories",
+    "X0_dim_date": """
+        SELECT * FROM dim_date WHERE date_key IN (
+          SELECT date_key FROM fct_trips UNION SELECT date_key FROM fct_revenue
+          UNION SELECT date_key FROM fct_punctuality)""",
+    "A5_route_benchmarks": """
+        SELECT route_id, round(p50_departure_delay, 9) AS p50_departure_delay,
+          round(p75_departure_delay, 9) AS p75_departure_delay, round(p90_departure_delay, 9) AS p90_departure_delay,
+          round(p95_departure_delay, 9) AS p95_departure_delay,
+          round(route_avg_departure_delay, 9) AS route_avg_departure_delay,
+          round(route_stddev_departure_delay, 9) AS route_stddev_departure_delay
+        FROM route_benchmarks""",
+}
+
+
+def all_sql() -> dict[str, str]:
+    from oracle.queries_sql import QUERY_SQL
+
+    out = {k: with_prelude(v) for k, v in LAYER_SQL.items()}
+    out.update({k: with_prelude(v) for k, v in QUERY_SQL.items()})
+    return out
