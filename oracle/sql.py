@@ -56,7 +56,9 @@ LAYER_SQL = {
 
 def all_sql() -> dict[str, str]:
     from oracle.queries_sql import QUERY_SQL
+    from oracle.reports_sql import REPORT_SQL
 
     out = {k: with_prelude(v) for k, v in LAYER_SQL.items()}
     out.update({k: with_prelude(v) for k, v in QUERY_SQL.items()})
+    out.update({k: with_prelude(v) for k, v in REPORT_SQL.items()})
     return out

@@ -500,3 +500,70 @@ NAMED_QUERIES = {
     "B8_revenue_at_risk": b8_revenue_at_risk,
     "B8_portfolio_totals": b8_portfolio_totals,
 }
+
+
+# --- G1-G2 (reports), D1-D4 (data quality), X1-X2 (feedback) -----------------
+def g1_route_report(wh: Warehouse) -> DataFrame:
+    from routecast.plans.reports import route_report
+
+    return route_report(wh)
+
+
+def g2_revenue_at_risk(wh: Warehouse) -> DataFrame:
+    from routecast.plans.reports import revenue_at_risk
+
+    return revenue_at_risk(wh)
+
+
+def d1_duplicate_booking_ids(wh: Warehouse) -> DataFrame:
+    from routecast.operators.quality import unique_failures
+
+    return unique_failures(wh.stg_bookings, "booking_id")
+
+
+def d3_orphan_fact_vehicles(wh: Warehouse) -> DataFrame:
+    from routecast.operators.quality import relationship_failures
+
+    return relationship_failures(wh.fct_punctuality, "vehicle_id", wh.dim_vehicles, "vehicle_id").select(
+        "trip_id", "vehicle_id"
+    )
+
+
+def d4_dq_summary(wh: Warehouse) -> DataFrame:
+    from routecast.operators.quality import dq_summary
+
+    return dq_summary(wh.tables())
+
+
+def x1_negative_feedback(wh: Warehouse) -> DataFrame:
+    from routecast.operators.feedback import extract_feedback
+
+    return extract_feedback(wh.feedback_events, negative_only=True)
+
+
+def x1_recent_feedback(wh: Warehouse) -> DataFrame:
+    """The monitoring view: newest 20 feedback records (the limit is the
+    feature)."""
+    from routecast.operators.feedback import extract_feedback
+
+    return extract_feedback(wh.feedback_events, limit=20)
+
+
+def x2_keyword_feedback(wh: Warehouse) -> DataFrame:
+    from routecast.operators.feedback import keyword_feedback
+
+    return keyword_feedback(wh.feedback_events)
+
+
+NAMED_QUERIES.update(
+    {
+        "G1_route_report": g1_route_report,
+        "G2_revenue_at_risk": g2_revenue_at_risk,
+        "D1_duplicate_booking_ids": d1_duplicate_booking_ids,
+        "D3_orphan_fact_vehicles": d3_orphan_fact_vehicles,
+        "D4_dq_summary": d4_dq_summary,
+        "X1_negative_feedback": x1_negative_feedback,
+        "X1_recent_feedback": x1_recent_feedback,
+        "X2_keyword_feedback": x2_keyword_feedback,
+    }
+)

@@ -53,9 +53,9 @@ class Warehouse:
 
 
 MART_CLUSTER = {
-    "fct_trips": "date_key",
-    "fct_revenue": "date_key",
-    "fct_punctuality": "date_key",
+    "fct_trips": ("date_key", "trip_id"),
+    "fct_revenue": ("date_key", "booking_id"),
+    "fct_punctuality": ("date_key", "trip_id"),
 }
 
 
