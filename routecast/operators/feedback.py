@@ -42,7 +42,7 @@ def extract_feedback(
     out = parsed.filter(F.col("r.name") == record_name).select(
         "timestamp",
         F.col("a")[user_key].alias("user_name"),
-        F.col("v.categories")[0].alias("category"),
+        F.get(F.col("v.categories"), 0).alias("category"),
         F.col("v.feedback_message").alias("feedback_message"),
         F.col("v.positive").cast("string").alias("is_positive"),
     )
