@@ -13,6 +13,8 @@ Shuffle plan of ``int_trip_punctuality`` (at 1000x the test data):
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -190,10 +192,18 @@ def int_trip_punctuality(
     incidents: DataFrame,
     routes: DataFrame,
     rollup: DataFrame | None = None,
+    stage: Callable[[DataFrame, str], DataFrame] | None = None,
 ) -> DataFrame:
-    """The per-trip punctuality assessment (int_trip_punctuality)."""
+    """The per-trip punctuality assessment (int_trip_punctuality).
+
+    ``stage`` (optional) materialises the joined trip comparison before the
+    windows: the window operators read it three times (rows, per-bucket
+    tails, route-day histogram), and a written table is cheaper to scan than
+    the join is to recompute; it also cuts the lineage."""
     rollup = incident_rollup(incidents) if rollup is None else rollup
     wi = with_incidents(trip_comparison(scheduled, trips, routes), rollup)
+    if stage is not None:
+        wi = stage(wi, "int_trip_comparison")
     flagged = wi.select(
         "*",
         C.on_time("departure_delay_minutes").alias("is_on_time_departure"),

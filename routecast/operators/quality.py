@@ -107,28 +107,54 @@ def run_check(tables: dict[str, DataFrame], check: Check) -> DataFrame:
     return relationship_failures(df, check.column, tables[check.parent], check.parent_column)
 
 
+def column_failures(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Unique and not-null failure counts of several columns in one pass.
+
+    Every row contributes one ``(column, value)`` pair per column; one
+    aggregation (partial before the shuffle, so a value repeated on a third
+    of the rows -- NULL, say -- is pre-counted map-side) gives each value's
+    count, and a second tiny one folds them per column."""
+    pairs = F.explode(
+        F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
+    )
+    counts = (
+        df.select(pairs.alias("p"))
+        .select("p.column_name", "p.value")
+        .groupBy("column_name", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    return counts.groupBy("column_name").agg(
+        F.count_if(F.col("value").isNotNull() & (F.col("n") > 1)).cast("long").alias("unique"),
+        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).cast("long").alias("not_null"),
+    )
+
+
 def dq_summary(tables: dict[str, DataFrame], checks: list[Check] = DECLARED_CHECKS) -> DataFrame:
     """One row per declared test with its number of failures.
 
-    Per table, all not-null tests share one scan; unique and relationship
-    tests are one aggregate / anti-join each; the branches are combined with
-    ``unionByName`` into a single result."""
+    Per table, all unique and not-null tests share one scan
+    (``column_failures``); each relationship test is one anti-join. The
+    branches are combined with ``unionByName`` into a single result."""
     parts: list[DataFrame] = []
-    by_table: dict[str, list[str]] = {}
+    by_table: dict[str, list[Check]] = {}
     for c in checks:
-        if c.test == "not_null":
-            by_table.setdefault(c.model, []).append(c.column)
-    for model, cols in by_table.items():
-        counts = null_counts(tables[model], cols)
-        stack = ", ".join(f"'{c}', `{c}`" for c in cols)
-        parts.append(
-            counts.select(
-                F.lit(model).alias("model"),
-                F.expr(f"stack({len(cols)}, {stack}) as (column_name, failures)"),
-            ).select("model", "column_name", F.lit("not_null").alias("test"), F.col("failures").cast("long"))
+        if c.test in ("unique", "not_null"):
+            by_table.setdefault(c.model, []).append(c)
+    for model, cs in by_table.items():
+        cols = sorted({c.column for c in cs})
+        wide = column_failures(tables[model], cols)
+        long = wide.select(
+            "column_name",
+            F.expr("stack(2, 'unique', `unique`, 'not_null', `not_null`) as (test, failures)"),
         )
+        wanted = [(c.column, c.test) for c in cs]
+        cond = None
+        for col, test in wanted:
+            e = (F.col("column_name") == col) & (F.col("test") == test)
+            cond = e if cond is None else cond | e
+        parts.append(long.filter(cond).select(F.lit(model).alias("model"), "column_name", "test", "failures"))
     for c in checks:
-        if c.test == "not_null":
+        if c.test != "relationships":
             continue
         failing = run_check(tables, c)
         parts.append(

@@ -52,10 +52,10 @@ class Warehouse:
         return {f.name: getattr(self, f.name) for f in fields(self)}
 
 
-MART_CLUSTER = {
-    "fct_trips": ("date_key", "trip_id"),
-    "fct_revenue": ("date_key", "booking_id"),
-    "fct_punctuality": ("date_key", "trip_id"),
+MART_SORT = {
+    "fct_trips": ("date_key",),
+    "fct_revenue": ("date_key",),
+    "fct_punctuality": ("date_key",),
 }
 
 
@@ -77,7 +77,15 @@ def build_warehouse(
     i_occ = intermediate.int_trip_occupancy(s_trips, s_routes)
     i_rev = intermediate.int_booking_revenue(s_bookings, s_routes)
     rollup = intermediate.incident_rollup(s_inc)
-    i_punct = intermediate.int_trip_punctuality(s_sched, s_ptrips, s_inc, s_routes, rollup=rollup)
+    stage = None
+    if store:
+
+        def stage(df: DataFrame, name: str) -> DataFrame:
+            path = sinks.layer_path(store, "intermediate", name)
+            sinks.write_table(df, path)
+            return sinks.read_table(spark, path)
+
+    i_punct = intermediate.int_trip_punctuality(s_sched, s_ptrips, s_inc, s_routes, rollup=rollup, stage=stage)
 
     d_routes = dims.dim_routes(s_routes)
     d_vehicles = dims.dim_vehicles(s_vehicles)
@@ -85,9 +93,7 @@ def build_warehouse(
     d_cats = dims.dim_delay_categories(s_inc)
 
     if store:
-        path = sinks.layer_path(store, "intermediate", "int_trip_punctuality")
-        sinks.write_table(i_punct, path)
-        i_punct = sinks.read_table(spark, path)
+        i_punct = stage(i_punct, "int_trip_punctuality")
 
     f_trips = marts.fct_trips(i_occ)
     f_rev = marts.fct_revenue(i_rev)
@@ -117,7 +123,7 @@ def build_warehouse(
     if store:
         for name in ("dim_routes", "dim_vehicles", "dim_date", "dim_delay_categories", "fct_trips", "fct_revenue", "fct_punctuality"):
             path = sinks.layer_path(store, "marts", name)
-            sinks.write_table(getattr(wh, name), path, cluster_by=MART_CLUSTER.get(name))
+            sinks.write_table(getattr(wh, name), path, sort_by=MART_SORT.get(name))
             setattr(wh, name, sinks.read_table(spark, path))
     return wh
 
