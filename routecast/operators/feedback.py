@@ -23,16 +23,13 @@ _VALUE = T.StructType(
 _ATTRS = T.MapType(T.StringType(), T.StringType())
 
 
-def extract_feedback(
+def parse_feedback(
     events: DataFrame,
     record_name: str = FEEDBACK_RECORD,
     negative_only: bool = False,
     user_key: str = "user.name",
-    limit: int | None = None,
 ) -> DataFrame:
-    """Timestamp, user, first category, message and positive flag of the
-    feedback records, newest first; optionally negative only / the newest
-    ``limit`` rows (a top-k, planned as TakeOrderedAndProject)."""
+    """Row-local part of X1 (no ordering): usable on a streaming DataFrame."""
     parsed = events.select(
         "timestamp",
         F.from_json("record", _RECORD).alias("r"),
@@ -48,7 +45,20 @@ def extract_feedback(
     )
     if negative_only:
         out = out.filter(F.col("is_positive") == "false")
-    out = out.orderBy(
+    return out
+
+
+def extract_feedback(
+    events: DataFrame,
+    record_name: str = FEEDBACK_RECORD,
+    negative_only: bool = False,
+    user_key: str = "user.name",
+    limit: int | None = None,
+) -> DataFrame:
+    """Timestamp, user, first category, message and positive flag of the
+    feedback records, newest first; optionally negative only / the newest
+    ``limit`` rows (a top-k, planned as TakeOrderedAndProject)."""
+    out = parse_feedback(events, record_name, negative_only, user_key).orderBy(
         F.col("timestamp").desc_nulls_first(), F.col("user_name").asc_nulls_last(), F.col("feedback_message").asc_nulls_last()
     )
     return out.limit(limit) if limit else out

@@ -10,9 +10,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 
-def layer_path(root: str, layer: str, name: str) -> str:
-    """Custom layer name verbatim, like the schema-naming macro."""
-    return f"{root.rstrip('/')}/{layer}/{name}"
+def schema_name(custom: str | None, default: str) -> str:
+    """A configured layer (schema) name is used verbatim; without one
+    the default schema is used."""
+    return custom.strip() if custom and custom.strip() else default
+
+
+def layer_path(root: str, layer: str | None, name: str, default_layer: str = "default") -> str:
+    """Location of ``name`` in a layer under ``root`` (the shared folder)."""
+    return f"{root.rstrip('/')}/{schema_name(layer, default_layer)}/{name}"
 
 
 def write_table(

@@ -162,3 +162,31 @@ def test_occupancy_ratio_is_exact_decimal(spark):
     df = spark.createDataFrame([(1, 8), (2, 0), (60, 55)], "p int, c int")
     got = [r[0] for r in df.select(C.ratio_rounded("p", "c", 4)).collect()]
     assert got == [Decimal("0.1250"), None, Decimal("1.0909")]
+
+
+def test_layer_naming_is_verbatim():
+    from routecast.sources.sinks import layer_path, schema_name
+
+    assert schema_name("marts", "analytics") == "marts"
+    assert schema_name(None, "analytics") == "analytics"
+    assert schema_name("  ", "analytics") == "analytics"
+    assert layer_path("/shared/", "Staging", "stg_trips") == "/shared/Staging/stg_trips"
+
+
+def test_seed_csv_loader_is_typed_and_strict(spark, tmp_path):
+    import pytest
+
+    from routecast.sources.schemas import RAW_ROUTES
+    from routecast.sources.seeds import load_seed
+
+    good = tmp_path / "routes.csv"
+    good.write_text(
+        "route_id,route_name,origin,destination,distance_km,vehicle_type,base_fare_eur,frequency_daily\n"
+        "RT900,A - B,A,B Airport,63,shuttle_bus,12.00,8\n"
+    )
+    r = load_seed(spark, str(good), RAW_ROUTES).first()
+    assert r.distance_km == 63 and r.base_fare_eur == Decimal("12.00")
+    bad = tmp_path / "bad.csv"
+    bad.write_text(good.read_text() + "RT901,C - D,C,D,not_a_number,minivan,1.00,3\n")
+    with pytest.raises(Exception):
+        load_seed(spark, str(bad), RAW_ROUTES).collect()
