@@ -404,6 +404,17 @@ def b7_route_performance(wh: Warehouse, route_names: list[str] | None = None) ->
     )
 
 
+def m5_filtered_route_performance(wh: Warehouse, p: Params = P) -> DataFrame:
+    """M5: dimension filters (route IN-list, year) pushed into each fact
+    branch before aggregation, then ordered."""
+    return semantic_query(
+        OPERATIONS, wh, ["route_name", "year_quarter"],
+        ["total_revenue", "trip_count", "average_occupancy_rate"],
+        filters={"route_name": list(p.compare_routes), "year": p.year},
+        order_by=["route_name", "year_quarter"],
+    )
+
+
 def m4_route_members(wh: Warehouse) -> DataFrame:
     return semantic_query(OPERATIONS, wh, ["route_name"])
 
@@ -495,6 +506,7 @@ NAMED_QUERIES = {
     "B7_revenue_by_quarter": b7_revenue_by_quarter,
     "B7_occupancy_by_route": b7_occupancy_by_route,
     "B7_route_performance": b7_route_performance,
+    "M5_filtered_route_performance": m5_filtered_route_performance,
     "M4_route_members": m4_route_members,
     "M4_quarter_members": m4_quarter_members,
     "B8_revenue_at_risk": b8_revenue_at_risk,

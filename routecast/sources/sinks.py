@@ -52,3 +52,12 @@ def register_views(tables: dict[str, DataFrame]) -> None:
     """Expose relations to SQL users (S3)."""
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
+
+
+def to_client(df: DataFrame, max_rows: int = 100_000):
+    """Hand a *small* result to a client as pandas. Refuses results above
+    ``max_rows`` instead of pulling an unbounded result through the driver."""
+    head = df.limit(max_rows + 1).toPandas()
+    if len(head) > max_rows:
+        raise ValueError(f"result has more than {max_rows} rows; aggregate before delivering it")
+    return head

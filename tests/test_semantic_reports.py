@@ -63,3 +63,11 @@ def test_reports_cover_every_route(wh):
     levels = [r.risk_level for r in rar]
     order = {"CRITICAL": 0, "HIGH": 1, "MODERATE": 2, "LOW": 3}
     assert [order[x] for x in levels] == sorted(order[x] for x in levels)
+
+
+def test_to_client_refuses_unbounded_results(wh):
+    from routecast.sources.sinks import to_client
+
+    assert len(to_client(Q.v1_otp_by_route(wh))) == wh.dim_routes.count()
+    with pytest.raises(ValueError):
+        to_client(wh.fct_trips, max_rows=10)
