@@ -46,8 +46,8 @@ _PUN = f"""
     CAST(sum(estimated_delay_cost_eur) AS DECIMAL(38,2)) AS total_delay_cost,
     {_rate('has_cascading_incident')} AS cascade_rate,
     CAST(sum(total_passenger_delay_minutes) AS BIGINT) AS passenger_delay_minutes,
-    count_if(delay_severity IN ('major_delay', 'severe_delay')) AS severe_trip_count,
-    {', '.join(f"count_if(delay_severity = '{s}') AS {s}_trips" for s in SEVERITIES)}
+    CAST(count_if(delay_severity IN ('major_delay', 'severe_delay')) AS BIGINT) AS severe_trip_count,
+    {', '.join(f"CAST(count_if(delay_severity = '{s}') AS BIGINT) AS {s}_trips" for s in SEVERITIES)}
   FROM fct_punctuality WHERE {PERIOD} GROUP BY route_id)"""
 
 

@@ -14,19 +14,23 @@ from pyspark.sql import functions as F
 from routecast.functions import classifiers as C
 
 MAX_BROADCAST_ROWS = 200_000
-_checked: dict[tuple[int, int], bool] = {}
+_checked: dict[tuple[str, int, int], bool] = {}
 
 
 def fits(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> bool:
-    key = (df.semanticHash(), max_rows)
+    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
     if key not in _checked:
         _checked[key] = df.limit(max_rows + 1).count() <= max_rows
     return _checked[key]
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``."""
-    return F.broadcast(df) if fits(df, max_rows) else df
+def bounded_broadcast(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, rows_of: DataFrame | None = None) -> DataFrame:
+    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
+
+    ``rows_of``: a relation with at least as many rows as ``df`` (the
+    dimension ``df`` projects or filters), so its memoised check is reused
+    instead of a new count per column selection."""
+    return F.broadcast(df) if fits(df if rows_of is None else rows_of, max_rows) else df
 
 
 def dim_routes(stg_routes: DataFrame) -> DataFrame:

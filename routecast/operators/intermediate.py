@@ -28,7 +28,7 @@ ROUTE_COLS = ["route_id", "route_name", "origin", "destination"]
 
 def int_trip_occupancy(trips: DataFrame, routes: DataFrame) -> DataFrame:
     """Completed trips with route names and occupancy."""
-    r = bounded_broadcast(routes.select(*ROUTE_COLS))
+    r = bounded_broadcast(routes.select(*ROUTE_COLS), rows_of=routes)
     t = trips.filter(F.col("trip_status") == "completed")
     return t.join(r, "route_id", "left").select(
         "trip_id",
@@ -49,7 +49,7 @@ def int_trip_occupancy(trips: DataFrame, routes: DataFrame) -> DataFrame:
 
 def int_booking_revenue(bookings: DataFrame, routes: DataFrame) -> DataFrame:
     """Bookings with route names."""
-    r = bounded_broadcast(routes.select(*ROUTE_COLS))
+    r = bounded_broadcast(routes.select(*ROUTE_COLS), rows_of=routes)
     return bookings.join(r, "route_id", "left").select(
         "booking_id",
         "trip_id",
@@ -113,7 +113,9 @@ def trip_comparison(scheduled: DataFrame, trips: DataFrame, routes: DataFrame) -
         .select("trip_id", "departure_at", "arrival_at", "passengers_onboard")
         .alias("a")
     )
-    r = bounded_broadcast(routes.select("route_id", "route_name", "distance_km", "vehicle_type")).alias("r")
+    r = bounded_broadcast(
+        routes.select("route_id", "route_name", "distance_km", "vehicle_type"), rows_of=routes
+    ).alias("r")
     j = s.join(a, F.col("s.trip_id") == F.col("a.trip_id")).join(
         r, F.col("s.route_id") == F.col("r.route_id"), "left"
     )

@@ -85,7 +85,7 @@ def dates(wh: Warehouse, cond: Column | None = None, cols: tuple[str, ...] = ())
 
 
 def routes(wh: Warehouse, cols: tuple[str, ...] = ("route_name",)) -> DataFrame:
-    return bounded_broadcast(wh.dim_routes.select("route_id", *cols))
+    return bounded_broadcast(wh.dim_routes.select("route_id", *cols), rows_of=wh.dim_routes)
 
 
 # --- Q1-Q8 (verified operations questions) -----------------------------------
@@ -159,7 +159,7 @@ def q4_occupancy_by_vehicle_type(wh: Warehouse, p: Params = P) -> DataFrame:
     per_vehicle = wh.fct_trips.groupBy("vehicle_id").agg(
         F.sum("occupancy_rate").alias("s"), F.count("occupancy_rate").alias("n"), F.count("trip_id").alias("t")
     )
-    v = bounded_broadcast(wh.dim_vehicles.select("vehicle_id", "vehicle_type"))
+    v = bounded_broadcast(wh.dim_vehicles.select("vehicle_id", "vehicle_type"), rows_of=wh.dim_vehicles)
     j = per_vehicle.join(v, "vehicle_id")
     agg = j.groupBy("vehicle_type").agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("t").alias("trip_count"))
     return agg.select(
