@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
@@ -77,29 +78,47 @@ def build_warehouse(
     i_occ = intermediate.int_trip_occupancy(s_trips, s_routes)
     i_rev = intermediate.int_booking_revenue(s_bookings, s_routes)
     rollup = intermediate.incident_rollup(s_inc)
-    stage = None
-    if store:
-
-        def stage(df: DataFrame, name: str) -> DataFrame:
-            path = sinks.layer_path(store, "intermediate", name)
-            sinks.write_table(df, path)
-            return sinks.read_table(spark, path)
-
-    i_punct = intermediate.int_trip_punctuality(s_sched, s_ptrips, s_inc, s_routes, rollup=rollup, stage=stage)
-
     d_routes = dims.dim_routes(s_routes)
     d_vehicles = dims.dim_vehicles(s_vehicles)
     d_date = calendar.dim_date(spark, date_start, date_end)
     d_cats = dims.dim_delay_categories(s_inc)
-
-    if store:
-        i_punct = stage(i_punct, "int_trip_punctuality")
-
     f_trips = marts.fct_trips(i_occ)
     f_rev = marts.fct_revenue(i_rev)
-    f_punct = marts.fct_punctuality(i_punct)
 
-    wh = Warehouse(
+    def materialise(df: DataFrame, layer: str, name: str) -> DataFrame:
+        path = sinks.layer_path(store, layer, name)
+        sinks.write_table(df, path, sort_by=MART_SORT.get(name))
+        return sinks.read_table(spark, path)
+
+    def punctuality_chain() -> tuple[DataFrame, DataFrame]:
+        stage = (lambda df, name: materialise(df, "intermediate", name)) if store else None
+        ip = intermediate.int_trip_punctuality(s_sched, s_ptrips, s_inc, s_routes, rollup=rollup, stage=stage)
+        if store:
+            ip = stage(ip, "int_trip_punctuality")
+        fp = marts.fct_punctuality(ip)
+        return ip, (materialise(fp, "marts", "fct_punctuality") if store else fp)
+
+    independent = {
+        "dim_routes": d_routes,
+        "dim_vehicles": d_vehicles,
+        "dim_date": d_date,
+        "dim_delay_categories": d_cats,
+        "fct_trips": f_trips,
+        "fct_revenue": f_rev,
+    }
+    if store:
+        # The operations marts and dimensions do not depend on the
+        # punctuality chain: their write jobs are submitted concurrently so
+        # the scheduler can fill idle executor slots.
+        with ThreadPoolExecutor(max_workers=1 + len(independent)) as pool:
+            futures = {n: pool.submit(materialise, df, "marts", n) for n, df in independent.items()}
+            i_punct, f_punct = punctuality_chain()
+            written = {n: f.result() for n, f in futures.items()}
+    else:
+        i_punct, f_punct = punctuality_chain()
+        written = independent
+
+    return Warehouse(
         stg_routes=s_routes,
         stg_vehicles=s_vehicles,
         stg_trips=s_trips,
@@ -111,21 +130,10 @@ def build_warehouse(
         int_booking_revenue=i_rev,
         incident_rollup=rollup,
         int_trip_punctuality=i_punct,
-        dim_routes=d_routes,
-        dim_vehicles=d_vehicles,
-        dim_date=d_date,
-        dim_delay_categories=d_cats,
-        fct_trips=f_trips,
-        fct_revenue=f_rev,
         fct_punctuality=f_punct,
         feedback_events=raw.feedback_events,
+        **written,
     )
-    if store:
-        for name in ("dim_routes", "dim_vehicles", "dim_date", "dim_delay_categories", "fct_trips", "fct_revenue", "fct_punctuality"):
-            path = sinks.layer_path(store, "marts", name)
-            sinks.write_table(getattr(wh, name), path, sort_by=MART_SORT.get(name))
-            setattr(wh, name, sinks.read_table(spark, path))
-    return wh
 
 
 _memo: dict[tuple[str, str, bool], Warehouse] = {}
