@@ -44,10 +44,6 @@ class Params:
 P = Params()
 
 
-def pct1(x: Column) -> Column:
-    return F.round(x * F.lit(100.0), 1)
-
-
 def pct1_of_avg(total: Column, count: Column) -> Column:
     """round(avg * 100, 1) of a decimal column from its exact sum and count:
     decimal division, so a tie such as 0.1455 -> 14.55 rounds up as in the

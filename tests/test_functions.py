@@ -190,3 +190,24 @@ def test_seed_csv_loader_is_typed_and_strict(spark, tmp_path):
     bad.write_text(good.read_text() + "RT901,C - D,C,D,not_a_number,minivan,1.00,3\n")
     with pytest.raises(Exception):
         load_seed(spark, str(bad), RAW_ROUTES).collect()
+
+
+def test_minute_diff_property_against_python(spark):
+    """Random timestamps (incl. pre-1970, sub-second): boundary minutes equal
+    floor(minutes since epoch) differences computed in Python."""
+    import random
+
+    rnd = random.Random(7)
+    epoch = dt.datetime(1970, 1, 1)
+
+    def rand_ts():
+        return epoch + dt.timedelta(microseconds=rnd.randint(-10**15, 3 * 10**15))
+
+    def minute_index(t):
+        us = (t - epoch) // dt.timedelta(microseconds=1)
+        return us // 60_000_000
+
+    pairs = [(rand_ts(), rand_ts()) for _ in range(500)]
+    schema = T.StructType([T.StructField("a", T.TimestampNTZType()), T.StructField("b", T.TimestampNTZType())])
+    got = [r[0] for r in spark.createDataFrame(pairs, schema).select(minute_diff("a", "b")).collect()]
+    assert got == [minute_index(b) - minute_index(a) for a, b in pairs]

@@ -5,7 +5,6 @@ from __future__ import annotations
 import datetime as dt
 
 import pytest
-from pyspark.sql import functions as F
 
 from routecast.operators import feedback, intermediate, quality, staging
 from routecast.sources.schemas import RAW_DELAY_INCIDENTS

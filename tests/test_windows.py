@@ -62,3 +62,22 @@ def test_rank_and_mean_match_plain_window(spark, seed):
     )
     safe = rank_and_mean_by_group(df, ["g", "d"], "v", "rk", "m").select("id", "rk", "m")
     assert sorted(plain.collect()) == sorted(safe.collect())
+
+
+def test_vehicle_windows_never_partition_by_vehicle_alone(spark):
+    """The full-data exchanges of W1-W5 are keyed by (vehicle, day) or
+    (route, day, delay); only the bounded per-bucket tails are exchanged
+    by vehicle alone."""
+    import re
+
+    df = spark.createDataFrame(_rows(9), "id string, k string, t timestamp_ntz, v int")
+
+    def cols(spec):
+        return {"prev": F.lag("v", 1).over(spec)}
+
+    out = lookback_window(df, "k", ["t", "id"], F.col("t").cast("date"), 4, ["v"], cols)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
+    assert any("__bucket" in k for k in keys)
+    # the only exchange on the key alone feeds the tails window (WindowGroupLimit output)
+    assert sum(1 for k in keys if "__bucket" not in k) <= 1
