@@ -96,7 +96,7 @@ def fct_punctuality(punctuality: DataFrame, benchmarks: DataFrame | None = None)
     a checked broadcast.
     """
     bm = route_benchmarks(punctuality) if benchmarks is None else benchmarks
-    bm = bounded_broadcast(bm.withColumnRenamed("route_id", "_bm_route_id"))
+    bm = bounded_broadcast(bm.withColumnRenamed("route_id", "_bm_route_id"), estimate_first=False)
     p = punctuality
     cat = F.col("primary_delay_category")
     has_cat = cat.isNotNull()

@@ -106,3 +106,16 @@ def test_dirty_delay_text_does_not_fail(spark, dirty):
     inc = _incidents(spark, [("I1", "T1", "other", dirty, "maybe", "x")])
     r = inc.first()
     assert r.delay_minutes is None and r.is_cascading is None and r.affected_passengers is None
+
+
+def test_bounded_broadcast_checks_size(spark, wh):
+    from routecast.operators import dims
+
+    assert dims.fits(wh.dim_routes)
+    assert "broadcast" in dims.bounded_broadcast(wh.dim_routes)._jdf.queryExecution().logical().toString().lower()
+    big = spark.range(0, 1000).toDF("k")
+    assert not dims.fits(big, max_rows=10)  # exact bounded count
+    huge = spark.range(0, 10**12).toDF("k")  # estimate alone rules it out: no job over 10^12 rows
+    assert dims.estimated_bytes(huge) > dims.MAX_ESTIMATED_BYTES and not dims.fits(huge)
+    plan = dims.bounded_broadcast(huge)._jdf.queryExecution().logical().toString()
+    assert "broadcast" not in plan.lower()
