@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from routecast.functions import classifiers as C
 from routecast.functions.timecols import minute_diff
 from routecast.operators.dims import bounded_broadcast
-from routecast.operators.windows import lookback_window, rank_and_mean_by_group
+from routecast.operators.windows import adaptive_day_bucket, lookback_window, rank_and_mean_by_group
 
 ROUTE_COLS = ["route_id", "route_name", "origin", "destination"]
 
@@ -164,9 +164,14 @@ def with_incidents(tc: DataFrame, rollup: DataFrame) -> DataFrame:
     )
 
 
-def vehicle_context(df: DataFrame) -> DataFrame:
+VEHICLE_DAY_SPLIT_ROWS = 1_000_000
+
+
+def vehicle_context(df: DataFrame, split_rows: int = VEHICLE_DAY_SPLIT_ROWS) -> DataFrame:
     """Rolling 5-trip mean delay, previous delay and turnaround per
-    vehicle, ordered by actual departure (trip_id breaks ties)."""
+    vehicle, ordered by actual departure (trip_id breaks ties). Work is
+    grouped by (vehicle, day), and a (vehicle, day) with more than
+    ``split_rows`` trips (an unassigned NULL vehicle, say) by time slices."""
 
     def cols(spec):
         return {
@@ -177,15 +182,16 @@ def vehicle_context(df: DataFrame) -> DataFrame:
             ),
         }
 
+    bucketed = adaptive_day_bucket(df, "vehicle_id", "actual_departure_at", split_rows)
     return lookback_window(
-        df,
+        bucketed,
         key="vehicle_id",
         order=["actual_departure_at", "trip_id"],
-        bucket=F.col("actual_departure_at").cast("date"),
+        bucket=F.col("__day_bucket"),
         depth=4,
         carry=["departure_delay_minutes", "actual_arrival_at"],
         columns=cols,
-    )
+    ).drop("__day_bucket")
 
 
 def int_trip_punctuality(

@@ -9,7 +9,8 @@ bounded while giving exactly the same answers:
     Row frames that only look a fixed number of rows back (``lag``, rolling
     ``rowsBetween(-k, 0)``). Rows are grouped by ``(key, bucket)`` where the
     bucket is a coarse, order-preserving function of the ordering column
-    (the trip date). Each group receives a *halo*: the last ``depth`` rows
+    (the trip date, cut finer for a hot (key, day), ``adaptive_day_bucket``).
+    Each group receives a *halo*: the last ``depth`` rows
     of the same key before the bucket, found from per-bucket tails (at most
     ``depth`` rows per bucket, cut map-side by Spark's WindowGroupLimit).
     The frame is then evaluated over ``(key, bucket)`` groups and halo rows
@@ -30,6 +31,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
+from routecast.functions.timecols import epoch_micros
+
 _HALO = "__halo"
 _BUCKET = "__bucket"
 
@@ -99,6 +102,45 @@ def lookback_window(
     return out.filter(~F.col(_HALO)).drop(_HALO, _BUCKET)
 
 
+_DAY_US = 86_400_000_000
+_MAX_SLICES = 100_000  # keeps (micros of day) x slices below 2^53
+
+
+def adaptive_day_bucket(df: DataFrame, key: str, ts: str, split_rows: int, name: str = "__day_bucket") -> DataFrame:
+    """Add ``name``: a bucket that is non-decreasing in ``ts`` (NULL last),
+    normally the day; a (key, day) group holding more than ``split_rows``
+    rows is cut into equal time slices of that day sized to ~``split_rows``
+    rows each.
+
+    The hot-group list comes from a partial-aggregated count and has at most
+    ``rows / split_rows`` entries; it is broadcast after an exact size check,
+    so the bucket costs no shuffle of the detail rows."""
+    from routecast.operators.dims import bounded_broadcast
+
+    us = epoch_micros(ts)
+    day = ((us - F.pmod(us, F.lit(_DAY_US))) / F.lit(_DAY_US)).cast("long")
+    with_day = df.withColumn("__day", day)
+    hot = (
+        with_day.groupBy(key, "__day")
+        .agg(F.count(F.lit(1)).alias("__n"))
+        .filter(F.col("__n") > split_rows)
+        .select(
+            F.col(key).alias("__hk"),
+            F.col("__day").alias("__hd"),
+            F.least(F.ceil(F.col("__n") / F.lit(split_rows)), F.lit(_MAX_SLICES)).cast("long").alias("__slices"),
+        )
+    )
+    j = with_day.join(
+        bounded_broadcast(hot, estimate_first=False),
+        F.col(key).eqNullSafe(F.col("__hk")) & (F.col("__day") == F.col("__hd")),
+        "left",
+    )
+    sub = F.coalesce(
+        F.floor(F.pmod(us, F.lit(_DAY_US)) * F.col("__slices") / F.lit(_DAY_US)).cast("long"), F.lit(0)
+    )
+    return j.withColumn(name, F.col("__day") * F.lit(_MAX_SLICES) + sub).drop("__day", "__hk", "__hd", "__slices")
+
+
 def rank_and_mean_by_group(
     df: DataFrame,
     group: Sequence[str],
