@@ -321,7 +321,8 @@ def _fact_branch(
         keys = _table(model, wh, table)
         for d, value in conds:
             keys = keys.filter(_filter_cond(d.column, value))
-        keys = bounded_broadcast(keys.select(F.col(pk).alias(rel.foreign_key)).distinct())
+        # a semi-join needs no distinct right side (duplicates never repeat a fact row)
+        keys = bounded_broadcast(keys.select(F.col(pk).alias(rel.foreign_key)))
         df = df.join(keys, rel.foreign_key, "left_semi")
 
     # 2. pre-aggregate to foreign keys + local dimensions
