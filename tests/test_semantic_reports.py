@@ -71,3 +71,40 @@ def test_to_client_refuses_unbounded_results(wh):
     assert len(to_client(Q.v1_otp_by_route(wh))) == wh.dim_routes.count()
     with pytest.raises(ValueError):
         to_client(wh.fct_trips, max_rows=10)
+
+
+def _tiny_warehouse(spark, wh):
+    """Hand-written facts over the real dimensions: RT001 has trips and
+    bookings, RT002 only bookings, RT003 only trips, RT999 (not in the route
+    dimension -> NULL route_name) has both."""
+    import datetime as dt
+    from dataclasses import replace
+    from decimal import Decimal
+
+    d = dt.date(1996, 5, 1)
+    trips = spark.createDataFrame(
+        [("t1", "RT001", "1", d, Decimal("0.5000")), ("t2", "RT003", "1", d, Decimal("0.2500")),
+         ("t3", "RT999", "1", d, Decimal("1.0000"))],
+        "trip_id string, route_id string, vehicle_id string, date_key date, occupancy_rate decimal(10,4)",
+    )
+    rev = spark.createDataFrame(
+        [("b1", "RT001", d, 2, Decimal("10.00"), "completed"), ("b2", "RT002", d, 1, Decimal("5.00"), "completed"),
+         ("b3", "RT999", d, 1, Decimal("7.00"), "refunded")],
+        "booking_id string, route_id string, date_key date, passengers int, total_fare decimal(18,2), booking_status string",
+    )
+    return replace(wh, fct_trips=trips, fct_revenue=rev)
+
+
+def test_multi_fact_alignment_with_missing_members(spark, wh):
+    tiny = _tiny_warehouse(spark, wh)
+    res = {
+        r.route_name: r
+        for r in semantic_query(OPERATIONS, tiny, ["route_name"], ["trip_count", "booking_count", "total_revenue"]).collect()
+    }
+    names = {r.route_id: r.route_name for r in wh.dim_routes.collect()}
+    assert (res[names["RT001"]].trip_count, res[names["RT001"]].booking_count) == (1, 1)
+    assert (res[names["RT002"]].trip_count, res[names["RT002"]].booking_count) == (None, 1)
+    assert (res[names["RT003"]].trip_count, res[names["RT003"]].booking_count) == (1, None)
+    # the orphan route's rows from both facts align on the NULL member
+    assert (res[None].trip_count, res[None].booking_count, str(res[None].total_revenue)) == (1, 1, "7.00")
+    assert len(res) == 4
