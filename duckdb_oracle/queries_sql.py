@@ -3,7 +3,7 @@ the prelude CTEs (binding + model layers)."""
 
 from __future__ import annotations
 
-from oracle.prelude import half_up_ratio
+from duckdb_oracle.prelude import half_up_ratio
 
 
 def _pct1_exact(total: str, count: str) -> str:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.prelude import with_prelude
+from duckdb_oracle.prelude import with_prelude
 
 LAYER_SQL = {
     "S1_dim_routes": "SELECT * FROM dim_routes",
@@ -55,8 +55,8 @@ LAYER_SQL = {
 
 
 def all_sql() -> dict[str, str]:
-    from oracle.queries_sql import QUERY_SQL
-    from oracle.reports_sql import REPORT_SQL
+    from duckdb_oracle.queries_sql import QUERY_SQL
+    from duckdb_oracle.reports_sql import REPORT_SQL
 
     out = {k: with_prelude(v) for k, v in LAYER_SQL.items()}
     out.update({k: with_prelude(v) for k, v in QUERY_SQL.items()})

@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
-from oracle.compare import compare, duck
+from duckdb_oracle.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
 QUERIES = entry.queries()
