@@ -108,22 +108,29 @@ def run_check(tables: dict[str, DataFrame], check: Check) -> DataFrame:
 
 
 def column_failures(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Unique and not-null failure counts of several columns in one pass.
-
-    Every row contributes one ``(column, value)`` pair per column; one
-    aggregation (partial before the shuffle, so a value repeated on a third
-    of the rows -- NULL, say -- is pre-counted map-side) gives each value's
-    count, and a second tiny one folds them per column."""
-    pairs = F.explode(
-        F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
-    )
-    counts = (
-        df.select(pairs.alias("p"))
-        .select("p.column_name", "p.value")
-        .groupBy("column_name", "value")
-        .agg(F.count(F.lit(1)).alias("n"))
+    """Unique and not-null failure counts of several columns of one table."""
+    return _fold(_value_counts(_pairs(df, "", columns))).drop("model")
+
+
+def _pairs(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
+    """One ``(model, column, value)`` row per input row and checked column."""
+    arr = F.array(
+        *[
+            F.struct(F.lit(model).alias("model"), F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
+            for c in columns
+        ]
     )
-    return counts.groupBy("column_name").agg(
+    return df.select(F.explode(arr).alias("p")).select("p.model", "p.column_name", "p.value")
+
+
+def _value_counts(pairs: DataFrame) -> DataFrame:
+    # partial aggregation before the shuffle: a value repeated on a third of
+    # the rows (NULL, say) is pre-counted map-side
+    return pairs.groupBy("model", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+
+
+def _fold(counts: DataFrame) -> DataFrame:
+    return counts.groupBy("model", "column_name").agg(
         F.count_if(F.col("value").isNotNull() & (F.col("n") > 1)).cast("long").alias("unique"),
         F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).cast("long").alias("not_null"),
     )
@@ -132,40 +139,46 @@ def column_failures(df: DataFrame, columns: list[str]) -> DataFrame:
 def dq_summary(tables: dict[str, DataFrame], checks: list[Check] = DECLARED_CHECKS) -> DataFrame:
     """One row per declared test with its number of failures.
 
-    Per table, all unique and not-null tests share one scan
-    (``column_failures``); each relationship test is one anti-join. The
-    branches are combined with ``unionByName`` into a single result."""
-    parts: list[DataFrame] = []
-    by_table: dict[str, list[Check]] = {}
+    * unique / not-null: every table contributes its (model, column, value)
+      pairs to ONE aggregation (one shuffle for all of them);
+    * relationships: each is an anti-join, and their orphans are counted in
+      ONE aggregation;
+    * the declared tests themselves are a small metadata table left-joined
+      to the counts, so a test over an empty table reports 0, not nothing.
+    """
+    spark = next(iter(tables.values())).sparkSession
+    by_table: dict[str, list[str]] = {}
     for c in checks:
         if c.test in ("unique", "not_null"):
-            by_table.setdefault(c.model, []).append(c)
-    for model, cs in by_table.items():
-        cols = sorted({c.column for c in cs})
-        wide = column_failures(tables[model], cols)
-        long = wide.select(
-            "column_name",
-            F.expr("stack(2, 'unique', `unique`, 'not_null', `not_null`) as (test, failures)"),
-        )
-        wanted = [(c.column, c.test) for c in cs]
-        cond = None
-        for col, test in wanted:
-            e = (F.col("column_name") == col) & (F.col("test") == test)
-            cond = e if cond is None else cond | e
-        parts.append(long.filter(cond).select(F.lit(model).alias("model"), "column_name", "test", "failures"))
+            by_table.setdefault(c.model, [])
+            if c.column not in by_table[c.model]:
+                by_table[c.model].append(c.column)
+    pairs = None
+    for model, cols in by_table.items():
+        p = _pairs(tables[model], model, cols)
+        pairs = p if pairs is None else pairs.unionByName(p)
+    column_counts = _fold(_value_counts(pairs)).select(
+        "model",
+        "column_name",
+        F.expr("stack(2, 'unique', `unique`, 'not_null', `not_null`) as (test, failures)"),
+    )
+    orphans = None
     for c in checks:
         if c.test != "relationships":
             continue
-        failing = run_check(tables, c)
-        parts.append(
-            failing.agg(F.count(F.lit(1)).alias("failures")).select(
-                F.lit(c.model).alias("model"),
-                F.lit(c.column).alias("column_name"),
-                F.lit(c.test).alias("test"),
-                F.col("failures").cast("long"),
-            )
+        o = relationship_failures(tables[c.model], c.column, tables[c.parent], c.parent_column).select(
+            F.lit(c.model).alias("model"), F.lit(c.column).alias("column_name")
         )
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        orphans = o if orphans is None else orphans.unionByName(o)
+    counts = column_counts
+    if orphans is not None:
+        rel = orphans.groupBy("model", "column_name").agg(F.count(F.lit(1)).alias("failures")).select(
+            "model", "column_name", F.lit("relationships").alias("test"), F.col("failures").cast("long")
+        )
+        counts = counts.unionByName(rel)
+    declared = spark.createDataFrame(
+        [(c.model, c.column, c.test) for c in checks], "model string, column_name string, test string"
+    )
+    return declared.join(counts, ["model", "column_name", "test"], "left").select(
+        "model", "column_name", "test", F.coalesce("failures", F.lit(0)).cast("long").alias("failures")
+    )

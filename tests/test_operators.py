@@ -119,3 +119,23 @@ def test_bounded_broadcast_checks_size(spark, wh):
     assert dims.estimated_bytes(huge) > dims.MAX_ESTIMATED_BYTES and not dims.fits(huge)
     plan = dims.bounded_broadcast(huge)._jdf.queryExecution().logical().toString()
     assert "broadcast" not in plan.lower()
+
+
+def test_dq_summary_reports_every_test_even_for_empty_tables(spark):
+    child = spark.createDataFrame([("a", "p1"), ("a", "p9")], "k string, fk string")
+    empty = spark.createDataFrame([], "pk string")
+    checks = [
+        quality.Check("child", "k", "unique"),
+        quality.Check("child", "k", "not_null"),
+        quality.Check("child", "fk", "relationships", "parent", "pk"),
+        quality.Check("parent", "pk", "unique"),
+        quality.Check("parent", "pk", "not_null"),
+    ]
+    got = {(r.model, r.column_name, r.test): r.failures for r in quality.dq_summary({"child": child, "parent": empty}, checks).collect()}
+    assert got == {
+        ("child", "k", "unique"): 1,
+        ("child", "k", "not_null"): 0,
+        ("child", "fk", "relationships"): 2,
+        ("parent", "pk", "unique"): 0,
+        ("parent", "pk", "not_null"): 0,
+    }
