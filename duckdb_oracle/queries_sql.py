@@ -204,6 +204,14 @@ QUERY_SQL = {
           rv.total_revenue, tr.trip_count, tr.average_occupancy_rate
         FROM rv FULL JOIN tr ON rv.route_name IS NOT DISTINCT FROM tr.route_name
           AND rv.year_quarter IS NOT DISTINCT FROM tr.year_quarter""",
+    "M1_delay_fact_rows": f"""
+        SELECT p.departure_delay_minutes, p.estimated_delay_cost_eur, dc.sla_threshold_minutes,
+          r.route_name, d.year_quarter, dc.delay_category
+        FROM fct_punctuality p
+        LEFT JOIN dim_routes r ON p.route_id = r.route_id
+        LEFT JOIN dim_date d ON p.date_key = d.date_key
+        LEFT JOIN dim_delay_categories dc ON p.delay_category_key = dc.delay_category_key
+        WHERE p.route_id IN (SELECT route_id FROM dim_routes WHERE route_name = '{ROUTE}')""",
     "M4_route_members": "SELECT DISTINCT route_name FROM dim_routes",
     "M4_quarter_members": """
         SELECT DISTINCT d.year_quarter FROM fct_revenue rev LEFT JOIN dim_date d ON rev.date_key = d.date_key""",

@@ -411,6 +411,19 @@ def m5_filtered_route_performance(wh: Warehouse, p: Params = P) -> DataFrame:
     )
 
 
+def m1_delay_fact_rows(wh: Warehouse, p: Params = P) -> DataFrame:
+    """M1 row-level facts: per-trip delay facts with route, quarter and the
+    SLA threshold of the trip's delay category, for one route."""
+    from routecast.plans.semantic import semantic_facts
+
+    return semantic_facts(
+        PUNCTUALITY, wh,
+        ["departure_delay_minutes", "estimated_delay_cost_eur", "sla_threshold_minutes"],
+        ["route_name", "year_quarter", "delay_category"],
+        filters={"route_name": p.route_name},
+    )
+
+
 def m4_route_members(wh: Warehouse) -> DataFrame:
     return semantic_query(OPERATIONS, wh, ["route_name"])
 
@@ -503,6 +516,7 @@ NAMED_QUERIES = {
     "B7_occupancy_by_route": b7_occupancy_by_route,
     "B7_route_performance": b7_route_performance,
     "M5_filtered_route_performance": m5_filtered_route_performance,
+    "M1_delay_fact_rows": m1_delay_fact_rows,
     "M4_route_members": m4_route_members,
     "M4_quarter_members": m4_quarter_members,
     "B8_revenue_at_risk": b8_revenue_at_risk,

@@ -357,6 +357,71 @@ def _fact_branch(
     return summed.select(*out)
 
 
+def semantic_facts(
+    model: SemanticModel,
+    wh: Warehouse,
+    facts: Sequence[str],
+    dimensions: Sequence[str] = (),
+    filters: dict[str, object] | None = None,
+) -> DataFrame:
+    """M1 row-level facts (drill-through): one row per row of the fact table
+    with the asked facts and dimension attributes.
+
+    The fact table is the one (among tables that have relationships) that
+    holds the asked facts; facts and dimensions of referenced tables are
+    attached with left joins of size-checked dimension tables, and filters
+    on them become semi-joins on the foreign key first."""
+    filters = dict(filters or {})
+    unknown = [f for f in facts if f not in model.facts]
+    unknown += [d for d in [*dimensions, *filters] if d not in model.dimensions]
+    if unknown:
+        raise SemanticError(f"unknown fact or dimension: {unknown}")
+    located = {f: tuple(model.facts[f].split(".", 1)) for f in facts}
+    fact_tables = {r.table for r in model.relationships}
+    owners = {t for t, _ in located.values() if t in fact_tables}
+    if len(owners) != 1:
+        raise SemanticError("row-level facts must include facts of exactly one fact table")
+    fact = owners.pop()
+
+    # name -> (table, column) for every output column, in request order
+    wanted: dict[str, tuple[str, str]] = dict(located)
+    wanted.update({d: (model.dimensions[d].table, model.dimensions[d].column) for d in dimensions})
+    remote = {t for t, _ in wanted.values() if t != fact}
+    remote |= {model.dimensions[f].table for f in filters if model.dimensions[f].table != fact}
+    for table in remote:
+        if model.relationship(fact, table) is None:
+            raise SemanticError(f"table {table!r} is not reachable from fact table {fact!r}")
+
+    df = _table(model, wh, fact)
+    for fname, value in filters.items():
+        d = model.dimensions[fname]
+        if d.table == fact:
+            df = df.filter(_filter_cond(d.column, value))
+        else:
+            rel = model.relationship(fact, d.table)
+            keys = _table(model, wh, d.table).filter(_filter_cond(d.column, value))
+            keys = bounded_broadcast(keys.select(F.col(model.tables[d.table][1]).alias(rel.foreign_key)))
+            df = df.join(keys, rel.foreign_key, "left_semi")
+
+    for table in sorted({t for t, _ in wanted.values() if t != fact}):
+        rel = model.relationship(fact, table)
+        src = _table(model, wh, table)
+        cols = {n: c for n, (t, c) in wanted.items() if t == table}
+        dim_df = src.select(
+            F.col(model.tables[table][1]).alias(f"__pk_{table}"),
+            *[F.col(c).alias(f"__{table}__{n}") for n, c in cols.items()],
+        )
+        df = df.join(
+            bounded_broadcast(dim_df, rows_of=src), F.col(rel.foreign_key) == F.col(f"__pk_{table}"), "left"
+        )
+    return df.select(
+        *[
+            (F.col(c) if t == fact else F.col(f"__{t}__{n}")).alias(n)
+            for n, (t, c) in wanted.items()
+        ]
+    )
+
+
 def semantic_query(
     model: SemanticModel,
     wh: Warehouse,

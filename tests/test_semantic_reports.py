@@ -108,3 +108,15 @@ def test_multi_fact_alignment_with_missing_members(spark, wh):
     # the orphan route's rows from both facts align on the NULL member
     assert (res[None].trip_count, res[None].booking_count, str(res[None].total_revenue)) == (1, 1, "7.00")
     assert len(res) == 4
+
+
+def test_row_level_facts_validation(wh):
+    from routecast.plans.semantic import semantic_facts
+
+    rows = semantic_facts(PUNCTUALITY, wh, ["departure_delay_minutes"], ["route_name"])
+    assert rows.count() == wh.fct_punctuality.count()
+    assert rows.columns == ["departure_delay_minutes", "route_name"]
+    with pytest.raises(SemanticError):
+        semantic_facts(PUNCTUALITY, wh, ["sla_threshold_minutes"])  # no fact-table fact
+    with pytest.raises(SemanticError):
+        semantic_facts(OPERATIONS, wh, ["passengers_onboard", "total_fare"])  # two fact tables
