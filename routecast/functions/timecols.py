@@ -29,9 +29,17 @@ def epoch_micros(col: Column | str) -> Column:
 
 
 def _minute_index(col: Column | str) -> Column:
-    us = epoch_micros(col)
-    # floor division that is also right before 1970
-    return (us - F.pmod(us, F.lit(_MICROS_PER_MINUTE))) / F.lit(_MICROS_PER_MINUTE)
+    """Minutes since 1970-01-01 00:00 (floor), time-zone independent.
+
+    From 1970 on, ``unix_timestamp`` of an NTZ value (whole seconds,
+    truncated, which equals floor there) gives it at ~1/4 of the cost of
+    ``timestamp_diff``; earlier values take the exact microsecond path,
+    where truncation toward zero would be off by one."""
+    c = ntz(col)
+    fast = F.floor(F.unix_timestamp(c) / F.lit(60))
+    us = epoch_micros(c)
+    exact = (us - F.pmod(us, F.lit(_MICROS_PER_MINUTE))) / F.lit(_MICROS_PER_MINUTE)
+    return F.when(c >= F.expr(_EPOCH), fast).otherwise(exact)
 
 
 def minute_diff(start: Column | str, end: Column | str) -> Column:
