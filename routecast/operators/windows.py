@@ -31,7 +31,6 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-from routecast.functions.timecols import epoch_micros
 
 _HALO = "__halo"
 _BUCKET = "__bucket"
@@ -102,8 +101,8 @@ def lookback_window(
     return out.filter(~F.col(_HALO)).drop(_HALO, _BUCKET)
 
 
-_DAY_US = 86_400_000_000
-_MAX_SLICES = 100_000  # keeps (micros of day) x slices below 2^53
+_DAY_S = 86_400
+_MAX_SLICES = 100_000
 
 
 def adaptive_day_bucket(df: DataFrame, key: str, ts: str, split_rows: int, name: str = "__day_bucket") -> DataFrame:
@@ -117,8 +116,10 @@ def adaptive_day_bucket(df: DataFrame, key: str, ts: str, split_rows: int, name:
     so the bucket costs no shuffle of the detail rows."""
     from routecast.operators.dims import bounded_broadcast
 
-    us = epoch_micros(ts)
-    day = ((us - F.pmod(us, F.lit(_DAY_US))) / F.lit(_DAY_US)).cast("long")
+    # whole seconds since 1970 (truncated): monotone in ts, which is all a
+    # bucket needs, and far cheaper than exact microseconds
+    secs = F.unix_timestamp(F.col(ts).cast("timestamp_ntz"))
+    day = F.floor(secs / F.lit(_DAY_S))
     with_day = df.withColumn("__day", day)
     hot = (
         with_day.groupBy(key, "__day")
@@ -135,9 +136,7 @@ def adaptive_day_bucket(df: DataFrame, key: str, ts: str, split_rows: int, name:
         F.col(key).eqNullSafe(F.col("__hk")) & (F.col("__day") == F.col("__hd")),
         "left",
     )
-    sub = F.coalesce(
-        F.floor(F.pmod(us, F.lit(_DAY_US)) * F.col("__slices") / F.lit(_DAY_US)).cast("long"), F.lit(0)
-    )
+    sub = F.coalesce(F.floor(F.pmod(secs, F.lit(_DAY_S)) * F.col("__slices") / F.lit(_DAY_S)), F.lit(0))
     return j.withColumn(name, F.col("__day") * F.lit(_MAX_SLICES) + sub).drop("__day", "__hk", "__hd", "__slices")
 
 
