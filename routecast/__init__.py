@@ -15,4 +15,31 @@ Layers (each a plain ``DataFrame -> DataFrame`` function):
 
 from routecast.session import build_session, scratch_dir  # noqa: F401
 
-__all__ = ["build_session", "scratch_dir"]
+
+def __getattr__(name: str):
+    """Lazy top-level access to the main entry points (keeps ``import
+    routecast`` light)."""
+    lazy = {
+        "build_warehouse": ("routecast.plans.warehouse", "build_warehouse"),
+        "Warehouse": ("routecast.plans.warehouse", "Warehouse"),
+        "semantic_query": ("routecast.plans.semantic", "semantic_query"),
+        "semantic_facts": ("routecast.plans.semantic", "semantic_facts"),
+        "OPERATIONS": ("routecast.plans.semantic", "OPERATIONS"),
+        "PUNCTUALITY": ("routecast.plans.semantic", "PUNCTUALITY"),
+        "route_report": ("routecast.plans.reports", "route_report"),
+        "revenue_at_risk": ("routecast.plans.reports", "revenue_at_risk"),
+        "dq_summary": ("routecast.operators.quality", "dq_summary"),
+        "RawInputs": ("routecast.sources.testdata", "RawInputs"),
+    }
+    if name in lazy:
+        import importlib
+
+        module, attr = lazy[name]
+        return getattr(importlib.import_module(module), attr)
+    raise AttributeError(name)
+
+
+__all__ = [
+    "build_session", "scratch_dir", "build_warehouse", "Warehouse", "semantic_query", "semantic_facts",
+    "OPERATIONS", "PUNCTUALITY", "route_report", "revenue_at_risk", "dq_summary", "RawInputs",
+]
