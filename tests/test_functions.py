@@ -211,3 +211,28 @@ def test_minute_diff_property_against_python(spark):
     schema = T.StructType([T.StructField("a", T.TimestampNTZType()), T.StructField("b", T.TimestampNTZType())])
     got = [r[0] for r in spark.createDataFrame(pairs, schema).select(minute_diff("a", "b")).collect()]
     assert got == [minute_index(b) - minute_index(a) for a, b in pairs]
+
+
+def test_read_raw_casts_to_declared_schema(spark, tmp_path):
+    from routecast.sources.schemas import RAW_VEHICLES
+    from routecast.sources.seeds import read_raw
+
+    src = spark.createDataFrame(
+        [("V1", "minivan", 12, "REG-1", 2022, "active")],
+        "vehicle_id string, vehicle_type string, capacity long, registration_plate string, year_manufactured long, status string",
+    )
+    src.write.parquet(str(tmp_path / "v"))
+    df = read_raw(spark, "raw_vehicles", str(tmp_path / "v"))
+    assert df.schema == RAW_VEHICLES
+
+
+def test_write_table_partitioned_prunes_directories(spark, tmp_path):
+    from routecast.sources.sinks import write_table
+
+    df = spark.range(100).selectExpr("id", "cast(id % 4 as int) as part", "date_add(date'2024-01-01', cast(id as int)) as date_key")
+    path = str(tmp_path / "t")
+    write_table(df, path, sort_by=("date_key",), partition_by=("part",))
+    read = spark.read.parquet(path).filter("part = 2")
+    assert read.count() == 25
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(part" in plan
