@@ -162,6 +162,8 @@ REPORT_SQL = {
     "D1_duplicate_booking_ids": """
         SELECT booking_id, count(*) AS n_records FROM stg_bookings WHERE booking_id IS NOT NULL
         GROUP BY booking_id HAVING count(*) > 1""",
+    "D2_incidents_without_trip": """
+        SELECT incident_id, trip_id, route_id FROM stg_delay_incidents WHERE trip_id IS NULL""",
     "D3_orphan_fact_vehicles": """
         SELECT p.trip_id, p.vehicle_id FROM fct_punctuality p
         WHERE p.vehicle_id IS NOT NULL AND NOT EXISTS (SELECT 1 FROM dim_vehicles v WHERE v.vehicle_id = p.vehicle_id)""",

@@ -543,6 +543,13 @@ def d1_duplicate_booking_ids(wh: Warehouse) -> DataFrame:
     return unique_failures(wh.stg_bookings, "booking_id")
 
 
+def d2_incidents_without_trip(wh: Warehouse) -> DataFrame:
+    """Staged incidents whose trip_id is NULL (the offending rows)."""
+    from routecast.operators.quality import not_null_failures
+
+    return not_null_failures(wh.stg_delay_incidents, "trip_id").select("incident_id", "trip_id", "route_id")
+
+
 def d3_orphan_fact_vehicles(wh: Warehouse) -> DataFrame:
     from routecast.operators.quality import relationship_failures
 
@@ -582,6 +589,7 @@ NAMED_QUERIES.update(
         "G1_route_report": g1_route_report,
         "G2_revenue_at_risk": g2_revenue_at_risk,
         "D1_duplicate_booking_ids": d1_duplicate_booking_ids,
+        "D2_incidents_without_trip": d2_incidents_without_trip,
         "D3_orphan_fact_vehicles": d3_orphan_fact_vehicles,
         "D4_dq_summary": d4_dq_summary,
         "X1_negative_feedback": x1_negative_feedback,
