@@ -120,3 +120,14 @@ def test_row_level_facts_validation(wh):
         semantic_facts(PUNCTUALITY, wh, ["sla_threshold_minutes"])  # no fact-table fact
     with pytest.raises(SemanticError):
         semantic_facts(OPERATIONS, wh, ["passengers_onboard", "total_fare"])  # two fact tables
+
+
+def test_lazy_and_materialised_warehouses_agree(spark, wh):
+    """build_warehouse without a store (everything lazy) gives the same
+    answers as the materialised marts."""
+    from routecast.plans.warehouse import warehouse_for
+
+    lazy = warehouse_for(spark, "/root/testdata/sf0.001", materialize=False)
+    for fn in (Q.v1_otp_by_route, Q.q8_occupancy_by_route_month, Q.b8_revenue_at_risk):
+        assert sorted(fn(lazy).collect()) == sorted(fn(wh).collect())
+    assert sorted(lazy.fct_punctuality.collect()) == sorted(wh.fct_punctuality.collect())
