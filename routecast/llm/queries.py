@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from routecast.llm import chat, packing, sharding, store, token_counts, token_files, topk
+from routecast.llm import chat, decontamination, language, near_duplicates, packing, sharding, store, token_counts, token_files, topk
 
 TOKENIZER = "word_bpe_49k.json"
 PACK_END, FILE_END, SEQUENCE, SHARDS = 1, 2, 4096, 24
@@ -54,16 +54,38 @@ def op3_feistel_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard_rows(_table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op4_string_kernels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", language.held_out("doc_id").alias("held_out"))
+    model = language.fit(docs.where(~F.col("held_out")), spread="doc_id")
+    return language.predict(docs.select("doc_id", "held_out", "text"), model).drop("text")
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates.near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = store.fresh_path(spark, "token-files")
     token_files.write_token_files(_table(spark, sf_dir, "documents"), path, public_tokenizers.path(TOKENIZER), FILE_END)
     return token_files.with_crc32(token_files.read_token_files(spark, path))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontamination.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
@@ -73,11 +95,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_chat_formatting": op2_chat_formatting,
     "op3_feistel_sharding": op3_feistel_sharding,
+    "op4_string_kernels": op4_string_kernels,
     "op5_token_counts": op5_token_counts,
+    "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_token_files": op7_token_files,
+    "op9_decontamination": op9_decontamination,
     "op10_exact_top_k": op10_exact_top_k,
 }
 
+_LOWER = """translate("text", 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
+
 ORACLE_SQL: dict[str, str] = {
     "op2_chat_formatting": r"""
 WITH turns AS (
@@ -93,6 +120,41 @@ SELECT conv_id, count(*) AS n_turns,
   sha256(coalesce(string_agg(said, '' ORDER BY turn, role, said) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
   CAST(sum(drawn) AS BIGINT) AS formatted_chars
 FROM sized GROUP BY conv_id
+""",
+    "op6_ngram_jaccard_join": rf"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, regexp_extract_all({_LOWER}, '[^\x20\x09-\x0D]+') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 5 THEN [array_to_string(w[i:i + 4], ' ') FOR i IN range(1, len(w) - 3)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM words
+), sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT x, y FROM common JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 75 * (p.n + q.n - c)
+), reach AS (
+  SELECT doc_id, doc_id AS seen FROM documents UNION SELECT r.doc_id, l.y FROM reach r JOIN links l ON l.x = r.seen
+)
+SELECT d.doc_id, coalesce(max(s.n), 0) AS n_shingles, min(r.seen) AS component_id
+FROM documents d JOIN reach r ON r.doc_id = d.doc_id LEFT JOIN sizes s ON s.doc_id = d.doc_id GROUP BY d.doc_id
+""",
+    "op9_decontamination": rf"""
+WITH dw AS (
+  SELECT doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w FROM documents
+), iw AS (
+  SELECT item_id, regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark
+), windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n, unnest([array_to_string(w[i:i + least(len(w), 10) - 1], ' ') FOR i IN range(1, len(w) - least(len(w), 10) + 2)]) AS s
+  FROM iw WHERE len(w) > 0
+), lengths AS (SELECT DISTINCT n FROM windows
+), runs AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS i, unnest([array_to_string(w[i:i + n - 1], ' ') FOR i IN range(1, len(w) - n + 2)]) AS s
+  FROM dw, lengths WHERE len(w) >= n
+), found AS (SELECT r.doc_id, r.i, r.n, v.item_id FROM runs r JOIN windows v ON r.n = v.n AND r.s = v.s
+), hit AS (SELECT doc_id, count(DISTINCT p) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS p FROM found) GROUP BY doc_id
+), named AS (SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS id FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM dw d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)
 """,
     "op10_exact_top_k": """
 WITH v AS (
