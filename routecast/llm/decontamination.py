@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from routecast.llm import store, textscan
 
@@ -181,8 +182,9 @@ def _with_block(rows: DataFrame, items: list[tuple[str, str]], window: int) -> D
                     names=["row", "key", "n_words", "spans", "items"],
                 )
 
-    kind = rows.schema["key"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row long, key {kind}, n_words long, spans array<struct<first:long,end:long>>, items array<string>")
+    schema = rows.select("row", "key").schema.add("n_words", "long")
+    found = StructType.fromDDL("spans array<struct<first:long,end:long>>, items array<string>")
+    return rows.mapInArrow(run, StructType(schema.fields + found.fields))
 
 
 def find_contamination(docs: DataFrame, items: DataFrame, window: int = 10, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from routecast.llm import chat, decontamination, language, near_duplicates, packing, sharding, store, token_counts, token_files, topk
+from routecast.llm import chat, decontamination, html_wrappers, language, near_duplicates, packing, sharding, store, token_counts, token_files, topk
 
 TOKENIZER = "word_bpe_49k.json"
 PACK_END, FILE_END, SEQUENCE, SHARDS = 1, 2, 4096, 24
@@ -74,6 +74,12 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.with_crc32(token_files.read_token_files(spark, path))
 
 
+def op8_html_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages")
+    text = html_wrappers.extract_text(pages, html_wrappers.infer_wrappers(pages))
+    return text.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontamination.find_contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     return found.select(
@@ -99,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_token_counts": op5_token_counts,
     "op6_ngram_jaccard_join": op6_ngram_jaccard_join,
     "op7_token_files": op7_token_files,
+    "op8_html_wrappers": op8_html_wrappers,
     "op9_decontamination": op9_decontamination,
     "op10_exact_top_k": op10_exact_top_k,
 }
