@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from routecast.operators.quality import DECLARED_CHECKS
-
-PERIOD = "date_key >= DATE '1995-01-01' AND date_key < DATE '2025-01-01'"
-MONTHS = 360
+#: Periods of the report keys: all years, and the last full quarter before 15 August 2024.
+ALL_YEARS = ("1995-01-01", "2025-01-01", 360)
+LAST_QUARTER = ("2024-04-01", "2024-07-01", 3)
 SEVERITIES = ["on_time", "minor_delay", "moderate_delay", "major_delay", "severe_delay"]
 
 
@@ -28,17 +27,22 @@ top AS (
   SELECT route_id, {tops} FROM ranked WHERE rk <= {n} GROUP BY route_id)"""
 
 
-def _top(n: int) -> str:
+def _within(period: tuple) -> str:
+    return f"date_key >= DATE '{period[0]}' AND date_key < DATE '{period[1]}'"
+
+
+def _top(n: int, period: tuple) -> str:
     tops = ", ".join(
         f"max(CASE WHEN rk = {i} THEN primary_delay_category END) AS top{i}_category, "
         f"max(CASE WHEN rk = {i} THEN trips END) AS top{i}_trips, "
         f"max(CASE WHEN rk = {i} THEN avg_delay END) AS top{i}_avg_delay"
         for i in range(1, n + 1)
     )
-    return _TOP.format(period=PERIOD, tops=tops, n=n)
+    return _TOP.format(period=_within(period), tops=tops, n=n)
 
 
-_PUN = f"""
+def _pun(period: tuple) -> str:
+    return f"""
 , pun AS (
   SELECT route_id, {_rate('is_on_time')} AS on_time_rate,
     CAST(sum(departure_delay_minutes) AS DOUBLE) / CAST(count(departure_delay_minutes) AS DOUBLE) AS avg_departure_delay,
@@ -48,22 +52,23 @@ _PUN = f"""
     CAST(sum(total_passenger_delay_minutes) AS BIGINT) AS passenger_delay_minutes,
     CAST(count_if(delay_severity IN ('major_delay', 'severe_delay')) AS BIGINT) AS severe_trip_count,
     {', '.join(f"CAST(count_if(delay_severity = '{s}') AS BIGINT) AS {s}_trips" for s in SEVERITIES)}
-  FROM fct_punctuality WHERE {PERIOD} GROUP BY route_id)"""
+  FROM fct_punctuality WHERE {_within(period)} GROUP BY route_id)"""
 
 
-G1 = (
-    f"""
+def g1(period: tuple) -> str:
+    return (
+        f"""
 , trips_r AS (
   SELECT route_id, count(trip_id) AS trip_count, CAST(sum(passengers_onboard) AS BIGINT) AS total_passengers,
     sum(occupancy_rate) AS occ_sum, count(occupancy_rate) AS occ_n
-  FROM fct_trips WHERE {PERIOD} GROUP BY route_id),
+  FROM fct_trips WHERE {_within(period)} GROUP BY route_id),
 rev_r AS (
   SELECT route_id, CAST(sum(total_fare) AS DECIMAL(38,2)) AS total_revenue,
     CAST(sum(passengers) AS BIGINT) AS booked_passengers
-  FROM fct_revenue WHERE {PERIOD} GROUP BY route_id)"""
-    + _PUN
-    + _top(3)
-    + f"""
+  FROM fct_revenue WHERE {_within(period)} GROUP BY route_id)"""
+        + _pun(period)
+        + _top(3, period)
+        + f"""
 , j AS (
   SELECT d.route_id, d.route_name, t.trip_count, t.total_passengers, t.occ_sum, t.occ_n,
     r.total_revenue, r.booked_passengers, pun.* EXCLUDE (route_id), top.* EXCLUDE (route_id)
@@ -91,16 +96,17 @@ SELECT route_id, route_name, total_revenue, rpp AS revenue_per_passenger, occ AS
   coalesce(occ < 0.5 AND on_time_rate >= 0.85, false) AS flag_marketing_opportunity,
   coalesce(cascade_rate > 0.3, false) AS flag_turnaround_review
 FROM x"""
-)
+    )
 
 
-G2 = (
-    _PUN
-    + _top(1)
-    + f"""
-, rev_r AS (SELECT route_id, CAST(sum(total_fare) AS DECIMAL(38,2)) AS total_revenue FROM fct_revenue WHERE {PERIOD} GROUP BY route_id),
+def g2(period: tuple) -> str:
+    return (
+        _pun(period)
+        + _top(1, period)
+        + f"""
+, rev_r AS (SELECT route_id, CAST(sum(total_fare) AS DECIMAL(38,2)) AS total_revenue FROM fct_revenue WHERE {_within(period)} GROUP BY route_id),
 trips_r AS (SELECT route_id, count(trip_id) AS trip_count, CAST(sum(passengers_onboard) AS BIGINT) AS total_passengers
-  FROM fct_trips WHERE {PERIOD} GROUP BY route_id),
+  FROM fct_trips WHERE {_within(period)} GROUP BY route_id),
 j AS (
   SELECT d.route_id, d.route_name, pun.total_delay_cost AS cost, r.total_revenue AS revenue, pun.on_time_rate * 100.0 AS otp_pct,
     pun.passenger_delay_minutes, pun.sla_breach_rate, pun.severe_trip_count, t.trip_count, t.total_passengers,
@@ -109,42 +115,84 @@ j AS (
   LEFT JOIN trips_r t ON d.route_id = t.route_id LEFT JOIN top ON d.route_id = top.route_id),
 k AS (
   SELECT *, {_ratio('cost', 'revenue')} * 100.0 AS ratio_pct,
-    CASE WHEN cost / nullif(revenue, 0) > 0.10 THEN 'CRITICAL' WHEN cost / nullif(revenue, 0) > 0.05 THEN 'HIGH'
-         WHEN cost / nullif(revenue, 0) > 0.02 THEN 'MODERATE' ELSE 'LOW' END AS risk_level
-  FROM j)
-SELECT route_id, route_name, revenue, cost AS delay_cost, ratio_pct AS delay_cost_to_revenue_pct, risk_level, otp_pct,
+    1 + len(list_filter([2, 5, 10], lambda t: revenue > 0 AND 100 * cost > t * revenue)) AS grade
+  FROM j),
+risk AS (
+SELECT route_id, route_name, revenue, cost AS delay_cost, ratio_pct AS delay_cost_to_revenue_pct,
+  ['LOW', 'MODERATE', 'HIGH', 'CRITICAL'][grade] AS risk_level, otp_pct,
   passenger_delay_minutes, sla_breach_rate, coalesce(severe_trip_count, 0) AS severe_trip_count,
   coalesce(trip_count, 0) AS trip_count, CAST(coalesce(total_passengers, 0) AS BIGINT) AS total_passengers,
-  CAST(cost AS DOUBLE) / {float(MONTHS)} * 12.0 AS annualized_delay_cost,
+  CAST(cost AS DOUBLE) / {float(period[2])} * 12.0 AS annualized_delay_cost,
   CASE WHEN otp_pct < 85.0 THEN CAST(revenue AS DOUBLE) * 0.02 * (85.0 - otp_pct) ELSE 0.0 END AS churn_risk_revenue,
   CAST(cost AS DOUBLE) * 0.5 AS savings_if_halved,
   dominant_delay_category,
-  CASE WHEN dominant_delay_category IS NULL THEN NULL
-       WHEN dominant_delay_category IN ('traffic_congestion', 'road_closure') THEN 'route_optimization'
-       WHEN dominant_delay_category = 'weather_conditions' THEN 'proactive_scheduling'
-       WHEN dominant_delay_category = 'mechanical_issue' THEN 'preventive_maintenance'
-       WHEN dominant_delay_category = 'passenger_boarding' THEN 'process_improvement'
-       WHEN dominant_delay_category = 'operational_handover' THEN 'staff_training'
-       WHEN dominant_delay_category = 'security_check' THEN 'pre_clearance' ELSE 'general_improvement' END AS mitigation_strategy,
-  CAST(row_number() OVER (ORDER BY CASE risk_level WHEN 'CRITICAL' THEN 0 WHEN 'HIGH' THEN 1 WHEN 'MODERATE' THEN 2 ELSE 3 END,
-    ratio_pct DESC NULLS LAST, route_id) AS INTEGER) AS exposure_rank
-FROM k"""
-)
+  CASE WHEN dominant_delay_category IS NOT NULL THEN coalesce(c.mitigation, 'general_improvement') END AS mitigation_strategy,
+  CAST(row_number() OVER (ORDER BY grade DESC, ratio_pct DESC NULLS LAST, route_id) AS INTEGER) AS exposure_rank,
+  coalesce(c.domain IN ('fleet', 'internal_ops'), false) AS own_domain
+FROM k LEFT JOIN category_rule c ON c.category = k.dominant_delay_category)"""
+    )
+
+
+def _ranked(column: str) -> str:
+    return ", ".join(
+        f"max({column}) FILTER (WHERE exposure_rank = {i}) AS top{i}_{name}"
+        for i in (1, 2, 3)
+        for name in ([{"route_name": "route", "mitigation_strategy": "mitigation", "savings_if_halved": "savings"}[column]])
+    )
+
+
+def portfolio(period: tuple) -> str:
+    return g2(period) + f"""
+SELECT CAST(sum(delay_cost) AS DECIMAL(38,2)) AS total_delay_cost, CAST(sum(revenue) AS DECIMAL(38,2)) AS total_revenue,
+  {_ratio('sum(delay_cost)', 'sum(revenue)')} * 100.0 AS portfolio_ratio_pct,
+  count(*) FILTER (WHERE risk_level IN ('HIGH', 'CRITICAL')) AS high_risk_routes, count(*) AS route_count,
+  CAST(sum(delay_cost) AS DOUBLE) / {float(period[2])} * 12.0 AS total_annualized_exposure,
+  {_ranked('route_name')}, {_ranked('mitigation_strategy')}, {_ranked('savings_if_halved')}
+FROM risk"""
+
+
+def actions(period: tuple) -> str:
+    return g2(period) + """
+SELECT route_id, route_name, exposure_rank, risk_level, risk_level = 'CRITICAL' AS act_now, own_domain AS controllable_category,
+  coalesce(revenue > 0 AND 100 * delay_cost > 4 * revenue AND 100 * delay_cost <= 5 * revenue, false) AS watch
+FROM risk"""
+
+
+#: The declared tests, stated here anew: model -> column -> u(nique), n(ot null), or the parent table of a relationship.
+DECLARED = {
+    "stg_routes": {"route_id": ["u", "n"]},
+    "stg_vehicles": {"vehicle_id": ["u", "n"]},
+    "stg_trips": {"trip_id": ["u", "n"], "route_id": ["n"]},
+    "stg_punctuality_trips": {"trip_id": ["u", "n"], "route_id": ["n"]},
+    "stg_bookings": {"booking_id": ["u", "n"], "route_id": ["n"]},
+    "stg_scheduled_trips": {"scheduled_trip_id": ["u", "n"], "trip_id": ["u", "n", "stg_punctuality_trips"]},
+    "stg_delay_incidents": {"incident_id": ["u", "n"], "trip_id": ["n"]},
+    "int_trip_occupancy": {"trip_id": ["u", "n"]},
+    "int_booking_revenue": {"booking_id": ["u", "n"]},
+    "int_trip_punctuality": {"trip_id": ["u", "n"]},
+    "dim_routes": {"route_id": ["u", "n"]},
+    "dim_vehicles": {"vehicle_id": ["u", "n"]},
+    "dim_date": {"date_key": ["u", "n"]},
+    "fct_trips": {"trip_id": ["u", "n"], "route_id": ["n", "dim_routes"], "vehicle_id": ["dim_vehicles"], "date_key": ["n", "dim_date"]},
+    "fct_revenue": {"booking_id": ["u", "n"], "route_id": ["n", "dim_routes"], "date_key": ["n"]},
+    "fct_punctuality": {"trip_id": ["u", "n"], "route_id": ["n", "dim_routes"], "vehicle_id": ["dim_vehicles"], "date_key": ["n", "dim_date"]},
+    "dim_delay_categories": {"delay_category_key": ["u", "n"], "delay_category": ["u", "n"]},
+}
 
 
 def _dq() -> str:
     parts = []
-    for c in DECLARED_CHECKS:
-        head = f"SELECT '{c.model}' AS model, '{c.column}' AS column_name, '{c.test}' AS test, CAST(count(*) AS BIGINT) AS failures"
-        if c.test == "unique":
-            parts.append(f"{head} FROM (SELECT {c.column} FROM {c.model} WHERE {c.column} IS NOT NULL GROUP BY {c.column} HAVING count(*) > 1) u")
-        elif c.test == "not_null":
-            parts.append(f"{head} FROM {c.model} WHERE {c.column} IS NULL")
-        else:
-            parts.append(
-                f"{head} FROM {c.model} ch WHERE ch.{c.column} IS NOT NULL AND NOT EXISTS "
-                f"(SELECT 1 FROM {c.parent} pa WHERE pa.{c.parent_column} = ch.{c.column})"
-            )
+    for model, columns in DECLARED.items():
+        for column, tests in columns.items():
+            for t in tests:
+                found = {
+                    "u": f"SELECT count(*) FROM (SELECT 1 FROM {model} WHERE {column} IS NOT NULL GROUP BY {column} HAVING count(*) > 1)",
+                    "n": f"SELECT count(*) - count({column}) FROM {model}",
+                }.get(t, f"SELECT count(*) FROM {model} WHERE {column} NOT IN (SELECT {column} FROM {t} WHERE {column} IS NOT NULL)")
+                name = {"u": "unique", "n": "not_null"}.get(t, "relationships")
+                parts.append(f"SELECT '{model}' AS model, '{column}' AS column_name, '{name}' AS test, ({found}) AS failures")
+    for model in ("quarantined_incidents", "quarantined_schedules"):
+        parts.append(f"SELECT '{model}', 'unparsed_columns', 'quarantine', (SELECT count(*) FROM {model})")
     return "\n" + "\nUNION ALL\n".join(parts)
 
 
@@ -157,8 +205,19 @@ _FEEDBACK = """
   FROM feedback_src WHERE event_id % 4 <> 3)"""
 
 REPORT_SQL = {
-    "G1_route_report": G1,
-    "G2_revenue_at_risk": G2,
+    "G1_route_report": g1(ALL_YEARS),
+    "G2_revenue_at_risk": g2(ALL_YEARS) + "\nSELECT * EXCLUDE (own_domain) FROM risk",
+    "G2_portfolio": portfolio(ALL_YEARS),
+    "G2_actions": actions(ALL_YEARS),
+    "G4_route_report_last_quarter": g1(LAST_QUARTER),
+    "G4_revenue_at_risk_last_quarter": g2(LAST_QUARTER) + "\nSELECT * EXCLUDE (own_domain) FROM risk",
+    "D1_trips_with_several_incidents": """
+        SELECT trip_id, count(*) AS n_records FROM stg_delay_incidents WHERE trip_id IS NOT NULL GROUP BY trip_id HAVING count(*) > 1""",
+    "D2_trips_without_category": "SELECT trip_id, route_id FROM int_trip_punctuality WHERE main_category IS NULL",
+    "D3_incidents_without_assessment": """
+        SELECT incident_id, trip_id FROM stg_delay_incidents WHERE trip_id NOT IN (SELECT trip_id FROM run)""",
+    "D4_quarantined_incidents": "SELECT * FROM quarantined_incidents",
+    "X1_all_feedback": _FEEDBACK + "\nSELECT * FROM fb",
     "D1_duplicate_booking_ids": """
         SELECT booking_id, count(*) AS n_records FROM stg_bookings WHERE booking_id IS NOT NULL
         GROUP BY booking_id HAVING count(*) > 1""",

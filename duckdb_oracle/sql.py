@@ -14,12 +14,11 @@ LAYER_SQL = {
     "J1_int_trip_occupancy": "SELECT * FROM int_trip_occupancy",
     "J2_int_booking_revenue": "SELECT * FROM int_booking_revenue",
     "A1_incident_rollup": """
-        SELECT a.trip_id, CAST(a.incident_count AS BIGINT) AS incident_count,
-          CAST(a.total_incident_delay_minutes AS BIGINT) AS total_incident_delay_minutes,
-          a.max_single_delay_minutes, CAST(a.total_passenger_delay_minutes AS BIGINT) AS total_passenger_delay_minutes,
-          a.delay_categories, a.delay_domains, a.has_cascading_incident, a.worst_severity,
-          pd.delay_category AS primary_delay_category
-        FROM trip_incidents_agg a LEFT JOIN primary_delay_per_trip pd ON a.trip_id = pd.trip_id AND pd.rn = 1""",
+        SELECT trip_id, n AS incident_count, late_sum::BIGINT AS total_incident_delay_minutes, late_max AS max_single_delay_minutes,
+          people_minutes::BIGINT AS total_passenger_delay_minutes, categories AS delay_categories, domains AS delay_domains,
+          any_cascading::INTEGER AS has_cascading_incident, last_severity AS worst_severity, worst_by_rank AS worst_severity_by_rank,
+          main_category AS primary_delay_category
+        FROM incident_fold""",
     "W5_int_trip_punctuality": """
         SELECT scheduled_trip_id, trip_id, route_id, vehicle_id, route_name, distance_km, vehicle_type, service_type,
           departure_window, is_weekend_service, schedule_density, scheduled_departure_at, scheduled_arrival_at,
@@ -41,16 +40,18 @@ LAYER_SQL = {
         FROM fct_punctuality""",
     "C20_dim_delay_categories": "SELECT * FROM dim_delay_categories",
     "X0_dim_date": """
-        SELECT * FROM dim_date WHERE date_key IN (
-          SELECT date_key FROM fct_trips UNION SELECT date_key FROM fct_revenue
-          UNION SELECT date_key FROM fct_punctuality)""",
+        SELECT d.*, (SELECT count(*) FROM fct_trips f WHERE f.date_key = d.date_key) AS trip_count,
+          (SELECT count(*) FROM fct_revenue f WHERE f.date_key = d.date_key) AS booking_count,
+          (SELECT count(*) FROM fct_punctuality f WHERE f.date_key = d.date_key) AS assessed_trip_count
+        FROM dim_date d""",
+    "S1_seeded_routes": "SELECT * FROM stg_routes",
+    "S3_routes_view": """
+        SELECT route_id, route_name, (SELECT count(*) FROM fct_trips t WHERE t.route_id = r.route_id) AS trip_count FROM dim_routes r""",
     "A5_route_benchmarks": """
-        SELECT route_id, round(p50_departure_delay, 9) AS p50_departure_delay,
-          round(p75_departure_delay, 9) AS p75_departure_delay, round(p90_departure_delay, 9) AS p90_departure_delay,
-          round(p95_departure_delay, 9) AS p95_departure_delay,
-          round(route_avg_departure_delay, 9) AS route_avg_departure_delay,
-          round(route_stddev_departure_delay, 9) AS route_stddev_departure_delay
-        FROM route_benchmarks""",
+        SELECT route_id, round(q[1], 9) AS p50_departure_delay, round(q[2], 9) AS p75_departure_delay,
+          round(q[3], 9) AS p90_departure_delay, round(q[4], 9) AS p95_departure_delay,
+          round(mean, 9) AS route_avg_departure_delay, round(spread, 9) AS route_stddev_departure_delay
+        FROM route_stats""",
 }
 
 

@@ -29,7 +29,7 @@ def __getattr__(name: str):
         "route_report": ("routecast.plans.reports", "route_report"),
         "revenue_at_risk": ("routecast.plans.reports", "revenue_at_risk"),
         "dq_summary": ("routecast.operators.quality", "dq_summary"),
-        "RawInputs": ("routecast.sources.testdata", "RawInputs"),
+        "RawInputs": ("routecast.sources.schemas", "RawInputs"),
     }
     if name in lazy:
         import importlib

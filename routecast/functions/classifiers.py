@@ -74,6 +74,8 @@ CATEGORY_CASCADE_RISK = {
     "security_check": "0.15",
 }
 DEFAULT_CASCADE_RISK = "0.30"
+# Incident severities from least to most severe.
+INCIDENT_SEVERITY_ORDER = ["negligible", "minor", "moderate", "severe", "critical"]
 # Severity tiers of departure delay, in order (C17).
 DELAY_SEVERITY_ORDER = ["on_time", "minor_delay", "moderate_delay", "major_delay", "severe_delay"]
 # Risk levels from most to least severe.
@@ -89,6 +91,8 @@ def _lookup(col: Column, mapping: dict, default) -> Column:
     return expr.otherwise(default)
 
 
+# The band limits in the functions below are fixed values as well: hours, minutes,
+# passengers and shares that the source models state.
 def departure_window(ts: Column | str) -> Column:
     """C2."""
     h = F.hour(_c(ts))
@@ -146,6 +150,11 @@ def computed_severity(delay: Column | str, pax: Column | str) -> Column:
     )
 
 
+def severity_rank(severity: Column | str) -> Column:
+    """Rank of an incident severity; NULL for NULL or an unknown one."""
+    return _lookup(_c(severity), {v: i for i, v in enumerate(INCIDENT_SEVERITY_ORDER)}, None)
+
+
 def delay_domain(category: Column | str) -> Column:
     """C9."""
     return _lookup(_c(category), CATEGORY_DOMAIN, "unknown")
@@ -307,12 +316,18 @@ def season(month: Column | str) -> Column:
 
 
 def risk_level(cost: Column | str, revenue: Column | str) -> Column:
-    """Cost / revenue thresholds; NULL ratio is LOW."""
-    ratio = _c(cost) / F.when(_c(revenue) != 0, _c(revenue))
+    """Cost / revenue thresholds; NULL ratio is LOW.
+
+    Decided by products of exact decimals: a quotient would be cut to its
+    type's scale, and a ratio just above a threshold would fall below it."""
+    share = F.when(_c(revenue) != 0, _c(revenue)).cast("decimal(30,2)")
+    c = _c(cost).cast("decimal(30,2)")
+    # cost / revenue > t for a negative revenue means cost < t * revenue
+    above = lambda t: F.when(share > 0, c > share * dec(t)).otherwise(c < share * dec(t))
     return (
-        F.when(ratio > dec("0.10"), "CRITICAL")
-        .when(ratio > dec("0.05"), "HIGH")
-        .when(ratio > dec("0.02"), "MODERATE")
+        F.when(above("0.10"), "CRITICAL")
+        .when(above("0.05"), "HIGH")
+        .when(above("0.02"), "MODERATE")
         .otherwise("LOW")
     )
 

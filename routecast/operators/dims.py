@@ -1,17 +1,8 @@
-"""Dimensions (P5, A3, C20) and the checked broadcast used for them.
+"""Dimensions (P5, A3, C20).
 
-A dimension is broadcast only after its row count has been checked against
-a bound; above the bound the hint is dropped and Spark plans a shuffled join
-(with AQE able to re-plan at runtime). The check has two steps:
-
-1. Catalyst's size estimate of the optimised plan (no job). A relation
-   estimated above ``MAX_ESTIMATED_BYTES`` is not broadcast, and no count is
-   run for it (a ``limit`` count over a huge relation would funnel up to
-   partitions x limit rows into one task).
-2. Otherwise an exact bounded count, ``limit(max_rows + 1).count()``.
-
-The outcome is memoised per application and logical plan, so it runs once
-per dimension.
+No join here or elsewhere carries a broadcast hint: whether a dimension is
+broadcast is decided by ``spark.sql.autoBroadcastJoinThreshold`` and, from
+real stage sizes, by AQE.
 """
 
 from __future__ import annotations
@@ -21,43 +12,6 @@ from pyspark.sql import functions as F
 
 from routecast.functions import classifiers as C
 
-MAX_BROADCAST_ROWS = 200_000
-MAX_ESTIMATED_BYTES = 512 * 1024 * 1024
-_checked: dict[tuple[str, int, int], bool] = {}
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimised plan (no job runs)."""
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return size if isinstance(size, int) else int(size.toString())
-
-
-def fits(df: DataFrame, max_rows: int = MAX_BROADCAST_ROWS, estimate_first: bool = True) -> bool:
-    """``estimate_first=False`` is for small aggregates (one row per route,
-    say): Catalyst sizes an aggregate like its input, which would veto them
-    at scale, while their exact count is cheap (few rows per partition)."""
-    key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    if key not in _checked:
-        if estimate_first and estimated_bytes(df) > MAX_ESTIMATED_BYTES:
-            _checked[key] = False
-        else:
-            _checked[key] = df.limit(max_rows + 1).count() <= max_rows
-    return _checked[key]
-
-
-def bounded_broadcast(
-    df: DataFrame,
-    max_rows: int = MAX_BROADCAST_ROWS,
-    rows_of: DataFrame | None = None,
-    estimate_first: bool = True,
-) -> DataFrame:
-    """``broadcast(df)`` if it has at most ``max_rows`` rows, else ``df``.
-
-    ``rows_of``: a relation with at least as many rows as ``df`` (the
-    dimension ``df`` projects or filters), so its memoised check is reused
-    instead of a new count per column selection."""
-    return F.broadcast(df) if fits(df if rows_of is None else rows_of, max_rows, estimate_first) else df
-
 
 def dim_routes(stg_routes: DataFrame) -> DataFrame:
     return stg_routes.select(

@@ -17,7 +17,8 @@ _VALUE = T.StructType(
     [
         T.StructField("categories", T.ArrayType(T.StringType())),
         T.StructField("feedback_message", T.StringType()),
-        T.StructField("positive", T.BooleanType()),
+        # as text: the source compares text, and a payload may hold "false" as a string
+        T.StructField("positive", T.StringType()),
     ]
 )
 _ATTRS = T.MapType(T.StringType(), T.StringType())
@@ -29,23 +30,20 @@ def parse_feedback(
     negative_only: bool = False,
     user_key: str = "user.name",
 ) -> DataFrame:
-    """Row-local part of X1 (no ordering): usable on a streaming DataFrame."""
-    parsed = events.select(
-        "timestamp",
-        F.from_json("record", _RECORD).alias("r"),
-        F.from_json("resource_attributes", _ATTRS).alias("a"),
-        F.from_json("value", _VALUE).alias("v"),
+    """X1 without an order: row-local, usable on a streaming DataFrame. The
+    large payloads are parsed only for records of the asked name."""
+    own = events.filter(F.from_json("record", _RECORD)["name"] == record_name)
+    parsed = own.select(
+        "timestamp", F.from_json("resource_attributes", _ATTRS).alias("a"), F.from_json("value", _VALUE).alias("v")
     )
-    out = parsed.filter(F.col("r.name") == record_name).select(
+    out = parsed.select(
         "timestamp",
         F.col("a")[user_key].alias("user_name"),
         F.get(F.col("v.categories"), 0).alias("category"),
         F.col("v.feedback_message").alias("feedback_message"),
-        F.col("v.positive").cast("string").alias("is_positive"),
+        F.col("v.positive").alias("is_positive"),
     )
-    if negative_only:
-        out = out.filter(F.col("is_positive") == "false")
-    return out
+    return out.filter(F.col("is_positive") == "false") if negative_only else out
 
 
 def extract_feedback(
@@ -55,9 +53,11 @@ def extract_feedback(
     user_key: str = "user.name",
     limit: int | None = None,
 ) -> DataFrame:
-    """Timestamp, user, first category, message and positive flag of the
-    feedback records, newest first; optionally negative only / the newest
-    ``limit`` rows (a top-k, planned as TakeOrderedAndProject)."""
+    """X1 newest first: timestamp, user, first category, message and positive
+    flag of the feedback records; optionally negative only / the newest
+    ``limit`` rows (a top-k, planned as TakeOrderedAndProject). Where no order
+    is needed use ``parse_feedback``: an order over all records is a shuffle
+    of all records."""
     out = parse_feedback(events, record_name, negative_only, user_key).orderBy(
         F.col("timestamp").desc_nulls_first(), F.col("user_name").asc_nulls_last(), F.col("feedback_message").asc_nulls_last()
     )
@@ -65,5 +65,5 @@ def extract_feedback(
 
 
 def keyword_feedback(events: DataFrame, pattern: str = "(?i)(wrong|incorrect|mismatch)") -> DataFrame:
-    """Negative feedback whose message matches a keyword pattern."""
-    return extract_feedback(events, negative_only=True).filter(F.col("feedback_message").rlike(pattern))
+    """Negative feedback whose message matches a keyword pattern, in no order."""
+    return parse_feedback(events, negative_only=True).filter(F.col("feedback_message").rlike(pattern))

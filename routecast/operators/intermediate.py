@@ -6,7 +6,7 @@ Shuffle plan of ``int_trip_punctuality`` (at 1000x the test data):
   ``trip_id``; the rollup is a partial + final aggregate, so the three
   inputs are hash-partitioned once on ``trip_id`` and joined without any
   further exchange;
-* routes are a dimension with a checked size and are broadcast;
+* routes are a dimension; Spark broadcasts them when their real size allows;
 * the vehicle windows (W1-W3) and route-day windows (W4-W5) use the
   skew-safe operators in ``operators.windows``.
 """
@@ -20,15 +20,15 @@ from pyspark.sql import functions as F
 
 from routecast.functions import classifiers as C
 from routecast.functions.timecols import minute_diff
-from routecast.operators.dims import bounded_broadcast
-from routecast.operators.windows import adaptive_day_bucket, lookback_window, rank_and_mean_by_group
+from routecast.session import scratch_dir
+from routecast.operators.windows import lookback_window, rank_and_mean_by_group
 
 ROUTE_COLS = ["route_id", "route_name", "origin", "destination"]
 
 
 def int_trip_occupancy(trips: DataFrame, routes: DataFrame) -> DataFrame:
     """Completed trips with route names and occupancy."""
-    r = bounded_broadcast(routes.select(*ROUTE_COLS), rows_of=routes)
+    r = routes.select(*ROUTE_COLS)
     t = trips.filter(F.col("trip_status") == "completed")
     return t.join(r, "route_id", "left").select(
         "trip_id",
@@ -49,7 +49,7 @@ def int_trip_occupancy(trips: DataFrame, routes: DataFrame) -> DataFrame:
 
 def int_booking_revenue(bookings: DataFrame, routes: DataFrame) -> DataFrame:
     """Bookings with route names."""
-    r = bounded_broadcast(routes.select(*ROUTE_COLS), rows_of=routes)
+    r = routes.select(*ROUTE_COLS)
     return bookings.join(r, "route_id", "left").select(
         "booking_id",
         "trip_id",
@@ -101,6 +101,8 @@ def incident_rollup(incidents: DataFrame) -> DataFrame:
         F.max(F.when(F.col("is_cascading"), 1).otherwise(0)).alias("has_cascading_incident"),
         # lexicographic, like the source: 'critical' loses to every other level
         F.max("computed_severity").alias("worst_severity"),
+        # by rank, under a name of its own
+        F.max_by("computed_severity", C.severity_rank("computed_severity")).alias("worst_severity_by_rank"),
         F.min_by("delay_category", worst_first).alias("primary_delay_category"),
     )
 
@@ -113,9 +115,7 @@ def trip_comparison(scheduled: DataFrame, trips: DataFrame, routes: DataFrame) -
         .select("trip_id", "departure_at", "arrival_at", "passengers_onboard")
         .alias("a")
     )
-    r = bounded_broadcast(
-        routes.select("route_id", "route_name", "distance_km", "vehicle_type"), rows_of=routes
-    ).alias("r")
+    r = routes.select("route_id", "route_name", "distance_km", "vehicle_type").alias("r")
     j = s.join(a, F.col("s.trip_id") == F.col("a.trip_id")).join(
         r, F.col("s.route_id") == F.col("r.route_id"), "left"
     )
@@ -160,18 +160,14 @@ def with_incidents(tc: DataFrame, rollup: DataFrame) -> DataFrame:
         "delay_domains",
         (F.coalesce("has_cascading_incident", F.lit(0)) == 1).alias("has_cascading_incident"),
         F.col("worst_severity").alias("incident_worst_severity"),
+        F.col("worst_severity_by_rank").alias("incident_worst_severity_by_rank"),
         "primary_delay_category",
     )
 
 
-VEHICLE_DAY_SPLIT_ROWS = 1_000_000
-
-
-def vehicle_context(df: DataFrame, split_rows: int = VEHICLE_DAY_SPLIT_ROWS) -> DataFrame:
+def vehicle_context(df: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """Rolling 5-trip mean delay, previous delay and turnaround per
-    vehicle, ordered by actual departure (trip_id breaks ties). Work is
-    grouped by (vehicle, day), and a (vehicle, day) with more than
-    ``split_rows`` trips (an unassigned NULL vehicle, say) by time slices."""
+    vehicle, ordered by actual departure (trip_id breaks ties)."""
 
     def cols(spec):
         return {
@@ -182,16 +178,15 @@ def vehicle_context(df: DataFrame, split_rows: int = VEHICLE_DAY_SPLIT_ROWS) ->
             ),
         }
 
-    bucketed = adaptive_day_bucket(df, "vehicle_id", "actual_departure_at", split_rows)
     return lookback_window(
-        bucketed,
+        df,
         key="vehicle_id",
         order=["actual_departure_at", "trip_id"],
-        bucket=F.col("__day_bucket"),
         depth=4,
         carry=["departure_delay_minutes", "actual_arrival_at"],
         columns=cols,
-    ).drop("__day_bucket")
+        stage=stage,
+    )
 
 
 def int_trip_punctuality(
@@ -204,14 +199,16 @@ def int_trip_punctuality(
 ) -> DataFrame:
     """The per-trip punctuality assessment (int_trip_punctuality).
 
-    ``stage`` (optional) materialises the joined trip comparison before the
-    windows: the window operators read it three times (rows, per-bucket
-    tails, route-day histogram), and a written table is cheaper to scan than
-    the join is to recompute; it also cuts the lineage."""
+    ``stage`` writes a table and reads it back. The joined trips are written
+    already dealt by vehicle and departure, which is the one range exchange of
+    W1-W3, and their window result is written for the route-day histogram and
+    its join. Without ``stage`` both are checkpoints, in the same shared
+    folder."""
     rollup = incident_rollup(incidents) if rollup is None else rollup
     wi = with_incidents(trip_comparison(scheduled, trips, routes), rollup)
-    if stage is not None:
-        wi = stage(wi, "int_trip_comparison")
+    if stage is None:
+        scratch_dir(wi.sparkSession)  # names the folder of the checkpoints
+        stage = lambda df, name: df.checkpoint()
     flagged = wi.select(
         "*",
         C.on_time("departure_delay_minutes").alias("is_on_time_departure"),
@@ -221,7 +218,7 @@ def int_trip_punctuality(
         ).otherwise(False).alias("is_on_time"),
         C.delay_severity("departure_delay_minutes").alias("delay_severity"),
     )
-    vc = vehicle_context(flagged)
+    vc = stage(vehicle_context(flagged, lambda df: stage(df, "int_trip_comparison")), "int_vehicle_context")
     rd = rank_and_mean_by_group(
         vc, ["route_id", "trip_date"], "departure_delay_minutes", "delay_rank_on_route_day", "route_day_avg_delay"
     )

@@ -6,7 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from routecast.functions import classifiers as C
-from routecast.operators.dims import bounded_broadcast
+from routecast.sources.calendar import month_key
+
+
+# Every fact has ``month_key`` as its last column: the partition of its files.
+FCT_TRIPS_COLUMNS = [
+    "trip_id", "route_id", "vehicle_id", "date_key", "departure_at", "arrival_at",
+    "vehicle_capacity", "passengers_onboard", "occupancy_rate", "trip_status",
+]
+FCT_REVENUE_COLUMNS = [
+    "booking_id", "trip_id", "route_id", "date_key", "booked_at", "passengers", "fare_per_passenger",
+    "total_fare", "payment_method", "booking_status", "channel",
+]
 
 
 def fct_trips(int_trip_occupancy: DataFrame) -> DataFrame:
@@ -21,6 +32,7 @@ def fct_trips(int_trip_occupancy: DataFrame) -> DataFrame:
         "passengers_onboard",
         "occupancy_rate",
         "trip_status",
+        month_key("trip_date").alias("month_key"),
     )
 
 
@@ -37,6 +49,7 @@ def fct_revenue(int_booking_revenue: DataFrame) -> DataFrame:
         "payment_method",
         "booking_status",
         "channel",
+        month_key("booking_date").alias("month_key"),
     )
 
 
@@ -92,11 +105,11 @@ def fct_punctuality(punctuality: DataFrame, benchmarks: DataFrame | None = None)
     place: identical to joining ``dim_delay_categories`` (a category that
     is present always matches; NULL never does) without another exchange.
 
-    J8: per-route benchmarks are one row per route and are joined back with
-    a checked broadcast.
+    J8: per-route benchmarks are one row per route and are joined back; AQE
+    broadcasts them from their real size.
     """
     bm = route_benchmarks(punctuality) if benchmarks is None else benchmarks
-    bm = bounded_broadcast(bm.withColumnRenamed("route_id", "_bm_route_id"), estimate_first=False)
+    bm = bm.withColumnRenamed("route_id", "_bm_route_id")
     p = punctuality
     cat = F.col("primary_delay_category")
     has_cat = cat.isNotNull()
@@ -155,4 +168,5 @@ def fct_punctuality(punctuality: DataFrame, benchmarks: DataFrame | None = None)
             "departure_delay_minutes", "route_avg_departure_delay", "route_stddev_departure_delay"
         ).alias("delay_z_score"),
         C.delay_cost_eur("departure_delay_minutes", "passengers_onboard").alias("estimated_delay_cost_eur"),
+        month_key("trip_date").alias("month_key"),
     )

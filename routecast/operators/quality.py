@@ -29,14 +29,9 @@ def not_null_failures(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNull())
 
 
-def null_counts(df: DataFrame, columns: list[str]) -> DataFrame:
-    """D2 for several columns of one table in a single pass."""
-    return df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-
-
 def relationship_failures(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """D3: child rows whose non-NULL ``fk`` has no parent (anti-join)."""
-    keys = parent.select(F.col(pk).alias("__pk")).distinct()
+    keys = parent.select(F.col(pk).alias("__pk"))
     return child.filter(F.col(fk).isNotNull()).join(keys, F.col(fk) == F.col("__pk"), "left_anti")
 
 
@@ -44,7 +39,7 @@ def relationship_failures(child: DataFrame, fk: str, parent: DataFrame, pk: str)
 class Check:
     model: str
     column: str
-    test: str  # unique | not_null | relationships
+    test: str  # unique | not_null | relationships | quarantine
     parent: str | None = None
     parent_column: str | None = None
 
@@ -55,7 +50,8 @@ def _u_n(model: str, column: str) -> list[Check]:
 
 # The declared tests (18 unique, 27 not_null, 8 relationships). The binding
 # has two executed-trip relations (operations and punctuality); the trip
-# tests apply to both, and schedules reference the punctuality trips.
+# tests apply to both, and schedules reference the punctuality trips. The two
+# quarantines of staging are counted beside them.
 DECLARED_CHECKS: list[Check] = [
     *_u_n("stg_routes", "route_id"),
     *_u_n("stg_vehicles", "vehicle_id"),
@@ -94,91 +90,57 @@ DECLARED_CHECKS: list[Check] = [
     Check("fct_punctuality", "date_key", "relationships", "dim_date", "date_key"),
     *_u_n("dim_delay_categories", "delay_category_key"),
     *_u_n("dim_delay_categories", "delay_category"),
+    Check("quarantined_incidents", "unparsed_columns", "quarantine"),
+    Check("quarantined_schedules", "unparsed_columns", "quarantine"),
 ]
 
 
-def run_check(tables: dict[str, DataFrame], check: Check) -> DataFrame:
-    """The failing rows/keys of one check."""
-    df = tables[check.model]
-    if check.test == "unique":
-        return unique_failures(df, check.column)
-    if check.test == "not_null":
-        return not_null_failures(df, check.column)
-    return relationship_failures(df, check.column, tables[check.parent], check.parent_column)
-
+def _label(model: str, column: str, test: str) -> list:
+    return [F.lit(model).alias("model"), F.lit(column).alias("column_name"), F.lit(test).alias("test")]
 
-def column_failures(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Unique and not-null failure counts of several columns of one table."""
-    return _fold(_value_counts(_pairs(df, "", columns))).drop("model")
 
-
-def _pairs(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
-    """One ``(model, column, value)`` row per input row and checked column."""
-    arr = F.array(
-        *[
-            F.struct(F.lit(model).alias("model"), F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value"))
-            for c in columns
-        ]
+def _null_failures(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
+    """NULL counts of several columns of one table: one pass, one row before the shuffle."""
+    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
+    pairs = ", ".join(f"'{c}', `{c}`" for c in columns)
+    return counts.select(F.expr(f"stack({len(columns)}, {pairs}) as (column_name, failures)")).select(
+        F.lit(model).alias("model"), "column_name", F.lit("not_null").alias("test"), "failures"
     )
-    return df.select(F.explode(arr).alias("p")).select("p.model", "p.column_name", "p.value")
 
 
-def _value_counts(pairs: DataFrame) -> DataFrame:
-    # partial aggregation before the shuffle: a value repeated on a third of
-    # the rows (NULL, say) is pre-counted map-side
-    return pairs.groupBy("model", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+def _duplicates(df: DataFrame, model: str, column: str) -> DataFrame:
+    """Keys that occur more than once, counted; the column keeps its type."""
+    dup = unique_failures(df.select(column), column)
+    return dup.agg(F.count(F.lit(1)).alias("failures")).select(*_label(model, column, "unique"), "failures")
 
 
-def _fold(counts: DataFrame) -> DataFrame:
-    return counts.groupBy("model", "column_name").agg(
-        F.count_if(F.col("value").isNotNull() & (F.col("n") > 1)).cast("long").alias("unique"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).cast("long").alias("not_null"),
-    )
+def _count(df: DataFrame, model: str, column: str, test: str) -> DataFrame:
+    return df.agg(F.count(F.lit(1)).alias("failures")).select(*_label(model, column, test), "failures")
 
 
 def dq_summary(tables: dict[str, DataFrame], checks: list[Check] = DECLARED_CHECKS) -> DataFrame:
-    """One row per declared test with its number of failures.
-
-    * unique / not-null: every table contributes its (model, column, value)
-      pairs to ONE aggregation (one shuffle for all of them);
-    * relationships: each is an anti-join, and their orphans are counted in
-      ONE aggregation;
-    * the declared tests themselves are a small metadata table left-joined
-      to the counts, so a test over an empty table reports 0, not nothing.
+    """One row per declared test with its number of failures, and one per
+    quarantine with its number of rows.
+
+    NULL counts take one pass per table and shuffle one row per task. Only the
+    columns with a ``unique`` test are shuffled, each in its own type after a
+    partial count, and relationships are anti-joins. Every branch is a global
+    count, so a test over an empty table reports 0.
     """
-    spark = next(iter(tables.values())).sparkSession
-    by_table: dict[str, list[str]] = {}
+    not_null: dict[str, list[str]] = {}
     for c in checks:
-        if c.test in ("unique", "not_null"):
-            by_table.setdefault(c.model, [])
-            if c.column not in by_table[c.model]:
-                by_table[c.model].append(c.column)
-    pairs = None
-    for model, cols in by_table.items():
-        p = _pairs(tables[model], model, cols)
-        pairs = p if pairs is None else pairs.unionByName(p)
-    column_counts = _fold(_value_counts(pairs)).select(
-        "model",
-        "column_name",
-        F.expr("stack(2, 'unique', `unique`, 'not_null', `not_null`) as (test, failures)"),
-    )
-    orphans = None
+        if c.test == "not_null":
+            not_null.setdefault(c.model, []).append(c.column)
+    parts = [_null_failures(tables[m], m, list(dict.fromkeys(cols))) for m, cols in not_null.items()]
     for c in checks:
-        if c.test != "relationships":
-            continue
-        o = relationship_failures(tables[c.model], c.column, tables[c.parent], c.parent_column).select(
-            F.lit(c.model).alias("model"), F.lit(c.column).alias("column_name")
-        )
-        orphans = o if orphans is None else orphans.unionByName(o)
-    counts = column_counts
-    if orphans is not None:
-        rel = orphans.groupBy("model", "column_name").agg(F.count(F.lit(1)).alias("failures")).select(
-            "model", "column_name", F.lit("relationships").alias("test"), F.col("failures").cast("long")
-        )
-        counts = counts.unionByName(rel)
-    declared = spark.createDataFrame(
-        [(c.model, c.column, c.test) for c in checks], "model string, column_name string, test string"
-    )
-    return declared.join(counts, ["model", "column_name", "test"], "left").select(
-        "model", "column_name", "test", F.coalesce("failures", F.lit(0)).cast("long").alias("failures")
-    )
+        if c.test == "unique":
+            parts.append(_duplicates(tables[c.model], c.model, c.column))
+        elif c.test == "relationships":
+            orphans = relationship_failures(tables[c.model], c.column, tables[c.parent], c.parent_column)
+            parts.append(_count(orphans, c.model, c.column, "relationships"))
+        elif c.test == "quarantine":
+            parts.append(_count(tables[c.model], c.model, c.column, "quarantine"))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("model", "column_name", "test", F.col("failures").cast("long").alias("failures"))

@@ -7,7 +7,7 @@ pruning through it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from routecast.functions import classifiers as C
@@ -57,9 +57,9 @@ def stg_bookings(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_scheduled_trips(raw: DataFrame) -> DataFrame:
-    """P7/P8 + C1-C6: schedule metadata and the validity flag."""
-    casted = raw.select(
+def _typed_schedules(raw: DataFrame) -> DataFrame:
+    """P7/P8, with the names of columns whose text does not parse in ``_unparsed``."""
+    typed = raw.select(
         "scheduled_trip_id",
         "trip_id",
         "route_id",
@@ -68,9 +68,23 @@ def stg_scheduled_trips(raw: DataFrame) -> DataFrame:
         ntz("scheduled_arrival_at").alias("scheduled_arrival_at"),
         F.lower(F.trim("service_type")).alias("service_type"),
         "schedule_version",
+        C.schedule_year("schedule_version").alias("schedule_year"),
     )
+    return typed.withColumn("_unparsed", _unparsed({"schedule_version": ("schedule_version", "schedule_year")}))
+
+
+def _unparsed(casts: dict[str, tuple[str, str]]) -> Column:
+    """Names of the columns that have a text but no typed value, comma-joined."""
+    return F.concat_ws(
+        ",", *[F.when(F.col(text).isNotNull() & F.col(typed).isNull(), F.lit(name)) for name, (text, typed) in casts.items()]
+    )
+
+
+def stg_scheduled_trips(raw: DataFrame) -> DataFrame:
+    """P7/P8 + C1-C6: schedule metadata and the validity flag."""
+    typed = _typed_schedules(raw).filter("_unparsed = ''")
     dep = F.col("scheduled_departure_at")
-    enriched = casted.withColumn(
+    enriched = typed.withColumn(
         "scheduled_duration_minutes", minute_diff(dep, "scheduled_arrival_at")
     ).select(
         "*",
@@ -78,7 +92,6 @@ def stg_scheduled_trips(raw: DataFrame) -> DataFrame:
         C.is_weekend(dep).alias("is_weekend_service"),
         C.schedule_density(dep).alias("schedule_density"),
         C.schedule_quarter("schedule_version").alias("schedule_quarter"),
-        C.schedule_year("schedule_version").alias("schedule_year"),
         C.invalid_schedule("scheduled_duration_minutes", dep, "scheduled_arrival_at").alias("_is_invalid_schedule"),
     )
     return enriched.select(
@@ -89,23 +102,53 @@ def stg_scheduled_trips(raw: DataFrame) -> DataFrame:
     )
 
 
-def stg_delay_incidents(raw: DataFrame) -> DataFrame:
-    """P7/P8 + C1, C7-C13. Dirty text is cast with ``try_cast`` (NULL, not
-    a failed job)."""
-    casted = raw.select(
+def quarantined_schedules(raw: DataFrame) -> DataFrame:
+    """Schedules that staging does not take, and why."""
+    bad = _typed_schedules(raw).filter("_unparsed <> ''")
+    return bad.select("scheduled_trip_id", "trip_id", "schedule_version", F.col("_unparsed").alias("unparsed_columns"))
+
+
+def _typed_incidents(raw: DataFrame) -> DataFrame:
+    """P7/P8, with the names of columns whose text does not parse in ``_unparsed``.
+
+    Whole numbers go through an exact decimal and round half away from zero,
+    as the source's integer cast does ("12.5" is 13)."""
+    def whole(text: str) -> Column:
+        return F.round(F.col(text).try_cast("decimal(28,8)"), 0).try_cast("int")
+
+    typed = raw.select(
         "incident_id",
         "trip_id",
         "route_id",
         F.lower(F.trim("delay_category")).alias("delay_category"),
-        F.col("delay_minutes").try_cast("int").alias("delay_minutes"),
+        whole("delay_minutes").alias("delay_minutes"),
         F.lower(F.trim("impact_level")).alias("impact_level"),
         ntz("reported_at").alias("reported_at"),
         ntz("resolved_at").alias("resolved_at"),
         F.col("is_cascading").try_cast("boolean").alias("is_cascading"),
-        F.col("affected_passengers").try_cast("int").alias("affected_passengers"),
+        whole("affected_passengers").alias("affected_passengers"),
+        F.col("delay_minutes").alias("_delay_text"),
+        F.col("is_cascading").alias("_cascading_text"),
+        F.col("affected_passengers").alias("_passengers_text"),
     )
+    return typed.withColumn(
+        "_unparsed",
+        _unparsed(
+            {
+                "delay_minutes": ("_delay_text", "delay_minutes"),
+                "is_cascading": ("_cascading_text", "is_cascading"),
+                "affected_passengers": ("_passengers_text", "affected_passengers"),
+            }
+        ),
+    )
+
+
+def stg_delay_incidents(raw: DataFrame) -> DataFrame:
+    """P7/P8 + C1, C7-C13. Text that does not parse neither fails the job nor
+    becomes NULL: its row is in ``quarantined_incidents`` and not here."""
+    typed = _typed_incidents(raw).filter("_unparsed = ''")
     # the boundary-minute difference is computed once and reused
-    with_res = casted.withColumn("resolution_minutes", minute_diff("reported_at", "resolved_at"))
+    with_res = typed.withColumn("resolution_minutes", minute_diff("reported_at", "resolved_at"))
     enriched = with_res.select(
         "*",
         C.computed_severity("delay_minutes", "affected_passengers").alias("computed_severity"),
@@ -122,3 +165,16 @@ def stg_delay_incidents(raw: DataFrame) -> DataFrame:
         "resolution_minutes", "resolution_category", "incident_time_band", "is_cascading",
         "affected_passengers", "_is_rapid_resolution_anomaly", "_is_invalid_record",
     )
+
+
+def quarantined_incidents(raw: DataFrame) -> DataFrame:
+    """Incidents that staging does not take, with their texts, and why."""
+    bad = _typed_incidents(raw).filter("_unparsed <> ''")
+    return bad.select(
+        "incident_id",
+        "trip_id",
+        F.col("_delay_text").alias("delay_minutes"),
+        F.col("_cascading_text").alias("is_cascading"),
+        F.col("_passengers_text").alias("affected_passengers"),
+        F.col("_unparsed").alias("unparsed_columns"),
+    )

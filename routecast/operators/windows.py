@@ -7,14 +7,11 @@ bounded while giving exactly the same answers:
 
 ``lookback_window``
     Row frames that only look a fixed number of rows back (``lag``, rolling
-    ``rowsBetween(-k, 0)``). Rows are grouped by ``(key, bucket)`` where the
-    bucket is a coarse, order-preserving function of the ordering column
-    (the trip date, cut finer for a hot (key, day), ``adaptive_day_bucket``).
-    Each group receives a *halo*: the last ``depth`` rows
-    of the same key before the bucket, found from per-bucket tails (at most
-    ``depth`` rows per bucket, cut map-side by Spark's WindowGroupLimit).
-    The frame is then evaluated over ``(key, bucket)`` groups and halo rows
-    are dropped.
+    ``rowsBetween(-k, 0)``). Rows are dealt by ranges of (key, order), so a
+    hot key, a burst of rows and rows that share one timestamp or a NULL are
+    all cut into ranges of about equal size. Each range then gets a *halo*:
+    the last ``depth`` rows before it. The frames are evaluated inside the
+    ranges, and the halo rows are dropped.
 
 ``rank_and_mean_by_group``
     ``rank() over (partition by g order by x desc)`` and ``avg(x) over
@@ -31,9 +28,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
-
 _HALO = "__halo"
-_BUCKET = "__bucket"
+_RANGE = "__range"
 
 
 def _asc(cols: Sequence[str]) -> list[Column]:
@@ -45,99 +41,63 @@ def _desc(cols: Sequence[str]) -> list[Column]:
     return [F.col(c).desc_nulls_first() for c in cols]
 
 
+def ranged(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+    """``df`` dealt by ranges of (key, order), with the number of its range.
+
+    The result has to be materialised before it is read more than once: two
+    runs of a range exchange may cut the ranges at other places."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartitionByRange(n, *_asc([key, *order])).withColumn(_RANGE, F.spark_partition_id())
+
+
 def lookback_window(
     df: DataFrame,
     key: str,
     order: Sequence[str],
-    bucket: Column,
     depth: int,
     carry: Sequence[str],
     columns: Callable[[WindowSpec], dict[str, Column]],
+    stage: Callable[[DataFrame], DataFrame],
 ) -> DataFrame:
     """Add window columns whose frames reach at most ``depth`` rows back.
 
     ``order`` must make rows unique within a key (add a tie-break column);
-    ``bucket`` must be non-decreasing in ``order`` (NULLs last);
     ``carry`` lists the columns the window expressions read.
-    ``columns(spec)`` returns the new columns, built over ``spec`` (the
-    ``(key, bucket)`` partitioning ordered by ``order``).
+    ``columns(spec)`` returns the new columns, built over ``spec``.
+    ``stage`` materialises the ranged rows in shared storage (a written table
+    or ``checkpoint``).
+
+    Two exchanges carry the rows: one by range, one by (range, key). The
+    halos come from at most ``depth`` rows of each range.
     """
     payload = list(dict.fromkeys([key, *order, *carry]))
-    base = df.withColumn(_BUCKET, bucket)
-
-    # 1. last `depth` rows of every (key, bucket): a top-k per group that
-    #    Spark cuts before the shuffle (WindowGroupLimit).
-    w_tail = Window.partitionBy(key, _BUCKET).orderBy(*_desc(order))
-    tails = (
-        base.select(*payload, _BUCKET)
-        .withColumn("__rn", F.row_number().over(w_tail))
-        .filter(F.col("__rn") <= depth)
-        .drop("__rn")
-    )
+    base = stage(ranged(df, key, order))
+
+    # 1. the last `depth` rows of every range, cut before their exchange
+    #    (WindowGroupLimit)
+    last = Window.partitionBy(_RANGE).orderBy(*_desc([key, *order]))
+    tails = base.select(*payload, _RANGE).withColumn("__rn", F.row_number().over(last)).filter(F.col("__rn") <= depth).drop("__rn")
 
-    # 2. over the tails of one key (<= depth rows per bucket), the rows that
-    #    precede the earliest tail row of a bucket are exactly the last
-    #    `depth` rows of the key before that bucket.
-    w_key = Window.partitionBy(key).orderBy(*_asc([_BUCKET]), *_asc(order))
+    # 2. over these (ranges x depth rows: bounded by the shuffle partitions,
+    #    so a single task may sort them), the rows that precede the first of
+    #    a range are the last rows before that range
+    along = Window.orderBy(F.col(_RANGE), *_asc([key, *order]))
     row = F.struct(*[F.col(c) for c in payload])
-    lags = F.array(*[F.lag(row, i).over(w_key) for i in range(1, depth + 1)])
-    first_in_bucket = ~F.lag(F.col(_BUCKET), 1).over(w_key).eqNullSafe(F.col(_BUCKET)) | F.lag(
-        F.lit(1), 1
-    ).over(w_key).isNull()
+    lags = F.array(*[F.lag(row, i).over(along) for i in range(1, depth + 1)])
+    before = F.lag(F.col(_RANGE), 1).over(along)
     halo = (
-        tails.select(key, _BUCKET, first_in_bucket.alias("__first"), lags.alias("__lags"))
+        tails.select(_RANGE, (before.isNull() | (before != F.col(_RANGE))).alias("__first"), lags.alias("__lags"))
         .filter("__first")
-        .select(_BUCKET, F.explode("__lags").alias("__r"))
+        .select(_RANGE, F.explode("__lags").alias("__r"))
         .filter(F.col("__r").isNotNull())
-        .select(_BUCKET, *[F.col("__r")[c].alias(c) for c in payload])
+        .select(_RANGE, *[F.col("__r")[c].alias(c) for c in payload])
     )
 
-    # 3. evaluate the frames per (key, bucket) over bucket rows + halo rows
-    main = base.withColumn(_HALO, F.lit(False))
-    halo_rows = halo.withColumn(_HALO, F.lit(True))
-    unioned = main.unionByName(halo_rows, allowMissingColumns=True)
-    spec = Window.partitionBy(key, _BUCKET).orderBy(*_asc(order))
+    # 3. evaluate the frames per (range, key) over the range's rows + its halo
+    unioned = base.withColumn(_HALO, F.lit(False)).unionByName(halo.withColumn(_HALO, F.lit(True)), allowMissingColumns=True)
+    spec = Window.partitionBy(_RANGE, key).orderBy(*_asc(order))
     out = unioned.select("*", *[c.alias(n) for n, c in columns(spec).items()])
-    return out.filter(~F.col(_HALO)).drop(_HALO, _BUCKET)
-
-
-_DAY_S = 86_400
-_MAX_SLICES = 100_000
-
-
-def adaptive_day_bucket(df: DataFrame, key: str, ts: str, split_rows: int, name: str = "__day_bucket") -> DataFrame:
-    """Add ``name``: a bucket that is non-decreasing in ``ts`` (NULL last),
-    normally the day; a (key, day) group holding more than ``split_rows``
-    rows is cut into equal time slices of that day sized to ~``split_rows``
-    rows each.
-
-    The hot-group list comes from a partial-aggregated count and has at most
-    ``rows / split_rows`` entries; it is broadcast after an exact size check,
-    so the bucket costs no shuffle of the detail rows."""
-    from routecast.operators.dims import bounded_broadcast
-
-    # whole seconds since 1970 (truncated): monotone in ts, which is all a
-    # bucket needs, and far cheaper than exact microseconds
-    secs = F.unix_timestamp(F.col(ts).cast("timestamp_ntz"))
-    day = F.floor(secs / F.lit(_DAY_S))
-    with_day = df.withColumn("__day", day)
-    hot = (
-        with_day.groupBy(key, "__day")
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") > split_rows)
-        .select(
-            F.col(key).alias("__hk"),
-            F.col("__day").alias("__hd"),
-            F.least(F.ceil(F.col("__n") / F.lit(split_rows)), F.lit(_MAX_SLICES)).cast("long").alias("__slices"),
-        )
-    )
-    j = with_day.join(
-        bounded_broadcast(hot, estimate_first=False),
-        F.col(key).eqNullSafe(F.col("__hk")) & (F.col("__day") == F.col("__hd")),
-        "left",
-    )
-    sub = F.coalesce(F.floor(F.pmod(secs, F.lit(_DAY_S)) * F.col("__slices") / F.lit(_DAY_S)), F.lit(0))
-    return j.withColumn(name, F.col("__day") * F.lit(_MAX_SLICES) + sub).drop("__day", "__hk", "__hd", "__slices")
+    return out.filter(~F.col(_HALO)).drop(_HALO, _RANGE)
 
 
 def rank_and_mean_by_group(

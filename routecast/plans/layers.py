@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from routecast.operators.intermediate import INT_PUNCTUALITY_COLUMNS
-from routecast.operators.marts import FCT_PUNCTUALITY_COLUMNS
+from routecast.operators.marts import FCT_PUNCTUALITY_COLUMNS, FCT_REVENUE_COLUMNS, FCT_TRIPS_COLUMNS
 from routecast.plans.warehouse import Warehouse
+from routecast.session import scratch_dir
+from routecast.sources.schemas import RAW_ROUTES
+from routecast.sources.seeds import load_seed
+from routecast.sources.sinks import register_views
 
 
 def rollup_with_primary(wh: Warehouse) -> DataFrame:
@@ -22,15 +28,38 @@ def fct_punctuality(wh: Warehouse) -> DataFrame:
     return wh.fct_punctuality.select(*FCT_PUNCTUALITY_COLUMNS)
 
 
-def dim_date_in_use(wh: Warehouse) -> DataFrame:
-    """X0 over the days that some fact references (semi join on date_key)."""
-    used = (
-        wh.fct_trips.select("date_key")
-        .unionByName(wh.fct_revenue.select("date_key"))
-        .unionByName(wh.fct_punctuality.select("date_key"))
-        .distinct()
+def fct_trips(wh: Warehouse) -> DataFrame:
+    return wh.fct_trips.select(*FCT_TRIPS_COLUMNS)
+
+
+def fct_revenue(wh: Warehouse) -> DataFrame:
+    return wh.fct_revenue.select(*FCT_REVENUE_COLUMNS)
+
+
+def dim_date_with_use(wh: Warehouse) -> DataFrame:
+    """Every day of the spine, with the rows each fact has on it."""
+    out = wh.dim_date
+    for fact, name in ((wh.fct_trips, "trip_count"), (wh.fct_revenue, "booking_count"), (wh.fct_punctuality, "assessed_trip_count")):
+        per_day = fact.groupBy("date_key").agg(F.count(F.lit(1)).alias(name))
+        out = out.join(per_day, "date_key", "left").withColumn(name, F.coalesce(name, F.lit(0)).cast("long"))
+    return out
+
+
+def routes_view(wh: Warehouse) -> DataFrame:
+    """S3: staging and marts as views, read back by SQL."""
+    register_views({"v_dim_routes": wh.dim_routes, "v_fct_trips": wh.fct_trips})
+    return wh.fct_trips.sparkSession.sql(
+        "SELECT r.route_id, r.route_name, count(t.trip_id) AS trip_count "
+        "FROM v_dim_routes r LEFT JOIN v_fct_trips t ON t.route_id = r.route_id GROUP BY r.route_id, r.route_name"
     )
-    return wh.dim_date.join(used, "date_key", "left_semi")
+
+
+def seeded_routes(wh: Warehouse) -> DataFrame:
+    """The routes through a CSV file with a header, as a seed is loaded."""
+    spark = wh.dim_routes.sparkSession
+    path = f"{scratch_dir(spark)}/seed-{uuid.uuid4().hex}"
+    wh.stg_routes.write.option("header", True).csv(path)
+    return load_seed(spark, path, RAW_ROUTES)
 
 
 def route_benchmarks_rounded(wh: Warehouse) -> DataFrame:

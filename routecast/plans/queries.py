@@ -3,14 +3,14 @@ questions (V1-V10) and the dashboard queries (B1-B8).
 
 Scale notes that apply throughout:
 
-* calendar filters are turned into a ``date_key`` range on the fact
-  (``date_range``) so the parquet scan skips row groups, and the filtered
-  ``dim_date`` is broadcast (its size is known from its parameters);
-* facts are aggregated to (foreign key, ...) *before* joining to a
-  dimension whose size is not bounded (vehicles), so the join input has one
-  row per key, not per trip;
-* dimension members that are only displayed (route name) are joined after
-  aggregation.
+* calendar filters are turned into a month and ``date_key`` range on the fact
+  (``in_range``), so the scan opens only those months' directories and skips
+  row groups inside them;
+* Q4, Q5, V3, V9, B3, B4 and everything through the semantic API aggregate the
+  fact to its foreign keys *before* joining a dimension; Q1-Q3, Q6-Q8 and B6
+  join the routes or dates first, since they filter or group by them;
+* results are ordered only where a consumer shows them in an order, and every
+  order ends in a key that makes it unique.
 """
 
 from __future__ import annotations
@@ -23,9 +23,9 @@ from pyspark.sql import functions as F
 
 from routecast.functions import classifiers as C
 from routecast.functions.mathcols import avg_exact, rate
-from routecast.operators.dims import bounded_broadcast
-from routecast.plans.semantic import OPERATIONS, PUNCTUALITY, semantic_query
+from routecast.plans.semantic import OPERATIONS, PUNCTUALITY, Between, semantic_query
 from routecast.plans.warehouse import Warehouse
+from routecast.sources.calendar import in_period, last_full_quarter
 
 
 @dataclass(frozen=True)
@@ -69,25 +69,24 @@ def date_range(year: int, quarter: int | None = None, months: tuple[int, int] |
     return dt.date(year, 1, 1), dt.date(year + 1, 1, 1)
 
 
-def in_range(col: str, rng: tuple[dt.date, dt.date]) -> Column:
-    return (F.col(col) >= F.lit(rng[0])) & (F.col(col) < F.lit(rng[1]))
+def in_range(rng: tuple[dt.date, dt.date]) -> Column:
+    return in_period(*rng)
 
 
 def dates(wh: Warehouse, cond: Column | None = None, cols: tuple[str, ...] = ()) -> DataFrame:
-    """Filtered date dimension, broadcast: its row count is bounded by the
-    spine parameters (days between start and end), not by the data."""
+    """The filtered date dimension."""
     d = wh.dim_date if cond is None else wh.dim_date.filter(cond)
-    return F.broadcast(d.select("date_key", *cols))
+    return d.select("date_key", *cols)
 
 
 def routes(wh: Warehouse, cols: tuple[str, ...] = ("route_name",)) -> DataFrame:
-    return bounded_broadcast(wh.dim_routes.select("route_id", *cols), rows_of=wh.dim_routes)
+    return wh.dim_routes.select("route_id", *cols)
 
 
 # --- Q1-Q8 (verified operations questions) -----------------------------------
 def q1_season_occupancy(wh: Warehouse, p: Params = P) -> DataFrame:
     """Avg occupancy for one route in a season of a year."""
-    t = wh.fct_trips.filter(in_range("date_key", date_range(p.year)))
+    t = wh.fct_trips.filter(in_range(date_range(p.year)))
     d = dates(wh, (F.col("season") == p.season) & (F.col("year") == p.year), ("season",))
     r = routes(wh).filter(F.col("route_name") == p.route_name)
     j = t.join(r, "route_id").join(d, "date_key")
@@ -99,13 +98,13 @@ def q1_season_occupancy(wh: Warehouse, p: Params = P) -> DataFrame:
 
 def q2_revenue_by_route_quarter(wh: Warehouse, p: Params = P) -> DataFrame:
     rng = date_range(p.year, p.quarter)
-    rev = wh.fct_revenue.filter(in_range("date_key", rng))
+    rev = wh.fct_revenue.filter(in_range(rng))
     d = dates(wh, (F.col("quarter") == p.quarter) & (F.col("year") == p.year), ("year_quarter",))
     j = rev.join(routes(wh), "route_id").join(d, "date_key")
     return j.groupBy("route_name", "year_quarter").agg(
         money(F.sum("total_fare")).alias("total_revenue"),
         F.count("booking_id").alias("booking_count"),
-    ).orderBy(F.col("total_revenue").desc_nulls_first())
+    ).orderBy(F.col("total_revenue").desc_nulls_first(), "route_name", "year_quarter")
 
 
 def _growth(q1: Column, q2: Column) -> Column:
@@ -123,12 +122,12 @@ def q3_quarter_growth(wh: Warehouse, p: Params = P) -> DataFrame:
     d = dates(wh, (F.col("year") == p.year) & F.col("quarter").isin(1, 2), ("quarter",))
     r = routes(wh)
     qrev = (
-        wh.fct_revenue.filter(in_range("date_key", rng)).join(r, "route_id").join(d, "date_key")
+        wh.fct_revenue.filter(in_range(rng)).join(r, "route_id").join(d, "date_key")
         .groupBy("route_name").pivot("quarter", [1, 2]).agg(F.sum("total_fare"))
         .select("route_name", F.col("1").alias("q1_revenue"), F.col("2").alias("q2_revenue"))
     )
     qocc = (
-        wh.fct_trips.filter(in_range("date_key", rng)).join(r, "route_id").join(d, "date_key")
+        wh.fct_trips.filter(in_range(rng)).join(r, "route_id").join(d, "date_key")
         .groupBy("route_name").pivot("quarter", [1, 2])
         .agg(F.sum("occupancy_rate").alias("s"), F.count("occupancy_rate").alias("n"))
         .select(
@@ -146,7 +145,7 @@ def q3_quarter_growth(wh: Warehouse, p: Params = P) -> DataFrame:
         pct1_of_avg(F.col("q1_occ_sum"), F.col("q1_occ_n")).alias("q1_occupancy_pct"),
         pct1_of_avg(F.col("q2_occ_sum"), F.col("q2_occ_n")).alias("q2_occupancy_pct"),
         _growth(_avg_of(1), _avg_of(2)).alias("occupancy_growth_pct"),
-    ).orderBy(F.col("revenue_growth_pct").desc_nulls_first())
+    ).orderBy(F.col("revenue_growth_pct").desc_nulls_first(), "route_name")
 
 
 def q4_occupancy_by_vehicle_type(wh: Warehouse, p: Params = P) -> DataFrame:
@@ -155,14 +154,14 @@ def q4_occupancy_by_vehicle_type(wh: Warehouse, p: Params = P) -> DataFrame:
     per_vehicle = wh.fct_trips.groupBy("vehicle_id").agg(
         F.sum("occupancy_rate").alias("s"), F.count("occupancy_rate").alias("n"), F.count("trip_id").alias("t")
     )
-    v = bounded_broadcast(wh.dim_vehicles.select("vehicle_id", "vehicle_type"), rows_of=wh.dim_vehicles)
+    v = wh.dim_vehicles.select("vehicle_id", "vehicle_type")
     j = per_vehicle.join(v, "vehicle_id")
     agg = j.groupBy("vehicle_type").agg(F.sum("s").alias("s"), F.sum("n").alias("n"), F.sum("t").alias("trip_count"))
     return agg.select(
         "vehicle_type",
         pct1_of_avg(F.col("s"), F.col("n")).alias("avg_occupancy_pct"),
         "trip_count",
-    ).orderBy(F.col("avg_occupancy_pct").desc_nulls_first())
+    ).orderBy(F.col("avg_occupancy_pct").desc_nulls_first(), "vehicle_type")
 
 
 def q5_revenue_per_passenger(wh: Warehouse, p: Params = P) -> DataFrame:
@@ -175,7 +174,7 @@ def q5_revenue_per_passenger(wh: Warehouse, p: Params = P) -> DataFrame:
         F.round(F.col("f") / F.when(F.col("pax") != 0, F.col("pax")), 2).cast("double").alias("revenue_per_passenger"),
         F.col("pax").cast("long").alias("total_passengers"),
         money(F.col("f")).alias("total_revenue"),
-    ).orderBy(F.col("revenue_per_passenger").desc_nulls_first())
+    ).orderBy(F.col("revenue_per_passenger").desc_nulls_first(), "route_name")
 
 
 def q6_underperforming_routes(wh: Warehouse, p: Params = P) -> DataFrame:
@@ -194,7 +193,7 @@ def q6_underperforming_routes(wh: Warehouse, p: Params = P) -> DataFrame:
         pct1_of_avg(F.col("occ_s"), F.col("occ_n")).alias("avg_occupancy_pct"),
         F.round("cap", 0).alias("avg_capacity"),
         "trip_count",
-    ).orderBy(F.col("avg_occupancy_pct").asc_nulls_last())
+    ).orderBy(F.col("avg_occupancy_pct").asc_nulls_last(), "route_name", "vehicle_type")
 
 
 def q7_route_comparison(wh: Warehouse, p: Params = P) -> DataFrame:
@@ -202,16 +201,16 @@ def q7_route_comparison(wh: Warehouse, p: Params = P) -> DataFrame:
     rng = date_range(p.year, p.quarter)
     r = routes(wh).filter(F.col("route_name").isin(list(p.compare_routes)))
     d = dates(wh, (F.col("quarter") == p.quarter) & (F.col("year") == p.year))
-    j = wh.fct_revenue.filter(in_range("date_key", rng)).join(r, "route_id").join(d, "date_key")
+    j = wh.fct_revenue.filter(in_range(rng)).join(r, "route_id").join(d, "date_key")
     return j.groupBy("route_name").agg(
         money(F.sum("total_fare")).alias("q2_revenue"),
         F.count("booking_id").alias("q2_bookings"),
         F.sum("passengers").cast("long").alias("q2_passengers"),
-    ).orderBy(F.col("q2_revenue").desc_nulls_first())
+    ).orderBy(F.col("q2_revenue").desc_nulls_first(), "route_name")
 
 
 def q8_occupancy_by_route_month(wh: Warehouse, p: Params = P) -> DataFrame:
-    t = wh.fct_trips.filter(in_range("date_key", date_range(p.year)))
+    t = wh.fct_trips.filter(in_range(date_range(p.year)))
     d = dates(wh, F.col("year") == p.year, ("month_name", "month"))
     j = t.join(routes(wh), "route_id").join(d, "date_key")
     return j.groupBy("route_name", "month_name", "month").agg(
@@ -228,7 +227,7 @@ def v1_otp_by_route(wh: Warehouse) -> DataFrame:
 def v2_avg_delay_by_route(wh: Warehouse) -> DataFrame:
     return semantic_query(
         PUNCTUALITY, wh, ["route_name"], ["avg_departure_delay"],
-        order_by=[F.col("avg_departure_delay").desc_nulls_first()],
+        order_by=[F.col("avg_departure_delay").desc_nulls_first(), "route_name"],
     )
 
 
@@ -239,7 +238,7 @@ def v3_common_delay_categories(wh: Warehouse) -> DataFrame:
         .groupBy("delay_category_key")
         .agg(F.count(F.lit(1)).alias("trip_count"))
     )
-    dim = bounded_broadcast(wh.dim_delay_categories.select("delay_category_key", "delay_category", "delay_domain"))
+    dim = wh.dim_delay_categories.select("delay_category_key", "delay_category", "delay_domain")
     return per_key.join(dim, "delay_category_key").select(
         "delay_category", "delay_domain", "trip_count"
     ).orderBy(F.col("trip_count").desc_nulls_first(), "delay_category")
@@ -265,7 +264,7 @@ def v7_weekend_vs_weekday(wh: Warehouse) -> DataFrame:
 
 def v8_cascading_by_route(wh: Warehouse) -> DataFrame:
     return semantic_query(
-        PUNCTUALITY, wh, ["route_name"], ["cascade_rate"], order_by=[F.col("cascade_rate").desc_nulls_first()]
+        PUNCTUALITY, wh, ["route_name"], ["cascade_rate"], order_by=[F.col("cascade_rate").desc_nulls_first(), "route_name"]
     )
 
 
@@ -301,7 +300,7 @@ def b2_severity_distribution(wh: Warehouse, route_ids: list[str] | None = None,
         f.filter(F.col("delay_severity").isin(sev))
         .groupBy("delay_severity")
         .agg(F.count(F.lit(1)).alias("trip_count"))
-        .orderBy(F.col("trip_count").desc_nulls_first())
+        .orderBy(F.col("trip_count").desc_nulls_first(), "delay_severity")
     )
 
 
@@ -332,9 +331,7 @@ def b4_category_breakdown(wh: Warehouse, route_id: str = P.drill_route_id) -> Da
         .groupBy("delay_category_key")
         .agg(F.count(F.lit(1)).alias("n"), F.sum("departure_delay_minutes").alias("s"), F.count("departure_delay_minutes").alias("c"))
     )
-    dim = bounded_broadcast(
-        wh.dim_delay_categories.select("delay_category_key", "delay_category", "delay_domain", "controllability")
-    )
+    dim = wh.dim_delay_categories.select("delay_category_key", "delay_category", "delay_domain", "controllability")
     j = per_key.join(dim, "delay_category_key")
     agg = j.groupBy("delay_category", "delay_domain", "controllability").agg(
         F.sum("n").alias("incident_trips"), F.sum("s").alias("s"), F.sum("c").alias("c")
@@ -342,7 +339,7 @@ def b4_category_breakdown(wh: Warehouse, route_id: str = P.drill_route_id) -> Da
     return agg.select(
         "delay_category", "delay_domain", "controllability", "incident_trips",
         (F.col("s").cast("double") / F.when(F.col("c") != 0, F.col("c")).cast("double")).alias("avg_delay"),
-    ).orderBy(F.col("incident_trips").desc_nulls_first())
+    ).orderBy(F.col("incident_trips").desc_nulls_first(), "delay_category", "delay_domain")
 
 
 def b5_route_key_metrics(wh: Warehouse, route_id: str = P.drill_route_id) -> DataFrame:
@@ -387,7 +384,7 @@ def b7_occupancy_by_route(wh: Warehouse, route_names: list[str] | None = None) -
     filters = {"route_name": route_names} if route_names else {}
     return semantic_query(
         OPERATIONS, wh, ["route_name"], ["average_occupancy_rate"], filters=filters,
-        order_by=[F.col("average_occupancy_rate").desc_nulls_first()],
+        order_by=[F.col("average_occupancy_rate").desc_nulls_first(), "route_name"],
     )
 
 
@@ -396,7 +393,7 @@ def b7_route_performance(wh: Warehouse, route_names: list[str] | None = None) ->
     return semantic_query(
         OPERATIONS, wh, ["route_name"],
         ["total_revenue", "average_occupancy_rate", "trip_count", "revenue_per_passenger", "booking_count"],
-        filters=filters, order_by=[F.col("total_revenue").desc_nulls_first()],
+        filters=filters, order_by=[F.col("total_revenue").desc_nulls_first(), "route_name"],
     )
 
 
@@ -429,11 +426,52 @@ def m4_route_members(wh: Warehouse) -> DataFrame:
 
 
 def m4_quarter_members(wh: Warehouse) -> DataFrame:
+    """The quarters of the date dimension, of which a dashboard offers a choice."""
+    return semantic_query(OPERATIONS, wh, ["year_quarter"], order_by=["year_quarter"])
+
+
+def m4_quarters_with_revenue(wh: Warehouse) -> DataFrame:
     """Quarters that carry revenue (members of the date dimension reached
     from the revenue fact)."""
     return semantic_query(OPERATIONS, wh, ["year_quarter"], ["booking_count"]).select("year_quarter")
 
 
+def m4_route_quarters(wh: Warehouse) -> DataFrame:
+    """Members of two tables: the (route, quarter) pairs in which something ran or was booked."""
+    return semantic_query(OPERATIONS, wh, ["route_name", "year_quarter"])
+
+
+def m4_minivan_routes(wh: Warehouse) -> DataFrame:
+    """M9: members filtered by a renamed dimension that is not asked for."""
+    return semantic_query(OPERATIONS, wh, ["route_name"], filters={"route_vehicle_type": "minivan"})
+
+
+def m5_range_and_missing(wh: Warehouse) -> DataFrame:
+    """M5 with a range and the missing member: short routes' trips without a delay category."""
+    return semantic_query(
+        PUNCTUALITY, wh, ["route_name"], ["avg_arrival_delay", "severe_delay_rate"],
+        filters={"distance_km": Between(40, 80), "primary_delay_category": None},
+    )
+
+
+def m7_revenue_and_passengers(wh: Warehouse) -> DataFrame:
+    """The two operations metrics that no dashboard shows."""
+    return semantic_query(OPERATIONS, wh, ["route_name", "year"], ["completed_revenue", "total_passengers"])
+
+
+def m8_delay_impact(wh: Warehouse) -> DataFrame:
+    """The three punctuality metrics that no question asks for."""
+    return semantic_query(
+        PUNCTUALITY, wh, ["route_name", "year_quarter"],
+        ["avg_arrival_delay", "total_passenger_delay_impact", "severe_delay_rate"],
+    )
+
+
+def b7_revenue_of_quarters(wh: Warehouse, p: Params = P) -> DataFrame:
+    """B7 with quarters chosen: only those months of the fact are read."""
+    return b7_revenue_by_quarter(wh, [f"{p.year}-Q{p.quarter}", f"{p.year}-Q{p.quarter + 1}"])
+
+
 def b8_revenue_at_risk(wh: Warehouse, route_ids: list[str] | None = None, completed_only: bool = True) -> DataFrame:
     """J12 + C26: route dimension left-joined to two per-route aggregates."""
     pf = _route_filter(wh.fct_punctuality, route_ids)
@@ -460,7 +498,7 @@ def b8_revenue_at_risk(wh: Warehouse, route_ids: list[str] | None = None, comple
         "otp_pct",
         "trip_count",
         C.risk_level("delay_cost", "total_revenue").alias("risk_level"),
-    ).orderBy(F.col("risk_ratio_pct").desc_nulls_first())
+    ).orderBy(F.col("risk_ratio_pct").desc_nulls_first(), "route_name")
 
 
 def b8_portfolio_totals(wh: Warehouse, route_ids: list[str] | None = None) -> DataFrame:
@@ -519,22 +557,59 @@ NAMED_QUERIES = {
     "M1_delay_fact_rows": m1_delay_fact_rows,
     "M4_route_members": m4_route_members,
     "M4_quarter_members": m4_quarter_members,
+    "M4_quarters_with_revenue": m4_quarters_with_revenue,
+    "M4_route_quarters": m4_route_quarters,
+    "M4_minivan_routes": m4_minivan_routes,
+    "M5_range_and_missing": m5_range_and_missing,
+    "M7_revenue_and_passengers": m7_revenue_and_passengers,
+    "M8_delay_impact": m8_delay_impact,
+    "B7_revenue_of_quarters": b7_revenue_of_quarters,
     "B8_revenue_at_risk": b8_revenue_at_risk,
     "B8_portfolio_totals": b8_portfolio_totals,
 }
 
 
 # --- G1-G2 (reports), D1-D4 (data quality), X1-X2 (feedback) -----------------
+# The whole range of the binding's dates, and the day a report is asked for:
+# G1 and G2 over all years, and their default, the last full quarter before it.
+ALL_YEARS = (dt.date(1995, 1, 1), dt.date(2025, 1, 1))
+AS_OF = dt.date(2024, 8, 15)
+
+
 def g1_route_report(wh: Warehouse) -> DataFrame:
     from routecast.plans.reports import route_report
 
-    return route_report(wh)
+    return route_report(wh, ALL_YEARS)
 
 
 def g2_revenue_at_risk(wh: Warehouse) -> DataFrame:
     from routecast.plans.reports import revenue_at_risk
 
-    return revenue_at_risk(wh)
+    return revenue_at_risk(wh, ALL_YEARS)
+
+
+def g4_route_report_last_quarter(wh: Warehouse) -> DataFrame:
+    from routecast.plans.reports import route_report
+
+    return route_report(wh, last_full_quarter(AS_OF))
+
+
+def g4_revenue_at_risk_last_quarter(wh: Warehouse) -> DataFrame:
+    from routecast.plans.reports import revenue_at_risk
+
+    return revenue_at_risk(wh, last_full_quarter(AS_OF))
+
+
+def g2_portfolio(wh: Warehouse) -> DataFrame:
+    from routecast.plans.reports import portfolio
+
+    return portfolio(wh, ALL_YEARS)
+
+
+def g2_actions(wh: Warehouse) -> DataFrame:
+    from routecast.plans.reports import actions
+
+    return actions(wh, ALL_YEARS)
 
 
 def d1_duplicate_booking_ids(wh: Warehouse) -> DataFrame:
@@ -558,6 +633,33 @@ def d3_orphan_fact_vehicles(wh: Warehouse) -> DataFrame:
     )
 
 
+def d1_trips_with_several_incidents(wh: Warehouse) -> DataFrame:
+    """D1 where it finds something: trips that more than one incident names."""
+    from routecast.operators.quality import unique_failures
+
+    return unique_failures(wh.stg_delay_incidents, "trip_id")
+
+
+def d2_trips_without_category(wh: Warehouse) -> DataFrame:
+    """D2 where it finds something: assessed trips without a delay category."""
+    from routecast.operators.quality import not_null_failures
+
+    return not_null_failures(wh.fct_punctuality, "primary_delay_category").select("trip_id", "route_id")
+
+
+def d3_incidents_without_assessment(wh: Warehouse) -> DataFrame:
+    """D3 where it finds something: incidents of trips that were not assessed
+    (cancelled, or with an invalid schedule)."""
+    from routecast.operators.quality import relationship_failures
+
+    return relationship_failures(wh.stg_delay_incidents, "trip_id", wh.fct_punctuality, "trip_id").select("incident_id", "trip_id")
+
+
+def d4_quarantined_incidents(wh: Warehouse) -> DataFrame:
+    """Incidents that staging set aside, with the texts that did not parse."""
+    return wh.quarantined_incidents
+
+
 def d4_dq_summary(wh: Warehouse) -> DataFrame:
     from routecast.operators.quality import dq_summary
 
@@ -565,9 +667,16 @@ def d4_dq_summary(wh: Warehouse) -> DataFrame:
 
 
 def x1_negative_feedback(wh: Warehouse) -> DataFrame:
-    from routecast.operators.feedback import extract_feedback
+    from routecast.operators.feedback import parse_feedback
+
+    return parse_feedback(wh.feedback_events, negative_only=True)
+
+
+def x1_all_feedback(wh: Warehouse) -> DataFrame:
+    """Every feedback record, without sign or limit."""
+    from routecast.operators.feedback import parse_feedback
 
-    return extract_feedback(wh.feedback_events, negative_only=True)
+    return parse_feedback(wh.feedback_events)
 
 
 def x1_recent_feedback(wh: Warehouse) -> DataFrame:
@@ -588,10 +697,19 @@ NAMED_QUERIES.update(
     {
         "G1_route_report": g1_route_report,
         "G2_revenue_at_risk": g2_revenue_at_risk,
+        "G2_portfolio": g2_portfolio,
+        "G2_actions": g2_actions,
+        "G4_route_report_last_quarter": g4_route_report_last_quarter,
+        "G4_revenue_at_risk_last_quarter": g4_revenue_at_risk_last_quarter,
         "D1_duplicate_booking_ids": d1_duplicate_booking_ids,
         "D2_incidents_without_trip": d2_incidents_without_trip,
         "D3_orphan_fact_vehicles": d3_orphan_fact_vehicles,
+        "D1_trips_with_several_incidents": d1_trips_with_several_incidents,
+        "D2_trips_without_category": d2_trips_without_category,
+        "D3_incidents_without_assessment": d3_incidents_without_assessment,
+        "D4_quarantined_incidents": d4_quarantined_incidents,
         "D4_dq_summary": d4_dq_summary,
+        "X1_all_feedback": x1_all_feedback,
         "X1_negative_feedback": x1_negative_feedback,
         "X1_recent_feedback": x1_recent_feedback,
         "X2_keyword_feedback": x2_keyword_feedback,

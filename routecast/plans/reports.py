@@ -3,8 +3,9 @@ routes of a period, as Spark jobs.
 
 Every input is first reduced to one row per route (partial + final
 aggregates), so all later joins, pivots and windows work on tables bounded
-by the number of routes. Fleet-wide values are computed from the per-route
-rows with an unpartitioned window over that bounded table.
+by the number of routes. Fleet-wide values are one aggregate row that joins
+every route. ``period`` is [start, end); ``calendar.last_full_quarter`` gives
+the default period of a day, and None means all of the data.
 """
 
 from __future__ import annotations
@@ -16,34 +17,18 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from routecast.functions import classifiers as C
-from routecast.functions.mathcols import rate
-from routecast.plans.warehouse import BINDING_DATE_END, BINDING_DATE_START, Warehouse
+from routecast.functions.mathcols import dec, rate
+from routecast.plans.warehouse import Warehouse
+from routecast.sources.calendar import in_period
 
 Period = tuple[dt.date, dt.date]  # [start, end)
 
 
-def default_period(as_of: dt.date) -> Period:
-    """The last full calendar quarter before ``as_of``."""
-    q_start_month = 3 * ((as_of.month - 1) // 3) + 1
-    end = dt.date(as_of.year, q_start_month, 1)
-    start = dt.date(end.year - 1, 10, 1) if end.month == 1 else dt.date(end.year, end.month - 3, 1)
-    return start, end
-
-
-def default_period_col(as_of: Column) -> Column:
-    """G4 as a column: struct(start, end) of the last full quarter."""
-    end = F.trunc(as_of, "quarter")
-    return F.struct(F.add_months(end, -3).alias("start"), end.alias("end"))
-
-
 def months_in(period: Period) -> int:
     s, e = period
     return (e.year - s.year) * 12 + (e.month - s.month)
 
 
-WHOLE_BINDING_PERIOD: Period = (BINDING_DATE_START, BINDING_DATE_END)
-
-
 @dataclass(frozen=True)
 class Thresholds:
     """G3 recommendation thresholds; the two vague ones are parameters."""
@@ -58,7 +43,7 @@ class Thresholds:
 def _in_period(df: DataFrame, period: Period | None) -> DataFrame:
     if period is None:
         return df
-    return df.filter((F.col("date_key") >= F.lit(period[0])) & (F.col("date_key") < F.lit(period[1])))
+    return df.filter(in_period(*period))
 
 
 def _ratio(num: Column, den: Column) -> Column:
@@ -118,7 +103,7 @@ def top_categories(wh: Warehouse, period: Period | None, n: int) -> DataFrame:
 
 def route_report(
     wh: Warehouse,
-    period: Period | None = WHOLE_BINDING_PERIOD,
+    period: Period | None,
     thresholds: Thresholds = Thresholds(),
     top_n: int = 3,
 ) -> DataFrame:
@@ -131,12 +116,20 @@ def route_report(
         .join(punctuality_by_route(wh, period), "route_id", "left")
         .join(top_categories(wh, period, top_n), "route_id", "left")
     )
-    fleet = Window.partitionBy()  # over one row per route (bounded by the routes dimension)
+    fleet = j.agg(
+        F.sum("occ_sum").alias("_occ_sum"),
+        F.sum("occ_n").alias("_occ_n"),
+        F.sum("total_revenue").alias("_revenue"),
+        F.sum("booked_passengers").alias("_booked"),
+        F.sum("trip_count").alias("_trips"),
+        F.sum("total_passengers").alias("_passengers"),
+        F.count("trip_count").alias("_routes"),
+    )
+    j = j.join(F.broadcast(fleet))  # a global aggregate: exactly one row
     occ = _ratio(F.col("occ_sum"), F.col("occ_n"))
-    fleet_occ = _ratio(F.sum("occ_sum").over(fleet), F.sum("occ_n").over(fleet))
+    fleet_occ = _ratio(F.col("_occ_sum"), F.col("_occ_n"))
     rpp = _ratio(F.col("total_revenue"), F.col("booked_passengers"))
-    fleet_rpp = _ratio(F.sum("total_revenue").over(fleet), F.sum("booked_passengers").over(fleet))
-    routes_with_trips = F.count("trip_count").over(fleet)
+    fleet_rpp = _ratio(F.col("_revenue"), F.col("_booked"))
     t = thresholds
     out = j.select(
         "route_id",
@@ -147,8 +140,8 @@ def route_report(
         F.coalesce("trip_count", F.lit(0)).alias("trip_count"),
         F.coalesce("total_passengers", F.lit(0)).cast("long").alias("total_passengers"),
         fleet_occ.alias("fleet_average_occupancy_rate"),
-        _ratio(F.sum("trip_count").over(fleet), routes_with_trips).alias("fleet_average_trip_count"),
-        _ratio(F.sum("total_passengers").over(fleet), routes_with_trips).alias("fleet_average_passengers"),
+        _ratio(F.col("_trips"), F.col("_routes")).alias("fleet_average_trip_count"),
+        _ratio(F.col("_passengers"), F.col("_routes")).alias("fleet_average_passengers"),
         fleet_rpp.alias("fleet_revenue_per_passenger"),
         F.when(occ > fleet_occ, "above").when(occ < fleet_occ, "below").when(occ.isNotNull(), "equal").alias(
             "occupancy_vs_fleet"
@@ -178,7 +171,7 @@ def route_report(
 
 def revenue_at_risk(
     wh: Warehouse,
-    period: Period | None = WHOLE_BINDING_PERIOD,
+    period: Period | None,
     months: int | None = None,
     completed_only: bool = False,
     churn_otp_target: float = 85.0,
@@ -236,7 +229,69 @@ def revenue_at_risk(
         ),
         C.risk_level_rank(level).alias("_level_rank"),
     )
-    w = Window.partitionBy().orderBy(  # one row per route
+    # one row per route: the task that ranks them holds as many rows as there are routes
+    w = Window.partitionBy().orderBy(
         F.col("_level_rank").asc(), F.col("delay_cost_to_revenue_pct").desc_nulls_last(), F.col("route_id").asc()
     )
     return base.withColumn("exposure_rank", F.row_number().over(w)).drop("_level_rank").orderBy("exposure_rank")
+
+
+def portfolio(wh: Warehouse, period: Period | None, top_n: int = 3, **options) -> DataFrame:
+    """G2's findings over all routes: one row.
+
+    Total delay cost, revenue and their ratio, the number of high and critical
+    routes of all routes, the total annualised exposure and churn risk, and
+    the ``top_n`` routes by exposure with category, mitigation and savings."""
+    per = revenue_at_risk(wh, period, **options)
+    first = F.struct(
+        F.col("exposure_rank").alias("rank"), "route_name", "dominant_delay_category", "mitigation_strategy", "savings_if_halved"
+    )
+    # the ranks are 1..n, so a filter on them bounds the list
+    top = F.array_sort(F.collect_list(F.when(F.col("exposure_rank") <= top_n, first)))
+    return per.agg(
+        F.sum("delay_cost").cast("decimal(38,2)").alias("total_delay_cost"),
+        F.sum("revenue").cast("decimal(38,2)").alias("total_revenue"),
+        F.count_if(F.col("risk_level").isin("HIGH", "CRITICAL")).alias("high_risk_routes"),
+        F.count(F.lit(1)).alias("route_count"),
+        top.alias("_top"),
+        F.sum(F.col("delay_cost")).alias("_cost"),
+    ).select(
+        "total_delay_cost",
+        "total_revenue",
+        (_ratio(F.col("total_delay_cost"), F.col("total_revenue")) * F.lit(100.0)).alias("portfolio_ratio_pct"),
+        "high_risk_routes",
+        "route_count",
+        (F.col("_cost").cast("double") / F.lit(float(options.get("months") or (months_in(period) if period else 12))) * F.lit(12.0)).alias(
+            "total_annualized_exposure"
+        ),
+        *[F.get(F.col("_top"), i)["route_name"].alias(f"top{i + 1}_route") for i in range(top_n)],
+        *[F.get(F.col("_top"), i)["mitigation_strategy"].alias(f"top{i + 1}_mitigation") for i in range(top_n)],
+        *[F.get(F.col("_top"), i)["savings_if_halved"].alias(f"top{i + 1}_savings") for i in range(top_n)],
+    )
+
+
+#: Shares of revenue between which a route is watched: it nears the HIGH level.
+WATCHED_SHARE = ("0.04", "0.05")
+#: Domains whose delays the operator itself can act on.
+CONTROLLABLE_DOMAINS = ("fleet", "internal_ops")
+
+
+def actions(wh: Warehouse, period: Period | None, **options) -> DataFrame:
+    """G2's recommended actions as flags: one row per route.
+
+    ``act_now``: the level is critical. ``controllable_category``: the dominant
+    category is of a domain the operator controls. ``watch``: the cost is
+    above 4 % and at most 5 % of revenue, so the route nears the HIGH level
+    ("approaching" is not quantified in the source; the lower end is ours)."""
+    per = revenue_at_risk(wh, period, **options)
+    cost, revenue = F.col("delay_cost").cast("decimal(30,2)"), F.col("revenue").cast("decimal(30,2)")
+    low, high = (revenue * dec(x) for x in WATCHED_SHARE)
+    return per.select(
+        "route_id",
+        "route_name",
+        "exposure_rank",
+        "risk_level",
+        (F.col("risk_level") == "CRITICAL").alias("act_now"),
+        F.coalesce(C.delay_domain("dominant_delay_category").isin(*CONTROLLABLE_DOMAINS), F.lit(False)).alias("controllable_category"),
+        F.coalesce((revenue > 0) & (cost > low) & (cost <= high), F.lit(False)).alias("watch"),
+    )

@@ -23,14 +23,16 @@ and NULL dimension members align (a join would drop them).
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from routecast.operators.dims import bounded_broadcast
 from routecast.plans.warehouse import Warehouse
+from routecast.sources.calendar import in_period
 
 
 @dataclass(frozen=True)
@@ -108,6 +110,8 @@ def _col(c: str) -> Callable[[], Column]:
     return lambda: F.col(c)
 
 
+# The names of tables, relationships, dimensions, metrics and facts in both
+# models are fixed values: they are the interface that queries are written to.
 # --- M1 / M7 / M9: operations model ----------------------------------------
 OPERATIONS = SemanticModel(
     name="operations",
@@ -207,6 +211,7 @@ PUNCTUALITY = SemanticModel(
             Dimension("destination", "routes", "destination"),
             Dimension("distance_km", "routes", "distance_km"),
             Dimension("full_date", "dates", "full_date"),
+            # an addition to the source's 30 dimensions: it orders month_name
             Dimension("month", "dates", "month"),
             Dimension("month_name", "dates", "month_name"),
             Dimension("quarter", "dates", "quarter"),
@@ -277,20 +282,79 @@ def _table(model: SemanticModel, wh: Warehouse, logical: str) -> DataFrame:
     return getattr(wh, model.tables[logical][0])
 
 
+@dataclass(frozen=True)
+class Between:
+    """A filter value: low <= member <= high; an end that is None is open."""
+
+    low: object = None
+    high: object = None
+
+
 def _filter_cond(column: str, value) -> Column:
+    """A member, a list of members (None among them is the missing member), a
+    :class:`Between`, or None for the missing member."""
+    if value is None:
+        return F.col(column).isNull()
+    if isinstance(value, Between):
+        ends = [F.col(column) >= F.lit(value.low)] if value.low is not None else []
+        ends += [F.col(column) <= F.lit(value.high)] if value.high is not None else []
+        return reduce(lambda a, b: a & b, ends, F.col(column).isNotNull())
     if isinstance(value, (list, tuple, set, frozenset)):
-        return F.col(column).isin(list(value))
+        present = [v for v in value if v is not None]
+        cond = F.col(column).isin(present)
+        return cond | F.col(column).isNull() if len(present) < len(value) else cond
     return F.col(column) == F.lit(value)
 
 
-def dimension_members(model: SemanticModel, wh: Warehouse, dimensions: Sequence[str]) -> DataFrame:
-    """M4: the distinct members of dimensions of one logical table."""
+def _first_and_last(value) -> tuple | None:
+    """The least and greatest member a filter value lets through, if both are known."""
+    if value is None:
+        return None
+    if isinstance(value, Between):
+        return None if value.low is None or value.high is None else (value.low, value.high)
+    if isinstance(value, (list, tuple, set, frozenset)):
+        return None if not value or None in value else (min(value), max(value))
+    return value, value
+
+
+def calendar_bounds(filters: dict[str, object]) -> tuple[dt.date, dt.date] | None:
+    """[start, end) that calendar filters imply for ``date_key``, if any.
+
+    ``year``, ``year_quarter`` and ``full_date`` bound the fact's dates, so
+    its scan opens only those months; other calendar filters recur every year
+    and bound nothing."""
+    bounds = []
+    if "year" in filters and (ends := _first_and_last(filters["year"])):
+        bounds.append((dt.date(int(ends[0]), 1, 1), dt.date(int(ends[1]) + 1, 1, 1)))
+    if "year_quarter" in filters and (ends := _first_and_last(filters["year_quarter"])):
+        (y0, q0), (y1, q1) = (map(int, str(e).split("-Q")) for e in ends)
+        bounds.append((dt.date(y0, 3 * q0 - 2, 1), dt.date(y1 + (q1 == 4), 3 * q1 % 12 + 1, 1)))
+    if "full_date" in filters and (ends := _first_and_last(filters["full_date"])):
+        bounds.append((ends[0], ends[1] + dt.timedelta(days=1)))
+    return (max(b[0] for b in bounds), min(b[1] for b in bounds)) if bounds else None
+
+
+def dimension_members(
+    model: SemanticModel, wh: Warehouse, dimensions: Sequence[str], filters: dict[str, object] | None = None
+) -> DataFrame:
+    """M4: the distinct members of dimensions.
+
+    Of one logical table: straight from it. Of several: the combinations that
+    occur in the facts that reach them all (every such fact adds its own)."""
+    filters = dict(filters or {})
     dims = [model.dimensions[d] for d in dimensions]
-    tables = {d.table for d in dims}
-    if len(tables) != 1:
-        raise SemanticError("a dimension-only query must use dimensions of one table")
-    src = _table(model, wh, tables.pop())
-    return src.select(*[F.col(d.column).alias(d.name) for d in dims]).distinct()
+    tables = {d.table for d in [*dims, *[model.dimensions[f] for f in filters]]}
+    if len(tables) == 1:
+        src = _table(model, wh, tables.pop())
+        for name, value in filters.items():
+            src = src.filter(_filter_cond(model.dimensions[name].column, value))
+        return src.select(*[F.col(d.column).alias(d.name) for d in dims]).distinct()
+    facts = dict.fromkeys(r.table for r in model.relationships)
+    reaching = [f for f in facts if all(t == f or model.relationship(f, t) for t in tables)]
+    if not reaching:
+        raise SemanticError(f"no fact table reaches all of {sorted(tables)}")
+    branches = [_fact_branch(model, wh, f, dims, [], filters) for f in reaching]
+    return reduce(DataFrame.unionByName, branches).distinct()
 
 
 def _fact_branch(
@@ -307,7 +371,11 @@ def _fact_branch(
             raise SemanticError(f"dimension {d.name!r} ({d.table}) is not reachable from fact table {fact!r}")
     df = _table(model, wh, fact)
 
-    # 1. dimension filters: local ones directly, remote ones as semi-joins
+    # 1. dimension filters: the calendar as a range on the fact itself, local
+    #    ones directly, remote ones as semi-joins
+    by_date = {f: v for f, v in filters.items() if model.dimensions[f].table == "dates"}
+    if bounds := calendar_bounds(by_date):
+        df = df.filter(in_period(*bounds))
     remote_filters: dict[str, list[tuple[Dimension, object]]] = {}
     for fname, value in filters.items():
         d = model.dimensions[fname]
@@ -322,7 +390,7 @@ def _fact_branch(
         for d, value in conds:
             keys = keys.filter(_filter_cond(d.column, value))
         # a semi-join needs no distinct right side (duplicates never repeat a fact row)
-        keys = bounded_broadcast(keys.select(F.col(pk).alias(rel.foreign_key)))
+        keys = keys.select(F.col(pk).alias(rel.foreign_key))
         df = df.join(keys, rel.foreign_key, "left_semi")
 
     # 2. pre-aggregate to foreign keys + local dimensions
@@ -331,9 +399,12 @@ def _fact_branch(
     fks = [model.relationship(fact, t).foreign_key for t in remote_tables]
     group1 = list(dict.fromkeys([*fks, *[d.column for d in local]]))
     parts = {f"{m.name}__{k}": fn for m in metrics for k, fn in m.parts.items()}
-    pre = df.groupBy(*group1).agg(*[fn().alias(n) for n, fn in parts.items()]) if group1 else df.agg(
-        *[fn().alias(n) for n, fn in parts.items()]
-    )
+    if not parts:
+        pre = df.select(*group1).distinct()
+    elif group1:
+        pre = df.groupBy(*group1).agg(*[fn().alias(n) for n, fn in parts.items()])
+    else:
+        pre = df.agg(*[fn().alias(n) for n, fn in parts.items()])
     pre = pre.select(*[F.col(c) for c in group1], *[F.col(n) for n in parts], *[
         F.col(d.column).alias(f"__dim_{d.name}") for d in local
     ]) if local else pre
@@ -346,11 +417,14 @@ def _fact_branch(
         dim_df = _table(model, wh, t).select(
             F.col(pk).alias(f"__pk_{t}"), *[F.col(d.column).alias(f"__dim_{d.name}") for d in attrs]
         )
-        pre = pre.join(bounded_broadcast(dim_df), pre[rel.foreign_key] == dim_df[f"__pk_{t}"], "left")
+        pre = pre.join(dim_df, pre[rel.foreign_key] == dim_df[f"__pk_{t}"], "left")
     dim_cols = [f"__dim_{d.name}" for d in dims]
-    summed = pre.groupBy(*dim_cols).agg(*[F.sum(n).alias(n) for n in parts]) if dim_cols else pre.agg(
-        *[F.sum(n).alias(n) for n in parts]
-    )
+    if not parts:
+        summed = pre.select(*dim_cols).distinct()
+    elif dim_cols:
+        summed = pre.groupBy(*dim_cols).agg(*[F.sum(n).alias(n) for n in parts])
+    else:
+        summed = pre.agg(*[F.sum(n).alias(n) for n in parts])
     out = [F.col(f"__dim_{d.name}").alias(d.name) for d in dims]
     for m in metrics:
         out.append(m.final(lambda k, m=m: F.col(f"{m.name}__{k}")).alias(m.name))
@@ -369,8 +443,8 @@ def semantic_facts(
 
     The fact table is the one (among tables that have relationships) that
     holds the asked facts; facts and dimensions of referenced tables are
-    attached with left joins of size-checked dimension tables, and filters
-    on them become semi-joins on the foreign key first."""
+    attached with left joins (AQE splits a hot or missing foreign key), and
+    filters on them become semi-joins on the foreign key first."""
     filters = dict(filters or {})
     unknown = [f for f in facts if f not in model.facts]
     unknown += [d for d in [*dimensions, *filters] if d not in model.dimensions]
@@ -393,6 +467,8 @@ def semantic_facts(
             raise SemanticError(f"table {table!r} is not reachable from fact table {fact!r}")
 
     df = _table(model, wh, fact)
+    if bounds := calendar_bounds({f: v for f, v in filters.items() if model.dimensions[f].table == "dates"}):
+        df = df.filter(in_period(*bounds))
     for fname, value in filters.items():
         d = model.dimensions[fname]
         if d.table == fact:
@@ -400,7 +476,7 @@ def semantic_facts(
         else:
             rel = model.relationship(fact, d.table)
             keys = _table(model, wh, d.table).filter(_filter_cond(d.column, value))
-            keys = bounded_broadcast(keys.select(F.col(model.tables[d.table][1]).alias(rel.foreign_key)))
+            keys = keys.select(F.col(model.tables[d.table][1]).alias(rel.foreign_key))
             df = df.join(keys, rel.foreign_key, "left_semi")
 
     for table in sorted({t for t, _ in wanted.values() if t != fact}):
@@ -411,9 +487,7 @@ def semantic_facts(
             F.col(model.tables[table][1]).alias(f"__pk_{table}"),
             *[F.col(c).alias(f"__{table}__{n}") for n, c in cols.items()],
         )
-        df = df.join(
-            bounded_broadcast(dim_df, rows_of=src), F.col(rel.foreign_key) == F.col(f"__pk_{table}"), "left"
-        )
+        df = df.join(dim_df, F.col(rel.foreign_key) == F.col(f"__pk_{table}"), "left")
     return df.select(
         *[
             (F.col(c) if t == fact else F.col(f"__{t}__{n}")).alias(n)
@@ -438,9 +512,7 @@ def semantic_query(
         raise SemanticError(f"unknown dimension or metric: {unknown}")
     dims = [model.dimensions[d] for d in dimensions]
     if not metrics:
-        res = dimension_members(model, wh, dimensions)
-        for fname, value in filters.items():
-            res = res.filter(_filter_cond(fname, value))
+        res = dimension_members(model, wh, dimensions, filters)
         return res.orderBy(*order_by) if order_by else res
 
     by_fact: dict[str, list[Metric]] = {}

@@ -19,12 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from routecast.operators import dims, intermediate, marts, staging
 from routecast.session import scratch_dir
 from routecast.sources import calendar, sinks, testdata
-from routecast.sources.testdata import RawInputs
-
-# Date dimension range of the test binding: covers orders (1995-2001) and
-# events (2024-01).
-BINDING_DATE_START = dt.date(1995, 1, 1)
-BINDING_DATE_END = dt.date(2025, 1, 1)
+from routecast.sources.schemas import RawInputs
 
 
 @dataclass
@@ -36,6 +31,8 @@ class Warehouse:
     stg_punctuality_trips: DataFrame
     stg_scheduled_trips: DataFrame
     stg_delay_incidents: DataFrame
+    quarantined_incidents: DataFrame
+    quarantined_schedules: DataFrame
     int_trip_occupancy: DataFrame
     int_booking_revenue: DataFrame
     incident_rollup: DataFrame
@@ -58,15 +55,19 @@ MART_SORT = {
     "fct_revenue": ("date_key",),
     "fct_punctuality": ("date_key",),
 }
+FACT_PARTITION = ("month_key",)
 
 
 def build_warehouse(
     spark: SparkSession,
     raw: RawInputs,
-    date_start: dt.date = BINDING_DATE_START,
-    date_end: dt.date = BINDING_DATE_END,
+    date_start: dt.date = calendar.DEFAULT_START,
+    date_end: dt.date = calendar.DEFAULT_END,
     store: str | None = None,
 ) -> Warehouse:
+    """All layers over ``raw``; with ``store`` the marts, staged incidents and
+    punctuality intermediates are tables under that folder. The folder belongs
+    to the caller, who may remove it when the warehouse is not used any more."""
     s_routes = staging.stg_routes(raw.routes)
     s_vehicles = staging.stg_vehicles(raw.vehicles)
     s_trips = staging.stg_trips(raw.trips)
@@ -75,6 +76,11 @@ def build_warehouse(
     s_sched = staging.stg_scheduled_trips(raw.scheduled_trips)
     s_inc = staging.stg_delay_incidents(raw.delay_incidents)
 
+    def materialise(df: DataFrame, layer: str, name: str) -> DataFrame:
+        path = sinks.layer_path(store, layer, name)
+        sinks.write_table(df, path, sort_by=MART_SORT.get(name), partition_by=FACT_PARTITION if name in MART_SORT else None)
+        return sinks.read_table(spark, path).select(*df.columns)
+
     i_occ = intermediate.int_trip_occupancy(s_trips, s_routes)
     i_rev = intermediate.int_booking_revenue(s_bookings, s_routes)
     rollup = intermediate.incident_rollup(s_inc)
@@ -85,11 +91,6 @@ def build_warehouse(
     f_trips = marts.fct_trips(i_occ)
     f_rev = marts.fct_revenue(i_rev)
 
-    def materialise(df: DataFrame, layer: str, name: str) -> DataFrame:
-        path = sinks.layer_path(store, layer, name)
-        sinks.write_table(df, path, sort_by=MART_SORT.get(name))
-        return sinks.read_table(spark, path)
-
     def punctuality_chain() -> tuple[DataFrame, DataFrame]:
         stage = (lambda df, name: materialise(df, "intermediate", name)) if store else None
         ip = intermediate.int_trip_punctuality(s_sched, s_ptrips, s_inc, s_routes, rollup=rollup, stage=stage)
@@ -126,6 +127,8 @@ def build_warehouse(
         stg_punctuality_trips=s_ptrips,
         stg_scheduled_trips=s_sched,
         stg_delay_incidents=s_inc,
+        quarantined_incidents=staging.quarantined_incidents(raw.delay_incidents),
+        quarantined_schedules=staging.quarantined_schedules(raw.scheduled_trips),
         int_trip_occupancy=i_occ,
         int_booking_revenue=i_rev,
         incident_rollup=rollup,
@@ -136,19 +139,34 @@ def build_warehouse(
     )
 
 
-_memo: dict[tuple[str, str, bool], Warehouse] = {}
+_memo: dict[tuple[str, str, bool, str], Warehouse] = {}
+
+
+def _version(spark: SparkSession, sf_dir: str) -> str:
+    """Names, sizes and times of the input files, through Spark's own file system."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    root = jvm.org.apache.hadoop.fs.Path(sf_dir)
+    fs = root.getFileSystem(conf)
+    found = []
+    for name in testdata.BOUND_TABLES:
+        at = jvm.org.apache.hadoop.fs.Path(root, f"{name}.parquet")
+        found += [f"{s.getPath().getName()}|{s.getLen()}|{s.getModificationTime()}" for s in fs.listStatus(at)]
+    return "\n".join(found)
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Warehouse:
-    """Warehouse of the test binding for ``sf_dir``, built once per session.
+    """Warehouse of the test binding for ``sf_dir``, built once per session
+    and version of the input files.
 
     With ``materialize`` the marts are written under the session's shared
-    scratch folder (``spark.checkpoint.dir``)."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), materialize)
+    scratch folder (``spark.checkpoint.dir``). The folder is named after the
+    application and the input, and is deleted when the driver process ends."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"), materialize, _version(spark, sf_dir))
     if key not in _memo:
         store = None
         if materialize:
-            tag = hashlib.sha1(f"{key[0]}|{key[1]}".encode()).hexdigest()[:12]
+            tag = hashlib.sha1("|".join(map(str, key)).encode()).hexdigest()[:12]
             store = f"{scratch_dir(spark)}/routecast-{tag}"
-        _memo[key] = build_warehouse(spark, testdata.bind(spark, sf_dir), store=store)
+            sinks.remove_at_exit(spark, store)
+        _memo[key] = build_warehouse(spark, testdata.bind(spark, sf_dir), testdata.DATE_START, testdata.DATE_END, store)
     return _memo[key]

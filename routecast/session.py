@@ -8,7 +8,6 @@ fresh local folder ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -48,21 +47,17 @@ def build_session(
 def scratch_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and materialised layers.
 
-    Read from ``spark.checkpoint.dir``; set a private local folder only when
-    the session has none (single-machine runs and tests).
+    Read from ``spark.checkpoint.dir``. Where the session has none, a private
+    local folder is made if the master is local (tests, single-machine runs);
+    on a cluster every executor would write to its own disk, so that raises.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
         configured = spark.sparkContext.getCheckpointDir()
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.split("[")[0] == "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     local = tempfile.mkdtemp(prefix="routecast-ckpt-")
     spark.sparkContext.setCheckpointDir(local)
     return local
-
-
-def env_int(name: str, default: int) -> int:
-    try:
-        return int(os.environ.get(name, default))
-    except ValueError:
-        return default

@@ -1,15 +1,14 @@
 """Day spine and the date dimension.
 
 The spine is generated on the executors from a one-row seed, so its size is
-known from the parameters alone: ``(end - start)`` days. That bound is what
-lets callers broadcast ``dim_date`` without a runtime size check.
+known from the parameters alone: ``(end - start)`` days.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from routecast.functions.classifiers import season
@@ -22,8 +21,26 @@ def _as_date(d: dt.date | str) -> dt.date:
     return d if isinstance(d, dt.date) else dt.date.fromisoformat(d)
 
 
-def spine_rows(start: dt.date | str, end: dt.date | str) -> int:
-    return max(0, (_as_date(end) - _as_date(start)).days)
+def month_key(date: Column | str) -> Column:
+    """Year and month as one integer, 202401 for January 2024: the facts' partition column."""
+    return (F.year(date) * 100 + F.month(date)).cast("int")
+
+
+def in_period(start: dt.date | str, end: dt.date | str) -> Column:
+    """Rows of a fact in ``[start, end)``: a ``date_key`` range for the row
+    groups, and a ``month_key`` range for the directories."""
+    s, e = _as_date(start), _as_date(end)
+    last = e - dt.timedelta(days=1)
+    days = (F.col("date_key") >= F.lit(s)) & (F.col("date_key") < F.lit(e))
+    return days & F.col("month_key").between(s.year * 100 + s.month, last.year * 100 + last.month)
+
+
+def last_full_quarter(as_of: dt.date | str) -> tuple[dt.date, dt.date]:
+    """[start, end) of the last full calendar quarter before ``as_of``."""
+    d = _as_date(as_of)
+    end = dt.date(d.year, 3 * ((d.month - 1) // 3) + 1, 1)
+    start = dt.date(end.year - 1, 10, 1) if end.month == 1 else dt.date(end.year, end.month - 3, 1)
+    return start, end
 
 
 def date_spine(spark: SparkSession, start: dt.date | str, end: dt.date | str) -> DataFrame:

@@ -1,9 +1,27 @@
-"""Explicit schemas of the six raw inputs (no inference)."""
+"""The raw inputs of a warehouse and their explicit schemas (no inference)."""
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+
+@dataclass
+class RawInputs:
+    """The raw relations (plus feedback events) that a warehouse is built from."""
+
+    routes: DataFrame
+    vehicles: DataFrame
+    trips: DataFrame
+    bookings: DataFrame
+    punctuality_trips: DataFrame
+    scheduled_trips: DataFrame
+    delay_incidents: DataFrame
+    feedback_events: DataFrame
+
+
 RAW_ROUTES = T.StructType(
     [
         T.StructField("route_id", T.StringType()),

@@ -1,8 +1,9 @@
 """Layer writers.
 
 Staging and intermediate relations are lazy DataFrames (views). Marts are
-materialised: a full rebuild written as parquet, facts clustered by
-``date_key`` so parquet row-group statistics prune date-range filters.
+materialised: a full rebuild written as parquet, facts in one directory per
+month and sorted by ``date_key`` inside each file, so a date range opens only
+its months and skips row groups inside them.
 """
 
 from __future__ import annotations
@@ -29,21 +30,25 @@ def write_table(
 ) -> None:
     """Overwrite a table (S4), a full rebuild.
 
-    ``sort_by`` sorts rows inside each output file, so every parquet row
-    group covers a narrow key range and min/max statistics prune range
-    filters (``PushedFilters`` on ``date_key``). It adds no shuffle; a
-    global range-partitioning would need a sampling pass that recomputes the
-    whole input and would put one hot key in one task.
-    ``partition_by`` writes one directory per value (directory pruning) for
-    deployments whose fact volume per value justifies it (e.g. a month
-    column at cluster scale)."""
-    out = df.sortWithinPartitions(*sort_by) if sort_by else df
+    ``partition_by`` writes one directory per value. Rows are rebalanced by
+    these columns first: AQE cuts a hot value into several tasks and puts
+    small values together, so neither one task nor many tiny files result.
+    ``sort_by`` sorts rows inside each output file, so parquet row groups
+    cover narrow key ranges."""
+    out = df.hint("rebalance", *partition_by) if partition_by else df
+    out = out.sortWithinPartitions(*(partition_by or ()), *sort_by) if sort_by else out
     w = out.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
 
 
+def remove_at_exit(spark: SparkSession, path: str) -> None:
+    """Marks a folder of this application's own for removal when the driver ends."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
@@ -54,7 +59,7 @@ def register_views(tables: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def to_client(df: DataFrame, max_rows: int = 100_000):
+def to_client(df: DataFrame, max_rows: int):
     """Hand a *small* result to a client as pandas. Refuses results above
     ``max_rows`` instead of pulling an unbounded result through the driver."""
     head = df.limit(max_rows + 1).toPandas()

@@ -2,8 +2,8 @@
 
 This is test plumbing only: operators take DataFrames and never look at
 these tables. The arithmetic is deterministic and is mirrored line by line
-by the DuckDB oracle (``oracle/prelude.py``), so both engines see identical
-raw inputs. Rules (FIXTURES.md §2):
+by the DuckDB oracle (``duckdb_oracle/prelude.py``), so both engines see
+identical raw inputs. Rules (FIXTURES.md §2):
 
 * routes   <- nation x region   (route_id = 'RT' + 3-digit nation key)
 * vehicles <- customer
@@ -13,17 +13,18 @@ raw inputs. Rules (FIXTURES.md §2):
 
 Operations and punctuality use separate trip sets (orders span 1995-2001
 with midnight timestamps; events have dense sub-second times in January
-2024); they share routes and vehicles.
+2024, and are spread over that year here); they share routes and vehicles.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from routecast.functions.timecols import add_minutes, add_seconds
+from routecast.sources.schemas import RawInputs
 
 TABLES = (
     "region nation customer supplier part orders lineitem events "
@@ -31,6 +32,9 @@ TABLES = (
 ).split()
 
 
+BOUND_TABLES = ("region", "nation", "customer", "orders", "lineitem", "events")
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -61,25 +65,16 @@ DELAY_CATEGORIES_RAW = [
     "other",
 ]
 IMPACT_LEVELS_RAW = [" Low", "MEDIUM", "high "]
-INCIDENT_EVENT_TYPES = ["error", "click", "signup"]
 FEEDBACK_RECORD_NAME = "AGENT_FEEDBACK"
+# Every event of a trip's group of three is moved by the same 0..11 steps of so many days.
+SPREAD_DAYS = 28
+# Incidents with these multiples of event_id have a fractional or an unreadable delay text.
+FRACTION_EVERY, UNREADABLE_EVERY = 211, 499
+# Days of dim_date: orders (1995-2001) and events (2024).
+DATE_START, DATE_END = dt.date(1995, 1, 1), dt.date(2025, 1, 1)
 # ---------------------------------------------------------------------------
 
 
-@dataclass
-class RawInputs:
-    """The six raw relations (plus feedback events) of one domain binding."""
-
-    routes: DataFrame
-    vehicles: DataFrame
-    trips: DataFrame
-    bookings: DataFrame
-    punctuality_trips: DataFrame
-    scheduled_trips: DataFrame
-    delay_incidents: DataFrame
-    feedback_events: DataFrame
-
-
 def raw_routes(nation: DataFrame, region: DataFrame) -> DataFrame:
     k = F.col("n_nationkey")
     return nation.join(region, F.col("n_regionkey") == F.col("r_regionkey")).select(
@@ -164,6 +159,11 @@ def raw_bookings(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) ->
     )
 
 
+def _spread(ts: str = "ts") -> Column:
+    """The event's time, moved so that the events cover the whole year."""
+    return F.timestamp_add("DAY", F.expr(f"event_id div 3 % 12 * {SPREAD_DAYS}"), F.col(ts).cast("timestamp_ntz"))
+
+
 def raw_punctuality_trips(events: DataFrame, customer: DataFrame) -> DataFrame:
     v = _vehicle_attrs(customer)
     e = F.col("event_id")
@@ -171,8 +171,8 @@ def raw_punctuality_trips(events: DataFrame, customer: DataFrame) -> DataFrame:
         e.cast("string").alias("trip_id"),
         route_key(e % 25).alias("route_id"),
         F.col("user_id").cast("string").alias("vehicle_id"),
-        F.col("ts").cast("timestamp_ntz").alias("departure_datetime"),
-        add_minutes(F.col("ts"), F.lit(30) + e % 61).alias("arrival_datetime"),
+        _spread().alias("departure_datetime"),
+        add_minutes(_spread(), F.lit(30) + e % 61).alias("arrival_datetime"),
         F.col("_capacity").alias("vehicle_capacity"),
         ((e * 31) % (F.col("_capacity") + 1)).cast("int").alias("passengers_onboard"),
         F.when((F.col("event_type") == "view") & (e % 5 == 0), "cancelled")
@@ -183,7 +183,7 @@ def raw_punctuality_trips(events: DataFrame, customer: DataFrame) -> DataFrame:
 
 def raw_scheduled_trips(events: DataFrame) -> DataFrame:
     e = F.col("event_id")
-    dep = add_seconds(F.col("ts"), F.lit(300) - F.floor(F.col("value") * 30).cast("long"))
+    dep = add_seconds(_spread(), F.lit(300) - F.floor(F.col("value") * 30).cast("long"))
     planned = F.lit(30) + e % 61 - e % 7
     return events.select(
         F.concat(F.lit("S"), e.cast("string")).alias("scheduled_trip_id"),
@@ -200,15 +200,21 @@ def raw_scheduled_trips(events: DataFrame) -> DataFrame:
 def raw_delay_incidents(events: DataFrame) -> DataFrame:
     e = F.col("event_id")
     trip = e - e % 3
-    return events.filter(F.col("event_type").isin(*INCIDENT_EVENT_TYPES)).select(
+    whole = F.floor(F.col("value")).cast("string")
+    delay = (
+        F.when(e % UNREADABLE_EVERY == 0, "n/a")
+        .when(e % FRACTION_EVERY == 0, F.concat(whole, F.lit(".5")))
+        .otherwise(whole)
+    )
+    return events.select(
         F.concat(F.lit("I"), e.cast("string")).alias("incident_id"),
         trip.cast("string").alias("trip_id"),
         route_key(trip % 25).alias("route_id"),
         _pick(e % 8, DELAY_CATEGORIES_RAW).alias("delay_category"),
-        F.floor(F.col("value")).cast("string").alias("delay_minutes"),
+        delay.alias("delay_minutes"),
         _pick(e % 3, IMPACT_LEVELS_RAW).alias("impact_level"),
-        F.col("ts").cast("timestamp_ntz").alias("reported_at"),
-        add_minutes(F.col("ts"), (e * 37) % 90 - 2).alias("resolved_at"),
+        _spread().alias("reported_at"),
+        add_minutes(_spread(), (e * 37) % 90 - 2).alias("resolved_at"),
         F.when(F.col("event_type") == "error", "true").otherwise("false").alias("is_cascading"),
         (F.col("user_id") % 50).cast("string").alias("affected_passengers"),
     )
@@ -243,7 +249,7 @@ def raw_feedback_events(events: DataFrame) -> DataFrame:
 
 
 def bind(spark: SparkSession, sf_dir: str) -> RawInputs:
-    t = {name: read_table(spark, sf_dir, name) for name in ("region", "nation", "customer", "orders", "lineitem", "events")}
+    t = {name: read_table(spark, sf_dir, name) for name in BOUND_TABLES}
     return RawInputs(
         routes=raw_routes(t["nation"], t["region"]),
         vehicles=raw_vehicles(t["customer"]),

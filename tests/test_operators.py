@@ -30,7 +30,8 @@ def test_incident_rollup_edges(spark):
             ("I5", "T3", "road_closure", "30", "false", "1"),  # tie on delay: I4 wins
             ("I4", "T3", "weather_conditions", "30", None, "1"),
             ("I6", "T4", "other", "0", "true", "1"),  # invalid (delay 0) -> dropped
-            ("I7", "T5", "other", "x", "true", "1"),  # dirty delay -> NULL (valid): NULL first
+            ("I7", "T5", "other", "x", "true", "1"),  # unreadable delay -> quarantine, not here
+            ("I9", "T5", "mechanical_issue", "12.5", "false", "1"),  # rounds to 13
             ("I8", "T5", "road_closure", "50", "false", "1"),
         ],
     )
@@ -44,8 +45,9 @@ def test_incident_rollup_edges(spark):
     assert got["T2"].delay_categories is None and got["T2"].delay_domains == "unknown"
     assert got["T3"].primary_delay_category == "weather_conditions"
     assert got["T3"].has_cascading_incident == 0
-    assert got["T5"].primary_delay_category == "other"
-    assert got["T5"].max_single_delay_minutes == 50
+    assert got["T5"].primary_delay_category == "road_closure"
+    assert (got["T5"].max_single_delay_minutes, got["T5"].total_incident_delay_minutes) == (50, 63)
+    assert got["T1"].worst_severity_by_rank == "critical" and got["T2"].worst_severity_by_rank == "minor"
 
 
 def test_with_incidents_fills_only_counts(spark):
@@ -70,12 +72,14 @@ def test_dq_summary_flags_duplicate_booking_at_small_scale(wh):
     rows = {(r.model, r.column_name, r.test): r.failures for r in quality.dq_summary(wh.tables()).collect()}
     assert len(rows) == len(quality.DECLARED_CHECKS)
     # the one duplicated booking id of sf0.001 fails the booking_id unique
-    # test of staging, intermediate and fact; nothing else fails
+    # test of staging, intermediate and fact; no other test fails
     failing = {k: v for k, v in rows.items() if v}
     assert failing == {
         ("stg_bookings", "booking_id", "unique"): 1,
         ("int_booking_revenue", "booking_id", "unique"): 1,
         ("fct_revenue", "booking_id", "unique"): 1,
+        # the binding makes every 499th delay text unreadable
+        ("quarantined_incidents", "unparsed_columns", "quarantine"): 3,
     }
 
 
@@ -101,24 +105,82 @@ def test_feedback_limit_is_top_k(spark, wh):
     assert "TakeOrderedAndProject" in df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("dirty", ["12.5", "abc", None])
-def test_dirty_delay_text_does_not_fail(spark, dirty):
-    inc = _incidents(spark, [("I1", "T1", "other", dirty, "maybe", "x")])
-    r = inc.first()
-    assert r.delay_minutes is None and r.is_cascading is None and r.affected_passengers is None
+def test_texts_round_and_unreadable_ones_are_quarantined(spark):
+    cases = [("12.5", 13), ("-12.5", -13), ("12.4999", 12), (" 7 ", 7), (None, None)]
+    rows = [(f"I{i}", "T1", "RT1", "other", t, "low", T0, T0, "true", "1.5") for i, (t, _) in enumerate(cases)]
+    rows += [("B1", "T1", "RT1", "other", "abc", "low", T0, T0, "maybe", "x"), ("B2", "T1", "RT1", "other", "99999999999", "low", T0, T0, None, None)]
+    raw = spark.createDataFrame(rows, RAW_DELAY_INCIDENTS)
+    kept = {r.incident_id: r for r in staging.stg_delay_incidents(raw).collect()}
+    assert {k: r.delay_minutes for k, r in kept.items()} == {f"I{i}": n for i, (_, n) in enumerate(cases)}
+    assert {r.affected_passengers for r in kept.values()} == {2}
+    bad = {r.incident_id: r.unparsed_columns for r in staging.quarantined_incidents(raw).collect()}
+    assert bad == {"B1": "delay_minutes,is_cascading,affected_passengers", "B2": "delay_minutes"}
+    summary = quality.dq_summary({"q": staging.quarantined_incidents(raw)}, [quality.Check("q", "unparsed_columns", "not_null"), quality.Check("q", "unparsed_columns", "quarantine")])
+    assert {(r.test, r.failures) for r in summary.collect()} == {("not_null", 0), ("quarantine", 2)}
 
 
-def test_bounded_broadcast_checks_size(spark, wh):
-    from routecast.operators import dims
+def test_unreadable_schedule_version_is_quarantined(spark):
+    from routecast.sources.schemas import RAW_SCHEDULED_TRIPS
 
-    assert dims.fits(wh.dim_routes)
-    assert "broadcast" in dims.bounded_broadcast(wh.dim_routes)._jdf.queryExecution().logical().toString().lower()
-    big = spark.range(0, 1000).toDF("k")
-    assert not dims.fits(big, max_rows=10)  # exact bounded count
-    huge = spark.range(0, 10**12).toDF("k")  # estimate alone rules it out: no job over 10^12 rows
-    assert dims.estimated_bytes(huge) > dims.MAX_ESTIMATED_BYTES and not dims.fits(huge)
-    plan = dims.bounded_broadcast(huge)._jdf.queryExecution().logical().toString()
-    assert "broadcast" not in plan.lower()
+    rows = [(f"S{i}", "T1", "RT1", "V1", T0, T0 + dt.timedelta(hours=1), "Regular ", v) for i, v in enumerate(["2024-Q1", "v2-Q3", None])]
+    raw = spark.createDataFrame(rows, RAW_SCHEDULED_TRIPS)
+    assert {r.scheduled_trip_id: r.schedule_year for r in staging.stg_scheduled_trips(raw).collect()} == {"S0": 2024, "S2": None}
+    assert [r.scheduled_trip_id for r in staging.quarantined_schedules(raw).collect()] == ["S1"]
+
+
+def test_risk_level_is_decided_without_division(spark):
+    from decimal import Decimal as D
+
+    from routecast.functions import classifiers as C
+
+    for kind in ("decimal(38,2)", "decimal(28,2)", "decimal(18,2)"):
+        rows = [("50000.40", "1000000.00"), ("50000.00", "1000000.00"), ("20000.01", "1000000.00"), ("100000.01", "1000000.00"), ("1.00", "0.00"), (None, "1.00")]
+        df = spark.createDataFrame([(D(a) if a else None, D(b)) for a, b in rows], "a decimal(18,2), b decimal(18,2)")
+        got = [r[0] for r in df.select(C.risk_level(df.a.cast(kind), df.b.cast(kind))).collect()]
+        assert got == ["HIGH", "MODERATE", "MODERATE", "CRITICAL", "LOW", "LOW"]
+
+
+def test_feedback_positive_as_text(spark):
+    rows = [(T0, '{"name": "AGENT_FEEDBACK"}', "{}", f'{{"positive": {p}}}') for p in ('"false"', "false", '"true"', "null")]
+    ev = spark.createDataFrame(rows, "timestamp timestamp_ntz, record string, resource_attributes string, value string")
+    assert feedback.parse_feedback(ev, negative_only=True).count() == 2
+
+
+def test_feedback_filters_before_parsing_payloads(spark, wh):
+    plan = feedback.parse_feedback(wh.feedback_events, negative_only=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort" not in plan
+
+
+def test_facts_are_read_by_month(spark, wh):
+    from routecast.plans import queries as Q
+
+    for q in (Q.q2_revenue_by_route_quarter, Q.q8_occupancy_by_route_month, Q.m5_filtered_route_performance, Q.b7_revenue_of_quarters):
+        plan = q(wh)._jdf.queryExecution().executedPlan().toString()
+        scans = [part for part in plan.split("PartitionFilters: ")[1:] if part.startswith("[") and "month_key" in part.split("]")[0]]
+        assert scans, q.__name__
+
+
+def test_defining_a_query_runs_no_job(spark, wh):
+    from routecast.plans import queries as Q
+
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("define", "define")
+    for q in (Q.q4_occupancy_by_vehicle_type, Q.v5_punctuality_by_vehicle_type, Q.b7_route_performance, Q.g1_route_report):
+        q(wh)
+    assert list(tracker.getJobIdsForGroup("define")) == []
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_scratch_folder_must_be_shared_on_a_cluster(monkeypatch):
+    from types import SimpleNamespace
+
+    from routecast.session import scratch_dir
+
+    session = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077")
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(session)
 
 
 def test_dq_summary_reports_every_test_even_for_empty_tables(spark):

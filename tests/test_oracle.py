@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 import __spark_entry__ as entry
 from duckdb_oracle.compare import compare, duck
 
 SF = "/root/testdata/sf0.001"
-QUERIES = entry.queries()
-ORACLE = entry.oracle_sql()
+# the training-data queries are tested beside their subpackage, which may be absent
+QUERIES = {k: f for k, f in entry.queries().items() if k != "pipeline" and not re.match(r"op\d+_", k)}
+ORACLE = {k: s for k, s in entry.oracle_sql().items() if k in QUERIES}
+#: Checks that the tables at hand pass: an empty result on both sides.
+MAY_BE_EMPTY = {"D1_duplicate_booking_ids", "D2_incidents_without_trip", "D3_orphan_fact_vehicles"}
 
 
 @pytest.fixture(scope="module")
@@ -25,6 +30,7 @@ def test_every_query_has_an_oracle():
 def test_query_matches_oracle(spark, con, name):
     res = compare(QUERIES[name](spark, SF), con, ORACLE[name])
     assert res["ok"], res
+    assert res["spark_rows"] or name in MAY_BE_EMPTY
 
 
 def test_entry_smoke(spark):

@@ -18,7 +18,7 @@ def test_incremental_incident_staging_matches_batch(spark):
     q = start_incremental(spark, "stg_delay_incidents", src, sink, checkpoint=ckpt)
     q.awaitTermination(120)
     first = spark.read.parquet(sink).count()
-    assert first == half.count()
+    assert first == stg_delay_incidents(half).count()
     # a second file batch lands; the next incremental run picks up only it
     raw.subtract(half).write.mode("append").parquet(src)
     q = start_incremental(spark, "stg_delay_incidents", src, sink, checkpoint=ckpt)

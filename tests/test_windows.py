@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import datetime as dt
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -25,27 +26,51 @@ def _rows(seed: int, n: int = 400):
     return out
 
 
+def _columns(spec):
+    return {
+        "roll": F.avg("v").over(spec.rowsBetween(-4, 0)),
+        "prev": F.lag("v", 1).over(spec),
+        "prev_t": F.lag("t", 1).over(spec),
+    }
+
+
+def _same_as_plain(df):
+    order = [F.col("t").asc_nulls_last(), F.col("id").asc_nulls_last()]
+    plain = df.select("id", *[c.alias(n) for n, c in _columns(Window.partitionBy("k").orderBy(*order)).items()])
+    safe = lookback_window(df, "k", ["t", "id"], 4, ["v"], _columns, lambda d: d.checkpoint())
+    key = lambda r: r.id
+    assert sorted(plain.collect(), key=key) == sorted(safe.select("id", "roll", "prev", "prev_t").collect(), key=key)
+
+
+SCHEMA = "id string, k string, t timestamp_ntz, v int"
+NOON = dt.datetime(2024, 1, 1, 12)
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
 def test_lookback_window_matches_plain_window(spark, seed):
-    df = spark.createDataFrame(_rows(seed), "id string, k string, t timestamp_ntz, v int")
-    order = [F.col("t").asc_nulls_last(), F.col("id").asc_nulls_last()]
-    plain_w = Window.partitionBy("k").orderBy(*order)
-    plain = df.select(
-        "id",
-        F.avg("v").over(plain_w.rowsBetween(-4, 0)).alias("roll"),
-        F.lag("v", 1).over(plain_w).alias("prev"),
-        F.lag("t", 1).over(plain_w).alias("prev_t"),
-    )
+    _same_as_plain(spark.createDataFrame(_rows(seed), SCHEMA))
 
-    def cols(spec):
-        return {
-            "roll": F.avg("v").over(spec.rowsBetween(-4, 0)),
-            "prev": F.lag("v", 1).over(spec),
-            "prev_t": F.lag("t", 1).over(spec),
-        }
 
-    safe = lookback_window(df, "k", ["t", "id"], F.col("t").cast("date"), 4, ["v"], cols).select("id", "roll", "prev", "prev_t")
-    assert sorted(plain.collect()) == sorted(safe.collect())
+@pytest.mark.parametrize(
+    "rows",
+    [
+        [(f"id{i:04d}", None, NOON + dt.timedelta(minutes=i), i % 7) for i in range(300)],  # one hot NULL vehicle
+        [(f"id{i:04d}", "HOT", NOON, i % 7) for i in range(300)],  # one shared timestamp
+        [(f"id{i:04d}", "HOT" if i % 3 else None, None, i % 7) for i in range(300)],  # NULL times
+        [("a", "k", NOON, 1), ("b", "k", NOON, 2), ("c", "j", None, None)],  # fewer rows than ranges
+        [],
+    ],
+)
+def test_lookback_window_takes_hot_null_and_shared_keys(spark, rows):
+    _same_as_plain(spark.createDataFrame(rows, SCHEMA))
+
+
+def test_hot_key_is_cut_into_ranges(spark):
+    from routecast.operators.windows import ranged
+
+    df = spark.createDataFrame([(f"id{i:04d}", "HOT", NOON, 1) for i in range(2000)], SCHEMA)
+    sizes = [r["count"] for r in ranged(df, "k", ["t", "id"]).groupBy("__range").count().collect()]
+    assert len(sizes) > 1 and max(sizes) < 1500
 
 
 @pytest.mark.parametrize("seed", [4, 5])
@@ -64,41 +89,14 @@ def test_rank_and_mean_match_plain_window(spark, seed):
     assert sorted(plain.collect()) == sorted(safe.collect())
 
 
-def test_vehicle_windows_never_partition_by_vehicle_alone(spark):
-    """The full-data exchanges of W1-W5 are keyed by (vehicle, day) or
-    (route, day, delay); only the bounded per-bucket tails are exchanged
-    by vehicle alone."""
-    import re
-
-    df = spark.createDataFrame(_rows(9), "id string, k string, t timestamp_ntz, v int")
-
-    def cols(spec):
-        return {"prev": F.lag("v", 1).over(spec)}
-
-    out = lookback_window(df, "k", ["t", "id"], F.col("t").cast("date"), 4, ["v"], cols)
-    plan = out._jdf.queryExecution().executedPlan().toString()
-    keys = re.findall(r"hashpartitioning\(([^)]*)\)", plan)
-    assert any("__bucket" in k for k in keys)
-    # the only exchange on the key alone feeds the tails window (WindowGroupLimit output)
-    assert sum(1 for k in keys if "__bucket" not in k) <= 1
-
-
-@pytest.mark.parametrize("split_rows", [3, 20])
-def test_adaptive_buckets_split_hot_key_days_exactly(spark, split_rows):
-    """A hot (key, day) cut into time slices still gives the plain-window
-    answers, and the slices really are used."""
-    from routecast.operators.windows import adaptive_day_bucket
-
-    df = spark.createDataFrame(_rows(11, 600), "id string, k string, t timestamp_ntz, v int")
-    b = adaptive_day_bucket(df, "k", "t", split_rows)
-    per_day = b.filter("t is not null").groupBy("k", F.to_date("t")).agg(F.countDistinct("__day_bucket").alias("n"))
-    assert per_day.agg(F.max("n")).first()[0] > 1
-    order = [F.col("t").asc_nulls_last(), F.col("id").asc_nulls_last()]
-    plain_w = Window.partitionBy("k").orderBy(*order)
-    plain = df.select("id", F.avg("v").over(plain_w.rowsBetween(-4, 0)).alias("roll"), F.lag("v", 1).over(plain_w).alias("prev"))
-
-    def cols(spec):
-        return {"roll": F.avg("v").over(spec.rowsBetween(-4, 0)), "prev": F.lag("v", 1).over(spec)}
-
-    safe = lookback_window(b, "k", ["t", "id"], F.col("__day_bucket"), 4, ["v"], cols).select("id", "roll", "prev")
-    assert sorted(plain.collect()) == sorted(safe.collect())
+def test_lookback_window_has_two_row_exchanges(spark):
+    """The rows move once by range and once by (range, key), never by the key alone."""
+    df = spark.createDataFrame(_rows(9), SCHEMA)
+    plan = lambda d: d._jdf.queryExecution().executedPlan().toString()
+    plans = []
+    out = lookback_window(df, "k", ["t", "id"], 4, ["v"], _columns, lambda d: plans.append(plan(d)) or d.checkpoint())
+    plans.append(plan(out))
+    assert plans[0].count("rangepartitioning(") == 1
+    keys = re.findall(r"hashpartitioning\(([^)]*)\)", plans[1])
+    assert keys and all("__range" in k for k in keys)
+    assert "rangepartitioning(" not in plans[1]
