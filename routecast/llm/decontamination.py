@@ -15,6 +15,7 @@ from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -26,10 +27,10 @@ SEPARATORS = "".join(chr(c) for c in range(128) if not chr(c).isalnum())
 WORD = textscan.word_bytes(SEPARATORS)
 #: Words of a shingle.
 SHINGLE = 3
-#: UTF-8 bytes of items whose windows are broadcast together: at most some ten
-#: million words, or a few hundred MB of windows. More items are split into
-#: that many blocks, each with passes of its own.
-BLOCK_BYTES = 16 << 20
+#: UTF-8 bytes of items whose windows are built and broadcast together: some
+#: 700,000 words, or about 300 MB of windows while they are built. More items
+#: are split into that many blocks, each with passes of its own.
+BLOCK_BYTES = 4 << 20
 _BITS = 20
 
 
@@ -104,13 +105,15 @@ def _rarity(rows: DataFrame, known: dict[int, np.ndarray]) -> dict[int, np.ndarr
     return out
 
 
-def _with_block(rows: DataFrame, items: list[tuple[str, str]], window: int) -> DataFrame:
-    """For each row (row, key, text): n_words, the merged spans of hit words, the items found."""
+def _with_block(rows: DataFrame, items: list[tuple[str, str]], window: int, field: str) -> DataFrame:
+    """For each row (row, key, text): n_words, the merged spans of hit words, the items found.
+
+    ``field``: the field of the key that is the text, if there is no column of it."""
     index = _Windows(items, window)
     sizes = sorted({min(SHINGLE, n) for n in index.words})
     shingled = {n: index.shingled(n) for n in index.words}
     known = {s: np.unique(np.concatenate([shingled[n].ravel() for n in index.words if min(SHINGLE, n) == s])) for s in sizes}
-    often = _rarity(rows, known)
+    often = _rarity(rows.select(F.col(f"key.{field}") if field else "text"), known)
     # Prefix of each window: its rarest shingle, the smaller number among equals.
     prefixes = {}
     for s in sizes:
@@ -130,7 +133,8 @@ def _with_block(rows: DataFrame, items: list[tuple[str, str]], window: int) -> D
         index, prefixes = sent.value
         lookups = {s: _Lookup(p[0]) for s, p in prefixes.items()}
         for batch in batches:
-            for w in textscan.words(batch.column(2), WORD):
+            text = batch.column(2) if not field else pc.struct_field(batch.column(1), field)
+            for w in textscan.words(text, WORD):
                 rows_here = w.hi - w.lo
                 bounds = w.bounds()
                 edge = np.zeros(len(w.number) + 1, np.int64)
@@ -190,6 +194,9 @@ def _with_block(rows: DataFrame, items: list[tuple[str, str]], window: int) -> D
 def find_contamination(docs: DataFrame, items: DataFrame, window: int = 10, key: str = "doc_id", text: str = "text", item_key: str = "item_id", item_text: str = "text") -> DataFrame:
     """One row per document: ``key``, ``n_words``, ``n_hit``, ``spans`` and ``items``.
 
+    ``key`` may be a struct of the whole row and ``text`` a field of it
+    (``doc.text``): the row then travels as that one column.
+
     ``spans`` are the maximal runs [first, end) of hit words; a word is hit if
     it lies in an occurrence of an item's window. ``items`` are the ids of the
     items with an occurring window, as strings in string order, each once.
@@ -203,17 +210,20 @@ def find_contamination(docs: DataFrame, items: DataFrame, window: int = 10, key:
     and repeated rows keep a row each. No items: nothing is hit. Other columns
     are left out.
     """
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), F.col(text).cast("string").alias("text"))
+    store.small_batches(docs.sparkSession)
+    within = text.startswith(f"{key}.")
+    field = text.removeprefix(f"{key}.") if within else ""
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(key).alias("key"), *([] if within else [F.col(text).cast("string").alias("text")]))
     named = items.select(F.coalesce(F.col(item_key).cast("string"), F.lit("")).alias("id"), F.col(item_text).cast("string").alias("text")).where("text is not null")
     size = named.agg(F.sum(F.octet_length("text") + F.octet_length("id"))).first()[0] or 0
     n_blocks = max(1, -(-int(size) // BLOCK_BYTES))
     if n_blocks == 1:
-        found = _with_block(rows, [(r.id, r.text) for r in named.collect()], window)
+        found = _with_block(rows, [(r.id, r.text) for r in named.collect()], window, field)
     else:
         # Hash blocks are near equal in size; a row may exceed a block only by itself.
         rows = store.written(rows, "documents")
         block = F.pmod(F.xxhash64("id", "text"), F.lit(n_blocks))
-        parts = [_with_block(rows, [(r.id, r.text) for r in named.where(block == k).collect()], window) for k in range(n_blocks)]
+        parts = [_with_block(rows, [(r.id, r.text) for r in named.where(block == k).collect()], window, field) for k in range(n_blocks)]
         found = reduce(DataFrame.unionAll, parts).groupBy("row").agg(
             F.first("key").alias("key"), F.first("n_words").alias("n_words"), F.array_sort(F.flatten(F.collect_list("spans"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")
         )

@@ -16,10 +16,13 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from routecast.llm import store
+
 #: n-grams are numbered by a hash to this many bits.
 BITS = 17
 #: Bounds of the training sample: rows in all, landmarks among them, languages.
@@ -71,6 +74,7 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", spread: str
     a text that is copied very often doesn't fill it. Whole texts are reduced
     to presence bits by the executors; only those (16 kB a row) are collected.
     """
+    store.small_batches(labelled.sparkSession)
     rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"), F.xxhash64(*[c for c in (text, spread) if c]).alias("h"))
     rows = rows.where("lang is not null and text is not null")
     counts = {r[0]: r[1] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES + 1).collect()}
@@ -96,9 +100,10 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", spread: str
     marks = np.unique(np.linspace(0, len(got) - 1, min(LANDMARKS, len(got))).astype(int))
     size = np.array([int(np.unpackbits(x).sum()) for x in bits], np.float64)
     columns = np.flatnonzero(np.unpackbits(np.bitwise_or.reduce(bits[marks], axis=0)))
-    x = np.array([np.unpackbits(row)[columns] for row in bits]).astype(np.float32)
-    of_marks = x[marks] / np.sqrt(size[marks])[:, None].astype(np.float32)
-    kernel = (x @ of_marks.T).astype(np.float64) / np.sqrt(size)[:, None]
+    unpacked = lambda rows: np.unpackbits(rows, axis=1)[:, columns].astype(np.float32)
+    of_marks = unpacked(bits[marks]) / np.sqrt(size[marks])[:, None].astype(np.float32)
+    parts = [unpacked(bits[lo : lo + BATCH]) @ of_marks.T for lo in range(0, len(bits), BATCH)]
+    kernel = np.concatenate(parts).astype(np.float64) / np.sqrt(size)[:, None]
     value, vector = np.linalg.eigh(kernel[marks])
     good = value > 1e-6 * value.max()
     root = vector[:, good] / np.sqrt(value[good])
@@ -113,6 +118,9 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", spread: str
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
     """``docs`` with ``lang_pred`` and ``score`` (0 to 1), from the whole text alone.
 
+    ``text`` may name a field of a struct column (``doc.text``): whole rows then
+    travel as that one column.
+
     Narrow: one pass, no shuffle. ``und`` with score 0 if the text is null or
     has no letter, or if there is no model. Among equal scores the first
     language by name wins. Columns named like the added ones are replaced; all
@@ -120,7 +128,9 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
     """
     kept = [c for c in docs.columns if c not in ("lang_pred", "score")]
     sent = docs.sparkSession.sparkContext.broadcast(model)
-    at = kept.index(text)
+    store.small_batches(docs.sparkSession)
+    column, _, field = text.partition(".")
+    at = kept.index(column)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
@@ -130,7 +140,8 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
                 part = batch.slice(lo, BATCH)
                 names, scores = [UNDETERMINED] * part.num_rows, np.zeros(part.num_rows)
                 if model is not None:
-                    texts = part.column(at).to_pylist()
+                    texts = part.column(at)
+                    texts = (pc.struct_field(texts, field) if field else texts).to_pylist()
                     known = [i for i, t in enumerate(texts) if has_letter(t)]
                     x = np.zeros((len(known), len(model.columns)), np.float32)
                     for k, i in enumerate(known):

@@ -85,6 +85,7 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, end_id: int, size: int, k
     Narrow: one pass over the texts, no shuffle.
     """
     spark = docs.sparkSession
+    store.small_batches(spark)
     source = spark.sparkContext.broadcast(encoding.read_tokenizer(tokenizer_path))
     tail, step = int(end_id).to_bytes(4, "little"), 4 * size
 

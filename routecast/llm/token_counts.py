@@ -8,7 +8,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routecast.llm import encoding
+from routecast.llm import encoding, store
 
 #: Texts encoded together, in rows.
 BATCH = 500
@@ -26,6 +26,7 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, limit: int = 2048, key: s
     columns of ``docs`` are left out, whatever their names.
     """
     spark = docs.sparkSession
+    store.small_batches(spark)
     source = spark.sparkContext.broadcast(encoding.read_tokenizer(tokenizer_path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

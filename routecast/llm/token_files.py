@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from routecast.llm import encoding
+from routecast.llm import encoding, store
 
 BATCH = 500
 #: Bytes of a row group, of a page and of the dictionary; rows of a page.
@@ -49,6 +49,7 @@ def write_token_files(
     gives a store without rows. Other columns are left out.
     """
     spark = docs.sparkSession
+    store.small_batches(spark)
     source = spark.sparkContext.broadcast(encoding.read_tokenizer(tokenizer_path))
     tail = b"" if end_id is None else int(end_id).to_bytes(4, "little")
 
