@@ -28,7 +28,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents whose language can be told; only texts that are null or have no letter are rejected."""
     model = language.fit(docs.where(~language.held_out("doc_id")), spread="doc_id")
     # The whole row travels as one column, so its other columns can have any name.
-    told = language.predict(docs.select(F.struct("*").alias("doc"), "text"), model)
+    told = language.predict(docs.select(F.struct("*").alias("doc")), model, text="doc.text")
     return told.where(F.col("lang_pred") != language.UNDETERMINED).select("doc.*")
 
 
@@ -42,7 +42,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the documents in which no window of a benchmark item occurs."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    found = decontamination.find_contamination(docs.select(F.struct("*").alias("doc"), "text"), benchmark, key="doc")
+    found = decontamination.find_contamination(docs.select(F.struct("*").alias("doc")), benchmark, key="doc", text="doc.text")
     return found.where("n_hit = 0").select("doc.*")
 
 
