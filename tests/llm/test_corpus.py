@@ -97,6 +97,8 @@ def _varied(seed, n=260):
 
 @pytest.mark.parametrize("seed,block", [(1, 1024), (2, 16), (3, 5)])
 def test_near_duplicates_equal_brute_force(table, spark, seed, block, monkeypatch):
+    monkeypatch.setattr(near_duplicates, "DELEGATES", 3)
+    monkeypatch.setattr(near_duplicates, "CHAIN", 2)
     monkeypatch.setattr(near_duplicates, "BLOCK", block)
     texts = _varied(seed)
     keys = list(range(len(texts)))
