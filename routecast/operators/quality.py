@@ -9,6 +9,7 @@ collected to the driver.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -95,52 +96,63 @@ DECLARED_CHECKS: list[Check] = [
 ]
 
 
-def _label(model: str, column: str, test: str) -> list:
-    return [F.lit(model).alias("model"), F.lit(column).alias("column_name"), F.lit(test).alias("test")]
+def _cells(df: DataFrame, model: str, column: str, test: str) -> DataFrame:
+    """One labelled row for each row of ``df``."""
+    return df.select(F.lit(model).alias("model"), F.lit(column).alias("column_name"), F.lit(test).alias("test"))
 
 
-def _null_failures(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
-    """NULL counts of several columns of one table: one pass, one row before the shuffle."""
-    counts = df.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])
-    pairs = ", ".join(f"'{c}', `{c}`" for c in columns)
-    return counts.select(F.expr(f"stack({len(columns)}, {pairs}) as (column_name, failures)")).select(
-        F.lit(model).alias("model"), "column_name", F.lit("not_null").alias("test"), "failures"
-    )
-
-
-def _duplicates(df: DataFrame, model: str, column: str) -> DataFrame:
-    """Keys that occur more than once, counted; the column keeps its type."""
-    dup = unique_failures(df.select(column), column)
-    return dup.agg(F.count(F.lit(1)).alias("failures")).select(*_label(model, column, "unique"), "failures")
+def _keys(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
+    """The values of a table's unique columns: one pass, one row for each value."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
+    return df.select(F.lit(model).alias("model"), F.explode(pairs).alias("p")).select("model", "p.column_name", "p.value")
 
 
-def _count(df: DataFrame, model: str, column: str, test: str) -> DataFrame:
-    return df.agg(F.count(F.lit(1)).alias("failures")).select(*_label(model, column, test), "failures")
+def _nulls(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
+    """A labelled row for each NULL in ``columns``: one pass, and nothing for rows without one."""
+    missing = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns]), lambda c: c.isNotNull())
+    return df.select(F.explode(missing).alias("column_name")).select(F.lit(model).alias("model"), "column_name", F.lit("not_null").alias("test"))
 
 
 def dq_summary(tables: dict[str, DataFrame], checks: list[Check] = DECLARED_CHECKS) -> DataFrame:
     """One row per declared test with its number of failures, and one per
     quarantine with its number of rows.
 
-    NULL counts take one pass per table and shuffle one row per task. Only the
-    columns with a ``unique`` test are shuffled, each in its own type after a
-    partial count, and relationships are anti-joins. Every branch is a global
-    count, so a test over an empty table reports 0.
+    Every table is read once for its unique columns; their values meet in one
+    aggregation for all tables, which also counts their NULLs. Other columns
+    are only looked at for NULLs, so they shuffle nothing but a failure.
+    Relationships are anti-joins. All failures are counted in one aggregation,
+    after a count in each task. The declared tests are a small table that the
+    counts join, so a test over an empty table reports 0.
     """
-    not_null: dict[str, list[str]] = {}
-    for c in checks:
-        if c.test == "not_null":
-            not_null.setdefault(c.model, []).append(c.column)
-    parts = [_null_failures(tables[m], m, list(dict.fromkeys(cols))) for m, cols in not_null.items()]
+    spark = next(iter(tables.values())).sparkSession
+    unique: dict[str, list[str]] = {}
     for c in checks:
         if c.test == "unique":
-            parts.append(_duplicates(tables[c.model], c.model, c.column))
+            unique.setdefault(c.model, []).append(c.column)
+    only_null: dict[str, list[str]] = {}
+    failures = []
+    for c in checks:
+        if c.test == "not_null" and c.column not in unique.get(c.model, ()):
+            only_null.setdefault(c.model, []).append(c.column)
         elif c.test == "relationships":
             orphans = relationship_failures(tables[c.model], c.column, tables[c.parent], c.parent_column)
-            parts.append(_count(orphans, c.model, c.column, "relationships"))
+            failures.append(_cells(orphans, c.model, c.column, c.test))
         elif c.test == "quarantine":
-            parts.append(_count(tables[c.model], c.model, c.column, "quarantine"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("model", "column_name", "test", F.col("failures").cast("long").alias("failures"))
+            failures.append(_cells(tables[c.model], c.model, c.column, c.test))
+    failures += [_nulls(tables[m], m, columns) for m, columns in only_null.items()]
+    counts = []
+    if failures:
+        counts.append(reduce(DataFrame.unionByName, failures).groupBy("model", "column_name", "test").agg(F.count(F.lit(1)).alias("failures")))
+    if unique:
+        values = reduce(DataFrame.unionByName, [_keys(tables[m], m, columns) for m, columns in unique.items()])
+        per_value = values.groupBy("model", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+        per_column = per_value.groupBy("model", "column_name").agg(
+            F.count_if(F.col("value").isNotNull() & (F.col("n") > 1)).alias("u"),
+            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n"),
+        )
+        counts.append(per_column.select("model", "column_name", F.expr("stack(2, 'unique', u, 'not_null', n) as (test, failures)")))
+    declared = spark.createDataFrame([(c.model, c.column, c.test) for c in checks], "model string, column_name string, test string")
+    found = reduce(DataFrame.unionByName, counts)
+    return declared.join(found, ["model", "column_name", "test"], "left").select(
+        "model", "column_name", "test", F.coalesce("failures", F.lit(0)).cast("long").alias("failures")
+    )
