@@ -16,16 +16,17 @@ import html
 import json
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from routecast.llm import store
 
+#: Pages turned into Python strings at a time.
+BATCH = 256
 #: Streams that one task aligns in a row; more of a host are aligned in levels.
 ALIGNED = 64
 #: Longest run looked at as a repeated group, in tokens.
@@ -121,8 +122,11 @@ def read_page(source: str) -> Iterator[tuple[str, str, str]]:
         yield "text", source[at:], here
 
 
-def blocks(source: str) -> list[tuple[str, str]]:
-    """The (path, text) of each block: references decoded, white space made one space, trimmed; empty ones left out."""
+Token = tuple[str, str, str]
+
+
+def blocks(tokens: Iterable[Token]) -> list[tuple[str, str]]:
+    """The (path, text) of each block of a read page: references decoded, white space made one space, trimmed; empty ones left out."""
     out: list[tuple[str, str]] = []
     parts: list[str] = []
     where = ""
@@ -133,7 +137,7 @@ def blocks(source: str) -> list[tuple[str, str]]:
         if text:
             out.append((where, text))
 
-    for kind, value, path in read_page(source):
+    for kind, value, path in tokens:
         if kind != "text":
             flush()
         else:
@@ -148,10 +152,10 @@ def blocks(source: str) -> list[tuple[str, str]]:
 # ---- wrappers: nested lists; an item is a token or [sign, item, ...] with sign '+' or '?'
 
 
-def stream(source: str) -> list[str]:
-    """The page's tokens: ``<label>``, ``</name>`` and ``#`` for text."""
+def stream(tokens: Iterable[Token]) -> list[str]:
+    """A read page's tokens as ``<label>``, ``</name>`` and ``#`` for text."""
     out: list[str] = []
-    for kind, value, _ in read_page(source):
+    for kind, value, _ in tokens:
         if kind == "text":
             if not value.isspace() and (not out or out[-1] != "#"):
                 out.append("#")
@@ -222,6 +226,12 @@ def as_text(wrapper: list) -> str:
     return "".join(x if isinstance(x, str) else f"({as_text(x[1:])}){x[0]}" for x in wrapper)
 
 
+def _pages(batch: pa.RecordBatch, host: int, source: int) -> Iterator[tuple[str, str | None]]:
+    for lo in range(0, batch.num_rows, BATCH):
+        part = batch.slice(lo, BATCH)
+        yield from zip(part.column(host).to_pylist(), part.column(source).to_pylist())
+
+
 def _host(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
 
@@ -239,13 +249,15 @@ def infer_wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> Da
     in as many levels as it takes.
     """
 
+    store.small_batches(pages.sparkSession)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen: dict[tuple[str, str, str], list[int]] = {}
-            for host, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                source = source or ""
-                own = {(host, "stream", json.dumps(grouped(stream(source)))): 0}
-                for path, text in blocks(source):
+            for host, source in _pages(batch, 0, 1):
+                tokens = list(read_page(source or ""))
+                own = {(host, "stream", json.dumps(grouped(stream(tokens)))): 0}
+                for path, text in blocks(tokens):
                     k = (host, "slot", path)
                     own[k] = zlib.crc32(text.encode("utf-8", "replace"), own.get(k, 0))
                 for k, h in own.items():
@@ -258,12 +270,13 @@ def infer_wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> Da
     found = rows.mapInArrow(run, "host string, kind string, value string, n long, low long, high long")
     found = store.written(found.groupBy("host", "kind", "value").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")), "streams")
 
-    def align(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["n", "value"], ascending=[False, True])
-        whole: list = []
-        for k, value in enumerate(pdf["value"]):
-            whole = json.loads(value) if not k else aligned(whole, json.loads(value))
-        return pd.DataFrame({"host": [pdf["host"].iloc[0]], "value": [json.dumps(whole)], "n": [int(pdf["n"].sum())]})
+    def align(group: tuple, rows: pa.Table) -> pa.Table:
+        n = rows["n"].to_pylist()
+        ordered = sorted(zip(n, rows["value"].to_pylist()), key=lambda x: (-x[0], x[1]))
+        whole = json.loads(ordered[0][1])
+        for _, value in ordered[1:]:
+            whole = aligned(whole, json.loads(value))
+        return pa.table({"host": [group[0].as_py()], "value": [json.dumps(whole)], "n": pa.array([sum(n)], pa.int64()), "wrapper": [as_text(whole)]})
 
     level = found.where("kind = 'stream'").select("host", "value", "n")
     while True:
@@ -271,15 +284,12 @@ def infer_wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> Da
         most = counts.agg(F.max("streams")).first()[0] or 0
         parts = F.ceil(F.col("streams") / ALIGNED)
         dealt = level.join(counts, "host").withColumn("part", F.pmod(F.xxhash64("value"), parts))
-        level = dealt.groupBy("host", "part").applyInPandas(align, "host string, value string, n long")
+        level = dealt.groupBy("host", "part").applyInArrow(align, "host string, value string, n long, wrapper string")
         if most <= ALIGNED:
             break
         level = store.written(level, "wrappers")
 
-    def texts(pdf: pd.DataFrame) -> pd.DataFrame:
-        return pd.DataFrame({"host": pdf["host"], "wrapper": [as_text(json.loads(v)) for v in pdf["value"]], "n_pages": pdf["n"]})
-
-    wrappers = level.groupBy("host").applyInPandas(texts, "host string, wrapper string, n_pages long")
+    wrappers = level.select("host", "wrapper", F.col("n").alias("n_pages"))
     slot = F.struct(F.col("value").alias("path"), F.col("n").alias("n_pages"), (F.col("low") == F.col("high")).alias("constant"))
     slots = found.where("kind = 'slot'").groupBy("host").agg(F.array_sort(F.collect_list(slot)).alias("slots"))
     return store.written(wrappers.join(slots, "host", "left"), "wrappers")
@@ -314,16 +324,15 @@ def extract_text(pages: DataFrame, wrappers: DataFrame, keys: tuple[str, ...] =
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, tuple[set[str], set[str]]] = {}
         for batch in batches:
-            hosts, sources, slots = batch.column(1).to_pylist(), batch.column(2).to_pylist(), batch.column(3)
-            out = []
-            for k, (host, source) in enumerate(zip(hosts, sources)):
+            slots, out = batch.column(3), []
+            for k, (host, source) in enumerate(_pages(batch, 1, 2)):
                 if host not in known:
                     if len(known) > 1000:
                         known.clear()
                     inside, outside = kept_slots(slots[k].as_py() or [], batch.column(4)[k].as_py() or 0)
                     known[host] = set(inside), set(outside)
                 inside, outside = known[host]
-                found = blocks(source or "")
+                found = blocks(read_page(source or ""))
                 marked = any("*" in path for path, _ in found)
                 out.append("\n".join(text for path, text in found if path in (inside if marked else outside)))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["keys", "text"])
