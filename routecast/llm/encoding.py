@@ -26,9 +26,8 @@ import numpy as np
 CHUNK = 1 << 16
 #: First overlap of two chunks, in code points; doubled while they don't agree.
 OVERLAP = 1 << 10
-#: Encoded words kept by a process, in two generations: when the younger is
-#: full, the older is dropped, and words that are still in use move over.
-KEPT_WORDS = 400_000
+#: Encoded words kept by a process; the table starts anew beyond it.
+KEPT_WORDS = 500_000
 #: Tokens that must agree on both sides of a splice.
 AGREE = 8
 
@@ -70,7 +69,6 @@ class Encoder:
         self.library.no_padding()
         self.by_word = _encodes_words_alone(json.loads(source))
         self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
         if self.by_word:
             level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
             self.byte_letters = {
@@ -91,12 +89,10 @@ class Encoder:
     def _by_words(self, texts: list[str]) -> list[bytes]:
         parts = [_words(t) for t in texts]
         unseen = set().union(*parts).difference(self.words)
-        if len(self.words) + len(unseen) > KEPT_WORDS // 2:
-            self.words, self.older = {}, self.words
+        if len(self.words) + len(unseen) > KEPT_WORDS:
+            self.words = {}
             unseen = set().union(*parts)
-        known = self.older.keys() & unseen
-        self.words.update((w, self.older[w]) for w in known)
-        self._learn(unseen - known)
+        self._learn(unseen)
         words = self.words
         return [b"".join([words[w] for w in p]) for p in parts]
 
