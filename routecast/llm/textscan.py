@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Bytes scanned at a time; a longer row is cut at a separator.
-SEGMENT = 1 << 20
+SEGMENT = 1 << 19
 
 _RANDOM = np.random.default_rng(20_240_917)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64) | np.uint64(1)
