@@ -5,20 +5,24 @@ a stream, a run that repeats side by side becomes a repeated group ``(...)+``.
 The distinct streams of a host are aligned one after the other; what one side
 alone has becomes an optional group ``(...)?``, a repeated group takes in its
 single occurrences, and texts that differ become slots. The result is the
-host's wrapper. Its slots are then labelled by the elements around them
-(article or page furniture) and by whether their text is the same on every
-page, and the pages' texts are read out through the labelled slots.
+host's wrapper. Every distinct stream is matched against it, which tells the slot of
+each text. The slots are then labelled by the elements around them (article or
+page furniture) and by whether their text is the same on every page, and each
+page is matched again and read out through the labelled slots.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
+import itertools
 import json
 import re
 import zlib
 from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,8 +33,10 @@ from routecast.llm import store
 BATCH = 256
 #: Streams that one task aligns in a row; more of a host are aligned in levels.
 ALIGNED = 64
-#: Longest run looked at as a repeated group, in tokens.
-LONGEST_GROUP = 24
+#: Repeated groups up to this length, in tokens, are looked for first; longer ones where there are none.
+SHORT_GROUP = 24
+#: Tokens of a wrapper beyond which its optional parts are made groups of their distinct pieces.
+WIDEST = 1000
 #: Wrappers up to this size in all are sent to every task; more are joined by host.
 BROADCAST_BYTES = 16 << 20
 
@@ -66,13 +72,14 @@ class _Open:
         named = [m[2] or m[3] or m[4] or "" for m in _NAMES.finditer(attributes)] if attributes else []
         words = {w for text in named for w in _WORD.findall(text.lower())}
         self.name = name
-        self.label = name + "".join("." + w for w in sorted(words))
+        hidden = bool(attributes and _HIDDEN.search(attributes))
+        self.label = name + "".join("." + w for w in sorted(words)) + (".-hidden" if hidden else "")
         shown = words & FURNITURE_WORDS
         header = name == "header" or bool(words & HEADER_WORDS)
         self.content = name in CONTENT or "articlebody" in words
         # A header inside an article is the article's own.
         self.furniture = (
-            name in FURNITURE or bool(shown - HEADER_WORDS) or (header and not in_content) or bool(attributes and _HIDDEN.search(attributes))
+            name in FURNITURE or bool(shown - HEADER_WORDS) or (header and not in_content) or hidden
         )
 
 
@@ -122,76 +129,108 @@ def read_page(source: str) -> Iterator[tuple[str, str, str]]:
         yield "text", source[at:], here
 
 
-Token = tuple[str, str, str]
+def parsed(source: str) -> tuple[list[str], list[tuple[str, str]], int]:
+    """A page's stream, the (path, text) of each of its text tokens, and how many content elements it opens outside furniture.
 
-
-def blocks(tokens: Iterable[Token]) -> list[tuple[str, str]]:
-    """The (path, text) of each block of a read page: references decoded, white space made one space, trimmed; empty ones left out."""
-    out: list[tuple[str, str]] = []
+    The stream holds ``<label>``, ``</name>`` and ``#`` for a text, with the
+    element after it where a text is furniture inside a line. Texts have their
+    references decoded, white space made one space, and are trimmed; empty ones
+    are left out.
+    """
+    out: list[str] = []
+    texts: list[tuple[str, str]] = []
     parts: list[str] = []
-    where = ""
+    where, contents = "", 0
 
     def flush() -> None:
         text = " ".join(html.unescape("".join(parts)).split())
         parts.clear()
         if text:
-            out.append((where, text))
+            inner = where.rpartition("/")[2]
+            out.append("#" + inner if inner.lstrip("!~").partition(".")[0] in INLINE else "#")
+            texts.append((where, text))
 
-    for kind, value, path in tokens:
-        if kind != "text":
-            flush()
-        else:
+    for kind, value, path in read_page(source):
+        if kind == "text":
             if parts and path != where:
                 flush()
             where = path
             parts.append(value)
+        else:
+            flush()
+            out.append(f"<{value}>" if kind == "open" else f"</{value}>")
+            contents += kind == "open" and path.rpartition("/")[2].startswith("*") and "!" not in path
     flush()
-    return out
+    return out, texts, contents
 
 
 # ---- wrappers: nested lists; an item is a token or [sign, item, ...] with sign '+' or '?'
 
 
-def stream(tokens: Iterable[Token]) -> list[str]:
-    """A read page's tokens as ``<label>``, ``</name>`` and ``#`` for text."""
-    out: list[str] = []
-    for kind, value, _ in tokens:
-        if kind == "text":
-            if not value.isspace() and (not out or out[-1] != "#"):
-                out.append("#")
-        else:
-            out.append(f"<{value}>" if kind == "open" else f"</{value}>")
-    return out
+_REPEAT = re.compile("(.{1,%d}?)\\1+" % SHORT_GROUP, re.S)
 
 
-_REPEAT = re.compile("(.{1,%d}?)\\1+" % LONGEST_GROUP, re.S)
-
-
-def grouped(tokens: list) -> list:
+def _repeats(items: list) -> list[tuple[int, int, int]]:
+    """Runs that repeat side by side, as (start, end, length of one): short ones, or, if there are none, the shortest of any length."""
+    code: dict = {}
+    numbers = [code.setdefault(t, len(code)) for t in items]
+    found = [(m.start(), m.end(), len(m[1])) for m in _REPEAT.finditer("".join(chr(0x100 + c) for c in numbers))]
+    if found or len(items) <= 2 * SHORT_GROUP:
+        return found
+    s = np.array(numbers)
+    for size in range(SHORT_GROUP + 1, len(s) // 2 + 1):
+        # ``size`` places in a row that equal those ``size`` later include one of these.
+        if not (s[size - 1 : len(s) - size : size] == s[2 * size - 1 :: size]).any():
+            continue
+        edges = np.flatnonzero(np.diff(np.concatenate([[0], s[:-size] == s[size:], [0]])))
+        at = 0
+        for lo, hi in zip(edges[::2].tolist(), edges[1::2].tolist()):
+            lo = max(lo, at)
+            if hi - lo >= size:
+                at = lo + size * ((hi - lo) // size + 1)
+                found.append((lo, at, size))
+        if found:
+            return found
+    return found
+
+
+def folded(tokens: list[str]) -> tuple[list, list[int]]:
+    """The stream with repeated groups, inner ones first, and for each of its texts the number of the text token that it became."""
+    items: list = list(tokens)
+    count = itertools.count()
+    texts: list[list[list[int]]] = [[[next(count)]] if t.startswith("#") else [] for t in tokens]
+    while runs := _repeats(items):
+        new, own, at = [], [], 0
+        for lo, hi, size in runs:
+            new += items[at:lo]
+            own += texts[at:lo]
+            body = items[lo : lo + size]
+            body = body[0][1:] if size == 1 and isinstance(body[0], tuple) and body[0][0] == "+" else tuple(body)
+            new.append(("+", *body))
+            each = [[x for t in texts[p : p + size] for x in t] for p in range(lo, hi, size)]
+            own.append([[k for x in same for k in x] for same in zip(*each)])
+            at = hi
+        items, texts = new + items[at:], own + texts[at:]
+    became = [0] * next(count)
+    for number, same in enumerate(x for t in texts for x in t):
+        for k in same:
+            became[k] = number
+    return _lists(items), became
+
+
+def _lists(items) -> list:
+    return [x if isinstance(x, str) else _lists(x) for x in items]
+
+
+def grouped(tokens: list[str]) -> list:
     """Runs that repeat side by side become one repeated group, inner ones first."""
-    items = [json.dumps(t) for t in tokens]
-    while True:
-        code = {t: chr(0x100 + k) for k, t in enumerate(dict.fromkeys(items))}
-        back = {c: t for t, c in code.items()}
-        text = "".join(code[t] for t in items)
-        found = list(_REPEAT.finditer(text))
-        if not found:
-            return [json.loads(t) for t in items]
-        new, at = [], 0
-        for m in found:
-            new += items[at : m.start()]
-            body = [json.loads(back[c]) for c in m[1]]
-            body = body[0][1:] if len(body) == 1 and isinstance(body[0], list) and body[0][0] == "+" else body
-            new.append(json.dumps(["+", *body]))
-            at = m.end()
-        items = new + items[at:]
+    return folded(tokens)[0]
 
 
 def _key(item) -> str:
     if isinstance(item, str):
         return item
-    inner = item[1]
-    return f"({_key(inner)}" if item[0] == "+" else f"{_key(inner)}?"
+    return f"({_key(item[1])}){item[0]}"
 
 
 def _bare(items: list) -> list:
@@ -199,25 +238,86 @@ def _bare(items: list) -> list:
     return [x for i in items for x in (_bare(i[1:]) if isinstance(i, list) else [i])]
 
 
-def aligned(a: list, b: list) -> list:
-    """One wrapper for both: equal items stay, a repeated group takes in its occurrences, the rest becomes optional."""
+def _opened(items: list, run: tuple = ()) -> list[tuple]:
+    """The items with optional groups opened: (item, the optional groups it was in)."""
+    out = []
+    for k, x in enumerate(items):
+        if isinstance(x, list) and x[0] == "?":
+            out += _opened(x[1:], (*run, k))
+        else:
+            out.append((x, run))
+    return out
+
+
+def _closed(opened: Iterable[tuple]) -> list:
+    """Neighbours of the same optional group are one group again."""
     out: list = []
-    for op, i, j, p, q in SequenceMatcher(None, [_key(x) for x in a], [_key(x) for x in b], autojunk=False).get_opcodes():
+    for run, same in itertools.groupby(opened, key=lambda x: x[1]):
+        items = [x for x, _ in same]
+        out += [["?", *items]] if run else items
+    return out
+
+
+def aligned(a: list, b: list) -> list:
+    """One wrapper for both: equal items stay, a repeated group takes in its occurrences, the rest becomes optional.
+
+    It has every stream of either side. Optional groups are opened first, so
+    what an earlier page lacked still meets its like in the next one.
+    """
+    out: list[tuple] = []
+    left, right = _opened(a), _opened(b)
+    for op, i, j, p, q in SequenceMatcher(None, [_key(x) for x, _ in left], [_key(x) for x, _ in right], autojunk=False).get_opcodes():
         if op == "equal":
-            for x, y in zip(a[i:j], b[p:q]):
-                out.append(x if x == y else [x[0], *aligned(x[1:], y[1:])])
+            for (x, r), (y, t) in zip(left[i:j], right[p:q]):
+                out.append((x if x == y else [x[0], *aligned(x[1:], y[1:])], ("=", r, t) if r or t else ()))
             continue
-        left, right = a[i:j], b[p:q]
-        for one, other in ((left, right), (right, left)):
+        sides = left[i:j], right[p:q]
+        bare = [_bare([x for x, _ in side]) for side in sides]
+        for one, other in (sides, sides[::-1]):
             # A group on one side against its own body, once, on the other.
-            if len(one) == 1 and isinstance(one[0], list) and other and _bare(one) == _bare(other):
-                out.append(one[0])
+            if len(one) == 1 and isinstance(one[0][0], list) and bare[0] == bare[1]:
+                out.append((["+", *aligned(one[0][0][1:], _closed(other))], ("+", i, p) if any(r for _, r in one + other) else ()))
                 break
         else:
-            for run in (left, right):
+            for n, run in enumerate(sides):
                 # What the wrapper has just repeated is another occurrence of it.
-                if run and not (out and isinstance(out[-1], list) and _bare([out[-1]]) == _bare(run)):
-                    out.append(run[0] if len(run) == 1 and isinstance(run[0], list) and run[0][0] == "?" else ["?", *run])
+                if run and out and isinstance(out[-1][0], list) and _bare([out[-1][0]]) == bare[n]:
+                    out[-1] = (["+", *aligned(out[-1][0][1:], _closed(run))], ("+", i, p, n) if out[-1][1] else ())
+                else:
+                    out += [(x, (n, i, p, r)) for x, r in run]
+    return _closed(out)
+
+
+def _pieces(items: list) -> list[tuple]:
+    """Runs of tokens that always occur whole, cut before each opening tag."""
+    out: list[tuple] = []
+    for is_group, run in itertools.groupby(items, key=lambda x: isinstance(x, list)):
+        for x in run:
+            if is_group:
+                out += _pieces(x[1:])
+            elif out and out[-1] and not (x[0] == "<" and x[1] != "/"):
+                out[-1] = (*out[-1], x)
+            else:
+                out.append((x,))
+        out.append(())
+    return [x for x in dict.fromkeys(out) if x]
+
+
+def narrowed(wrapper: list) -> list:
+    """A wrapper of more than ``WIDEST`` tokens with what lies between two tokens that every page has made one group of its distinct pieces.
+
+    The group ``((piece)?(piece)?...)+`` has its pieces in any order, so it has
+    all that was there before: hosts whose pages all differ get a wider
+    wrapper, not an ever longer one.
+    """
+    if len(_bare(wrapper)) <= WIDEST:
+        return wrapper
+    out: list = []
+    for is_group, run in itertools.groupby(wrapper, key=lambda x: isinstance(x, list)):
+        items = list(run)
+        pieces = _pieces(items) if is_group else []
+        short = is_group and sum(map(len, pieces)) < len(_bare(items))
+        out += [["?", ["+", *(["?", *x] for x in pieces)]]] if short else items
     return out
 
 
@@ -226,87 +326,217 @@ def as_text(wrapper: list) -> str:
     return "".join(x if isinstance(x, str) else f"({as_text(x[1:])}){x[0]}" for x in wrapper)
 
 
+class Matcher:
+    """Finds the place in a wrapper of every token of a stream.
+
+    Places are the tokens of the wrapper in their order; ``after[p]`` says for
+    each token which places can follow place p (-1 is the start). All ways
+    through the wrapper are followed at once, so time is linear in the stream.
+    """
+
+    def __init__(self, wrapper: list):
+        self.tokens = _bare(wrapper)
+        self.after: list[dict[str, dict[int, None]]] = [{} for _ in range(len(self.tokens) + 1)]
+        self.count = itertools.count()
+        first, last, empty = self._sequence(wrapper)
+        self._link([-1], first)
+        self.ends = set(last) | ({-1} if empty else set())
+
+    def _link(self, last: Iterable[int], first: Iterable[int]) -> None:
+        for p in last:
+            for q in first:
+                self.after[p].setdefault(self.tokens[q], {})[q] = None
+
+    def _sequence(self, items: list) -> tuple[list[int], list[int], bool]:
+        """The places a sequence can begin and end with, and whether it can be empty."""
+        first, last, empty = [], [], True
+        for item in items:
+            if isinstance(item, str):
+                f = t = [next(self.count)]
+                e = False
+            else:
+                f, t, e = self._sequence(item[1:])
+                if item[0] == "+":
+                    self._link(t, f)
+                else:
+                    e = True
+            self._link(last, f)
+            first = first + f if empty else first
+            last = last + t if e else t
+            empty = empty and e
+        return first, last, empty
+
+    def places(self, tokens: list[str]) -> list[int] | None:
+        """The place of each token; None if the wrapper doesn't have the stream."""
+        steps: list[dict[int, int]] = []
+        here: Iterable[int] = (-1,)
+        for t in tokens:
+            step: dict[int, int] = {}
+            for p in here:
+                for q in self.after[p].get(t, ()):
+                    step.setdefault(q, p)
+            if not step:
+                return None
+            steps.append(step)
+            here = step
+        end = min((p for p in here if p in self.ends), default=None)
+        if end is None:
+            return None
+        out = []
+        for step in reversed(steps):
+            out.append(end)
+            end = step[end]
+        return out[::-1]
+
+    def slots(self, folded_stream: list) -> list[int] | None:
+        """The place of each text token of a folded stream, each group taken once."""
+        tokens = _bare(folded_stream)
+        places = self.places(tokens)
+        return None if places is None else [p for p, t in zip(places, tokens) if t.startswith("#")]
+
+
 def _pages(batch: pa.RecordBatch, host: int, source: int) -> Iterator[tuple[str, str | None]]:
     for lo in range(0, batch.num_rows, BATCH):
         part = batch.slice(lo, BATCH)
         yield from zip(part.column(host).to_pylist(), part.column(source).to_pylist())
 
 
+_COUNTS = ("n", "low", "high", "chars", "texts")
+
+
+def _digest(value: str) -> str:
+    return hashlib.blake2b(value.encode("utf-8", "replace"), digest_size=16).hexdigest()
+
+
 def _host(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
 
 
 def infer_wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """One row per host: ``host``, ``wrapper`` (regular expression), ``n_pages`` and ``slots``.
+    """One row per host: ``host``, ``wrapper`` (regular expression), ``expression`` (the same as JSON), ``n_pages``, ``contents`` and ``slots``.
 
-    ``slots``: array of (path, n_pages, constant): each text slot by the path of
-    its elements, how many pages fill it, and whether every page of the host
-    fills it with the same text.
+    ``slots``: array of (slot, path, n_pages, constant, chars, texts): each text
+    slot by its place in the wrapper and the elements around it there, how many
+    pages fill it, whether every page that does fills it with the same text, and
+    how many characters and texts it has on all pages. ``contents``: content
+    elements on all pages.
 
     A host's pages are reduced to their distinct streams and to a row for each
-    slot before anything is shuffled, so a host with a third of all pages costs
-    no more than its distinct streams; those are aligned ``ALIGNED`` at a time
-    in as many levels as it takes.
+    text token of these before anything is shuffled, so a host with a third of
+    all pages costs no more than its distinct streams; those are aligned
+    ``ALIGNED`` at a time in as many levels as it takes, and each is then
+    matched against the wrapper.
     """
 
     store.small_batches(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[tuple[str, str, str], list[int]] = {}
+            seen: dict[tuple[str, str, int, str], list[int]] = {}
             for host, source in _pages(batch, 0, 1):
-                tokens = list(read_page(source or ""))
-                own = {(host, "stream", json.dumps(grouped(stream(tokens)))): 0}
-                for path, text in blocks(tokens):
-                    k = (host, "slot", path)
-                    own[k] = zlib.crc32(text.encode("utf-8", "replace"), own.get(k, 0))
-                for k, h in own.items():
-                    n = seen.setdefault(k, [0, h, h])
-                    n[0], n[1], n[2] = n[0] + 1, min(n[1], h), max(n[2], h)
+                tokens, texts, contents = parsed(source or "")
+                whole, became = folded(tokens)
+                value = json.dumps(whole)
+                name = _digest(value)
+                own: dict[tuple[str, str, int, str], list[int]] = {(host, name, -1, value): [0, contents, 0]}
+                for slot, (path, text) in zip(became, texts):
+                    at = own.setdefault((host, name, slot, path), [0, 0, 0])
+                    at[0], at[1], at[2] = zlib.crc32(text.encode("utf-8", "replace"), at[0]), at[1] + len(text), at[2] + 1
+                for k, (h, chars, n_texts) in own.items():
+                    n = seen.setdefault(k, [0, h, h, 0, 0])
+                    n[0], n[1], n[2], n[3], n[4] = n[0] + 1, min(n[1], h), max(n[2], h), n[3] + chars, n[4] + n_texts
             rows = [(*k, *v) for k, v in seen.items()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 6, (pa.string(),) * 3 + (pa.int64(),) * 3)], names=["host", "kind", "value", "n", "low", "high"])
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.string(), *[pa.int64()] * 5)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 9, kinds)], names=["host", "stream", "slot", "value", *_COUNTS])
 
     rows = pages.select(_host(F.col(url)).alias("host"), F.col(page).cast("string").alias("html"))
-    found = rows.mapInArrow(run, "host string, kind string, value string, n long, low long, high long")
-    found = store.written(found.groupBy("host", "kind", "value").agg(F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high")), "streams")
+    counts = "n long, low long, high long, chars long, texts long"
+    found = rows.mapInArrow(run, f"host string, stream string, slot long, value string, {counts}")
+    totals = [(F.min if c == "low" else F.max if c == "high" else F.sum)(c).alias(c) for c in _COUNTS]
+    found = store.written(found.groupBy("host", "stream", "slot", "value").agg(*totals), "streams")
 
     def align(group: tuple, rows: pa.Table) -> pa.Table:
         n = rows["n"].to_pylist()
         ordered = sorted(zip(n, rows["value"].to_pylist()), key=lambda x: (-x[0], x[1]))
         whole = json.loads(ordered[0][1])
         for _, value in ordered[1:]:
-            whole = aligned(whole, json.loads(value))
+            whole = narrowed(aligned(whole, json.loads(value)))
         return pa.table({"host": [group[0].as_py()], "value": [json.dumps(whole)], "n": pa.array([sum(n)], pa.int64()), "wrapper": [as_text(whole)]})
 
-    level = found.where("kind = 'stream'").select("host", "value", "n")
+    level = found.where("slot < 0").select("host", "value", "n")
     while True:
-        counts = level.groupBy("host").agg(F.count("*").alias("streams"))
-        most = counts.agg(F.max("streams")).first()[0] or 0
+        per_host = level.groupBy("host").agg(F.count("*").alias("streams"))
+        most = per_host.agg(F.max("streams")).first()[0] or 0
         parts = F.ceil(F.col("streams") / ALIGNED)
-        dealt = level.join(counts, "host").withColumn("part", F.pmod(F.xxhash64("value"), parts))
-        level = dealt.groupBy("host", "part").applyInArrow(align, "host string, value string, n long, wrapper string")
+        dealt = level.join(per_host, "host").withColumn("part", F.pmod(F.xxhash64("value"), parts))
+        level = store.written(dealt.groupBy("host", "part").applyInArrow(align, "host string, value string, n long, wrapper string"), "aligned")
         if most <= ALIGNED:
             break
-        level = store.written(level, "wrappers")
 
-    wrappers = level.select("host", "wrapper", F.col("n").alias("n_pages"))
-    slot = F.struct(F.col("value").alias("path"), F.col("n").alias("n_pages"), (F.col("low") == F.col("high")).alias("constant"))
-    slots = found.where("kind = 'slot'").groupBy("host").agg(F.array_sort(F.collect_list(slot)).alias("slots"))
-    return store.written(wrappers.join(slots, "host", "left"), "wrappers")
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, matcher = None, None
+        for batch in batches:
+            out = []
+            for host, value, slots, expression in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                if (host, expression) != last:
+                    last, matcher = (host, expression), Matcher(json.loads(expression))
+                places = matcher.slots(json.loads(value))
+                out += [(host, places[s["slot"]], s["value"], *(s[c] for c in _COUNTS)) for s in slots or () if places]
+            kinds = (pa.string(), pa.int64(), pa.string(), *[pa.int64()] * 5)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 8, kinds)], names=["host", "slot", "path", *_COUNTS])
+
+    wrappers = level.select("host", "wrapper", F.col("value").alias("expression"), F.col("n").alias("n_pages"))
+    text = F.when(F.col("slot") >= 0, F.struct("slot", "value", *_COUNTS))
+    streams = found.groupBy("host", "stream").agg(F.max(F.when(F.col("slot") < 0, F.col("value"))).alias("value"), F.collect_list(text).alias("texts"))
+    n_bytes = level.agg(F.sum(F.length("value") + F.length("host"))).first()[0] or 0
+    small = wrappers.select("host", "expression")
+    small = F.broadcast(small) if n_bytes <= BROADCAST_BYTES else small
+    placed = streams.join(small, "host").select("host", "value", "texts", "expression").mapInArrow(match, f"host string, slot long, path string, {counts}")
+    slot = placed.groupBy("host", "slot", "path").agg(*totals)
+    named = F.struct("slot", "path", F.col("n").alias("n_pages"), (F.col("low") == F.col("high")).alias("constant"), "chars", "texts")
+    slots = slot.groupBy("host").agg(F.array_sort(F.collect_list(named)).alias("slots"))
+    contents = found.where("slot < 0").groupBy("host").agg(F.sum("chars").alias("contents"))
+    return store.written(wrappers.join(contents, "host").join(slots, "host", "left"), "wrappers")
 
 
-def kept_slots(slots: list[dict], n_pages: int) -> tuple[list[str], list[str]]:
-    """The paths that hold main text: on pages with content elements, and on pages without.
+def kept_slots(slots: list[dict], n_pages: int) -> tuple[set[tuple[int, str]], set[tuple[int, str]]]:
+    """The slots that hold main text: on pages with content elements, and on pages without.
 
     Furniture never does. Where a page marks its content, the slots inside do.
     Elsewhere those do whose text is not the same on all of the host's pages.
     """
     plain = [s for s in slots if "!" not in s["path"]]
-    inside = [s["path"] for s in plain if "*" in s["path"]]
-    outside = [s["path"] for s in plain if not (s["constant"] and n_pages > 1 and s["n_pages"] == n_pages)]
+    inside = {(s["slot"], s["path"]) for s in plain if "*" in s["path"]}
+    outside = {(s["slot"], s["path"]) for s in plain if not (s["constant"] and n_pages > 1 and s["n_pages"] == n_pages)}
     return inside, outside
 
 
+class _Reader:
+    """A host's matcher and kept slots."""
+
+    def __init__(self, expression: str | None, slots: list[dict] | None, n_pages: int | None):
+        self.matcher = Matcher(json.loads(expression)) if expression is not None else None
+        self.inside, self.outside = kept_slots(slots or [], n_pages or 0)
+        self.known: dict[str, list[int] | None] = {}
+
+    def text(self, source: str) -> str:
+        tokens, texts, contents = parsed(source)
+        whole, became = folded(tokens)
+        value = json.dumps(whole)
+        if value not in self.known:
+            if len(self.known) > 1000:
+                self.known.clear()
+            self.known[value] = self.matcher.slots(whole) if self.matcher else None
+        places, inside, outside = self.known[value], self.inside, self.outside
+        if places is None:
+            # Not a page of the wrapper's host: judged by itself.
+            places = list(range(len(became)))
+            alone = [{"slot": k, "path": p, "n_pages": 1, "constant": True, "chars": len(t), "texts": 1} for k, (p, t) in zip(became, texts)]
+            inside, outside = kept_slots(alone, 1)
+        marked = any("*" in path for path, _ in texts)
+        return "\n".join(t for k, (path, t) in zip(became, texts) if (places[k], path) in (inside if marked else outside))
+
+
 def extract_text(pages: DataFrame, wrappers: DataFrame, keys: tuple[str, ...] = ("page_id", "url"), url: str = "url", page: str = "html") -> DataFrame:
     """``keys`` and ``text`` of every page, read through its host's wrapper.
 
@@ -315,26 +545,22 @@ def extract_text(pages: DataFrame, wrappers: DataFrame, keys: tuple[str, ...] =
     Equal keys and repeated pages keep a row each. An empty table gives no
     rows. Other columns are left out.
     """
-    small = wrappers.select("host", "slots", "n_pages")
-    n_bytes = wrappers.agg(F.sum(F.length(F.to_json("slots")) + F.length("host"))).first()[0] or 0
+    small = wrappers.select("host", "expression", "slots", "n_pages")
+    n_bytes = wrappers.agg(F.sum(F.length(F.to_json("slots")) + F.length("host") + F.length("expression"))).first()[0] or 0
     small = F.broadcast(small) if n_bytes <= BROADCAST_BYTES else small
     own = pages.select(F.struct(*keys).alias("keys"), _host(F.col(url)).alias("host"), F.col(page).cast("string").alias("html"))
-    joined = own.join(small, "host", "left").select("keys", "host", "html", "slots", "n_pages")
+    joined = own.join(small, "host", "left").select("keys", "host", "html", "expression", "slots", "n_pages")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[str, tuple[set[str], set[str]]] = {}
+        known: dict[str, _Reader] = {}
         for batch in batches:
-            slots, out = batch.column(3), []
+            out = []
             for k, (host, source) in enumerate(_pages(batch, 1, 2)):
                 if host not in known:
                     if len(known) > 1000:
                         known.clear()
-                    inside, outside = kept_slots(slots[k].as_py() or [], batch.column(4)[k].as_py() or 0)
-                    known[host] = set(inside), set(outside)
-                inside, outside = known[host]
-                found = blocks(read_page(source or ""))
-                marked = any("*" in path for path, _ in found)
-                out.append("\n".join(text for path, text in found if path in (inside if marked else outside)))
+                    known[host] = _Reader(*(batch.column(i)[k].as_py() for i in (3, 4, 5)))
+                out.append(known[host].text(source or ""))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["keys", "text"])
 
     schema = own.select("keys").schema.add("text", "string")

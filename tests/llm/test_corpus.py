@@ -374,3 +374,42 @@ def test_stages_take_an_empty_table(spark, tmp_path):
 
 def test_items_digest():
     assert hashlib.sha256(b"").hexdigest() == "e3b0c44298fc1c149afbf4c8996fb92427ae41e4649b934ca495991b7852b855"
+
+
+# ---- pages: the wrapper's slots
+
+
+def _read(spark, rows):
+    """Texts of (url, html) rows, in their order."""
+    pages = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "page_id long, url string, html string")
+    out = html_wrappers.extract_text(pages, html_wrappers.infer_wrappers(pages)).collect()
+    return [r.text for r in sorted(out, key=lambda r: r.page_id)]
+
+
+def test_slots_are_places_in_the_wrapper(spark):
+    """Same path, other place: a line that every page has goes, the varying one stays."""
+    rows = [(f"http://slots.org/{i}", f"<body><p>Welcome</p><h1>Head {i}</h1><p>Text {i}</p><hr><p>Bye</p></body>") for i in range(3)]
+    assert _read(spark, rows) == [f"Head {i}\nText {i}" for i in range(3)]
+
+
+@pytest.mark.parametrize("widest", [1000, 20])
+def test_wrapper_has_every_stream(widest, monkeypatch):
+    monkeypatch.setattr(html_wrappers, "WIDEST", widest)
+    rng = random.Random(8)
+    parts = [["<p>", "#", "</p>"], ["<h2>", "#", "</h2>"], ["<ul>", "<li>", "#", "</li>", "</ul>"], ["<li>", "#", "</li>"], ["#"]]
+    for _ in range(60):
+        streams = [[t for _ in range(rng.randrange(9)) for t in rng.choice(parts)] for _ in range(6)]
+        whole = html_wrappers.grouped(streams[0])
+        for s in streams[1:]:
+            whole = html_wrappers.narrowed(html_wrappers.aligned(whole, html_wrappers.grouped(s)))
+        matcher = html_wrappers.Matcher(whole)
+        for s in streams:
+            group, became = html_wrappers.folded(s)
+            assert matcher.places(s) is not None and len(became) == s.count("#")
+            assert len(matcher.slots(group)) == len(set(became))
+        assert len(matcher.tokens) < sum(map(len, streams)) or not any(streams)
+
+
+def test_long_groups():
+    body = [f"<t{k}>" for k in range(40)]
+    assert html_wrappers.grouped(["<a>", *body * 3, "<b>"]) == ["<a>", ["+", *body], "<b>"]
