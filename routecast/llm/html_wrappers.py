@@ -37,6 +37,8 @@ ALIGNED = 64
 SHORT_GROUP = 24
 #: Tokens of a wrapper beyond which its optional parts are made groups of their distinct pieces.
 WIDEST = 1000
+#: Mean length of texts, in characters, from which they can overrule a class word.
+LONG = 80
 #: Wrappers up to this size in all are sent to every task; more are joined by host.
 BROADCAST_BYTES = 16 << 20
 
@@ -45,6 +47,11 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 INLINE = set("a abbr acronym b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 FURNITURE = set("nav footer aside form menu button select option textarea input head title dialog noscript iframe object canvas audio video svg template script style".split())
 CONTENT = {"article", "main"}
+#: Elements around the text that no class word makes furniture.
+FRAME = {"html", "body", "main", "article"}
+HEADINGS = set("h1 h2 h3 h4 h5 h6".split())
+#: Words of texts that aren't the page's own, however long they are.
+ASIDE_WORDS = set("ad ads advert adverts advertisement advertising sponsor sponsored promo comment comments disqus respond reply replies related recommended newsletter sidebar".split())
 #: Words in class, id or role that name page furniture.
 FURNITURE_WORDS = set(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo banner cookie cookies consent gdpr notice notices notification alert popup "
@@ -64,36 +71,44 @@ _WORD = re.compile(r"[a-z]+")
 
 
 class _Open:
-    """An open element: its label, and whether it starts furniture or content."""
+    """An open element: its label, its mark, and whether it is content.
 
-    __slots__ = ("name", "label", "furniture", "content")
+    Marks: ``!`` furniture by its tag or hidden, ``~`` furniture by a class
+    word only (which the wrapper can overrule), ``*`` content.
+    """
+
+    __slots__ = ("name", "label", "mark", "content")
 
     def __init__(self, name: str, attributes: str, in_content: bool):
-        named = [m[2] or m[3] or m[4] or "" for m in _NAMES.finditer(attributes)] if attributes else []
+        # Ids of headings, and of sections inside content, are made from their titles.
+        slugs = name in HEADINGS or (name == "section" and in_content)
+        named = [m[2] or m[3] or m[4] or "" for m in _NAMES.finditer(attributes) if not (slugs and m[1].lower() == "id")] if attributes else []
         words = {w for text in named for w in _WORD.findall(text.lower())}
-        self.name = name
         hidden = bool(attributes and _HIDDEN.search(attributes))
+        self.name = name
         self.label = name + "".join("." + w for w in sorted(words)) + (".-hidden" if hidden else "")
-        shown = words & FURNITURE_WORDS
-        header = name == "header" or bool(words & HEADER_WORDS)
         self.content = name in CONTENT or "articlebody" in words
         # A header inside an article is the article's own.
-        self.furniture = (
-            name in FURNITURE or bool(shown - HEADER_WORDS) or (header and not in_content) or hidden
-        )
+        header = not in_content and (name == "header" or bool(words & HEADER_WORDS))
+        if name in FURNITURE or hidden or (header and name == "header"):
+            self.mark = "!"
+        elif name not in FRAME and (bool(words & FURNITURE_WORDS - HEADER_WORDS) or header):
+            self.mark = "~"
+        else:
+            self.mark = "*" if self.content else ""
 
 
 def read_page(source: str) -> Iterator[tuple[str, str, str]]:
     """Tokens (kind, value, path): kinds ``open``, ``close``, ``text``, ``break`` (a block edge).
 
     The path of a text is that of the block elements around it, each marked
-    ``!`` if it is furniture and ``*`` if it is content. Elements that were
-    never closed end with what holds them.
+    as :class:`_Open` says. Elements that were never closed end with what holds
+    them.
     """
     stack: list[_Open] = []
 
     def path() -> str:
-        return "/".join(("!" if e.furniture else "*" if e.content else "") + e.label for e in stack if e.name not in INLINE or e.furniture)
+        return "/".join(e.mark + e.label for e in stack if e.name not in INLINE or e.mark in ("!", "~"))
 
     at, here = 0, ""
     for m in _TOKEN.finditer(source):
@@ -159,7 +174,7 @@ def parsed(source: str) -> tuple[list[str], list[tuple[str, str]], int]:
         else:
             flush()
             out.append(f"<{value}>" if kind == "open" else f"</{value}>")
-            contents += kind == "open" and path.rpartition("/")[2].startswith("*") and "!" not in path
+            contents += kind == "open" and path.rpartition("/")[2].startswith("*") and "!" not in path and "~" not in path
     flush()
     return out, texts, contents
 
@@ -499,15 +514,48 @@ def infer_wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> Da
     return store.written(wrappers.join(contents, "host").join(slots, "host", "left"), "wrappers")
 
 
+def overruled(slots: list[dict], varying: set[tuple[int, str]]) -> set[str]:
+    """The elements that are furniture by a class word but hold main text by what the host's pages show.
+
+    Inside content these are elements with long varying texts, unless the word
+    names texts of others (comments, ads). Elsewhere they have to hold more
+    varying text than all that isn't furniture, and long texts too. Of nested
+    ones the outer is judged first, by the slots that have no other mark.
+    """
+    out: set[str] = set()
+    while True:
+        plain, own = 0, {}
+        for s in slots:
+            steps = s["path"].split("/")
+            weak = [x for x in steps if x[:1] == "~" and x not in out]
+            if (s["slot"], s["path"]) not in varying or "!" in s["path"]:
+                continue
+            if not weak:
+                plain += s["chars"]
+            elif len(set(weak)) == 1:
+                inside = any(x[:1] == "*" for x in steps[: steps.index(weak[0])])
+                at = own.setdefault(weak[0], [0, 0, True])
+                at[0], at[1], at[2] = at[0] + s["chars"], at[1] + s["texts"], at[2] and inside
+        long = {x: chars for x, (chars, texts, _) in own.items() if chars >= LONG * texts}
+        new = {x for x in long if own[x][2] and not ASIDE_WORDS & set(x.split(".")[1:])}
+        # One at a time of the others: what it holds counts against the next.
+        new = new or set(sorted((x for x in long if long[x] > plain), key=lambda x: (-long[x], x))[:1])
+        if not new:
+            return out
+        out |= new
+
+
 def kept_slots(slots: list[dict], n_pages: int) -> tuple[set[tuple[int, str]], set[tuple[int, str]]]:
     """The slots that hold main text: on pages with content elements, and on pages without.
 
     Furniture never does. Where a page marks its content, the slots inside do.
     Elsewhere those do whose text is not the same on all of the host's pages.
     """
-    plain = [s for s in slots if "!" not in s["path"]]
+    varying = {(s["slot"], s["path"]) for s in slots if not (s["constant"] and n_pages > 1 and s["n_pages"] == n_pages)}
+    words = overruled(slots, varying)
+    plain = [s for s in slots if not any(x[:1] == "!" or (x[:1] == "~" and x not in words) for x in s["path"].split("/"))]
     inside = {(s["slot"], s["path"]) for s in plain if "*" in s["path"]}
-    outside = {(s["slot"], s["path"]) for s in plain if not (s["constant"] and n_pages > 1 and s["n_pages"] == n_pages)}
+    outside = {(s["slot"], s["path"]) for s in plain} & varying
     return inside, outside
 
 

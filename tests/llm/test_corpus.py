@@ -413,3 +413,20 @@ def test_wrapper_has_every_stream(widest, monkeypatch):
 def test_long_groups():
     body = [f"<t{k}>" for k in range(40)]
     assert html_wrappers.grouped(["<a>", *body * 3, "<b>"]) == ["<a>", ["+", *body], "<b>"]
+
+
+PROSE = "Long sentences of number %d follow one another here, so that nobody takes this for a menu, a notice or a button."
+
+
+def test_class_words_do_not_empty_a_page(spark):
+    frames = ['<html class="menu-closed"><body class="has-sidebar">%s</body></html>', '<body><article class="post has-comments">%s</article></body>', '<main class="search">%s</main>', '<body><div class="page has-sidebar">%s</div></body>']
+    rows = [(f"http://frame{n}.org/{i}", f % f"<div class=menu>Menu {i}</div><p>{PROSE % i}</p>") for n, f in enumerate(frames) for i in range(2)]
+    assert _read(spark, rows) == [PROSE % i for _ in frames for i in range(2)]
+
+
+def test_slugs_and_sections_inside_content(spark):
+    """Ids made from titles are no class words; long varying texts overrule one, comments don't."""
+    page = """<article><h2 id="how-to-share-data">Share %d</h2><section id="search-methods"><p>Methods %d</p></section>
+<div class="notice"><p>""" + PROSE + """</p></div><div class="share">Tweet %d</div><div class="comments"><p>""" + PROSE + """</p></div></article>"""
+    rows = [(f"http://slug.org/{i}", page % (i, i, i, i, -i)) for i in range(1, 4)]
+    assert _read(spark, rows) == [f"Share {i}\nMethods {i}\n{PROSE % i}" for i in range(1, 4)]
