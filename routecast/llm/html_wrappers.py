@@ -145,7 +145,7 @@ def read_page(source: str) -> Iterator[tuple[str, str, str]]:
 
 
 def parsed(source: str) -> tuple[list[str], list[tuple[str, str]], int]:
-    """A page's stream, the (path, text) of each of its text tokens, and how many content elements it opens outside furniture.
+    """A page's stream, the (path, text) of each of its text tokens, and how many outermost content elements it opens outside furniture.
 
     The stream holds ``<label>``, ``</name>`` and ``#`` for a text, with the
     element after it where a text is furniture inside a line. Texts have their
@@ -174,7 +174,7 @@ def parsed(source: str) -> tuple[list[str], list[tuple[str, str]], int]:
         else:
             flush()
             out.append(f"<{value}>" if kind == "open" else f"</{value}>")
-            contents += kind == "open" and path.rpartition("/")[2].startswith("*") and "!" not in path and "~" not in path
+            contents += kind == "open" and path.rpartition("/")[2].startswith("*") and "!" not in path and path.count("*") == 1
     flush()
     return out, texts, contents
 
@@ -416,7 +416,8 @@ def _pages(batch: pa.RecordBatch, host: int, source: int) -> Iterator[tuple[str,
         yield from zip(part.column(host).to_pylist(), part.column(source).to_pylist())
 
 
-_COUNTS = ("n", "low", "high", "chars", "texts")
+#: Of a slot: pages, lowest and highest digest of its text, characters, texts, and characters on pages with content elements.
+_COUNTS = ("n", "low", "high", "chars", "texts", "beside")
 
 
 def _digest(value: str) -> str:
@@ -428,13 +429,14 @@ def _host(url):
 
 
 def infer_wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> DataFrame:
-    """One row per host: ``host``, ``wrapper`` (regular expression), ``expression`` (the same as JSON), ``n_pages``, ``contents`` and ``slots``.
+    """One row per host: ``host``, ``wrapper`` (regular expression), ``expression`` (the same as JSON), ``n_pages``, ``contents``, ``marked`` and ``slots``.
 
-    ``slots``: array of (slot, path, n_pages, constant, chars, texts): each text
+    ``slots``: array of (slot, path, n_pages, constant, chars, texts, beside): each text
     slot by its place in the wrapper and the elements around it there, how many
     pages fill it, whether every page that does fills it with the same text, and
-    how many characters and texts it has on all pages. ``contents``: content
-    elements on all pages.
+    how many characters and texts it has on all pages, and characters on those
+    with content elements. ``contents``: outermost content elements on all
+    pages; ``marked``: pages that have any.
 
     A host's pages are reduced to their distinct streams and to a row for each
     text token of these before anything is shuffled, so a host with a third of
@@ -453,19 +455,20 @@ def infer_wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> Da
                 whole, became = folded(tokens)
                 value = json.dumps(whole)
                 name = _digest(value)
-                own: dict[tuple[str, str, int, str], list[int]] = {(host, name, -1, value): [0, contents, 0]}
+                own: dict[tuple[str, str, int, str], list[int]] = {(host, name, -1, value): [0, contents, 0, int(contents > 0)]}
                 for slot, (path, text) in zip(became, texts):
-                    at = own.setdefault((host, name, slot, path), [0, 0, 0])
+                    at = own.setdefault((host, name, slot, path), [0, 0, 0, 0])
                     at[0], at[1], at[2] = zlib.crc32(text.encode("utf-8", "replace"), at[0]), at[1] + len(text), at[2] + 1
-                for k, (h, chars, n_texts) in own.items():
-                    n = seen.setdefault(k, [0, h, h, 0, 0])
-                    n[0], n[1], n[2], n[3], n[4] = n[0] + 1, min(n[1], h), max(n[2], h), n[3] + chars, n[4] + n_texts
+                    at[3] += len(text) if contents else 0
+                for k, (h, chars, n_texts, beside) in own.items():
+                    n = seen.setdefault(k, [0, h, h, 0, 0, 0])
+                    n[0], n[1], n[2], n[3], n[4], n[5] = n[0] + 1, min(n[1], h), max(n[2], h), n[3] + chars, n[4] + n_texts, n[5] + beside
             rows = [(*k, *v) for k, v in seen.items()]
-            kinds = (pa.string(), pa.string(), pa.int64(), pa.string(), *[pa.int64()] * 5)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 9, kinds)], names=["host", "stream", "slot", "value", *_COUNTS])
+            kinds = (pa.string(), pa.string(), pa.int64(), pa.string(), *[pa.int64()] * 6)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [()] * 10, kinds)], names=["host", "stream", "slot", "value", *_COUNTS])
 
     rows = pages.select(_host(F.col(url)).alias("host"), F.col(page).cast("string").alias("html"))
-    counts = "n long, low long, high long, chars long, texts long"
+    counts = "n long, low long, high long, chars long, texts long, beside long"
     found = rows.mapInArrow(run, f"host string, stream string, slot long, value string, {counts}")
     totals = [(F.min if c == "low" else F.max if c == "high" else F.sum)(c).alias(c) for c in _COUNTS]
     found = store.written(found.groupBy("host", "stream", "slot", "value").agg(*totals), "streams")
@@ -497,8 +500,8 @@ def infer_wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> Da
                     last, matcher = (host, expression), Matcher(json.loads(expression))
                 places = matcher.slots(json.loads(value))
                 out += [(host, places[s["slot"]], s["value"], *(s[c] for c in _COUNTS)) for s in slots or () if places]
-            kinds = (pa.string(), pa.int64(), pa.string(), *[pa.int64()] * 5)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 8, kinds)], names=["host", "slot", "path", *_COUNTS])
+            kinds = (pa.string(), pa.int64(), pa.string(), *[pa.int64()] * 6)
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out) if out else [()] * 9, kinds)], names=["host", "slot", "path", *_COUNTS])
 
     wrappers = level.select("host", "wrapper", F.col("value").alias("expression"), F.col("n").alias("n_pages"))
     text = F.when(F.col("slot") >= 0, F.struct("slot", "value", *_COUNTS))
@@ -508,9 +511,9 @@ def infer_wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> Da
     small = F.broadcast(small) if n_bytes <= BROADCAST_BYTES else small
     placed = streams.join(small, "host").select("host", "value", "texts", "expression").mapInArrow(match, f"host string, slot long, path string, {counts}")
     slot = placed.groupBy("host", "slot", "path").agg(*totals)
-    named = F.struct("slot", "path", F.col("n").alias("n_pages"), (F.col("low") == F.col("high")).alias("constant"), "chars", "texts")
+    named = F.struct("slot", "path", F.col("n").alias("n_pages"), (F.col("low") == F.col("high")).alias("constant"), "chars", "texts", "beside")
     slots = slot.groupBy("host").agg(F.array_sort(F.collect_list(named)).alias("slots"))
-    contents = found.where("slot < 0").groupBy("host").agg(F.sum("chars").alias("contents"))
+    contents = found.where("slot < 0").groupBy("host").agg(F.sum("chars").alias("contents"), F.sum("beside").alias("marked"))
     return store.written(wrappers.join(contents, "host").join(slots, "host", "left"), "wrappers")
 
 
@@ -545,26 +548,35 @@ def overruled(slots: list[dict], varying: set[tuple[int, str]]) -> set[str]:
         out |= new
 
 
-def kept_slots(slots: list[dict], n_pages: int) -> tuple[set[tuple[int, str]], set[tuple[int, str]]]:
-    """The slots that hold main text: on pages with content elements, and on pages without.
+Slots = set[tuple[int, str]]
 
-    Furniture never does. Where a page marks its content, the slots inside do.
-    Elsewhere those do whose text is not the same on all of the host's pages.
+
+def kept_slots(slots: list[dict], n_pages: int, contents: int, marked: int) -> tuple[Slots, Slots]:
+    """The slots that hold main text, as two sets: a page is read through the first that it fills.
+
+    Furniture never does. One set are the slots inside content elements, the
+    other those outside whose text is not the same on all of the host's pages.
+    Content goes first, unless the host's pages with content elements have more
+    text outside, in long texts, than in one of these: they are teasers then.
     """
     varying = {(s["slot"], s["path"]) for s in slots if not (s["constant"] and n_pages > 1 and s["n_pages"] == n_pages)}
     words = overruled(slots, varying)
     plain = [s for s in slots if not any(x[:1] == "!" or (x[:1] == "~" and x not in words) for x in s["path"].split("/"))]
-    inside = {(s["slot"], s["path"]) for s in plain if "*" in s["path"]}
-    outside = {(s["slot"], s["path"]) for s in plain} & varying
-    return inside, outside
+    inside = [s for s in plain if "*" in s["path"]]
+    outside = [s for s in plain if "*" not in s["path"] and (s["slot"], s["path"]) in varying]
+    beside = sum(s["beside"] for s in outside)
+    long = sum(s["chars"] - LONG * s["texts"] for s in outside if s["beside"]) >= 0
+    teasers = long and beside * contents > sum(s["chars"] for s in inside) * marked
+    sets = [{(s["slot"], s["path"]) for s in part} for part in (inside, outside)]
+    return (sets[1], sets[0]) if teasers else (sets[0], sets[1])
 
 
 class _Reader:
     """A host's matcher and kept slots."""
 
-    def __init__(self, expression: str | None, slots: list[dict] | None, n_pages: int | None):
+    def __init__(self, expression: str | None, slots: list[dict] | None, n_pages: int | None, contents: int | None, marked: int | None):
         self.matcher = Matcher(json.loads(expression)) if expression is not None else None
-        self.inside, self.outside = kept_slots(slots or [], n_pages or 0)
+        self.kept = kept_slots(slots or [], n_pages or 0, contents or 0, marked or 0)
         self.known: dict[str, list[int] | None] = {}
 
     def text(self, source: str) -> str:
@@ -575,14 +587,16 @@ class _Reader:
             if len(self.known) > 1000:
                 self.known.clear()
             self.known[value] = self.matcher.slots(whole) if self.matcher else None
-        places, inside, outside = self.known[value], self.inside, self.outside
+        places, kept = self.known[value], self.kept
         if places is None:
             # Not a page of the wrapper's host: judged by itself.
             places = list(range(len(became)))
-            alone = [{"slot": k, "path": p, "n_pages": 1, "constant": True, "chars": len(t), "texts": 1} for k, (p, t) in zip(became, texts)]
-            inside, outside = kept_slots(alone, 1)
-        marked = any("*" in path for path, _ in texts)
-        return "\n".join(t for k, (path, t) in zip(became, texts) if (places[k], path) in (inside if marked else outside))
+            alone = [{"slot": k, "path": p, "n_pages": 1, "constant": True, "chars": len(t), "texts": 1, "beside": len(t) if contents else 0} for k, (p, t) in zip(became, texts)]
+            kept = kept_slots(alone, 1, contents, int(contents > 0))
+        for slots in kept:
+            if found := [t for k, (path, t) in zip(became, texts) if (places[k], path) in slots]:
+                return "\n".join(found)
+        return ""
 
 
 def extract_text(pages: DataFrame, wrappers: DataFrame, keys: tuple[str, ...] = ("page_id", "url"), url: str = "url", page: str = "html") -> DataFrame:
@@ -593,11 +607,11 @@ def extract_text(pages: DataFrame, wrappers: DataFrame, keys: tuple[str, ...] =
     Equal keys and repeated pages keep a row each. An empty table gives no
     rows. Other columns are left out.
     """
-    small = wrappers.select("host", "expression", "slots", "n_pages")
+    small = wrappers.select("host", "expression", "slots", "n_pages", "contents", "marked")
     n_bytes = wrappers.agg(F.sum(F.length(F.to_json("slots")) + F.length("host") + F.length("expression"))).first()[0] or 0
     small = F.broadcast(small) if n_bytes <= BROADCAST_BYTES else small
     own = pages.select(F.struct(*keys).alias("keys"), _host(F.col(url)).alias("host"), F.col(page).cast("string").alias("html"))
-    joined = own.join(small, "host", "left").select("keys", "host", "html", "expression", "slots", "n_pages")
+    joined = own.join(small, "host", "left").select("keys", "host", "html", "expression", "slots", "n_pages", "contents", "marked")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, _Reader] = {}
@@ -607,7 +621,7 @@ def extract_text(pages: DataFrame, wrappers: DataFrame, keys: tuple[str, ...] =
                 if host not in known:
                     if len(known) > 1000:
                         known.clear()
-                    known[host] = _Reader(*(batch.column(i)[k].as_py() for i in (3, 4, 5)))
+                    known[host] = _Reader(*(batch.column(i)[k].as_py() for i in range(3, 8)))
                 out.append(known[host].text(source or ""))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.string())], names=["keys", "text"])
 

@@ -430,3 +430,13 @@ def test_slugs_and_sections_inside_content(spark):
 <div class="notice"><p>""" + PROSE + """</p></div><div class="share">Tweet %d</div><div class="comments"><p>""" + PROSE + """</p></div></article>"""
     rows = [(f"http://slug.org/{i}", page % (i, i, i, i, -i)) for i in range(1, 4)]
     assert _read(spark, rows) == [f"Share {i}\nMethods {i}\n{PROSE % i}" for i in range(1, 4)]
+
+
+def test_teasers_are_not_the_text(spark):
+    """Articles in furniture mark nothing; teaser cards beside longer text aren't the text; other pages of the host stay."""
+    aside = '<div class=text><p>' + PROSE + '</p></div><aside><article><p>Teaser %d</p></article></aside>'
+    cards = '<div class=text><p>' + PROSE + '</p><p>' + PROSE + '</p></div><article><p>Card %d</p></article><article><p>Card %d</p></article>'
+    rows = [(f"http://aside.org/{i}", aside % (i, i)) for i in range(3)] + [(f"http://cards.org/{i}", cards % (i, i, i, -i)) for i in range(3)]
+    rows += [("http://cards.org/only", "<article><p>Only a card</p></article>"), ("http://texts.org/1", f"<p>Tag 1</p><article>{PROSE % 1}</article>"), ("http://texts.org/2", "<p>No article 2</p>")]
+    want = [PROSE % i for i in range(3)] + [f"{PROSE % i}\n{PROSE % i}" for i in range(3)] + ["Only a card", PROSE % 1, "No article 2"]
+    assert _read(spark, rows) == want
