@@ -555,15 +555,21 @@ def kept_slots(slots: list[dict], n_pages: int, contents: int, marked: int) -> t
     """The slots that hold main text, as two sets: a page is read through the first that it fills.
 
     Furniture never does. One set are the slots inside content elements, the
-    other those outside whose text is not the same on all of the host's pages.
+    other those outside whose text is not the same on all of the host's pages;
+    where nothing varies, because all rows are copies of one page or differ in
+    furniture only, nothing shows a template and all of those outside stay.
     Content goes first, unless the host's pages with content elements have more
     text outside, in long texts, than in one of these: they are teasers then.
     """
     varying = {(s["slot"], s["path"]) for s in slots if not (s["constant"] and n_pages > 1 and s["n_pages"] == n_pages)}
+    if not any("!" not in path for _, path in varying):
+        varying = {(s["slot"], s["path"]) for s in slots}
     words = overruled(slots, varying)
     plain = [s for s in slots if not any(x[:1] == "!" or (x[:1] == "~" and x not in words) for x in s["path"].split("/"))]
     inside = [s for s in plain if "*" in s["path"]]
-    outside = [s for s in plain if "*" not in s["path"] and (s["slot"], s["path"]) in varying]
+    outside = [s for s in plain if "*" not in s["path"]]
+    if any((s["slot"], s["path"]) in varying for s in plain):
+        outside = [s for s in outside if (s["slot"], s["path"]) in varying]
     beside = sum(s["beside"] for s in outside)
     long = sum(s["chars"] - LONG * s["texts"] for s in outside if s["beside"]) >= 0
     teasers = long and beside * contents > sum(s["chars"] for s in inside) * marked
@@ -604,7 +610,8 @@ def extract_text(pages: DataFrame, wrappers: DataFrame, keys: tuple[str, ...] =
 
     Blocks are joined in page order by one line feed; a page without main text,
     an empty or a null html gives an empty string. Null urls share one wrapper.
-    Equal keys and repeated pages keep a row each. An empty table gives no
+    Equal keys and repeated pages keep a row each, and copies of one page alone
+    don't make its text a template. An empty table gives no
     rows. Other columns are left out.
     """
     small = wrappers.select("host", "expression", "slots", "n_pages", "contents", "marked")

@@ -440,3 +440,12 @@ def test_teasers_are_not_the_text(spark):
     rows += [("http://cards.org/only", "<article><p>Only a card</p></article>"), ("http://texts.org/1", f"<p>Tag 1</p><article>{PROSE % 1}</article>"), ("http://texts.org/2", "<p>No article 2</p>")]
     want = [PROSE % i for i in range(3)] + [f"{PROSE % i}\n{PROSE % i}" for i in range(3)] + ["Only a card", PROSE % 1, "No article 2"]
     assert _read(spark, rows) == want
+
+
+def test_copies_of_one_page_keep_their_text(spark):
+    """Rows that are all copies of one page, or differ in furniture only, show no template."""
+    page = '<body><div class="page has-menu"><p>' + PROSE % 7 + '</p></div></body>'
+    rows = [("http://copy.org/1", "<body><nav>Menu</nav><p>Same text</p></body>")] * 3 + [("http://copies.org/1", page)] * 2
+    rows += [(f"http://counted.org/{i}", f"<p>Same text</p><footer>{i} views</footer><div class=widget>{i} likes</div>") for i in range(2)]
+    rows += [("http://two.org/1", "<div>Site</div><p>Text 1</p>")] * 3 + [("http://two.org/2", "<div>Site</div><p>Text 2</p>")]
+    assert _read(spark, rows) == ["Same text"] * 3 + [PROSE % 7] * 2 + ["Same text"] * 2 + ["Text 1"] * 3 + ["Text 2"]
