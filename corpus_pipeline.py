@@ -34,8 +34,9 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps one document of each group of near duplicates: the one with the smallest doc_id."""
-    first = near_duplicates.near_duplicates(docs).where("is_first").select(F.col("row").alias("first_row"))
-    rows = docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row"))
+    # Numbered once: a scan that runs again may be split, and so numbered, in another way.
+    rows = store.written(docs.select(F.struct("*").alias("doc"), F.monotonically_increasing_id().alias("row")), "numbered")
+    first = near_duplicates.near_duplicates(rows, key="doc.doc_id", text="doc.text", row="row").where("is_first").select(F.col("row").alias("first_row"))
     return rows.join(first, F.col("row") == F.col("first_row"), "left_semi").select("doc.*")
 
 

@@ -449,3 +449,42 @@ def test_copies_of_one_page_keep_their_text(spark):
     rows += [(f"http://counted.org/{i}", f"<p>Same text</p><footer>{i} views</footer><div class=widget>{i} likes</div>") for i in range(2)]
     rows += [("http://two.org/1", "<div>Site</div><p>Text 1</p>")] * 3 + [("http://two.org/2", "<div>Site</div><p>Text 2</p>")]
     assert _read(spark, rows) == ["Same text"] * 3 + [PROSE % 7] * 2 + ["Same text"] * 2 + ["Text 1"] * 3 + ["Text 2"]
+
+
+def test_near_duplicates_when_scans_are_split_anew(spark, tmp_path, monkeypatch):
+    """Each job splits its scans in another way; rows keep their numbers."""
+    import corpus_pipeline
+    from routecast.llm import store
+
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdefghijklmnop") * rng.randrange(1, 9) for _ in range(60)) for _ in range(20)]
+    rows = [(i, f"{texts[i % 20]} {i // 20}" if i % 20 < 15 else f"alone {i} " + " ".join(f"w{i}x{k}" for k in range(30))) for i in range(80)]
+    path = str(tmp_path / "docs.parquet")
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(8).write.parquet(path)
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    calls, written = [], store.written
+
+    def split(k):
+        for n, v in zip(names, (("128MB", "0"), ("2KB", "0"), ("6KB", "4KB"))[k % 3]):
+            spark.conf.set(n, v)
+
+    def written_then_split_anew(df, name):
+        out = written(df, name)
+        calls.append(name)
+        split(len(calls))
+        return out
+
+    monkeypatch.setattr(store, "written", written_then_split_anew)
+    want = {i: i % 20 if i % 20 < 15 else i for i, _ in rows}
+    try:
+        docs = spark.read.parquet(path)
+        split(0)
+        got = {r.doc_id: r.component_id for r in near_duplicates.near_duplicates(docs).collect()}
+        assert got == want
+        split(0)
+        kept = [r.doc_id for r in corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()]
+        assert sorted(kept) == sorted(set(want.values()))
+    finally:
+        for n, v in zip(names, before):
+            spark.conf.set(n, v)
