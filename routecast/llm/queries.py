@@ -8,10 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from routecast.llm import chat, decontamination, html_wrappers, language, near_duplicates, packing, sharding, store, token_counts, token_files, topk
+from routecast.llm import (
+    chat, decontamination, html_wrappers, language, lexical_search, near_duplicates, packing, periodic_runs, quality_fm, sharding, store,
+    token_counts, token_files, topk,
+)
 
 TOKENIZER = "word_bpe_49k.json"
 PACK_END, FILE_END, SEQUENCE, SHARDS = 1, 2, 4096, 24
+#: Score from which a text counts as good.
+QUALITY = 0.3
 #: Fixed value: the extra conversation of the chat query.
 PROBE = "\\### Assistant: </turn> ok"
 
@@ -97,6 +102,50 @@ def op10_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(vectors, F.col("vec_id") % 50 == 0, k=5)
 
 
+def op11_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build_index(_table(spark, sf_dir, "documents"))
+    return lexical_search.search(index, _table(spark, sf_dir, "benchmark"), k=20)
+
+
+def op12_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars", language.held_out("doc_id").alias("held_out"))
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
+    model = quality_fm.fit(docs.where(~F.col("held_out")).join(labels, "doc_id"), "quality", metadata=("n_chars",), spread="doc_id")
+    scored = quality_fm.predict(docs, model)
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= QUALITY).cast("int").alias("predicted"))
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """``docs`` in which every tenth text (by its doc_id's CRC) repeats from some word on."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.array_remove(F.split(F.coalesce("text", F.lit("")), "[\x20\x09-\x0D]+"), ""))
+    named = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), words.alias("w")).withColumn("n", F.size("w"))
+    placed = named.withColumn("a", F.when(F.col("n") > 0, (F.col("g") % F.nullif(F.col("n"), F.lit(0))).cast("int")))
+    placed = placed.withColumn("p", (1 + F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8))).cast("int"))
+    rest = F.col("n") - F.col("a")
+    block = F.array_repeat(F.slice("w", F.col("a") + 1, F.col("p")), F.ceil(rest / F.col("p")).cast("int"))
+    repeated = F.array_join(F.concat(F.slice("w", F.lit(1), F.col("a")), F.slice(F.flatten(block), F.lit(1), rest)), " ")
+    return placed.select("doc_id", F.when(F.col("n") > 0, repeated).otherwise(F.col("text")).alias("text"))
+
+
+def op13_synchronised_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(planted(_table(spark, sf_dir, "documents")))
+    # The greatest length / period, compared exactly; runs come by start, then period, and the first of equals stays.
+    none = F.expr("cast(null as struct<start:bigint,length:bigint,period:bigint>)")
+    best = F.aggregate("runs", none, lambda b, r: F.when(b.isNull() | (r["length"] * b["period"] > b["length"] * r["period"]), r).otherwise(b))
+    lines = F.array_join(F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"])), "\n")
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("best.start").alias("start"),
+        F.col("best.length").alias("length"),
+        F.col("best.period").alias("period"),
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.when(F.size("runs") > 0, F.concat(lines, F.lit("\n"))).otherwise(""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_chat_formatting": op2_chat_formatting,
@@ -108,6 +157,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_html_wrappers": op8_html_wrappers,
     "op9_decontamination": op9_decontamination,
     "op10_exact_top_k": op10_exact_top_k,
+    "op11_block_max_search": op11_block_max_search,
+    "op12_quality_fm": op12_quality_fm,
+    "op13_synchronised_runs": op13_synchronised_runs,
 }
 
 _LOWER = """translate("text", 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"""
@@ -175,5 +227,24 @@ WITH v AS (
   SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score FROM scored
 )
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+""",
+    "op11_block_max_search": rf"""
+WITH terms AS (
+  SELECT doc_id, coalesce(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), []) AS t FROM documents
+), totals AS (SELECT CAST(count(*) FILTER (WHERE len(t) > 0) AS BIGINT) AS docs, CAST(sum(len(t)) AS BIGINT) AS words FROM terms
+), tf AS (SELECT doc_id, term, count(*) AS f, n FROM (SELECT doc_id, len(t) AS n, unnest(t) AS term FROM terms) GROUP BY ALL
+), asked AS (
+  SELECT item_id, term, count(*) AS times FROM (
+    SELECT item_id, unnest(regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM benchmark) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM tf, totals WHERE term IN (SELECT term FROM asked) GROUP BY term, docs
+), scored AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * ((1000000000 * f) // (1000 * f + 12 * (75 + (25 * n * docs) // words)))) AS BIGINT) AS score
+  FROM asked JOIN weights USING (term) JOIN tf USING (term), totals GROUP BY item_id, doc_id
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 20
 """,
 }

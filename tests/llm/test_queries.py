@@ -20,6 +20,9 @@ COLUMNS = {
     "op7": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
     "op8": {"page_id": "bigint", "url": "string", "text": "string", "n_chars": "bigint"},
     "op9": {"doc_id": "bigint", "n_words": "bigint", "n_hit": "bigint", "n_items": "bigint", "items_sha256": "string", "contaminated": "boolean"},
+    "op11": {"item_id": "bigint", "rank": "int", "doc_id": "bigint", "score": "bigint"},
+    "op12": {"doc_id": "bigint", "held_out": "boolean", "score": "double", "predicted": "int"},
+    "op13": {"doc_id": "bigint", "n_runs": "bigint", "start": "bigint", "length": "bigint", "period": "bigint", "exponent_milli": "bigint", "runs_sha256": "string", "collapsed_sha256": "string"},
     "op10": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"},
 }
 
