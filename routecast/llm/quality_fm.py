@@ -186,23 +186,27 @@ def _trained(ends: np.ndarray, column: np.ndarray, value: np.ndarray, label: np.
     return linear, factors, bias
 
 
-def fit(labelled: DataFrame, label: str, text: str = "text", metadata: Sequence[str] = (), spread: str | None = None, sample: int = SAMPLE) -> Model | None:
-    """A model from the rows whose label is not null (above 0 counts as 1); None if there are none.
-
-    At most ``sample`` rows are used: those with the smallest hashes of the
-    text, the column ``spread`` and the label, so the sample is reproducible
-    and grows with no table. Whole texts become features on the executors.
-    ``metadata``: numeric columns that are features too. Null texts count as
-    empty ones.
+def fit(docs: DataFrame, labels: DataFrame, label: str, key: str = "doc_id", text: str = "text", metadata: Sequence[str] = (), sample: int = SAMPLE) -> Model | None:
+    """A model from the rows of ``docs`` whose key has a label (above 0 counts as 1); None if there are none.
+
+    At most ``sample`` labels are used, those with the smallest hashes of the
+    key, so the sample is reproducible and grows with no table. These few rows
+    are chosen first and broadcast; texts of other documents go nowhere. Whole
+    texts become features on the executors. ``metadata``: numeric columns of
+    ``docs`` that are features too. Null labels and keys take no part; null
+    texts count as empty ones. Keys that repeat in ``docs`` or ``labels`` give
+    several rows, of which ``sample`` are used.
     """
-    store.small_batches(labelled.sparkSession)
-    rows = labelled.select(
-        (F.col(label) > 0).cast("int").alias("label"),
+    store.small_batches(docs.sparkSession)
+    known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("labelled"), (F.col(label) > 0).cast("int").alias("label"))
+    known = known.orderBy(F.xxhash64("labelled"), "labelled", "label").limit(sample)
+    rows = docs.select(
+        F.col(key).alias("key"),
         F.col(text).cast("string").alias("text"),
         F.array(*[F.col(c).cast("double") for c in metadata]).cast("array<double>").alias("metadata"),
-        F.xxhash64(*[c for c in (text, spread, label) if c]).alias("h"),
-    ).where("label is not null")
-    chosen = rows.orderBy("h", "label").limit(sample)
+    )
+    # The broadcast side has at most `sample` rows of a key and a label.
+    chosen = rows.join(F.broadcast(known), F.col("key") == F.col("labelled")).select("label", "text", "metadata")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,7 +222,9 @@ def fit(labelled: DataFrame, label: str, text: str = "text", metadata: Sequence[
                 names=["label", "metadata", "bucket", "value", "statistics"],
             )
 
-    got = chosen.mapInArrow(run, "label int, metadata array<double>, bucket binary, value binary, statistics binary").collect()
+    made = chosen.mapInArrow(run, "label int, metadata array<double>, bucket binary, value binary, statistics binary")
+    # Only repeated keys can give more rows than the sample has.
+    got = made.orderBy(F.xxhash64("bucket", "value", "label"), "statistics").limit(sample).collect()
     if not got:
         return None
     got.sort(key=lambda r: (r.label, bytes(r.bucket), bytes(r.value), bytes(r.statistics)))

@@ -109,8 +109,8 @@ def op11_block_max_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_quality_fm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "n_chars", language.held_out("doc_id").alias("held_out"))
-    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality")
-    model = quality_fm.fit(docs.where(~F.col("held_out")).join(labels, "doc_id"), "quality", metadata=("n_chars",), spread="doc_id")
+    labels = _table(spark, sf_dir, "labels").where(~language.held_out("doc_id"))
+    model = quality_fm.fit(docs, labels, "quality", metadata=("n_chars",))
     scored = quality_fm.predict(docs, model)
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= QUALITY).cast("int").alias("predicted"))
 

@@ -162,14 +162,17 @@ def test_quality_query_on_held_out_rows(spark):
 
 
 def test_quality_odd_rows(spark, odd_docs):
-    labelled = odd_docs.withColumn("good", F.when(F.col("doc_id") % 2 == 0, 1).when(F.col("doc_id") == 3, F.lit(None)).otherwise(0)).withColumn("weight", F.lit(float("nan")))
-    model = quality_fm.fit(labelled, "good", metadata=("n_tokens", "weight"))
+    labelled = odd_docs.withColumn("weight", F.lit(float("nan"))).withColumn("label", F.lit("clash"))
+    good = F.when(F.col("doc_id") % 2 == 0, 1).when(F.col("doc_id") == 3, F.lit(None)).otherwise(0)
+    labels = odd_docs.select("doc_id", good.alias("good"), F.lit("clash").alias("text"))
+    model = quality_fm.fit(labelled, labels, "good", metadata=("n_tokens", "weight"))
+    assert quality_fm.fit(labelled, labels, "good", sample=4) is not None
     out = quality_fm.predict(labelled, model)
     assert out.count() == odd_docs.count() and sorted(out.columns) == sorted(labelled.columns)
     rows = out.collect()
     assert all(0 <= r.score <= 1 for r in rows)
     assert len({r.score for r in rows if r.doc_id == 3}) == 1  # repeated rows score alike
-    assert quality_fm.fit(labelled.where("good is null"), "good") is None
+    assert quality_fm.fit(labelled, labels.where("good is null"), "good") is None
     assert {r.score for r in quality_fm.predict(labelled, None).collect()} == {0.5}
     assert quality_fm.predict(labelled.limit(0), model).count() == 0
 
