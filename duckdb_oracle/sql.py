@@ -47,6 +47,20 @@ LAYER_SQL = {
     "S1_seeded_routes": "SELECT * FROM stg_routes",
     "S3_routes_view": """
         SELECT route_id, route_name, (SELECT count(*) FROM fct_trips t WHERE t.route_id = r.route_id) AS trip_count FROM dim_routes r""",
+    "S4_refreshed_months": """
+        SELECT 'fct_trips' AS table_name, year(date_key) * 100 + month(date_key) AS month_key, count(*) AS n_rows,
+          sum(passengers_onboard)::BIGINT AS sum_a, 0::BIGINT AS sum_b, year(date_key) * 100 + month(date_key) = 199603 AS is_rewritten
+        FROM fct_trips GROUP BY ALL
+        UNION ALL
+        SELECT 'fct_revenue', year(date_key) * 100 + month(date_key), count(*), sum(passengers)::BIGINT, 0, false FROM fct_revenue GROUP BY ALL
+        UNION ALL
+        SELECT 'fct_punctuality', month_key, count(*), sum(delay_risk_score)::BIGINT, sum(vehicle_turnaround_minutes)::BIGINT,
+          month_key = 202405 OR bool_or(coalesce(list_contains(back, 202405), false))
+        FROM (SELECT *, year(trip_date) * 100 + month(trip_date) AS month_key,
+            list(year(trip_date) * 100 + month(trip_date)) OVER (PARTITION BY vehicle_id
+              ORDER BY actual_departure_at NULLS LAST, trip_id ROWS BETWEEN 4 PRECEDING AND 1 PRECEDING) AS back
+          FROM int_trip_punctuality)
+        GROUP BY month_key""",
     "A5_route_benchmarks": """
         SELECT route_id, round(q[1], 9) AS p50_departure_delay, round(q[2], 9) AS p75_departure_delay,
           round(q[3], 9) AS p90_departure_delay, round(q[4], 9) AS p95_departure_delay,

@@ -165,13 +165,21 @@ def with_incidents(tc: DataFrame, rollup: DataFrame) -> DataFrame:
     )
 
 
-def vehicle_context(df: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> DataFrame:
+#: W1-W3 look so many trips back, in this order of a vehicle's trips, at these columns.
+LOOKBACK = 4
+VEHICLE_ORDER = ["actual_departure_at", "trip_id"]
+VEHICLE_CARRY = ["departure_delay_minutes", "actual_arrival_at"]
+
+
+def vehicle_context(df: DataFrame, stage: Callable[[DataFrame], DataFrame], key: str = "vehicle_id") -> DataFrame:
     """Rolling 5-trip mean delay, previous delay and turnaround per
-    vehicle, ordered by actual departure (trip_id breaks ties)."""
+    vehicle, ordered by actual departure (trip_id breaks ties).
+
+    ``key`` is the column of the windows, if not the vehicle alone."""
 
     def cols(spec):
         return {
-            "vehicle_rolling_avg_delay_5trips": F.avg("departure_delay_minutes").over(spec.rowsBetween(-4, 0)),
+            "vehicle_rolling_avg_delay_5trips": F.avg("departure_delay_minutes").over(spec.rowsBetween(-LOOKBACK, 0)),
             "prev_trip_delay_minutes": F.lag("departure_delay_minutes", 1).over(spec),
             "vehicle_turnaround_minutes": minute_diff(
                 F.lag("actual_arrival_at", 1).over(spec), F.col("actual_departure_at")
@@ -180,36 +188,19 @@ def vehicle_context(df: DataFrame, stage: Callable[[DataFrame], DataFrame]) -> D
 
     return lookback_window(
         df,
-        key="vehicle_id",
-        order=["actual_departure_at", "trip_id"],
-        depth=4,
-        carry=["departure_delay_minutes", "actual_arrival_at"],
+        key=key,
+        order=VEHICLE_ORDER,
+        depth=LOOKBACK,
+        carry=VEHICLE_CARRY,
         columns=cols,
         stage=stage,
     )
 
 
-def int_trip_punctuality(
-    scheduled: DataFrame,
-    trips: DataFrame,
-    incidents: DataFrame,
-    routes: DataFrame,
-    rollup: DataFrame | None = None,
-    stage: Callable[[DataFrame, str], DataFrame] | None = None,
-) -> DataFrame:
-    """The per-trip punctuality assessment (int_trip_punctuality).
-
-    ``stage`` writes a table and reads it back. The joined trips are written
-    already dealt by vehicle and departure, which is the one range exchange of
-    W1-W3, and their window result is written for the route-day histogram and
-    its join. Without ``stage`` both are checkpoints, in the same shared
-    folder."""
-    rollup = incident_rollup(incidents) if rollup is None else rollup
+def flagged_comparison(scheduled: DataFrame, trips: DataFrame, routes: DataFrame, rollup: DataFrame) -> DataFrame:
+    """J3-J5 with the flags of a trip's own delays."""
     wi = with_incidents(trip_comparison(scheduled, trips, routes), rollup)
-    if stage is None:
-        scratch_dir(wi.sparkSession)  # names the folder of the checkpoints
-        stage = lambda df, name: df.checkpoint()
-    flagged = wi.select(
+    return wi.select(
         "*",
         C.on_time("departure_delay_minutes").alias("is_on_time_departure"),
         C.on_time("arrival_delay_minutes").alias("is_on_time_arrival"),
@@ -218,7 +209,10 @@ def int_trip_punctuality(
         ).otherwise(False).alias("is_on_time"),
         C.delay_severity("departure_delay_minutes").alias("delay_severity"),
     )
-    vc = stage(vehicle_context(flagged, lambda df: stage(df, "int_trip_comparison")), "int_vehicle_context")
+
+
+def assessed(vc: DataFrame) -> DataFrame:
+    """W4, W5, C18 and C19 on trips that have their vehicle's context. ``vc`` is read twice."""
     rd = rank_and_mean_by_group(
         vc, ["route_id", "trip_date"], "departure_delay_minutes", "delay_rank_on_route_day", "route_day_avg_delay"
     )
@@ -236,6 +230,29 @@ def int_trip_punctuality(
     return final.select(*INT_PUNCTUALITY_COLUMNS, "primary_delay_category")
 
 
+def int_trip_punctuality(
+    scheduled: DataFrame,
+    trips: DataFrame,
+    incidents: DataFrame,
+    routes: DataFrame,
+    rollup: DataFrame | None = None,
+    stage: Callable[[DataFrame, str], DataFrame] | None = None,
+) -> DataFrame:
+    """The per-trip punctuality assessment (int_trip_punctuality).
+
+    ``stage`` writes a table and reads it back. The joined trips are written
+    already dealt by vehicle and departure, which is the one range exchange of
+    W1-W3, and their window result is written for the route-day histogram and
+    its join. Without ``stage`` both are checkpoints, in the same shared
+    folder."""
+    rollup = incident_rollup(incidents) if rollup is None else rollup
+    flagged = flagged_comparison(scheduled, trips, routes, rollup)
+    if stage is None:
+        scratch_dir(flagged.sparkSession)  # names the folder of the checkpoints
+        stage = lambda df, name: df.checkpoint()
+    return assessed(stage(vehicle_context(flagged, lambda df: stage(df, "int_trip_comparison")), "int_vehicle_context"))
+
+
 INT_PUNCTUALITY_COLUMNS = [
     "scheduled_trip_id", "trip_id", "route_id", "vehicle_id", "route_name", "distance_km",
     "vehicle_type", "service_type", "departure_window", "is_weekend_service", "schedule_density",

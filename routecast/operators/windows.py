@@ -2,7 +2,7 @@
 
 A plain ``partitionBy(vehicle_id)`` window sends every row of one key to one
 task; if a key (say, an unassigned NULL vehicle) holds a third of all trips,
-that task holds a third of the data. The two operators here keep each task
+that task holds a third of the data. The operators here keep each task
 bounded while giving exactly the same answers:
 
 ``lookback_window``
@@ -13,6 +13,12 @@ bounded while giving exactly the same answers:
     the last ``depth`` rows before it. The frames are evaluated inside the
     ranges, and the halo rows are dropped.
 
+``running_total``
+    The sum of a weight over all rows before a row, in one order over the whole
+    table or within groups. Rows are dealt by ranges of (group, order); the
+    ranges' totals are the offsets of their rows. With weight 1 it is a global
+    rank that no task computes alone.
+
 ``rank_and_mean_by_group``
     ``rank() over (partition by g order by x desc)`` and ``avg(x) over
     (partition by g)``. Both only depend on the multiset of ``x`` values in
@@ -24,6 +30,7 @@ bounded while giving exactly the same answers:
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
@@ -100,6 +107,42 @@ def lookback_window(
     return out.filter(~F.col(_HALO)).drop(_HALO, _RANGE)
 
 
+def running_total(
+    df: DataFrame,
+    group: Sequence[str],
+    order: Sequence[Column],
+    weight: Column,
+    before: str,
+    total: str,
+    stage: Callable[[DataFrame], DataFrame],
+) -> DataFrame:
+    """Adds ``before``, the sum of ``weight`` (a long, never NULL) over the rows
+    before a row in its group, and ``total``, the group's sum.
+
+    ``order`` are sort expressions; rows that tie get the order they happen to
+    have in their range, so it should end in something unique. NULL groups are
+    a group. ``stage`` materialises the ranged rows in shared storage.
+
+    The rows move once by range and once by (range, group); besides them one
+    row for each range and group that meet, which are at most ranges + groups.
+    """
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    by = [*[F.col(c).asc_nulls_last() for c in group], *order]
+    base = stage(df.withColumn("__w", weight.cast("long")).repartitionByRange(n, *by).withColumn(_RANGE, F.spark_partition_id()))
+    met = base.groupBy(_RANGE, *group).agg(F.sum("__w").alias("__sum"))
+    whole = Window.partitionBy(*(group or [F.lit(0)]))
+    earlier = whole.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+    keys = [_RANGE, *group]
+    offsets = met.select(
+        *[F.col(c).alias(f"__o_{c}") for c in keys], F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__offset"), F.sum("__sum").over(whole).alias(total)
+    )
+    inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = base.withColumn("__local", F.coalesce(F.sum("__w").over(inside), F.lit(0)))
+    same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__o_{c}")) for c in keys])
+    out = local.join(offsets, same).withColumn(before, F.col("__local") + F.col("__offset"))
+    return out.drop("__w", "__local", "__offset", *[f"__o_{c}" for c in keys], _RANGE)
+
+
 def rank_and_mean_by_group(
     df: DataFrame,
     group: Sequence[str],

@@ -3,17 +3,22 @@
 from __future__ import annotations
 
 import uuid
+from dataclasses import replace
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from routecast.operators.intermediate import INT_PUNCTUALITY_COLUMNS
 from routecast.operators.marts import FCT_PUNCTUALITY_COLUMNS, FCT_REVENUE_COLUMNS, FCT_TRIPS_COLUMNS
+from routecast.plans.refresh import refresh_warehouse
 from routecast.plans.warehouse import Warehouse
 from routecast.session import scratch_dir
+from routecast.sources import testdata
+from routecast.sources.calendar import month_key
 from routecast.sources.schemas import RAW_ROUTES
 from routecast.sources.seeds import load_seed
-from routecast.sources.sinks import register_views
+from routecast.sources.sinks import register_views, remove_at_exit
 
 
 def rollup_with_primary(wh: Warehouse) -> DataFrame:
@@ -58,10 +63,43 @@ def seeded_routes(wh: Warehouse) -> DataFrame:
     """The routes through a CSV file with a header, as a seed is loaded."""
     spark = wh.dim_routes.sparkSession
     path = f"{scratch_dir(spark)}/seed-{uuid.uuid4().hex}"
+    remove_at_exit(spark, path)
     wh.stg_routes.write.option("header", True).csv(path)
     return load_seed(spark, path, RAW_ROUTES)
 
 
+#: The month that the warehouse of :func:`refreshed_months` lacks before its refresh, of either trips.
+LATE_TRIPS, LATE_PUNCTUALITY = 199603, 202405
+
+
+def refreshed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A warehouse built without one month of trips, then refreshed with all of them.
+
+    For each fact and month its rows, sums that the refresh has to get right,
+    and whether the refresh wrote the month's files: the late month itself, and
+    months in which a vehicle looks back into it."""
+    raw = testdata.bind(spark, sf_dir)
+    late = {"trips": LATE_TRIPS, "punctuality_trips": LATE_PUNCTUALITY}
+    early = {n: getattr(raw, n).filter(~month_key("departure_datetime").eqNullSafe(F.lit(m))) for n, m in late.items()}
+    store = f"{scratch_dir(spark)}/refreshed-{uuid.uuid4().hex}"
+    remove_at_exit(spark, store)
+    refresh_warehouse(spark, replace(raw, **early), store, testdata.DATE_START, testdata.DATE_END)
+    done = refresh_warehouse(spark, raw, store, testdata.DATE_START, testdata.DATE_END)
+    sums = {
+        "fct_trips": (F.sum("passengers_onboard"), F.lit(0)),
+        "fct_revenue": (F.sum("passengers"), F.lit(0)),
+        "fct_punctuality": (F.sum("delay_risk_score"), F.sum(F.col("vehicle_turnaround_minutes"))),
+    }
+    parts = [
+        getattr(done.warehouse, name)
+        .groupBy("month_key")
+        .agg(F.count(F.lit(1)).alias("n_rows"), a.cast("long").alias("sum_a"), b.cast("long").alias("sum_b"))
+        .select(F.lit(name).alias("table_name"), "*", F.col("month_key").isin(done.written[name]).alias("is_rewritten"))
+        for name, (a, b) in sums.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def route_benchmarks_rounded(wh: Warehouse) -> DataFrame:
     """A5 + A6 per route (rounded to 9 dp so interpolation round-off of
     different engines compares equal)."""

@@ -96,7 +96,7 @@ def build_warehouse(
         ip = intermediate.int_trip_punctuality(s_sched, s_ptrips, s_inc, s_routes, rollup=rollup, stage=stage)
         if store:
             ip = stage(ip, "int_trip_punctuality")
-        fp = marts.fct_punctuality(ip)
+        fp = marts.fct_punctuality(ip, marts.route_benchmarks(ip, stage))
         return ip, (materialise(fp, "marts", "fct_punctuality") if store else fp)
 
     independent = {

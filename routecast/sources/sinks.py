@@ -43,6 +43,17 @@ def write_table(
     w.parquet(path)
 
 
+def write_months(df: DataFrame, path: str, sort_by: tuple[str, ...] | None = None, whole: bool = False) -> None:
+    """S4, incremental: replaces the directories of the months in ``df``; other months' files stay.
+
+    ``whole`` replaces the table. Rows are rebalanced by month as in
+    :func:`write_table`."""
+    out = df.hint("rebalance", "month_key")
+    out = out.sortWithinPartitions("month_key", *sort_by) if sort_by else out
+    mode = "static" if whole else "dynamic"
+    out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("month_key").parquet(path)
+
+
 def remove_at_exit(spark: SparkSession, path: str) -> None:
     """Marks a folder of this application's own for removal when the driver ends."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
