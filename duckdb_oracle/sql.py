@@ -47,6 +47,11 @@ LAYER_SQL = {
     "S1_seeded_routes": "SELECT * FROM stg_routes",
     "S3_routes_view": """
         SELECT route_id, route_name, (SELECT count(*) FROM fct_trips t WHERE t.route_id = r.route_id) AS trip_count FROM dim_routes r""",
+    "J3_colocated_comparison": """
+        SELECT scheduled_trip_id, trip_id, route_id, route_name, departure_delay_minutes, arrival_delay_minutes,
+          CAST(incident_count AS BIGINT) AS incident_count, CAST(total_incident_delay_minutes AS BIGINT) AS total_incident_delay_minutes,
+          delay_categories, delay_domains, has_cascading_incident, incident_worst_severity, main_category AS primary_delay_category
+        FROM int_trip_punctuality""",
     "S4_refreshed_months": """
         SELECT 'fct_trips' AS table_name, year(date_key) * 100 + month(date_key) AS month_key, count(*) AS n_rows,
           sum(passengers_onboard)::BIGINT AS sum_a, 0::BIGINT AS sum_b, year(date_key) * 100 + month(date_key) = 199603 AS is_rewritten
@@ -76,4 +81,7 @@ def all_sql() -> dict[str, str]:
     out = {k: with_prelude(v) for k, v in LAYER_SQL.items()}
     out.update({k: with_prelude(v) for k, v in QUERY_SQL.items()})
     out.update({k: with_prelude(v) for k, v in REPORT_SQL.items()})
+    # The same rows by another way.
+    out["W5_colocated_punctuality"] = out["W5_int_trip_punctuality"]
+    out["D3_filtered_orphans"] = out["D3_incidents_without_assessment"]
     return out

@@ -3,9 +3,9 @@
 Shuffle plan of ``int_trip_punctuality`` (at 1000x the test data):
 
 * schedules, executed trips and the incident rollup all meet on
-  ``trip_id``; the rollup is a partial + final aggregate, so the three
-  inputs are hash-partitioned once on ``trip_id`` and joined without any
-  further exchange;
+  ``trip_id``; the rollup ends hash-partitioned by it, so the three inputs
+  move once for their joins, or not at all where they are kept in buckets
+  (``plans.colocated``);
 * routes are a dimension; Spark broadcasts them when their real size allows;
 * the vehicle windows (W1-W3) and route-day windows (W4-W5) use the
   skew-safe operators in ``operators.windows``.
@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from routecast.functions import classifiers as C
@@ -73,37 +73,70 @@ def valid_incidents(incidents: DataFrame) -> DataFrame:
     return incidents.filter(~F.col("_is_invalid_record"))
 
 
-def _distinct_list(col: str):
-    """``listagg(distinct c, ', ') within group (order by c)``: a set
-    aggregate (bounded by the number of distinct values, merged map-side),
-    NULL when the group has no non-NULL value."""
-    s = F.array_sort(F.collect_set(col))
-    return F.when(F.size(s) > 0, F.array_join(s, ", "))
+def incident_partials(incidents: DataFrame) -> DataFrame:
+    """A1, first level: one row for each (trip, category) of valid incidents.
+
+    Counts, sums and extremes only, merged in each task before the shuffle: a
+    trip with very many incidents sends at most a row for each category and task."""
+    d = F.col("delay_minutes")
+    severity = F.col("computed_severity")
+    worst_first = F.struct(d.isNotNull().alias("k0"), (-d.cast("long")).alias("k1"), F.col("incident_id").alias("k2"), F.col("delay_category").alias("category"))
+    return valid_incidents(incidents).groupBy("trip_id", "delay_category", "delay_domain").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.sum(d).alias("late"),
+        F.max(d).alias("longest"),
+        F.sum("passenger_delay_minutes").alias("people_minutes"),
+        F.max(F.when(F.col("is_cascading"), 1).otherwise(0)).alias("cascading"),
+        F.max(severity).alias("last_severity"),
+        F.max(F.struct(C.severity_rank(severity).alias("rank"), severity.alias("severity"))).alias("by_rank"),
+        F.min(worst_first).alias("worst"),
+    )
 
 
 def incident_rollup(incidents: DataFrame) -> DataFrame:
     """A1 + A2 + W6: one row per trip from its valid incidents.
 
+    Two levels: (trip, category) partials, then the trip's partials as one
+    ordered frame, which holds a row for each category and no set of its
+    incidents. The lists are in category and in domain order, without NULLs,
+    and NULL if nothing is left.
+
     ``primary_delay_category`` is the category of the worst incident
     (largest delay, NULL delays first as in the source dialect, ties broken
     by the smallest ``incident_id``): the ``row_number() = 1`` of the
-    reference, computed in the same aggregate instead of a second shuffle.
+    reference, found in the same pass.
     """
-    d = F.col("delay_minutes")
-    worst_first = F.struct(d.isNotNull().alias("k0"), (-d.cast("long")).alias("k1"), F.col("incident_id").alias("k2"))
-    return valid_incidents(incidents).groupBy("trip_id").agg(
-        F.count(F.lit(1)).alias("incident_count"),
-        F.sum(d).alias("total_incident_delay_minutes"),
-        F.max(d).alias("max_single_delay_minutes"),
-        F.sum("passenger_delay_minutes").alias("total_passenger_delay_minutes"),
-        _distinct_list("delay_category").alias("delay_categories"),
-        _distinct_list("delay_domain").alias("delay_domains"),
-        F.max(F.when(F.col("is_cascading"), 1).otherwise(0)).alias("has_cascading_incident"),
+    trip = Window.partitionBy("trip_id")
+    whole = trip.orderBy("delay_category").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    listed = lambda a: F.when(F.size(a) > 0, F.array_join(a, ", "))
+    framed = incident_partials(incidents).select(
+        "trip_id",
+        F.row_number().over(trip.orderBy("delay_category")).alias("_row"),
+        F.sum("n").over(whole).alias("incident_count"),
+        F.sum("late").over(whole).alias("total_incident_delay_minutes"),
+        F.max("longest").over(whole).alias("max_single_delay_minutes"),
+        F.sum("people_minutes").over(whole).alias("total_passenger_delay_minutes"),
+        F.collect_list("delay_category").over(whole).alias("_categories"),
+        F.collect_list("delay_domain").over(whole).alias("_domains"),
+        F.max("cascading").over(whole).alias("has_cascading_incident"),
         # lexicographic, like the source: 'critical' loses to every other level
-        F.max("computed_severity").alias("worst_severity"),
+        F.max("last_severity").over(whole).alias("worst_severity"),
         # by rank, under a name of its own
-        F.max_by("computed_severity", C.severity_rank("computed_severity")).alias("worst_severity_by_rank"),
-        F.min_by("delay_category", worst_first).alias("primary_delay_category"),
+        F.max("by_rank").over(whole).alias("_by_rank"),
+        F.min("worst").over(whole).alias("_worst"),
+    )
+    return framed.filter("_row = 1").select(
+        "trip_id",
+        "incident_count",
+        "total_incident_delay_minutes",
+        "max_single_delay_minutes",
+        "total_passenger_delay_minutes",
+        listed(F.col("_categories")).alias("delay_categories"),
+        listed(F.array_sort(F.array_distinct("_domains"))).alias("delay_domains"),
+        "has_cascading_incident",
+        "worst_severity",
+        F.col("_by_rank.severity").alias("worst_severity_by_rank"),
+        F.col("_worst.category").alias("primary_delay_category"),
     )
 
 

@@ -2,27 +2,72 @@
 
 Each check returns the offending rows or keys (what a failing test would
 show); ``dq_summary`` runs every declared test and returns one row per test
-with its failure count. All checks are aggregates or anti-joins: nothing is
-collected to the driver.
+with its failure count. All checks are aggregates or anti-joins; what the
+driver sees are counts.
+
+Uniqueness is tested in two passes. The first sends an 8-byte fingerprint of
+each value through the shuffle, and only fingerprints that occur more than
+once are kept. The second reads the columns again and compares the values
+behind those fingerprints exactly. A value that occurs once is never moved, and
+two values that share a fingerprint are told apart.
+
+Relationships to a large parent are tested behind a Bloom filter of its keys
+(:func:`filtered_orphans`): children's rows aren't shuffled at all.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from routecast.session import scratch_dir
+
+#: Repeated fingerprints, 8 bytes each, that are broadcast; more are met by a shuffle.
+BROADCAST_FINGERPRINTS = 1 << 20
+
+
+def fingerprint(place: int, value: Column) -> Column:
+    """8 bytes that stand for a value of the ``place``-th tested column."""
+    return F.xxhash64(F.lit(place), value)
+
+
+def _marked(df: DataFrame, columns: dict[int, str]) -> DataFrame:
+    """``place``, ``value`` (as text) and ``mark`` of all non-NULL values of some columns: one pass, a row for each."""
+    cells = [F.struct(F.lit(i).alias("place"), F.col(c).cast("string").alias("value"), fingerprint(i, F.col(c).cast("string")).alias("mark")) for i, c in columns.items()]
+    return df.select(F.explode(F.array(*cells)).alias("c")).select("c.*").filter("value is not null")
+
+
+def repeated_values(tables: list[tuple[DataFrame, dict[int, str]]]) -> DataFrame | None:
+    """``place``, ``value`` and ``n`` of the values that occur more than once in their column; None if there are none.
+
+    ``tables``: the columns of each table under numbers of their own. NULLs are
+    left out. The repeated fingerprints are written (their number decides
+    whether they are broadcast), so this runs a job."""
+    marked = [_marked(df, columns) for df, columns in tables]
+    marks = reduce(DataFrame.unionAll, [m.select("mark") for m in marked]).groupBy("mark").agg(F.count(F.lit(1)).alias("n"))
+    again = marks.filter("n > 1").select(F.col("mark").alias("again"))
+    scratch_dir(again.sparkSession)  # names the folder of the checkpoint
+    again = again.checkpoint()
+    n = again.count()
+    if not n:
+        return None
+    if n <= BROADCAST_FINGERPRINTS:
+        again = F.broadcast(again)
+    suspects = [m.join(again, F.col("mark") == F.col("again"), "left_semi") for m in marked]
+    return reduce(DataFrame.unionAll, suspects).groupBy("place", "value").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+
 
 def unique_failures(df: DataFrame, column: str) -> DataFrame:
     """Values of ``column`` that occur more than once (NULLs ignored)."""
-    return (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("n_records"))
-        .filter(F.col("n_records") > 1)
-    )
+    found = repeated_values([(df, {0: column})])
+    kind = df.schema[column].dataType
+    if found is None:
+        return df.select(column, F.lit(2).cast("long").alias("n_records")).limit(0)
+    return found.select(F.col("value").cast(kind).alias(column), F.col("n").alias("n_records"))
 
 
 def not_null_failures(df: DataFrame, column: str) -> DataFrame:
@@ -36,6 +81,69 @@ def relationship_failures(child: DataFrame, fk: str, parent: DataFrame, pk: str)
     return child.filter(F.col(fk).isNotNull()).join(keys, F.col(fk) == F.col("__pk"), "left_anti")
 
 
+#: Bits of the filter for each parent key; bits set for a key, all in one word of 64.
+BITS_A_KEY, BITS_SET = 16, 4
+#: Words of the filter (8 bytes each) that go to every task; parents beyond that have none.
+MOST_WORDS = 1 << 22
+
+
+def _place(key: Column, words: int) -> tuple[Column, Column]:
+    """A key's word in the filter and its bits there."""
+    h = F.xxhash64(key)
+    word = F.pmod(h, F.lit(words))
+    g = F.xxhash64(key, F.lit(1))
+    bits = [F.call_function("shiftleft", F.lit(1).cast("long"), F.shiftrightunsigned(g, 6 * i).bitwiseAND(F.lit(63)).cast("int")) for i in range(BITS_SET)]
+    return word, reduce(lambda a, b: a.bitwiseOR(b), bits)
+
+
+def key_filter(parent: DataFrame, pk: str) -> tuple[DataFrame, int] | None:
+    """A Bloom filter of the parent's keys: one row with an array of 64-bit words, and their number.
+
+    Built by aggregates: the keys' bits are merged by word in each task before
+    the shuffle. None if the parent has too many keys for ``MOST_WORDS`` words,
+    or none at all. Counts the parent's rows, so this runs a job."""
+    n = parent.select(pk).count()
+    words = max(1, math.ceil(n * BITS_A_KEY / 64))
+    if not n or words > MOST_WORDS:
+        return None
+    word, bits = _place(F.col(pk), words)
+    merged = parent.filter(F.col(pk).isNotNull()).select(word.alias("word"), bits.alias("bits")).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    every = parent.sparkSession.range(words).select(F.col("id").alias("word")).join(merged, "word", "left")
+    row = every.agg(F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits")))).alias("all"))
+    return row.select(F.transform("all", lambda x: x["bits"]).alias("words")), words
+
+
+def filtered_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
+    """D3 for a large parent: child rows whose non-NULL ``fk`` has no parent.
+
+    A key outside the parent's Bloom filter is an orphan for sure. Keys inside
+    it are proven exactly, each once: of the children only their distinct keys
+    are shuffled (merged in each task first) and anti-joined with the parent.
+    The few false positives found are then looked up among the children. No
+    child row is shuffled, whether it matches or not, as long as they are few.
+
+    A parent that is too large for a filter has all its children's distinct
+    keys proven in the same way."""
+    known = child.filter(F.col(fk).isNotNull())
+    made = key_filter(parent, pk)
+    keys = parent.select(F.col(pk).alias("__pk"))
+    inside = F.lit(True)
+    if made is not None:
+        row, words = made
+        word, bits = _place(F.col(fk), words)
+        found = F.element_at(row.scalar(), (word + 1).cast("int"))
+        inside = found.bitwiseAND(bits) == bits
+    told = known.withColumn("__inside", inside)
+    proven = told.filter("__inside").select(F.col(fk).alias("__fk")).distinct().join(keys, F.col("__fk") == F.col("__pk"), "left_anti")
+    scratch_dir(child.sparkSession)  # names the folder of the checkpoint
+    proven = proven.checkpoint()
+    if proven.count() <= BROADCAST_FINGERPRINTS:
+        proven = F.broadcast(proven)
+    outside = told.filter("not __inside").drop("__inside")
+    slipped = told.filter("__inside").drop("__inside").join(proven, F.col(fk) == F.col("__fk"), "left_semi")
+    return outside.unionByName(slipped)
+
+
 @dataclass(frozen=True)
 class Check:
     model: str
@@ -101,12 +209,6 @@ def _cells(df: DataFrame, model: str, column: str, test: str) -> DataFrame:
     return df.select(F.lit(model).alias("model"), F.lit(column).alias("column_name"), F.lit(test).alias("test"))
 
 
-def _keys(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
-    """The values of a table's unique columns: one pass, one row for each value."""
-    pairs = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])
-    return df.select(F.lit(model).alias("model"), F.explode(pairs).alias("p")).select("model", "p.column_name", "p.value")
-
-
 def _nulls(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
     """A labelled row for each NULL in ``columns``: one pass, and nothing for rows without one."""
     missing = F.filter(F.array(*[F.when(F.col(c).isNull(), F.lit(c)) for c in columns]), lambda c: c.isNotNull())
@@ -117,42 +219,34 @@ def dq_summary(tables: dict[str, DataFrame], checks: list[Check] = DECLARED_CHEC
     """One row per declared test with its number of failures, and one per
     quarantine with its number of rows.
 
-    Every table is read once for its unique columns; their values meet in one
-    aggregation for all tables, which also counts their NULLs. Other columns
-    are only looked at for NULLs, so they shuffle nothing but a failure.
+    Unique columns of all tables are tested together: their values' 8-byte
+    fingerprints meet in one aggregation, and only values whose fingerprint
+    repeats are compared (:func:`repeated_values`). All columns' NULLs are
+    counted in one pass a table, which shuffles nothing but a failure.
     Relationships are anti-joins. All failures are counted in one aggregation,
     after a count in each task. The declared tests are a small table that the
     counts join, so a test over an empty table reports 0.
     """
     spark = next(iter(tables.values())).sparkSession
-    unique: dict[str, list[str]] = {}
-    for c in checks:
-        if c.test == "unique":
-            unique.setdefault(c.model, []).append(c.column)
-    only_null: dict[str, list[str]] = {}
+    unique: dict[str, dict[int, str]] = {}
+    nulls: dict[str, list[str]] = {}
     failures = []
-    for c in checks:
-        if c.test == "not_null" and c.column not in unique.get(c.model, ()):
-            only_null.setdefault(c.model, []).append(c.column)
+    for i, c in enumerate(checks):
+        if c.test == "unique":
+            unique.setdefault(c.model, {})[i] = c.column
+        elif c.test == "not_null":
+            nulls.setdefault(c.model, []).append(c.column)
         elif c.test == "relationships":
             orphans = relationship_failures(tables[c.model], c.column, tables[c.parent], c.parent_column)
             failures.append(_cells(orphans, c.model, c.column, c.test))
         elif c.test == "quarantine":
             failures.append(_cells(tables[c.model], c.model, c.column, c.test))
-    failures += [_nulls(tables[m], m, columns) for m, columns in only_null.items()]
-    counts = []
-    if failures:
-        counts.append(reduce(DataFrame.unionByName, failures).groupBy("model", "column_name", "test").agg(F.count(F.lit(1)).alias("failures")))
-    if unique:
-        values = reduce(DataFrame.unionByName, [_keys(tables[m], m, columns) for m, columns in unique.items()])
-        per_value = values.groupBy("model", "column_name", "value").agg(F.count(F.lit(1)).alias("n"))
-        per_column = per_value.groupBy("model", "column_name").agg(
-            F.count_if(F.col("value").isNotNull() & (F.col("n") > 1)).alias("u"),
-            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n"),
-        )
-        counts.append(per_column.select("model", "column_name", F.expr("stack(2, 'unique', u, 'not_null', n) as (test, failures)")))
-    declared = spark.createDataFrame([(c.model, c.column, c.test) for c in checks], "model string, column_name string, test string")
-    found = reduce(DataFrame.unionByName, counts)
-    return declared.join(found, ["model", "column_name", "test"], "left").select(
-        "model", "column_name", "test", F.coalesce("failures", F.lit(0)).cast("long").alias("failures")
-    )
+    failures += [_nulls(tables[m], m, columns) for m, columns in nulls.items()]
+    declared = spark.createDataFrame([(i, c.model, c.column, c.test) for i, c in enumerate(checks)], "place int, model string, column_name string, test string")
+    found = reduce(DataFrame.unionByName, failures).groupBy("model", "column_name", "test").agg(F.count(F.lit(1)).alias("failures")) if failures else None
+    out = declared.withColumn("failures", F.lit(None).cast("long")) if found is None else declared.join(found, ["model", "column_name", "test"], "left")
+    repeated = repeated_values([(tables[m], columns) for m, columns in unique.items()]) if unique else None
+    if repeated is not None:
+        values = repeated.groupBy("place").agg(F.count(F.lit(1)).alias("values"))
+        out = out.join(values, "place", "left").withColumn("failures", F.coalesce("failures", "values"))
+    return out.select("model", "column_name", "test", F.coalesce("failures", F.lit(0)).cast("long").alias("failures"))

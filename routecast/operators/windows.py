@@ -130,12 +130,18 @@ def running_total(
     by = [*[F.col(c).asc_nulls_last() for c in group], *order]
     base = stage(df.withColumn("__w", weight.cast("long")).repartitionByRange(n, *by).withColumn(_RANGE, F.spark_partition_id()))
     met = base.groupBy(_RANGE, *group).agg(F.sum("__w").alias("__sum"))
-    whole = Window.partitionBy(*(group or [F.lit(0)]))
-    earlier = whole.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
     keys = [_RANGE, *group]
-    offsets = met.select(
-        *[F.col(c).alias(f"__o_{c}") for c in keys], F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__offset"), F.sum("__sum").over(whole).alias(total)
-    )
+    if group:
+        whole = Window.partitionBy(*group)
+        earlier = whole.orderBy(_RANGE).rowsBetween(Window.unboundedPreceding, -1)
+        sums = met.select(*keys, F.coalesce(F.sum("__sum").over(earlier), F.lit(0)).alias("__offset"), F.sum("__sum").over(whole).alias(total))
+    else:
+        # One row of all ranges' sums: as many numbers as there are shuffle partitions.
+        row = met.agg(F.array_sort(F.collect_list(F.struct(_RANGE, "__sum"))).alias("__all"), F.sum("__sum").alias(total))
+        until = lambda x: F.aggregate(F.filter("__all", lambda y: y[_RANGE] < x[_RANGE]), F.lit(0).cast("long"), lambda n, y: n + y["__sum"])
+        made = F.transform("__all", lambda x: F.struct(x[_RANGE].alias(_RANGE), until(x).alias("__offset")))
+        sums = row.select(total, F.explode(made).alias("__r")).select(F.col(f"__r.{_RANGE}").alias(_RANGE), F.col("__r.__offset").alias("__offset"), total)
+    offsets = sums.select(*[F.col(c).alias(f"__o_{c}") for c in keys], "__offset", total)
     inside = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = base.withColumn("__local", F.coalesce(F.sum("__w").over(inside), F.lit(0)))
     same = reduce(lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__o_{c}")) for c in keys])

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from routecast.operators.intermediate import INT_PUNCTUALITY_COLUMNS
 from routecast.operators.marts import FCT_PUNCTUALITY_COLUMNS, FCT_REVENUE_COLUMNS, FCT_TRIPS_COLUMNS
+from routecast.plans import colocated
 from routecast.plans.refresh import refresh_warehouse
 from routecast.plans.warehouse import Warehouse
 from routecast.session import scratch_dir
@@ -100,6 +101,39 @@ def refreshed_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
+#: Buckets of the layout below; a cluster's would be as many as its shuffle partitions.
+BUCKETS = 16
+
+
+def colocated_layout(wh: Warehouse) -> str:
+    """Writes the bucketed trip tables of a warehouse; returns their database."""
+    spark = wh.stg_routes.sparkSession
+    database = f"routecast_{uuid.uuid4().hex}"
+    root = f"{scratch_dir(spark)}/{database}"
+    remove_at_exit(spark, root)
+    colocated.write_layout(wh.stg_scheduled_trips, wh.stg_punctuality_trips, wh.stg_delay_incidents, database, root, BUCKETS)
+    return database
+
+
+def colocated_comparison(wh: Warehouse) -> DataFrame:
+    """J3-J5 over buckets: no exchange of the three trip tables."""
+    joined = colocated.comparison(wh.stg_routes.sparkSession, colocated_layout(wh), wh.stg_routes)
+    return joined.select(*COMPARED_COLUMNS)
+
+
+def colocated_punctuality(wh: Warehouse) -> DataFrame:
+    """W5 over buckets: equal to ``W5_int_trip_punctuality``."""
+    spark = wh.stg_routes.sparkSession
+    made = colocated.int_trip_punctuality(spark, colocated_layout(wh), wh.stg_routes, lambda df, name: df.checkpoint())
+    return made.select(*INT_PUNCTUALITY_COLUMNS)
+
+
+COMPARED_COLUMNS = [
+    "scheduled_trip_id", "trip_id", "route_id", "route_name", "departure_delay_minutes", "arrival_delay_minutes", "incident_count",
+    "total_incident_delay_minutes", "delay_categories", "delay_domains", "has_cascading_incident", "incident_worst_severity", "primary_delay_category",
+]
+
+
 def route_benchmarks_rounded(wh: Warehouse) -> DataFrame:
     """A5 + A6 per route (rounded to 9 dp so interpolation round-off of
     different engines compares equal)."""

@@ -660,6 +660,13 @@ def d4_quarantined_incidents(wh: Warehouse) -> DataFrame:
     return wh.quarantined_incidents
 
 
+def d3_filtered_orphans(wh: Warehouse) -> DataFrame:
+    """Incidents whose trip isn't in the fact, found behind a filter of the fact's keys."""
+    from routecast.operators.quality import filtered_orphans
+
+    return filtered_orphans(wh.stg_delay_incidents, "trip_id", wh.fct_punctuality, "trip_id").select("incident_id", "trip_id")
+
+
 def d4_dq_summary(wh: Warehouse) -> DataFrame:
     from routecast.operators.quality import dq_summary
 
@@ -708,6 +715,7 @@ NAMED_QUERIES.update(
         "D2_trips_without_category": d2_trips_without_category,
         "D3_incidents_without_assessment": d3_incidents_without_assessment,
         "D4_quarantined_incidents": d4_quarantined_incidents,
+        "D3_filtered_orphans": d3_filtered_orphans,
         "D4_dq_summary": d4_dq_summary,
         "X1_all_feedback": x1_all_feedback,
         "X1_negative_feedback": x1_negative_feedback,

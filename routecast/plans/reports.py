@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from routecast.functions import classifiers as C
 from routecast.functions.mathcols import dec, rate
+from routecast.operators.windows import running_total
 from routecast.plans.warehouse import Warehouse
+from routecast.session import scratch_dir
 from routecast.sources.calendar import in_period
 
 Period = tuple[dt.date, dt.date]  # [start, end)
@@ -229,11 +231,10 @@ def revenue_at_risk(
         ),
         C.risk_level_rank(level).alias("_level_rank"),
     )
-    # one row per route: the task that ranks them holds as many rows as there are routes
-    w = Window.partitionBy().orderBy(
-        F.col("_level_rank").asc(), F.col("delay_cost_to_revenue_pct").desc_nulls_last(), F.col("route_id").asc()
-    )
-    return base.withColumn("exposure_rank", F.row_number().over(w)).drop("_level_rank").orderBy("exposure_rank")
+    scratch_dir(base.sparkSession)  # names the folder of the checkpoint
+    order = [F.col("_level_rank").asc(), F.col("delay_cost_to_revenue_pct").desc_nulls_last(), F.col("route_id").asc()]
+    ranked = running_total(base, [], order, F.lit(1), "_before", "_routes", lambda df: df.checkpoint())
+    return ranked.withColumn("exposure_rank", (F.col("_before") + 1).cast("int")).drop("_level_rank", "_before", "_routes").orderBy("exposure_rank")
 
 
 def portfolio(wh: Warehouse, period: Period | None, top_n: int = 3, **options) -> DataFrame:

@@ -54,6 +54,15 @@ def write_months(df: DataFrame, path: str, sort_by: tuple[str, ...] | None = Non
     out.write.mode("overwrite").option("partitionOverwriteMode", mode).partitionBy("month_key").parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> None:
+    """A catalog table in ``buckets`` buckets by ``key``, one sorted file each, replaced as a whole.
+
+    The rows are dealt by the key first, as joins deal them, so that a bucket
+    is one file and not one for each task."""
+    dealt = df.repartition(buckets, key).sortWithinPartitions(key)
+    dealt.write.mode("overwrite").format("parquet").bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table)
+
+
 def remove_at_exit(spark: SparkSession, path: str) -> None:
     """Marks a folder of this application's own for removal when the driver ends."""
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
