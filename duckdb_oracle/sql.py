@@ -47,6 +47,36 @@ LAYER_SQL = {
     "S1_seeded_routes": "SELECT * FROM stg_routes",
     "S3_routes_view": """
         SELECT route_id, route_name, (SELECT count(*) FROM fct_trips t WHERE t.route_id = r.route_id) AS trip_count FROM dim_routes r""",
+    "P7_reconciliation": """
+        SELECT * FROM (WITH told AS (
+          SELECT 'trips' AS input, if(trip_status = 'completed', 'kept', 'not completed') AS outcome FROM raw_trips
+          UNION ALL SELECT 'punctuality_trips', if(trip_status = 'completed', 'kept', 'not completed') FROM raw_punctuality_trips
+          UNION ALL SELECT 'bookings', 'kept' FROM raw_bookings
+          UNION ALL SELECT 'scheduled_trips', 'quarantined' FROM quarantined_schedules
+          UNION ALL SELECT 'scheduled_trips', if(_is_invalid_schedule, 'invalid schedule', 'kept') FROM stg_scheduled_trips
+          UNION ALL SELECT 'delay_incidents', 'quarantined' FROM quarantined_incidents
+          UNION ALL SELECT 'delay_incidents', if(_is_invalid_record, 'invalid record', 'kept') FROM stg_delay_incidents),
+        outcomes(input, outcome) AS (VALUES ('trips', 'kept'), ('trips', 'not completed'), ('punctuality_trips', 'kept'),
+          ('punctuality_trips', 'not completed'), ('bookings', 'kept'), ('scheduled_trips', 'kept'), ('scheduled_trips', 'quarantined'),
+          ('scheduled_trips', 'invalid schedule'), ('delay_incidents', 'kept'), ('delay_incidents', 'quarantined'), ('delay_incidents', 'invalid record'))
+        SELECT input, outcome, (SELECT count(*) FROM told t WHERE t.input = o.input AND t.outcome = o.outcome) AS n_rows FROM outcomes o
+        UNION ALL SELECT input, 'read', count(*) FROM told GROUP BY input)""",
+    "X1_event_reconciliation": """
+        SELECT CASE WHEN epoch_us("timestamp") % 97 = 0 THEN 'malformed: value'
+            WHEN event_id % 4 = 3 THEN 'other record' ELSE 'feedback' END AS outcome,
+          count(*) AS n_rows, count(*) FILTER (WHERE k % 2 <> 0 AND epoch_us("timestamp") % 97 <> 0) AS n_negative
+        FROM feedback_src GROUP BY 1""",
+    "M3_rollup_by_season": """
+        SELECT * FROM (WITH t AS (
+          SELECT season, origin, count(trip_id) AS trip_count, sum(occupancy_rate)::DOUBLE / count(occupancy_rate) AS average_occupancy_rate
+          FROM fct_trips JOIN dim_date USING (date_key) LEFT JOIN dim_routes USING (route_id) WHERE year IN (1996, 1997) GROUP BY ALL),
+        r AS (
+          SELECT season, origin, sum(total_fare)::DECIMAL(38,2) AS total_revenue, count(booking_id) AS booking_count,
+            sum(total_fare)::DOUBLE / sum(passengers) AS revenue_per_passenger
+          FROM fct_revenue JOIN dim_date USING (date_key) LEFT JOIN dim_routes USING (route_id) WHERE year IN (1996, 1997) GROUP BY ALL)
+        SELECT coalesce(t.season, r.season) AS season, coalesce(t.origin, r.origin) AS origin, total_revenue, booking_count,
+          revenue_per_passenger, trip_count, average_occupancy_rate
+        FROM t FULL JOIN r ON t.season = r.season AND t.origin IS NOT DISTINCT FROM r.origin)""",
     "J3_colocated_comparison": """
         SELECT scheduled_trip_id, trip_id, route_id, route_name, departure_delay_minutes, arrival_delay_minutes,
           CAST(incident_count AS BIGINT) AS incident_count, CAST(total_incident_delay_minutes AS BIGINT) AS total_incident_delay_minutes,

@@ -274,16 +274,17 @@ def int_trip_punctuality(
     """The per-trip punctuality assessment (int_trip_punctuality).
 
     ``stage`` writes a table and reads it back. The joined trips are written
-    already dealt by vehicle and departure, which is the one range exchange of
-    W1-W3, and their window result is written for the route-day histogram and
-    its join. Without ``stage`` both are checkpoints, in the same shared
-    folder."""
+    first, so that the range exchange of W1-W3, which looks at its input twice,
+    doesn't run the joins twice; then dealt by vehicle and departure; and their
+    window result is written for the route-day histogram and its join. Without
+    ``stage`` these are checkpoints, in the same shared folder."""
     rollup = incident_rollup(incidents) if rollup is None else rollup
     flagged = flagged_comparison(scheduled, trips, routes, rollup)
     if stage is None:
         scratch_dir(flagged.sparkSession)  # names the folder of the checkpoints
         stage = lambda df, name: df.checkpoint()
-    return assessed(stage(vehicle_context(flagged, lambda df: stage(df, "int_trip_comparison")), "int_vehicle_context"))
+    compared = stage(flagged, "int_trip_comparison")
+    return assessed(stage(vehicle_context(compared, lambda df: stage(df, "int_trip_ranges")), "int_vehicle_context"))
 
 
 INT_PUNCTUALITY_COLUMNS = [

@@ -80,9 +80,22 @@ def _unparsed(casts: dict[str, tuple[str, str]]) -> Column:
     )
 
 
+SCHEDULE_COLUMNS = [
+    "scheduled_trip_id", "trip_id", "route_id", "vehicle_id",
+    "scheduled_departure_at", "scheduled_arrival_at", "scheduled_duration_minutes",
+    "service_type", "departure_window", "is_weekend_service", "schedule_density",
+    "schedule_version", "schedule_quarter", "schedule_year", "_is_invalid_schedule",
+]
+
+
 def stg_scheduled_trips(raw: DataFrame) -> DataFrame:
     """P7/P8 + C1-C6: schedule metadata and the validity flag."""
-    typed = _typed_schedules(raw).filter("_unparsed = ''")
+    return read_schedules(raw).filter("_unparsed = ''").select(*SCHEDULE_COLUMNS)
+
+
+def read_schedules(raw: DataFrame) -> DataFrame:
+    """All schedules with their staged columns; ``_unparsed`` names the columns that don't parse."""
+    typed = _typed_schedules(raw)
     dep = F.col("scheduled_departure_at")
     enriched = typed.withColumn(
         "scheduled_duration_minutes", minute_diff(dep, "scheduled_arrival_at")
@@ -94,12 +107,7 @@ def stg_scheduled_trips(raw: DataFrame) -> DataFrame:
         C.schedule_quarter("schedule_version").alias("schedule_quarter"),
         C.invalid_schedule("scheduled_duration_minutes", dep, "scheduled_arrival_at").alias("_is_invalid_schedule"),
     )
-    return enriched.select(
-        "scheduled_trip_id", "trip_id", "route_id", "vehicle_id",
-        "scheduled_departure_at", "scheduled_arrival_at", "scheduled_duration_minutes",
-        "service_type", "departure_window", "is_weekend_service", "schedule_density",
-        "schedule_version", "schedule_quarter", "schedule_year", "_is_invalid_schedule",
-    )
+    return enriched.select(*SCHEDULE_COLUMNS, "_unparsed")
 
 
 def quarantined_schedules(raw: DataFrame) -> DataFrame:
@@ -143,10 +151,23 @@ def _typed_incidents(raw: DataFrame) -> DataFrame:
     )
 
 
+INCIDENT_COLUMNS = [
+    "incident_id", "trip_id", "route_id", "delay_category", "delay_domain", "delay_minutes",
+    "impact_level", "computed_severity", "passenger_delay_minutes", "reported_at", "resolved_at",
+    "resolution_minutes", "resolution_category", "incident_time_band", "is_cascading",
+    "affected_passengers", "_is_rapid_resolution_anomaly", "_is_invalid_record",
+]
+
+
 def stg_delay_incidents(raw: DataFrame) -> DataFrame:
     """P7/P8 + C1, C7-C13. Text that does not parse neither fails the job nor
     becomes NULL: its row is in ``quarantined_incidents`` and not here."""
-    typed = _typed_incidents(raw).filter("_unparsed = ''")
+    return read_incidents(raw).filter("_unparsed = ''").select(*INCIDENT_COLUMNS)
+
+
+def read_incidents(raw: DataFrame) -> DataFrame:
+    """All incidents with their staged columns; ``_unparsed`` names the columns that don't parse."""
+    typed = _typed_incidents(raw)
     # the boundary-minute difference is computed once and reused
     with_res = typed.withColumn("resolution_minutes", minute_diff("reported_at", "resolved_at"))
     enriched = with_res.select(
@@ -159,12 +180,7 @@ def stg_delay_incidents(raw: DataFrame) -> DataFrame:
         C.rapid_resolution_anomaly("resolution_minutes", "delay_minutes").alias("_is_rapid_resolution_anomaly"),
         C.invalid_incident("delay_minutes", "reported_at", "resolved_at").alias("_is_invalid_record"),
     )
-    return enriched.select(
-        "incident_id", "trip_id", "route_id", "delay_category", "delay_domain", "delay_minutes",
-        "impact_level", "computed_severity", "passenger_delay_minutes", "reported_at", "resolved_at",
-        "resolution_minutes", "resolution_category", "incident_time_band", "is_cascading",
-        "affected_passengers", "_is_rapid_resolution_anomaly", "_is_invalid_record",
-    )
+    return enriched.select(*INCIDENT_COLUMNS, "_unparsed")
 
 
 def quarantined_incidents(raw: DataFrame) -> DataFrame:

@@ -674,30 +674,64 @@ def d4_dq_summary(wh: Warehouse) -> DataFrame:
 
 
 def x1_negative_feedback(wh: Warehouse) -> DataFrame:
-    from routecast.operators.feedback import parse_feedback
+    from routecast.operators.feedback import feedback_records
 
-    return parse_feedback(wh.feedback_events, negative_only=True)
+    return feedback_records(wh.feedback, negative_only=True)
 
 
 def x1_all_feedback(wh: Warehouse) -> DataFrame:
     """Every feedback record, without sign or limit."""
-    from routecast.operators.feedback import parse_feedback
+    from routecast.operators.feedback import feedback_records
 
-    return parse_feedback(wh.feedback_events)
+    return feedback_records(wh.feedback)
 
 
 def x1_recent_feedback(wh: Warehouse) -> DataFrame:
     """The monitoring view: newest 20 feedback records (the limit is the
     feature)."""
-    from routecast.operators.feedback import extract_feedback
+    from routecast.operators.feedback import feedback_records, newest_first
 
-    return extract_feedback(wh.feedback_events, limit=20)
+    return newest_first(feedback_records(wh.feedback), limit=20)
 
 
 def x2_keyword_feedback(wh: Warehouse) -> DataFrame:
-    from routecast.operators.feedback import keyword_feedback
+    from routecast.operators.feedback import feedback_records, with_keyword
 
-    return keyword_feedback(wh.feedback_events)
+    return with_keyword(feedback_records(wh.feedback, negative_only=True))
+
+
+#: Payloads whose time in microseconds has this divisor are cut off in X1_event_reconciliation.
+CUT_EVERY = 97
+
+
+def x1_event_reconciliation(wh: Warehouse) -> DataFrame:
+    """Events of which some payloads are cut off: typed and rejected rows, which add up to the input."""
+    from routecast.operators.feedback import FEEDBACK_RECORD, rejected_events, typed_events
+
+    cut = F.unix_micros(F.col("timestamp").cast("timestamp")) % CUT_EVERY == 0
+    events = wh.feedback_events.withColumn("value", F.when(cut, F.expr("substring(value, 1, length(value) - 1)")).otherwise(F.col("value")))
+    kind = F.when(F.col("record_name") == FEEDBACK_RECORD, "feedback").otherwise("other record")
+    typed = typed_events(events).groupBy(kind.alias("outcome")).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("is_positive") == "false").alias("n_negative"))
+    bad = rejected_events(events).groupBy(F.concat(F.lit("malformed: "), "malformed").alias("outcome"))
+    return typed.unionByName(bad.agg(F.count(F.lit(1)).alias("n_rows"), F.lit(0).cast("long").alias("n_negative")))
+
+
+def p7_reconciliation(wh: Warehouse) -> DataFrame:
+    """Rows read, kept, quarantined and left out by each rule, as the build has counted them."""
+    from routecast.operators.reconciliation import as_table
+
+    return as_table(wh.dim_routes.sparkSession, wh.reconciliation)
+
+
+def m3_rollup_by_season(wh: Warehouse) -> DataFrame:
+    """M2/M3 from the stored aggregates of both operations facts."""
+    return semantic_query(
+        OPERATIONS,
+        wh,
+        ["season", "origin"],
+        ["total_revenue", "booking_count", "revenue_per_passenger", "trip_count", "average_occupancy_rate"],
+        filters={"year": [1996, 1997]},
+    )
 
 
 NAMED_QUERIES.update(
@@ -717,6 +751,9 @@ NAMED_QUERIES.update(
         "D4_quarantined_incidents": d4_quarantined_incidents,
         "D3_filtered_orphans": d3_filtered_orphans,
         "D4_dq_summary": d4_dq_summary,
+        "M3_rollup_by_season": m3_rollup_by_season,
+        "P7_reconciliation": p7_reconciliation,
+        "X1_event_reconciliation": x1_event_reconciliation,
         "X1_all_feedback": x1_all_feedback,
         "X1_negative_feedback": x1_negative_feedback,
         "X1_recent_feedback": x1_recent_feedback,

@@ -37,9 +37,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from routecast.operators import dims, intermediate, marts, staging
+from routecast.operators import dims, feedback, intermediate, marts, staging
 from routecast.operators.fingerprints import FINGERPRINT, NO_MONTH, fingerprints
-from routecast.plans.warehouse import MART_SORT, Warehouse
+from routecast.plans.warehouse import MART_SORT, StoredParts, Warehouse, metric_parts
 from routecast.sources import calendar, sinks
 from routecast.sources.schemas import RawInputs
 
@@ -53,6 +53,8 @@ class Refreshed:
 
     warehouse: Warehouse
     written: dict[str, list[int]] = field(default_factory=dict)
+    #: As ``written``, with the months that have lost their last rows.
+    touched: dict[str, list[int]] = field(default_factory=dict)
 
 
 def _in(months: Iterable[int] | None, column: Column) -> Column:
@@ -186,6 +188,7 @@ def refresh_warehouse(
             out.written[name] = at.write_months(fact.filter(_in(months, F.col("month_key"))), name, _listed(months), MART_SORT[name])
         else:
             out.written[name] = []
+        out.touched[name] = _listed(months or ())
         facts[name] = at.read(name)
 
     punctuality, halo = _refresh_punctuality(at, used, routes, incidents, changed, old, out)
@@ -196,9 +199,20 @@ def refresh_warehouse(
         "dim_vehicles": dims.dim_vehicles(staging.stg_vehicles(raw.vehicles)),
         "dim_date": calendar.dim_date(spark, date_start, date_end),
         "dim_delay_categories": dims.dim_delay_categories(incidents),
+        "feedback": feedback.typed_events(raw.feedback_events),
     }
     for name, df in tables.items():
         sinks.write_table(df, at.path(name))
+    # The stored parts of the metrics, of the months that were written.
+    dimensions = {name: sinks.read_table(spark, at.path(name)) for name in tables}
+    rows = facts | {"fct_punctuality": marts.with_route_statistics(at.read("fct_punctuality"), sinks.read_table(spark, at.path("route_benchmarks")))}
+    aggregates = {}
+    for table, whole_fact in rows.items():
+        fresh = at.read(table).filter(_in(None if whole else out.written[table], F.col("month_key")))
+        for key, (_, parts) in metric_parts({table: fresh}, dimensions["dim_date"]).items():
+            if whole or out.touched[table]:
+                at.write_months(parts, "_".join(key), None if whole else out.touched[table])
+            aggregates[key] = StoredParts(at.read("_".join(key)), whole_fact, dimensions["dim_date"])
     at.write_manifest([(*k, *v) for k, v in now.items()], version + 1)
     out.warehouse = Warehouse(
         stg_routes=routes,
@@ -214,15 +228,16 @@ def refresh_warehouse(
         int_booking_revenue=revenue,
         incident_rollup=intermediate.incident_rollup(incidents),
         int_trip_punctuality=punctuality.drop("month_key"),
-        fct_punctuality=marts.with_route_statistics(at.read("fct_punctuality"), sinks.read_table(spark, at.path("route_benchmarks"))),
         feedback_events=raw.feedback_events,
-        **{name: sinks.read_table(spark, at.path(name)) for name in tables},
-        **facts,
+        rejected_feedback=feedback.rejected_events(raw.feedback_events),
+        aggregates=aggregates,
+        **dimensions,
+        **rows,
     )
     return out
 
 
-def _listed(months: set[int] | None) -> list[int] | None:
+def _listed(months: Iterable[int] | None) -> list[int] | None:
     return None if months is None else sorted(months)
 
 
@@ -290,6 +305,7 @@ def _refresh_punctuality(at: _Folder, used: dict, routes: DataFrame, incidents:
         at.remove(at.path("work"))
     else:
         written = []
+    out.touched["fct_punctuality"] = _listed(months or ())
     out.written |= {n: written for n in names if n in ("int_trip_punctuality", "fct_punctuality")}
     return at.read("int_trip_punctuality"), prints
 

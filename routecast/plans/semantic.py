@@ -19,6 +19,10 @@ fact the way one would by hand at scale:
 Metrics from several facts (M3) are computed one branch per fact and
 aligned with ``unionByName`` + ``groupBy(dims)``: no fan-out between facts,
 and NULL dimension members align (a join would drop them).
+
+A branch whose dimensions and filters are the route's or whole months' reads
+the warehouse's stored aggregates in place of the fact, if it has them
+(``plans.aggregates``).
 """
 
 from __future__ import annotations
@@ -290,7 +294,7 @@ class Between:
     high: object = None
 
 
-def _filter_cond(column: str, value) -> Column:
+def filter_cond(column: str, value) -> Column:
     """A member, a list of members (None among them is the missing member), a
     :class:`Between`, or None for the missing member."""
     if value is None:
@@ -347,7 +351,7 @@ def dimension_members(
     if len(tables) == 1:
         src = _table(model, wh, tables.pop())
         for name, value in filters.items():
-            src = src.filter(_filter_cond(model.dimensions[name].column, value))
+            src = src.filter(filter_cond(model.dimensions[name].column, value))
         return src.select(*[F.col(d.column).alias(d.name) for d in dims]).distinct()
     facts = dict.fromkeys(r.table for r in model.relationships)
     reaching = [f for f in facts if all(t == f or model.relationship(f, t) for t in tables)]
@@ -380,7 +384,7 @@ def _fact_branch(
     for fname, value in filters.items():
         d = model.dimensions[fname]
         if d.table == fact:
-            df = df.filter(_filter_cond(d.column, value))
+            df = df.filter(filter_cond(d.column, value))
         else:
             remote_filters.setdefault(d.table, []).append((d, value))
     for table, conds in remote_filters.items():
@@ -388,7 +392,7 @@ def _fact_branch(
         pk = model.tables[table][1]
         keys = _table(model, wh, table)
         for d, value in conds:
-            keys = keys.filter(_filter_cond(d.column, value))
+            keys = keys.filter(filter_cond(d.column, value))
         # a semi-join needs no distinct right side (duplicates never repeat a fact row)
         keys = keys.select(F.col(pk).alias(rel.foreign_key))
         df = df.join(keys, rel.foreign_key, "left_semi")
@@ -472,10 +476,10 @@ def semantic_facts(
     for fname, value in filters.items():
         d = model.dimensions[fname]
         if d.table == fact:
-            df = df.filter(_filter_cond(d.column, value))
+            df = df.filter(filter_cond(d.column, value))
         else:
             rel = model.relationship(fact, d.table)
-            keys = _table(model, wh, d.table).filter(_filter_cond(d.column, value))
+            keys = _table(model, wh, d.table).filter(filter_cond(d.column, value))
             keys = keys.select(F.col(model.tables[d.table][1]).alias(rel.foreign_key))
             df = df.join(keys, rel.foreign_key, "left_semi")
 
@@ -505,6 +509,8 @@ def semantic_query(
     order_by: Sequence[Column | str] = (),
 ) -> DataFrame:
     """M2-M5: metrics grouped by dimensions, filtered, ordered."""
+    from routecast.plans import aggregates
+
     filters = dict(filters or {})
     unknown = [d for d in [*dimensions, *filters] if d not in model.dimensions]
     unknown += [m for m in metrics if m not in model.metrics]
@@ -519,7 +525,10 @@ def semantic_query(
     for m in metrics:
         mm = model.metrics[m]
         by_fact.setdefault(mm.table, []).append(mm)
-    branches = [_fact_branch(model, wh, fact, dims, ms, filters) for fact, ms in by_fact.items()]
+    branches = [
+        (aggregates.branch if aggregates.answers(model, wh, fact, dims, filters) else _fact_branch)(model, wh, fact, dims, ms, filters)
+        for fact, ms in by_fact.items()
+    ]
     if len(branches) == 1:
         res = branches[0]
     else:

@@ -12,16 +12,27 @@ from __future__ import annotations
 import datetime as dt
 import hashlib
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, fields
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from routecast.operators import dims, intermediate, marts, staging
+from routecast.operators import dims, feedback, intermediate, marts, staging
+from routecast.operators.reconciliation import QUARANTINED, Reconciliation
 from routecast.session import scratch_dir
 from routecast.sources import calendar, sinks, testdata
 from routecast.sources.schemas import RawInputs
 
 
+@dataclass(frozen=True)
+class StoredParts:
+    """Additive parts of metrics, and the very relations they were made from."""
+
+    parts: DataFrame
+    rows: DataFrame
+    days: DataFrame
+
+
 @dataclass
 class Warehouse:
     stg_routes: DataFrame
@@ -45,9 +56,15 @@ class Warehouse:
     fct_revenue: DataFrame
     fct_punctuality: DataFrame
     feedback_events: DataFrame
+    feedback: DataFrame
+    rejected_feedback: DataFrame
+    #: Stored parts of the semantic models' metrics, by (model, fact).
+    aggregates: dict[tuple[str, str], StoredParts] = field(default_factory=dict)
+    #: (input, outcome, rows) of the build's inputs; empty if nothing was written.
+    reconciliation: list[tuple[str, str, int]] = field(default_factory=list)
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self)}
+        return {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("aggregates", "reconciliation")}
 
 
 MART_SORT = {
@@ -84,30 +101,39 @@ def build_warehouse(
     i_occ = intermediate.int_trip_occupancy(s_trips, s_routes)
     i_rev = intermediate.int_booking_revenue(s_bookings, s_routes)
     rollup = intermediate.incident_rollup(s_inc)
-    d_routes = dims.dim_routes(s_routes)
-    d_vehicles = dims.dim_vehicles(s_vehicles)
-    d_date = calendar.dim_date(spark, date_start, date_end)
     d_cats = dims.dim_delay_categories(s_inc)
-    f_trips = marts.fct_trips(i_occ)
-    f_rev = marts.fct_revenue(i_rev)
-
-    def punctuality_chain() -> tuple[DataFrame, DataFrame]:
-        stage = (lambda df, name: materialise(df, "intermediate", name)) if store else None
-        ip = intermediate.int_trip_punctuality(s_sched, s_ptrips, s_inc, s_routes, rollup=rollup, stage=stage)
-        if store:
-            ip = stage(ip, "int_trip_punctuality")
-        fp = marts.fct_punctuality(ip, marts.route_benchmarks(ip, stage))
-        return ip, (materialise(fp, "marts", "fct_punctuality") if store else fp)
-
+    d_date = calendar.dim_date(spark, date_start, date_end)
     independent = {
-        "dim_routes": d_routes,
-        "dim_vehicles": d_vehicles,
+        "dim_routes": dims.dim_routes(s_routes),
+        "dim_vehicles": dims.dim_vehicles(s_vehicles),
         "dim_date": d_date,
         "dim_delay_categories": d_cats,
-        "fct_trips": f_trips,
-        "fct_revenue": f_rev,
+        "fct_trips": marts.fct_trips(i_occ),
+        "fct_revenue": marts.fct_revenue(i_rev),
+        "feedback": feedback.typed_events(raw.feedback_events),
     }
+    read = Reconciliation()
+    aggregates: dict[tuple[str, str], StoredParts] = {}
     if store:
+        # The rows that the facts are made from are counted while they are read.
+        not_done = {"not completed": ~F.col("trip_status").eqNullSafe("completed")}
+        done_trips = read.watch("trips", s_trips, not_done)
+        done_ptrips = read.watch("punctuality_trips", s_ptrips, not_done)
+        used_bookings = read.watch("bookings", s_bookings, {})
+        bad = {QUARANTINED: F.col("_unparsed") != ""}
+        used_sched = read.watch("scheduled_trips", staging.read_schedules(raw.scheduled_trips), bad | {"invalid schedule": F.col("_is_invalid_schedule")})
+        used_inc = read.watch("delay_incidents", staging.read_incidents(raw.delay_incidents), bad | {"invalid record": F.col("_is_invalid_record")})
+        independent["fct_trips"] = marts.fct_trips(intermediate.int_trip_occupancy(done_trips, s_routes))
+        independent["fct_revenue"] = marts.fct_revenue(intermediate.int_booking_revenue(used_bookings, s_routes))
+
+        def stage(df: DataFrame, name: str) -> DataFrame:
+            return materialise(df, "intermediate", name)
+
+        def punctuality_chain() -> tuple[DataFrame, DataFrame]:
+            used_rollup = intermediate.incident_rollup(used_inc)
+            ip = stage(intermediate.int_trip_punctuality(used_sched, done_ptrips, used_inc, s_routes, rollup=used_rollup, stage=stage), "int_trip_punctuality")
+            return ip, materialise(marts.fct_punctuality(ip, marts.route_benchmarks(ip, stage)), "marts", "fct_punctuality")
+
         # The operations marts and dimensions do not depend on the
         # punctuality chain: their write jobs are submitted concurrently so
         # the scheduler can fill idle executor slots.
@@ -115,8 +141,13 @@ def build_warehouse(
             futures = {n: pool.submit(materialise, df, "marts", n) for n, df in independent.items()}
             i_punct, f_punct = punctuality_chain()
             written = {n: f.result() for n, f in futures.items()}
+            days, facts = written["dim_date"], written | {"fct_punctuality": f_punct}
+            parts = metric_parts(facts, days)
+            futures = {k: (t, pool.submit(materialise, df, "aggregates", "_".join(k))) for k, (t, df) in parts.items()}
+            aggregates = {k: StoredParts(f.result(), facts[t], days) for k, (t, f) in futures.items()}
     else:
-        i_punct, f_punct = punctuality_chain()
+        i_punct = intermediate.int_trip_punctuality(s_sched, s_ptrips, s_inc, s_routes, rollup=rollup)
+        f_punct = marts.fct_punctuality(i_punct)
         written = independent
 
     return Warehouse(
@@ -135,10 +166,20 @@ def build_warehouse(
         int_trip_punctuality=i_punct,
         fct_punctuality=f_punct,
         feedback_events=raw.feedback_events,
+        rejected_feedback=feedback.rejected_events(raw.feedback_events),
+        aggregates=aggregates,
+        reconciliation=read.counts(),
         **written,
     )
 
 
+def metric_parts(facts: dict[str, DataFrame], dim_date: DataFrame) -> dict[tuple[str, str], tuple[str, DataFrame]]:
+    """The aggregates of both semantic models over these facts, with the fact's name."""
+    from routecast.plans import aggregates, semantic
+
+    return aggregates.build_all([semantic.OPERATIONS, semantic.PUNCTUALITY], facts, dim_date)
+
+
 _memo: dict[tuple[str, str, bool, str], Warehouse] = {}
 
 
