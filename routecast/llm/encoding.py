@@ -26,16 +26,22 @@ import numpy as np
 CHUNK = 1 << 16
 #: First overlap of two chunks, in code points; doubled while they don't agree.
 OVERLAP = 1 << 10
-#: Encoded words kept by a process; the table starts anew beyond it.
-KEPT_WORDS = 500_000
+#: Bytes of words and ids that a process keeps, with so many for an entry besides; the table starts anew beyond.
+KEPT_BYTES, ENTRY_BYTES = 96 << 20, 160
+#: A word of more code points is never kept: texts without white space are such words.
+LONGEST_KEPT = 64
+#: Stems that are encoded in one piece.
+TOGETHER = 2000
 #: Tokens that must agree on both sides of a splice.
 AGREE = 8
 
 #: Control characters that Python's split() takes for white space and the tokenizer does not.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 _PLAIN_SPACE = re.compile("[ \t\n\r]+")
-#: Letters whose NFC form is the letter itself and whose lower case is one letter, then sentence marks.
-_SIMPLE = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,]*)")
+#: Letters whose NFC form is the letter itself and whose lower case is one letter.
+_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+#: ASCII marks that may end a word: in no contraction, in no special token, and a pre-token of their own.
+_MARKS = ".,!?;:$&*%#"
 
 #: The pre-tokenizer pattern of the word-end BPE file.
 _WORD_PATTERN = "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"
@@ -69,11 +75,19 @@ class Encoder:
         self.library.no_padding()
         self.by_word = _encodes_words_alone(json.loads(source))
         self.words: dict[str, bytes] = {}
+        self.kept_bytes = 0
         if self.by_word:
             level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
             self.byte_letters = {
                 c: level.pre_tokenize_str(chr(c))[0][0] for c in range(0xC0, 0x100) if chr(c).isalpha()
             }
+            # The same model for words that are spelled in its own alphabet already: cut at spaces, nothing else.
+            self.bare = Tokenizer(self.library.model)
+            self.bare.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
+            vocabulary, suffix = self.library.get_vocab(), self.library.model.end_of_word_suffix
+            self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+            if suffix:
+                self.ends_word[[i for t, i in vocabulary.items() if t.endswith(suffix)]] = True
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
@@ -89,33 +103,56 @@ class Encoder:
     def _by_words(self, texts: list[str]) -> list[bytes]:
         parts = [_words(t) for t in texts]
         unseen = set().union(*parts).difference(self.words)
-        if len(self.words) + len(unseen) > KEPT_WORDS:
-            self.words = {}
+        if unseen and self.kept_bytes > KEPT_BYTES:
+            self.words, self.kept_bytes = {}, 0
             unseen = set().union(*parts)
         self._learn(unseen)
-        words = self.words
-        return [b"".join([words[w] for w in p]) for p in parts]
+        ids = self.words.__getitem__
+        out = [b"".join(map(ids, p)) for p in parts]
+        for w in unseen:
+            if len(w) > LONGEST_KEPT:
+                del self.words[w]
+                self.kept_bytes -= len(w) + ENTRY_BYTES
+        return out
 
     def _learn(self, unseen: set[str]) -> None:
-        words, tokenize, letters = self.words, self.library.model.tokenize, self.byte_letters
-        other = []
+        """Puts words into the table: those of plain letters and sentence marks from the ids of both, others whole."""
+        words, before = self.words, len(self.words)
+        plain, marked, other = [], [], []
         for w in unseen:
-            m = _SIMPLE.fullmatch(w)
-            if m is None:
-                other.append(w)
-                continue
-            stem, marks = m[1].lower(), m[2]
-            ids = words.get(stem)
-            if ids is None:
-                ids = words[stem] = _packed([t.id for t in tokenize(stem.translate(letters))])
-            if marks:
-                tail = words.get(marks)
-                if tail is None:
-                    tail = words[marks] = self._plain([marks])[0]
-                ids += tail
-            words[w] = ids
-        for w, ids in zip(other, self._plain(other)):
-            words[w] = ids
+            if w.isalpha() if w.isascii() else _LETTERS.fullmatch(w):
+                plain.append(w)
+            else:
+                stem = w.rstrip(_MARKS)
+                if stem.isalpha() if stem.isascii() else _LETTERS.fullmatch(stem):
+                    marked.append(w)
+                else:
+                    other.append(w)
+        cut = [w.rstrip(_MARKS) for w in marked]
+        folded = [w.lower() for w in cut]
+        tails = [w[len(c) :] for w, c in zip(marked, cut)]
+        lower = [w.lower() for w in plain]
+        stems = list(set(lower).union(folded).difference(words))
+        self._learn_stems(stems)
+        other += set(tails).difference(words).difference(other)
+        words.update(zip(other, self._plain(other)))
+        words.update(zip(plain, [words[s] for s in lower]))
+        words.update(zip(marked, [words[s] + words[m] for s, m in zip(folded, tails)]))
+        grown = len(words) - before
+        self.kept_bytes += sum(map(len, unseen)) + grown * ENTRY_BYTES
+
+    def _learn_stems(self, stems: list[str]) -> None:
+        """Stems of plain lower-case letters, many in one piece; the model marks the end of each."""
+        spelled = [s if s.isascii() else s.translate(self.byte_letters) for s in stems]
+        pieces = [" ".join(spelled[i : i + TOGETHER]) for i in range(0, len(spelled), TOGETHER)]
+        found = [np.array(e.ids, "<u4") for e in self.bare.encode_batch_fast(pieces, add_special_tokens=False)]
+        ids = np.concatenate([np.zeros(0, "<u4"), *found])
+        ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
+        if len(ends) != len(stems) or (ends and ends[-1] != len(ids)):  # a model without such marks
+            self.words.update(zip(stems, self._plain(stems)))
+            return
+        data = ids.tobytes()
+        self.words.update((s, data[4 * a : 4 * b]) for s, a, b in zip(stems, [0, *ends], ends))
 
 
 def _packed(ids: list[int]) -> bytes:

@@ -176,3 +176,30 @@ def test_pack_with_ids_and_clashing_columns(spark, odd_docs, tokenizer_path, pla
 def test_pack_rejects_what_cannot_fit(spark):
     with pytest.raises(Exception, match="outside"):
         packing.pack(spark.createDataFrame([(11,)], "length long"), size=10).collect()
+
+
+def test_words_with_all_kinds_of_ends(plain, tokenizer_path):
+    """Marks in runs after letters of any case, contractions, special tokens and marks alone, each word alone and all in a row."""
+    stems = ["Word", "ÉTÉ", "naïve", "x", "ß", "can't", "a<|endoftext|>", "<|startoftext|>", "3rd", "don", ""]
+    ends = ["", ".", ",", "!!", "?!.", "$$$", "&&&", "***", "%%%", "###", ",***", ";:", "'s", "!'s", "|", "</w>"]
+    words = [s + e for s in stems for e in ends]
+    e = encoding.Encoder(encoding.read_tokenizer(tokenizer_path))
+    assert e.by_word
+    for texts in (words, [" ".join(words)], [w * 2 for w in words], [w.upper() for w in words]):
+        assert [np.frombuffer(x, "<u4").tolist() for x in e.encode(texts)] == [plain(t) for t in texts]
+
+
+def test_texts_without_white_space_are_not_kept(tokenizer_path, monkeypatch):
+    """5,000 words of 20,000 characters: none stays, and the table starts anew beyond its bytes."""
+    import resource
+
+    e = encoding.Encoder(encoding.read_tokenizer(tokenizer_path))
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    for lo in range(0, 5000, 50):
+        e.encode([f"{i:05d}" + "ab" * 10_000 for i in range(lo, lo + 50)])
+    assert not any(len(w) > encoding.LONGEST_KEPT for w in e.words) and 0 <= e.kept_bytes < 1 << 20
+    assert (resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before) / 1024 < 300
+    monkeypatch.setattr(encoding, "KEPT_BYTES", 10_000)
+    for i in range(20):
+        e.encode([" ".join(f"w{chr(97 + i)}{chr(97 + k // 26)}{chr(97 + k % 26)}" for k in range(300))])
+    assert len(e.words) < 1000
