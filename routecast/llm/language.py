@@ -12,6 +12,7 @@ in the presence vector, a batch of texts is scored by one matrix product.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -25,8 +26,12 @@ from routecast.llm import store
 
 #: n-grams are numbered by a hash to this many bits.
 BITS = 17
-#: Bounds of the training sample: rows in all, landmarks among them, languages.
-SAMPLE, LANDMARKS, LANGUAGES = 1600, 320, 200
+#: Bounds of the training sample: rows in all (but one for each language at least) and landmarks among them.
+SAMPLE, LANDMARKS = 1600, 320
+#: Languages whose counts are broadcast; more are joined.
+BROADCAST_LANGUAGES = 10_000
+#: Characters of a text that are looked at together.
+SEGMENT = 1 << 18
 RIDGE = 1e-2
 #: Rows scored by one product.
 BATCH = 128
@@ -37,9 +42,11 @@ _CLEAN = bytes(c if c >= 128 or chr(c).isalpha() else 32 for c in range(256))
 
 
 class Model(NamedTuple):
+    """``weights``: matrices whose product takes the n-grams ``columns`` to the languages' scores."""
+
     languages: list[str]
     columns: np.ndarray
-    weights: np.ndarray
+    weights: list[np.ndarray]
 
 
 def has_letter(text: str | None) -> bool:
@@ -47,13 +54,19 @@ def has_letter(text: str | None) -> bool:
 
 
 def present(text: str, table: np.ndarray) -> np.ndarray:
-    """Marks the n-grams of the whole text in ``table`` (cleared first)."""
+    """Marks the n-grams of the whole text in ``table`` (cleared first), a segment at a time."""
     table[:] = False
-    b = np.frombuffer(f" {text.lower()} ".encode("utf-8", "replace").translate(_CLEAN), np.uint8).astype(np.uint32)
-    two = (b[:-1] << np.uint32(8)) | b[1:]
-    three = (two[:-1] << np.uint32(8)) | b[2:]
-    for n, code in ((1, b), (2, two), (3, three)):
-        table[((code + np.uint32(n << 24)) * np.uint32(2_654_435_761)) >> np.uint32(32 - BITS)] = True
+    before = b" "
+    for lo in range(0, max(1, len(text)), SEGMENT):
+        piece = text[lo : lo + SEGMENT].lower().encode("utf-8", "replace").translate(_CLEAN)
+        if lo + SEGMENT >= len(text):
+            piece += b" "
+        b = np.frombuffer(before + piece, np.uint8).astype(np.uint32)
+        two = (b[:-1] << np.uint32(8)) | b[1:]
+        three = (two[:-1] << np.uint32(8)) | b[2:]
+        for n, code in ((1, b), (2, two), (3, three)):
+            table[((code + np.uint32(n << 24)) * np.uint32(2_654_435_761)) >> np.uint32(32 - BITS)] = True
+        before = (before + piece)[-2:]
     return table
 
 
@@ -68,27 +81,29 @@ def _bit_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", spread: str | None = None) -> Model | None:
     """A model from the rows whose language and text are not null; None if there are none.
 
-    Bounds: at most ``SAMPLE`` rows are used, an equal share for each language
-    (at least one), and at most ``LANGUAGES`` languages. The sample is drawn by
-    a hash of the text and of the column ``spread``, so it is reproducible and
-    a text that is copied very often doesn't fill it. Whole texts are reduced
-    to presence bits by the executors; only those (16 kB a row) are collected.
+    Bounds: at most ``SAMPLE`` rows are used, an equal share for each language,
+    and one row of each where there are more languages than that. The sample is
+    drawn by a hash of the text and of the column ``spread``, so it is
+    reproducible and a text that is copied very often doesn't fill it. Whole
+    texts are reduced to presence bits by the executors; only those (16 kB a
+    row) are collected.
     """
     store.small_batches(labelled.sparkSession)
     rows = labelled.select(F.col(lang).cast("string").alias("lang"), F.col(text).cast("string").alias("text"), F.xxhash64(*[c for c in (text, spread) if c]).alias("h"))
     rows = rows.where("lang is not null and text is not null")
-    counts = {r[0]: r[1] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES + 1).collect()}
-    if not counts:
+    counts = rows.groupBy("lang").count()
+    n_languages = counts.count()
+    if not n_languages:
         return None
-    if len(counts) > LANGUAGES:
-        raise ValueError(f"more than {LANGUAGES} languages")
-    share = max(1, SAMPLE // len(counts))
+    share = max(1, SAMPLE // n_languages)
     # Expected share * 2 rows of a language pass the hash, and the first of them stay.
-    passes = F.lit(False)
-    for name, n in counts.items():
-        passes = passes | ((F.col("lang") == name) & (F.pmod("h", F.lit(1 << 32)) < int((1 << 32) * min(1.0, 2 * (share + 10) / n))))
+    part = F.least(F.lit(1.0), F.lit(2.0 * (share + 10)) / F.col("count"))
+    few = counts.select(F.col("lang").alias("of"), (F.lit(float(1 << 32)) * part).cast("long").alias("below"))
+    if n_languages <= BROADCAST_LANGUAGES:
+        few = F.broadcast(few)
+    passes = F.pmod("h", F.lit(1 << 32)) < F.col("below")
     first = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    sample = rows.where(passes).withColumn("k", first).where(F.col("k") <= share).orderBy("h").select("lang", "text")
+    sample = rows.join(few, F.col("lang") == F.col("of")).where(passes).withColumn("k", first).where(F.col("k") <= share).orderBy("h").select("lang", "text")
     got = sample.mapInArrow(_bit_rows, "lang string, bits binary").collect()
     if not got:
         return None
@@ -112,7 +127,9 @@ def fit(labelled: DataFrame, lang: str = "lang", text: str = "text", spread: str
     # Languages weigh the same however many rows of the sample are theirs.
     weight = (1 / np.bincount(which, minlength=len(names)))[which][:, None] * len(which) / len(names)
     ridge = np.linalg.solve(features.T @ (weight * features) + RIDGE * np.eye(features.shape[1]), features.T @ (weight * target))
-    return Model(names, columns, (of_marks.T @ (root @ ridge)).astype(np.float32))
+    scored = (root @ ridge).astype(np.float32)
+    # Few languages: one matrix. Many: through the landmarks, so that no matrix has n-grams times languages.
+    return Model(names, columns, [of_marks.T @ scored] if len(names) <= LANDMARKS else [of_marks.T, scored])
 
 
 def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFrame:
@@ -148,7 +165,7 @@ def predict(docs: DataFrame, model: Model | None, text: str = "text") -> DataFra
                         marked = present(texts[i], table)
                         x[k] = marked[model.columns]
                         x[k] /= np.sqrt(marked.sum())
-                    got = x @ model.weights
+                    got = reduce(np.matmul, model.weights, x)
                     for k, i in enumerate(known):
                         best = int(got[k].argmax())
                         names[i], scores[i] = model.languages[best], min(1.0, max(0.0, (float(got[k, best]) + 1) / 2))

@@ -23,13 +23,19 @@ from routecast.llm import store
 
 #: Rows of a candidate block and of a query block, and dimensions of a dimension block.
 CANDIDATES, QUERIES, DIMENSIONS = 2048, 256, 16
+#: Bytes of a block's matrix: blocks of very long vectors have fewer rows.
+BLOCK_BYTES = 8 << 20
+#: Scores are exact in float64 below EXACT; larger ones are summed from parts of LIMB bits, at most so many dimensions at a time.
+EXACT, LIMB, LIMB_DIMENSIONS = 2.0**53, 20, 4096
 #: Candidates that are scored in full first, to have a threshold for the others.
 SEED = 256
 
 
 def quantised(vector: Column, scale: int = 256) -> Column:
-    """floor(scale * x) of each component, x as double."""
-    return F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(float(scale))).cast("int"))
+    """floor(scale * x) of each component, x as double; an error where that has more than 64 bits."""
+    scaled = lambda x: x.cast("double") * F.lit(float(scale))
+    wide = F.raise_error(F.lit("a scaled vector component has more than 64 bits")).cast("long")
+    return F.transform(vector, lambda x: F.when(F.abs(scaled(x)) < F.lit(2.0**63), F.floor(scaled(x)).cast("long")).otherwise(wide))
 
 
 def usable(vector: Column) -> Column:
@@ -39,17 +45,19 @@ def usable(vector: Column) -> Column:
 
 
 def blocks(vectors: DataFrame, rows: int, dims: int) -> DataFrame:
-    """``block``, ``ids`` and ``matrix``: blocks of at most ``rows`` vectors as row-major 32-bit integers.
+    """``block``, ``ids`` and ``matrix``: blocks of at most ``rows`` vectors as row-major 64-bit integers.
 
     ``vectors``: row (unique long), id, ints. Narrow: each task packs its own
     rows, so nothing is gathered by a key.
     """
 
+    rows = max(1, min(rows, BLOCK_BYTES // (8 * max(1, dims))))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for lo in range(0, batch.num_rows, rows):
                 part = batch.slice(lo, rows)
-                m = np.zeros((part.num_rows, dims), np.int32)
+                m = np.zeros((part.num_rows, dims), np.int64)
                 ints = part.column(2)
                 sizes = np.diff(ints.offsets.to_numpy())
                 flat = ints.flatten().to_numpy(zero_copy_only=False)
@@ -65,22 +73,53 @@ def blocks(vectors: DataFrame, rows: int, dims: int) -> DataFrame:
     return vectors.mapInArrow(run, "block long, rows binary, ids binary, matrix binary")
 
 
+def exact_scores(q: np.ndarray, c: np.ndarray) -> np.ndarray:
+    """Inner products of one query with each row of ``c``, as Python integers of any size.
+
+    Components are cut into parts of ``LIMB`` bits; products of parts are exact
+    in float64 over ``LIMB_DIMENSIONS`` dimensions, and their sums are Python's."""
+
+    def parts(x: np.ndarray) -> list[np.ndarray]:
+        out = []
+        while x.any() and len(out) < 3:
+            out.append((x & ((1 << LIMB) - 1)).astype(np.float64))
+            x = x >> LIMB  # the sign goes with the highest part
+        return [*out, x.astype(np.float64)]
+
+    total = np.zeros(len(c), object)
+    for lo in range(0, c.shape[1], LIMB_DIMENSIONS):
+        hi = lo + LIMB_DIMENSIONS
+        for i, a in enumerate(parts(q[lo:hi])):
+            for j, b in enumerate(parts(c[:, lo:hi])):
+                total += (b @ a).astype(np.int64).astype(object) * (1 << LIMB * (i + j))
+    return total
+
+
 def best_in_cell(q: np.ndarray, q_rows: np.ndarray, c: np.ndarray, c_rows: np.ndarray, c_ids: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The k best candidates of each query in one cell: query index, candidate index, score.
 
-    Integers below 2**53 are exact in float64, so sums and comparisons are
-    exact; the bound is rounded up. Ties go to the smaller id.
+    Below 2**53 in magnitude (no score and no partial sum exceeds the product of
+    the norms) float64 is exact, and so are all comparisons. Beyond, candidates
+    are kept as long as the rounding error lets them, and the kept ones' scores
+    are computed exactly. The bound is rounded up. Ties go to the smaller id. A
+    score of the k best that has more than 64 bits is an error.
     """
+    whole_q, whole_c = q, c
     q, c = q.astype(np.float64), c.astype(np.float64).T  # vertical: one row per dimension
     dims = c.shape[0]
-    order = np.argsort(-np.einsum("dc,dc->c", c, c), kind="stable")
+    norms = np.sqrt(np.einsum("dc,dc->c", c, c))
+    q_norms = np.sqrt(np.einsum("qd,qd->q", q, q))
+    largest = norms.max(initial=0) * q_norms.max(initial=0)
+    # How far a sum in float64 may be off, for each query; nothing where all is exact.
+    off = np.zeros(len(q)) if largest < EXACT / 2 else (dims + 8) * 2.0**-51 * q_norms * norms.max(initial=0)
+    order = np.argsort(-norms, kind="stable")
     seed, rest = order[:SEED], order[SEED:]
     scores = q @ c[:, seed]
     scores[q_rows[:, None] == c_rows[seed][None, :]] = -np.inf
-    got_q, got_c, got_s = [np.repeat(np.arange(len(q)), len(seed))], [np.tile(seed, len(q))], [scores.ravel()]
+    floor = np.partition(scores, len(seed) - k, axis=1)[:, len(seed) - k] - 2 * off if len(seed) >= k else np.full(len(q), -np.inf)
+    qi, ci = np.nonzero(scores >= np.maximum(floor, -1e300)[:, None])
+    got_q, got_c, got_s = [qi], [seed[ci]], [scores[qi, ci]]
     if len(rest):
-        kth = min(k, len(seed))
-        floor = np.partition(scores, len(seed) - kth, axis=1)[:, len(seed) - kth] if len(seed) >= k else np.full(len(q), -np.inf)
         alive = rest
         total = np.zeros((len(q), len(alive)))
         q_mass = np.sqrt(np.cumsum((q**2)[:, ::-1], axis=1)[:, ::-1])
@@ -102,11 +141,23 @@ def best_in_cell(q: np.ndarray, q_rows: np.ndarray, c: np.ndarray, c_rows: np.nd
     qi, ci, s = np.concatenate(got_q), np.concatenate(got_c), np.concatenate(got_s)
     real = np.isfinite(s)
     qi, ci, s = qi[real], ci[real], s[real]
-    by = np.lexsort((c_ids[ci], -s, qi))
-    qi, ci, s = qi[by], ci[by], s[by]
-    first = np.searchsorted(qi, np.arange(len(q)))
-    top = np.arange(len(qi)) - first[qi] < k
-    return qi[top], ci[top], s[top].astype(np.int64)
+    if not off.any():
+        by = np.lexsort((c_ids[ci], -s, qi))
+        qi, ci, s = qi[by], ci[by], s[by].astype(np.int64)
+        first = np.searchsorted(qi, np.arange(len(q)))
+        top = np.arange(len(qi)) - first[qi] < k
+        return qi[top], ci[top], s[top]
+    out: list[tuple[int, int, int]] = []
+    for i in range(len(q)):
+        own, near = ci[qi == i], s[qi == i]
+        if len(own) > k:  # surely worse than k others, though not exactly known
+            own = own[near >= np.partition(near, len(near) - k)[len(near) - k] - 2 * off[i]]
+        exact = exact_scores(whole_q[i], whole_c[own])
+        best = sorted(zip((-x for x in exact), c_ids[own].tolist(), own.tolist()))[:k]
+        if any(abs(x) >= 1 << 63 for x, _, _ in best):
+            raise OverflowError("a score has more than 64 bits")
+        out += [(i, place, -x) for x, _, place in best]
+    return tuple(np.array([r[j] for r in out], np.int64) for j in range(3))
 
 
 def top_k(vectors: DataFrame, is_query: Column, k: int, scale: int = 256, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -117,10 +168,14 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, scale: int = 256, key: s
     all of them.
 
     The query blocks are copied to groups of candidate blocks by an equi-join
-    on the group (fragment and replicate): a task holds one block of each, and
-    nothing is broadcast or collected. A cell returns at most k rows a query;
+    on the group (fragment and replicate): a task holds one block of each, of
+    at most ``BLOCK_BYTES``, and nothing is broadcast or collected. A cell returns at most k rows a query;
     a window keeps the k best of them.
 
+    Components and scores are 64-bit integers, exact in all their range; a
+    scaled component, or a score among a cell's k best, that has more bits ends
+    the job with an error.
+
     Vectors that are null or hold null or non-finite components, and rows
     without a key, take no part. A shorter vector counts as filled up with
     zeros. Rows with equal keys are separate rows: each is a query of its own
@@ -146,7 +201,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, scale: int = 256, key: s
                 x = {name: batch.column(i)[cell].as_buffer() for i, name in enumerate(batch.schema.names)}
                 cr, ci = np.frombuffer(x["c_rows"], "<i8"), np.frombuffer(x["c_ids"], "<i8")
                 qr, qi = np.frombuffer(x["q_rows"], "<i8"), np.frombuffer(x["q_ids"], "<i8")
-                cm, qm = np.frombuffer(x["c"], "<i4").reshape(len(cr), -1), np.frombuffer(x["q"], "<i4").reshape(len(qr), -1)
+                cm, qm = np.frombuffer(x["c"], "<i8").reshape(len(cr), -1), np.frombuffer(x["q"], "<i8").reshape(len(qr), -1)
                 a, b, s = best_in_cell(qm, qr, cm, cr, ci, k)
                 yield pa.RecordBatch.from_arrays([pa.array(qr[a]), pa.array(qi[a]), pa.array(cr[b]), pa.array(ci[b]), pa.array(s)], names=["q_row", "q_id", "c_row", "c_id", "score"])
 

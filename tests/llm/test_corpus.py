@@ -241,6 +241,50 @@ def test_language_sample_is_bounded(spark, monkeypatch):
     assert np.mean([r.lang == r.lang_pred for r in rows]) > 0.9
 
 
+def test_three_hundred_languages(spark):
+    """More languages than landmarks' worth of rows, each with words of its own."""
+    rng = random.Random(5)
+    words = {f"l{i:03d}": ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(6)) for _ in range(12)] for i in range(300)}
+    rows = [(k * 300 + i, " ".join(rng.choice(own) for _ in range(40)), name) for k in range(6) for i, (name, own) in enumerate(words.items())]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language.fit(docs, spread="doc_id")
+    assert len(model.languages) == 300 and len(model.weights) == 1
+    got = language.predict(docs, model).select("lang", "lang_pred").collect()
+    assert sum(r.lang == r.lang_pred for r in got) / len(got) > 0.9
+
+
+def test_more_languages_than_landmarks(spark, monkeypatch):
+    """Scores through the landmarks are the scores of one matrix."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 200")
+    one = language.fit(docs, spread="doc_id")
+    monkeypatch.setattr(language, "LANDMARKS", 3)
+    two = language.fit(docs, spread="doc_id")
+    assert len(one.weights) == 1 and len(two.weights) == 2
+    assert {r.lang_pred for r in language.predict(docs, two).collect()} <= set(one.languages)
+
+
+def test_long_texts_are_read_in_segments(monkeypatch):
+    text = "Ünïcode Σας tail wörds 世界 " * 50
+    whole = language.present(text, np.zeros(1 << language.BITS, bool)).copy()
+    for size in (1, 7, 64):
+        monkeypatch.setattr(language, "SEGMENT", size)
+        assert (language.present(text.replace("Σ", "s"), np.zeros(1 << language.BITS, bool)) == language.present(text.replace("Σ", "s"), np.ones(1 << language.BITS, bool))).all()
+        cut = language.present(text.replace("Σ", "σ"), np.zeros(1 << language.BITS, bool)).copy()
+        monkeypatch.setattr(language, "SEGMENT", 1 << 18)
+        assert (cut == language.present(text.replace("Σ", "σ"), np.zeros(1 << language.BITS, bool))).all()
+    assert whole.any() and not language.present("", np.zeros(1 << language.BITS, bool))[:0].any()
+
+
+def test_unlabelled_corpus_keeps_every_text_with_a_letter(spark):
+    import corpus_pipeline
+
+    rows = [(i, t, None, "s", 1) for i, t in enumerate(["some words", "世界", "é", None, "", "123 ...", "x1"])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.language_id(spark, docs, SF)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [0, 1, 2, 6]
+    assert corpus_pipeline.language_id(spark, docs.withColumn("doc_id", F.lit(None).cast("long")), SF).count() == 4
+
+
 def test_held_out(spark):
     import zlib
 

@@ -42,9 +42,10 @@ def test_encode_equals_library_on_any_text(enc, plain, texts):
 
 
 def test_word_table_starts_anew(enc, plain, monkeypatch):
-    monkeypatch.setattr(encoding, "KEPT_WORDS", 3)
-    texts = ["one two three four five", "six seven, eight nine. one"]
-    assert [_ids(x) for x in enc.encode(texts)] == [plain(t) for t in texts]
+    monkeypatch.setattr(encoding, "KEPT_BYTES", 3)
+    for texts in (["one two three four five", "six seven, eight nine. one"], ["two ten", "ten. TWO"]):
+        assert [_ids(x) for x in enc.encode(texts)] == [plain(t) for t in texts]
+    assert set(enc.words) <= {"two", "ten", "TWO", "ten.", "."}
 
 
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
