@@ -25,8 +25,12 @@ TOKENIZER, END_ID, SEQUENCE = "word_bpe_49k.json", 1, 4096
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the documents whose language can be told; only texts that are null or have no letter are rejected."""
+    """Keeps the documents whose language can be told; only texts that are null or have no letter are rejected.
+
+    Without any labelled row nothing can be told apart: every text with a letter is kept then too."""
     model = language.fit(docs.where(~language.held_out("doc_id")), spread="doc_id")
+    if model is None:
+        return docs.where(F.col("text").rlike(r"\p{L}"))
     # The whole row travels as one column, so its other columns can have any name.
     told = language.predict(docs.select(F.struct("*").alias("doc")), model, text="doc.text")
     return told.where(F.col("lang_pred") != language.UNDETERMINED).select("doc.*")
