@@ -30,8 +30,8 @@ def raw(spark):
         "punctuality_trips": trips,
         "scheduled_trips": bound.scheduled_trips.filter(small).withColumn("vehicle_id", vehicle),
         "delay_incidents": bound.delay_incidents.filter(small),
-        "trips": bound.trips.filter(F.col("trip_id").cast("int") < 400),
-        "bookings": bound.bookings.filter(F.col("trip_id").cast("int") < 100),
+        "trips": bound.trips.filter((F.col("trip_id").cast("int") < 4000) & (F.year("departure_datetime") == 1996)),
+        "bookings": bound.bookings.filter((F.col("trip_id").cast("int") < 400) & (F.year("booking_datetime") == 1996)),
     }
     return replace(bound, **{n: df.checkpoint() if scratch_dir(spark) else df for n, df in tables.items()}, routes=bound.routes.checkpoint())
 
@@ -119,7 +119,7 @@ def test_refresh_of_empty_inputs(spark, raw):
 
 def test_a_cut_off_refresh_is_done_again(spark, raw, monkeypatch):
     store = f"{scratch_dir(spark)}/refresh-{uuid.uuid4().hex}"
-    less = replace(raw, trips=raw.trips.filter(F.year("departure_datetime") != 1996))
+    less = replace(raw, trips=raw.trips.filter(F.month("departure_datetime") != 3))
     refresh_warehouse(spark, less, store)
     from routecast.plans import refresh
 
