@@ -18,7 +18,7 @@ import html
 import itertools
 import json
 import re
-import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 from difflib import SequenceMatcher
 
@@ -59,10 +59,24 @@ FURNITURE_WORDS = set(
     "breadcrumbs pagination pager share sharing social related recommended footer masthead topbar toolbar copyright contentinfo complementary search".split()
 )
 HEADER_WORDS = {"header", "banner", "masthead"}
-
+#: Words that name what is never part of the text: readers' comments and requests for consent anywhere,
+#: and inside content navigation, notices and adverts too (outside, such a word may name the frame around a whole page).
+OTHERS_TEXT = set("comment comments commentlist commentform disqus respond reply replies cookie cookies cookieconsent consent gdpr".split())
+NEVER_TEXT = OTHERS_TEXT | set(
+    "ad ads advert adverts advertisement advertising sponsor sponsored notice notices notification newsletter subscribe sidebar menu nav navbar "
+    "navigation breadcrumb breadcrumbs pagination pager".split()
+)
+#: With these a class says what state its element is in or what lies beside it, not what it is.
+STATE_WORDS = set("has with without no is show hide active open opened closed enabled disabled".split())
+#: Words that add nothing to a name.
+PLAIN_WORDS = set("area box container form list section thread title wrap wrapper".split())
+#: Steps of a path; below that depth only marked elements are added, each once.
+DEEP = 100
+
+#: A tag's attributes hold no ``<`` outside quotes, so a search that fails ends at the next one: reading is linear.
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|title)\b(?:[^\"'>]|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
-    r"|<(/?)([a-zA-Z][\w:-]*)((?:[^\"'>]|\"[^\"]*\"|'[^']*')*)>|<[!?][^>]*>",
+    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|svg|iframe|textarea|title)\b(?:[^\"'<>]|\"[^\"]*\"|'[^']*')*>.*?(?:</\1\s*>|\Z)"
+    r"|<(/?)([a-zA-Z][\w:-]*)((?:[^\"'<>]|\"[^\"]*\"|'[^']*')*)>|<[!?][^<>]*>",
     re.S | re.I,
 )
 _NAMES = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
@@ -70,32 +84,58 @@ _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|dis
 _WORD = re.compile(r"[a-z]+")
 
 
+def _never_text(names: Iterable[str], never: set[str]) -> bool:
+    """Whether a class, id or role says that an element is no text, whatever it holds."""
+    for token in names:
+        words = _WORD.findall(token)
+        if never.intersection(words) and not STATE_WORDS.intersection(words):
+            return True
+    return False
+
+
 class _Open:
-    """An open element: its label, its mark, and whether it is content.
+    """An open element: its label, its mark, whether it is or lies in content, and the path to it.
 
-    Marks: ``!`` furniture by its tag or hidden, ``~`` furniture by a class
-    word only (which the wrapper can overrule), ``*`` content.
+    Marks: ``!`` furniture by its tag, hidden, or named as something that is
+    never text; ``~`` furniture by another class word only (which the wrapper
+    can overrule); ``*`` content.
     """
 
-    __slots__ = ("name", "label", "mark", "content")
-
-    def __init__(self, name: str, attributes: str, in_content: bool):
-        # Ids of headings, and of sections inside content, are made from their titles.
-        slugs = name in HEADINGS or (name == "section" and in_content)
-        named = [m[2] or m[3] or m[4] or "" for m in _NAMES.finditer(attributes) if not (slugs and m[1].lower() == "id")] if attributes else []
-        words = {w for text in named for w in _WORD.findall(text.lower())}
+    __slots__ = ("name", "label", "mark", "content", "path", "depth")
+
+    def __init__(self, name: str, attributes: str, around: _Open | None):
+        in_content = around is not None and around.content
+        named = []
+        for m in _NAMES.finditer(attributes) if attributes else ():
+            text = (m[2] or m[3] or m[4] or "").lower()
+            if m[1].lower() == "id":
+                # Ids of headings, and of sections inside content, are made from their titles, unless they name such a thing and nothing else.
+                words = set(_WORD.findall(text)) - PLAIN_WORDS
+                if name in HEADINGS or (name == "section" and in_content and not (words and words <= NEVER_TEXT)):
+                    continue
+            named.append(text)
+        words = {w for text in named for w in _WORD.findall(text)}
         hidden = bool(attributes and _HIDDEN.search(attributes))
         self.name = name
         self.label = name + "".join("." + w for w in sorted(words)) + (".-hidden" if hidden else "")
-        self.content = name in CONTENT or "articlebody" in words
+        own = name in CONTENT or "articlebody" in words
+        self.content = own or in_content
         # A header inside an article is the article's own.
         header = not in_content and (name == "header" or bool(words & HEADER_WORDS))
-        if name in FURNITURE or hidden or (header and name == "header"):
+        if name in FURNITURE or hidden or (header and name == "header") or (name not in FRAME and _never_text((t for text in named for t in text.split()), NEVER_TEXT if in_content else OTHERS_TEXT)):
             self.mark = "!"
         elif name not in FRAME and (bool(words & FURNITURE_WORDS - HEADER_WORDS) or header):
             self.mark = "~"
         else:
-            self.mark = "*" if self.content else ""
+            self.mark = "*" if own else ""
+        before, self.depth = (around.path, around.depth) if around is not None else ("", 0)
+        step = self.mark + self.label
+        shown = name not in INLINE or self.mark in ("!", "~")
+        # Inside furniture nothing more is to be told; very deep, what is told already.
+        if not shown or (before and "!" in before) or (self.depth >= DEEP and (not self.mark or f"/{step}" in before)):
+            self.path = before
+        else:
+            self.path, self.depth = f"{before}/{step}" if before else step, self.depth + 1
 
 
 def read_page(source: str) -> Iterator[tuple[str, str, str]]:
@@ -103,12 +143,13 @@ def read_page(source: str) -> Iterator[tuple[str, str, str]]:
 
     The path of a text is that of the block elements around it, each marked
     as :class:`_Open` says. Elements that were never closed end with what holds
-    them.
+    them. Time is linear in the source.
     """
     stack: list[_Open] = []
+    opened: Counter[str] = Counter()  # open elements by name
 
     def path() -> str:
-        return "/".join(e.mark + e.label for e in stack if e.name not in INLINE or e.mark in ("!", "~"))
+        return stack[-1].path if stack else ""
 
     at, here = 0, ""
     for m in _TOKEN.finditer(source):
@@ -120,21 +161,26 @@ def read_page(source: str) -> Iterator[tuple[str, str, str]]:
             continue
         block = name not in INLINE
         if m[2]:
-            if any(e.name == name for e in stack):
-                while (e := stack.pop()).name != name:
-                    pass
+            if opened[name]:
+                while True:
+                    e = stack.pop()
+                    opened[e.name] -= 1
+                    if e.name == name:
+                        break
                 here = path()
         else:
-            if block and name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") or (block and name not in VOID and stack and any(e.name == "p" for e in stack)):
+            if block and name in ("p", "li", "dt", "dd", "tr", "td", "th", "option") or (block and name not in VOID and opened["p"]):
                 closes = {"p"} if name not in ("li", "dt", "dd", "tr", "td", "th", "option") else {name, "p"} | ({"dt", "dd"} if name in ("dt", "dd") else {"td", "th"} if name in ("td", "th", "tr") else set())
                 for k in range(len(stack) - 1, -1, -1):
                     if stack[k].name in closes:
+                        opened.subtract(e.name for e in stack[k:])
                         del stack[k:]
                         break
                     if stack[k].name not in INLINE:
                         break
             if name not in VOID:
-                stack.append(_Open(name, m[4], any(e.content for e in stack)))
+                stack.append(_Open(name, m[4], stack[-1] if stack else None))
+                opened[name] += 1
             here = path()
         if block:
             yield ("close" if m[2] else "open"), (stack[-1].label if not m[2] and name not in VOID else name), here
@@ -424,6 +470,12 @@ def _digest(value: str) -> str:
     return hashlib.blake2b(value.encode("utf-8", "replace"), digest_size=16).hexdigest()
 
 
+def _text_digest(text: str, before: int) -> int:
+    """64 bits of a slot's texts so far."""
+    h = hashlib.blake2b(text.encode("utf-8", "replace"), digest_size=8, salt=before.to_bytes(8, "little", signed=True))
+    return int.from_bytes(h.digest(), "little", signed=True)
+
+
 def _host(url):
     return F.coalesce(F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
 
@@ -458,7 +510,7 @@ def infer_wrappers(pages: DataFrame, url: str = "url", page: str = "html") -> Da
                 own: dict[tuple[str, str, int, str], list[int]] = {(host, name, -1, value): [0, contents, 0, int(contents > 0)]}
                 for slot, (path, text) in zip(became, texts):
                     at = own.setdefault((host, name, slot, path), [0, 0, 0, 0])
-                    at[0], at[1], at[2] = zlib.crc32(text.encode("utf-8", "replace"), at[0]), at[1] + len(text), at[2] + 1
+                    at[0], at[1], at[2] = _text_digest(text, at[0]), at[1] + len(text), at[2] + 1
                     at[3] += len(text) if contents else 0
                 for k, (h, chars, n_texts, beside) in own.items():
                     n = seen.setdefault(k, [0, h, h, 0, 0, 0])

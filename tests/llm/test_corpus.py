@@ -469,13 +469,46 @@ def test_class_words_do_not_empty_a_page(spark):
 
 
 def test_slugs_and_sections_inside_content(spark):
-    """Ids made from titles are no class words; long varying texts overrule one, comments don't."""
+    """Ids made from titles are no class words; long varying texts overrule one, but no notice and no comments."""
     page = """<article><h2 id="how-to-share-data">Share %d</h2><section id="search-methods"><p>Methods %d</p></section>
-<div class="notice"><p>""" + PROSE + """</p></div><div class="share">Tweet %d</div><div class="comments"><p>""" + PROSE + """</p></div></article>"""
-    rows = [(f"http://slug.org/{i}", page % (i, i, i, i, -i)) for i in range(1, 4)]
+<div class="notice"><p>""" + PROSE + """</p></div><div class="widget"><p>""" + PROSE + """</p></div><div class="share">Tweet %d</div><div class="comments"><p>""" + PROSE + """</p></div></article>"""
+    rows = [(f"http://slug.org/{i}", page % (i, i, -i, i, i, -i)) for i in range(1, 4)]
     assert _read(spark, rows) == [f"Share {i}\nMethods {i}\n{PROSE % i}" for i in range(1, 4)]
 
 
+NEVER = """<section id="comments"><p>%s</p></section><ol class="commentlist"><li>%s</li></ol><div class="notice"><p>%s</p></div>
+<div class="breadcrumb"><a>Home</a> %s</div><div class="cookie-consent"><p>%s</p></div><div id="respond">%s</div><div class="share">Share this</div><form><p>%s</p></form>"""
+
+
+def test_comments_notices_consent_and_navigation_are_no_text(spark):
+    """Inside article and main, on hosts with one page, with few and with many; readers' comments outside too, longer than the text."""
+    rows, want = [], []
+    for host, many in (("one", 1), ("few", 3), ("many", 12)):
+        for frame in ("article", "main"):
+            for i in range(many):
+                other = NEVER % tuple(PROSE % (100 * i + k) for k in range(7))
+                rows.append((f"http://{host}-{frame}.org/{i}", f"<body><{frame}><h1>Title {i}</h1><p>{PROSE % i}</p>{other}</{frame}></body>"))
+                want.append(f"Title {i}\n{PROSE % i}")
+    for i in range(3):
+        thread = "".join(f"<p>{PROSE % (1000 * i + k)}</p>" for k in range(6))
+        rows.append((f"http://thread.org/{i}", f'<body><div class="text"><p>{PROSE % i}</p></div><div class="comments">{thread}</div></body>'))
+        want.append(PROSE % i)
+    assert _read(spark, rows) == want
+
+
+def test_pages_are_read_in_linear_time():
+    """Tags and quotes that never end, very deep pages, and tags that were never opened: a megabyte in seconds."""
+    import time
+
+    for source in ("<a " * 350_000, '<a "' * 250_000, "<!" * 500_000, "<div>" * 200_000 + "x", "<nav>" * 100_000 + "</p>" * 100_000, "<b><p>" * 80_000, '<div class="x y">' * 50_000 + "</div>" * 50_000):
+        t = time.time()
+        html_wrappers.parsed(source)
+        assert time.time() - t < 8, source[:20]
+    deep = "<div>" * 300 + "<p>text</p>" + "<nav>menu</nav>" + "</div>" * 300
+    texts = html_wrappers.parsed(deep)[1]
+    assert [t for _, t in texts] == ["text", "menu"] and "!nav" in texts[1][0] and "!" not in texts[0][0]
+
+
 def test_teasers_are_not_the_text(spark):
     """Articles in furniture mark nothing; teaser cards beside longer text aren't the text; other pages of the host stay."""
     aside = '<div class=text><p>' + PROSE + '</p></div><aside><article><p>Teaser %d</p></article></aside>'
