@@ -179,9 +179,11 @@ def _runs(xs):
     return out
 
 
-@pytest.mark.parametrize("seed,block_bytes", [(1, 1 << 20), (2, 1 << 20), (3, 300)])
-def test_contamination_equals_brute_force(table, spark, seed, block_bytes, monkeypatch):
+@pytest.mark.parametrize("seed,block_bytes,hot", [(1, 1 << 20, None), (2, 1 << 20, None), (3, 300, None), (2, 0, 3)])
+def test_contamination_equals_brute_force(table, spark, seed, block_bytes, hot, monkeypatch):
     monkeypatch.setattr(decontamination, "BLOCK_BYTES", block_bytes)
+    if hot:
+        monkeypatch.setattr(decontamination, "EMITTED", hot)
     rng = random.Random(seed)
     vocabulary = ["a", "b", "c", "dd", "É", "x9", "世"]
     run = lambda n: [rng.choice(vocabulary) for _ in range(n)]
@@ -196,6 +198,28 @@ def test_contamination_equals_brute_force(table, spark, seed, block_bytes, monke
     assert got == sorted(str((k, *w)) for k, w in zip(keys, want))
 
 
+def test_many_items_stay_out_of_the_driver(spark, monkeypatch):
+    """Fifty blocks of items: two passes over the documents, no window built in the driver, a hot passage and struct keys."""
+    passes = []
+    for name in ("_counted", "_hits"):
+        plain = getattr(decontamination, name)
+        monkeypatch.setattr(decontamination, name, lambda *a, plain=plain: passes.append(1) or plain(*a))
+    monkeypatch.setattr(decontamination, "_Windows", None)
+    monkeypatch.setattr(decontamination, "BLOCK_BYTES", 1000)
+    monkeypatch.setattr(decontamination, "EMITTED", 16)
+    rng = random.Random(11)
+    run = lambda n: " ".join(f"w{rng.randrange(4000)}" for _ in range(n))
+    items = [(f"i{k}", run(100)) for k in range(100)]
+    hot = " ".join(items[7][1].split()[20:35])
+    texts = [f"{run(30)} {hot} {run(30)}" if k % 3 == 0 else f"{run(50)} {items[k % 100][1]}" if k % 50 == 1 else run(80) for k in range(300)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").select(F.struct("*").alias("doc"))
+    found = decontamination.find_contamination(docs, spark.createDataFrame(items, "item_id string, text string"), key="doc", text="doc.text")
+    rows = found.select("doc.doc_id", "n_words", "n_hit", "spans", "items").collect()
+    want = _brute_contamination(texts, items, 10)
+    assert sorted(str((r.doc_id, r.n_words, r.n_hit, [[s.first, s.end] for s in r.spans], r["items"])) for r in rows) == sorted(str((k, *w)) for k, w in enumerate(want))
+    assert sum(r.n_hit > 0 for r in rows) >= 100 and len(passes) == 2
+
+
 def test_contamination_without_items_or_documents(table, spark, odd_docs):
     items = spark.createDataFrame([], "item_id long, text string")
     rows = decontamination.find_contamination(table(odd_docs), items).collect()
