@@ -47,6 +47,11 @@ LAYER_SQL = {
     "S1_seeded_routes": "SELECT * FROM stg_routes",
     "S3_routes_view": """
         SELECT route_id, route_name, (SELECT count(*) FROM fct_trips t WHERE t.route_id = r.route_id) AS trip_count FROM dim_routes r""",
+    "S4_published_marts": """
+        SELECT r.route_id, r.route_name, d.year_quarter, count(*) AS trip_count, sum(f.passengers_onboard)::BIGINT AS passengers
+        FROM fct_trips f JOIN dim_date d USING (date_key) LEFT JOIN dim_routes r ON r.route_id = f.route_id
+        WHERE year(f.date_key) = 1996
+        GROUP BY ALL""",
     "P7_reconciliation": """
         SELECT * FROM (WITH told AS (
           SELECT 'trips' AS input, if(trip_status = 'completed', 'kept', 'not completed') AS outcome FROM raw_trips

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from routecast.operators.intermediate import INT_PUNCTUALITY_COLUMNS
 from routecast.operators.marts import FCT_PUNCTUALITY_COLUMNS, FCT_REVENUE_COLUMNS, FCT_TRIPS_COLUMNS
-from routecast.plans import colocated
+from routecast.plans import catalog, colocated
 from routecast.plans.refresh import refresh_warehouse
 from routecast.plans.warehouse import Warehouse
 from routecast.session import scratch_dir
@@ -60,6 +60,18 @@ def routes_view(wh: Warehouse) -> DataFrame:
     )
 
 
+def published_marts(wh: Warehouse) -> DataFrame:
+    """The marts published in a catalog and read there by SQL, a year of trips by route and quarter."""
+    spark = wh.dim_routes.sparkSession
+    tag = uuid.uuid4().hex
+    at = catalog.publish(wh, {layer: f"routecast_{layer}_{tag}" for layer in catalog.LAYERS}).views
+    return spark.sql(f"""
+        SELECT r.route_id, r.route_name, d.year_quarter, count(f.trip_id) AS trip_count, sum(f.passengers_onboard) AS passengers
+        FROM {at["fct_trips"]} f JOIN {at["dim_date"]} d ON d.date_key = f.date_key LEFT JOIN {at["dim_routes"]} r ON r.route_id = f.route_id
+        WHERE f.month_key BETWEEN 199601 AND 199612
+        GROUP BY r.route_id, r.route_name, d.year_quarter""")
+
+
 def seeded_routes(wh: Warehouse) -> DataFrame:
     """The routes through a CSV file with a header, as a seed is loaded."""
     spark = wh.dim_routes.sparkSession

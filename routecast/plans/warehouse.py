@@ -62,9 +62,11 @@ class Warehouse:
     aggregates: dict[tuple[str, str], StoredParts] = field(default_factory=dict)
     #: (input, outcome, rows) of the build's inputs; empty if nothing was written.
     reconciliation: list[tuple[str, str, int]] = field(default_factory=list)
+    #: Folder of the layers that the build has written, if any.
+    store: str | None = None
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("aggregates", "reconciliation")}
+        return {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("aggregates", "reconciliation", "store")}
 
 
 MART_SORT = {
@@ -96,7 +98,7 @@ def build_warehouse(
     def materialise(df: DataFrame, layer: str, name: str) -> DataFrame:
         path = sinks.layer_path(store, layer, name)
         sinks.write_table(df, path, sort_by=MART_SORT.get(name), partition_by=FACT_PARTITION if name in MART_SORT else None)
-        return sinks.read_table(spark, path).select(*df.columns)
+        return sinks.read_table(spark, path, df.schema).select(*df.columns)
 
     i_occ = intermediate.int_trip_occupancy(s_trips, s_routes)
     i_rev = intermediate.int_booking_revenue(s_bookings, s_routes)
@@ -169,6 +171,7 @@ def build_warehouse(
         rejected_feedback=feedback.rejected_events(raw.feedback_events),
         aggregates=aggregates,
         reconciliation=read.counts(),
+        store=store,
         **written,
     )
 

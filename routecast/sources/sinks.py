@@ -9,6 +9,7 @@ its months and skips row groups inside them.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def schema_name(custom: str | None, default: str) -> str:
@@ -69,8 +70,9 @@ def remove_at_exit(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(at)
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A written table; with its ``schema`` also one without rows, which has no files if it is partitioned."""
+    return (spark.read.schema(schema) if schema else spark.read).parquet(path)
 
 
 def register_views(tables: dict[str, DataFrame]) -> None:
