@@ -116,6 +116,21 @@ def test_near_duplicates_equal_brute_force(table, spark, seed, block, monkeypatc
     assert len({r.component_id for r in linked if r.component_id is not None}) <= len(linked)
 
 
+def test_near_duplicates_in_buckets_by_tokens(table, spark, monkeypatch):
+    """Many small buckets, more than the session's partitions: the same groups, and more tasks for them."""
+    rng = random.Random(5)
+    base = [[f"w{rng.randrange(500)}" for _ in range(40)] for _ in range(60)]
+    texts = [" ".join(b if k % 3 else [*b[:-1], f"new{k}"]) for k, b in enumerate(base * 3)]
+    docs = table(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    few = sorted(map(tuple, near_duplicates.near_duplicates(docs).collect()))
+    monkeypatch.setattr(near_duplicates, "BUCKET_TOKENS", 100)
+    sized = spark.createDataFrame([(3000,), (1001,)], "n long")
+    n = near_duplicates._buckets(sized)
+    assert n == max(41, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))) and near_duplicates._buckets(sized.limit(0)) > 0
+    assert sorted(map(tuple, near_duplicates.near_duplicates(docs).collect())) == few
+    assert len({r[3] for r in few}) == 60
+
+
 def test_near_duplicates_hot_groups(table, spark):
     base = [f"w{i}" for i in range(40)]
     texts = [" ".join(base)] * 300 + [" ".join(base[:-2] + [f"e{i}", f"f{i}"]) for i in range(300)] + [" ".join([f"u{i}x{k}" for k in range(50)] + base[:30]) for i in range(300)]
