@@ -244,11 +244,15 @@ def flagged_comparison(scheduled: DataFrame, trips: DataFrame, routes: DataFrame
     )
 
 
-def assessed(vc: DataFrame) -> DataFrame:
-    """W4, W5, C18 and C19 on trips that have their vehicle's context. ``vc`` is read twice."""
-    rd = rank_and_mean_by_group(
+def route_day_context(vc: DataFrame) -> DataFrame:
+    """W4, W5. ``vc`` is read twice."""
+    return rank_and_mean_by_group(
         vc, ["route_id", "trip_date"], "departure_delay_minutes", "delay_rank_on_route_day", "route_day_avg_delay"
     )
+
+
+def scored(rd: DataFrame) -> DataFrame:
+    """C18 and C19 on trips that have the context of their vehicle and route-day."""
     final = rd.select(
         "*",
         C.probable_cascade("prev_trip_delay_minutes", "vehicle_turnaround_minutes").alias("is_probable_cascade"),
@@ -263,6 +267,32 @@ def assessed(vc: DataFrame) -> DataFrame:
     return final.select(*INT_PUNCTUALITY_COLUMNS, "primary_delay_category")
 
 
+def assessed(vc: DataFrame) -> DataFrame:
+    """W4, W5, C18 and C19 on trips that have their vehicle's context. ``vc`` is read twice."""
+    return scored(route_day_context(vc))
+
+
+#: Number of a joined trip, any unique long.
+ROW = "_row"
+
+
+def numbered(joined: DataFrame) -> DataFrame:
+    """Joined trips with a number each, to be written before they are read more than once:
+    another run may number them in another way."""
+    return joined.withColumn(ROW, F.monotonically_increasing_id())
+
+
+def assessed_numbered(compared: DataFrame, stage: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """W1-W5, C18 and C19 on written, :func:`numbered` trips.
+
+    The windows move the few columns that they read; the whole rows move once,
+    when they meet their context by number. ``stage`` writes a table and reads it back."""
+    narrow = compared.select(ROW, "vehicle_id", *VEHICLE_ORDER, *VEHICLE_CARRY, "route_id", "trip_date")
+    of_vehicle = stage(vehicle_context(narrow, lambda df: stage(df, "int_trip_ranges")), "int_vehicle_context")
+    made = ["vehicle_rolling_avg_delay_5trips", "prev_trip_delay_minutes", "vehicle_turnaround_minutes", "delay_rank_on_route_day", "route_day_avg_delay"]
+    return scored(compared.join(route_day_context(of_vehicle).select(ROW, *made), ROW))
+
+
 def int_trip_punctuality(
     scheduled: DataFrame,
     trips: DataFrame,
@@ -274,17 +304,17 @@ def int_trip_punctuality(
     """The per-trip punctuality assessment (int_trip_punctuality).
 
     ``stage`` writes a table and reads it back. The joined trips are written
-    first, so that the range exchange of W1-W3, which looks at its input twice,
-    doesn't run the joins twice; then dealt by vehicle and departure; and their
-    window result is written for the route-day histogram and its join. Without
-    ``stage`` these are checkpoints, in the same shared folder."""
+    first, numbered, so that the range exchange of W1-W3, which looks at its
+    input twice, doesn't run the joins twice; then their window columns are
+    dealt by vehicle and departure, and the window result is written for the
+    route-day histogram and its join. Without ``stage`` these are checkpoints,
+    in the same shared folder."""
     rollup = incident_rollup(incidents) if rollup is None else rollup
     flagged = flagged_comparison(scheduled, trips, routes, rollup)
     if stage is None:
         scratch_dir(flagged.sparkSession)  # names the folder of the checkpoints
         stage = lambda df, name: df.checkpoint()
-    compared = stage(flagged, "int_trip_comparison")
-    return assessed(stage(vehicle_context(compared, lambda df: stage(df, "int_trip_ranges")), "int_vehicle_context"))
+    return assessed_numbered(stage(numbered(flagged), "int_trip_comparison"), stage)
 
 
 INT_PUNCTUALITY_COLUMNS = [

@@ -51,12 +51,13 @@ def answers(model: SemanticModel, wh: Warehouse, fact: str, dims: Sequence[Dimen
 
     One that was made from other rows or another calendar than the warehouse's
     own (a copy with a table replaced) answers nothing."""
-    stored = wh.aggregates.get((model.name, fact))
-    if stored is None or stored.rows is not getattr(wh, model.tables[fact][0]) or stored.days is not wh.dim_date:
-        return False
     asked = [*dims, *[model.dimensions[f] for f in filters]]
     reached = {r.references for r in model.relationships if r.table == fact}
-    return all(_usable(d) and d.table in reached for d in asked)
+    if not all(_usable(d) and d.table in reached for d in asked):
+        return False
+    # Asked for last: an aggregate may be made on demand.
+    stored = wh.aggregates.get((model.name, fact))
+    return stored is not None and stored.rows is getattr(wh, model.tables[fact][0]) and stored.days is wh.dim_date
 
 
 def branch(model: SemanticModel, wh: Warehouse, fact: str, dims: Sequence[Dimension], metrics: Sequence[Metric], filters: dict[str, object]) -> DataFrame:

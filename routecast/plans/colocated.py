@@ -49,6 +49,6 @@ def comparison(spark: SparkSession, database: str, routes: DataFrame) -> DataFra
 
 
 def int_trip_punctuality(spark: SparkSession, database: str, routes: DataFrame, stage: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """The per-trip assessment (W1-W5) from the buckets."""
-    joined = comparison(spark, database, routes)
-    return intermediate.assessed(stage(intermediate.vehicle_context(joined, lambda df: stage(df, "ranged")), "vehicle_context"))
+    """The per-trip assessment (W1-W5) from the buckets. The joined trips are written, so the joins run once."""
+    joined = stage(intermediate.numbered(comparison(spark, database, routes)), "int_trip_comparison")
+    return intermediate.assessed_numbered(joined, stage)

@@ -19,7 +19,7 @@ from routecast.sources import testdata
 from routecast.sources.calendar import month_key
 from routecast.sources.schemas import RAW_ROUTES
 from routecast.sources.seeds import load_seed
-from routecast.sources.sinks import register_views, remove_at_exit
+from routecast.sources.sinks import read_table, register_views, remove_at_exit, write_table
 
 
 def rollup_with_primary(wh: Warehouse) -> DataFrame:
@@ -136,7 +136,15 @@ def colocated_comparison(wh: Warehouse) -> DataFrame:
 def colocated_punctuality(wh: Warehouse) -> DataFrame:
     """W5 over buckets: equal to ``W5_int_trip_punctuality``."""
     spark = wh.stg_routes.sparkSession
-    made = colocated.int_trip_punctuality(spark, colocated_layout(wh), wh.stg_routes, lambda df, name: df.checkpoint())
+    database = colocated_layout(wh)
+    root = f"{scratch_dir(spark)}/{database}_staged"
+    remove_at_exit(spark, root)
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        write_table(df, f"{root}/{name}")
+        return read_table(spark, f"{root}/{name}", df.schema)
+
+    made = colocated.int_trip_punctuality(spark, database, wh.stg_routes, stage)
     return made.select(*INT_PUNCTUALITY_COLUMNS)
 
 

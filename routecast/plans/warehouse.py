@@ -11,8 +11,10 @@ from __future__ import annotations
 
 import datetime as dt
 import hashlib
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field, fields
+from threading import RLock
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,6 +71,66 @@ class Warehouse:
         return {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("aggregates", "reconciliation", "store")}
 
 
+class OnDemandWarehouse(Warehouse):
+    """A warehouse whose tables are made when they are first read, each of them once.
+
+    ``made`` are the fields at hand, ``makers`` make the others from the warehouse."""
+
+    def __init__(self, made: dict[str, object] | None = None, makers: dict[str, Callable[[Warehouse], object]] | None = None, **whole):
+        self._makers = makers or {}
+        self._locks = {name: RLock() for name in self._makers}
+        if whole:  # a copy (dataclasses.replace) has all fields
+            super().__init__(**whole)
+        self.__dict__.update(made or {})
+
+    def __getattr__(self, name: str) -> object:
+        # Only called for a field that is not there yet.
+        if name.startswith("_") or name not in self._makers:
+            raise AttributeError(name)
+        with self._locks[name]:
+            if name not in self.__dict__:
+                self.__dict__[name] = self._makers[name](self)
+            return self.__dict__[name]
+
+    def __repr__(self) -> str:
+        return f"OnDemandWarehouse(store={self.store!r})"
+
+    def make_all(self) -> None:
+        """Makes what isn't there yet. Independent tables are written by
+        concurrent jobs, so that the scheduler can fill idle executor slots."""
+        with ThreadPoolExecutor(max_workers=len(self._makers) + len(self.aggregates) or 1) as pool:
+            futures = [pool.submit(getattr, self, name) for name in self._makers] + [pool.submit(self.aggregates.get, k) for k in self.aggregates]
+            for f in futures:
+                f.result()
+
+    def tables(self) -> dict[str, DataFrame]:
+        self.make_all()
+        return super().tables()
+
+
+class _PartsOnDemand(Mapping):
+    """Stored parts by (model, fact), each written when it is first asked for."""
+
+    def __init__(self, makers: dict[tuple[str, str], Callable[[], StoredParts]]):
+        self._makers, self._made = makers, {}
+        self._locks = {key: RLock() for key in makers}
+
+    def __getitem__(self, key: tuple[str, str]) -> StoredParts:
+        with self._locks[key]:
+            if key not in self._made:
+                self._made[key] = self._makers[key]()
+            return self._made[key]
+
+    def __contains__(self, key: object) -> bool:
+        return key in self._makers
+
+    def __iter__(self) -> Iterator[tuple[str, str]]:
+        return iter(self._makers)
+
+    def __len__(self) -> int:
+        return len(self._makers)
+
+
 MART_SORT = {
     "fct_trips": ("date_key",),
     "fct_revenue": ("date_key",),
@@ -83,10 +145,14 @@ def build_warehouse(
     date_start: dt.date = calendar.DEFAULT_START,
     date_end: dt.date = calendar.DEFAULT_END,
     store: str | None = None,
+    on_demand: bool = False,
 ) -> Warehouse:
     """All layers over ``raw``; with ``store`` the marts, staged incidents and
     punctuality intermediates are tables under that folder. The folder belongs
-    to the caller, who may remove it when the warehouse is not used any more."""
+    to the caller, who may remove it when the warehouse is not used any more.
+
+    With ``on_demand`` a table is written when it is first read; the inputs
+    have to stay as they are until then."""
     s_routes = staging.stg_routes(raw.routes)
     s_vehicles = staging.stg_vehicles(raw.vehicles)
     s_trips = staging.stg_trips(raw.trips)
@@ -105,7 +171,7 @@ def build_warehouse(
     rollup = intermediate.incident_rollup(s_inc)
     d_cats = dims.dim_delay_categories(s_inc)
     d_date = calendar.dim_date(spark, date_start, date_end)
-    independent = {
+    lazy = {
         "dim_routes": dims.dim_routes(s_routes),
         "dim_vehicles": dims.dim_vehicles(s_vehicles),
         "dim_date": d_date,
@@ -114,45 +180,7 @@ def build_warehouse(
         "fct_revenue": marts.fct_revenue(i_rev),
         "feedback": feedback.typed_events(raw.feedback_events),
     }
-    read = Reconciliation()
-    aggregates: dict[tuple[str, str], StoredParts] = {}
-    if store:
-        # The rows that the facts are made from are counted while they are read.
-        not_done = {"not completed": ~F.col("trip_status").eqNullSafe("completed")}
-        done_trips = read.watch("trips", s_trips, not_done)
-        done_ptrips = read.watch("punctuality_trips", s_ptrips, not_done)
-        used_bookings = read.watch("bookings", s_bookings, {})
-        bad = {QUARANTINED: F.col("_unparsed") != ""}
-        used_sched = read.watch("scheduled_trips", staging.read_schedules(raw.scheduled_trips), bad | {"invalid schedule": F.col("_is_invalid_schedule")})
-        used_inc = read.watch("delay_incidents", staging.read_incidents(raw.delay_incidents), bad | {"invalid record": F.col("_is_invalid_record")})
-        independent["fct_trips"] = marts.fct_trips(intermediate.int_trip_occupancy(done_trips, s_routes))
-        independent["fct_revenue"] = marts.fct_revenue(intermediate.int_booking_revenue(used_bookings, s_routes))
-
-        def stage(df: DataFrame, name: str) -> DataFrame:
-            return materialise(df, "intermediate", name)
-
-        def punctuality_chain() -> tuple[DataFrame, DataFrame]:
-            used_rollup = intermediate.incident_rollup(used_inc)
-            ip = stage(intermediate.int_trip_punctuality(used_sched, done_ptrips, used_inc, s_routes, rollup=used_rollup, stage=stage), "int_trip_punctuality")
-            return ip, materialise(marts.fct_punctuality(ip, marts.route_benchmarks(ip, stage)), "marts", "fct_punctuality")
-
-        # The operations marts and dimensions do not depend on the
-        # punctuality chain: their write jobs are submitted concurrently so
-        # the scheduler can fill idle executor slots.
-        with ThreadPoolExecutor(max_workers=1 + len(independent)) as pool:
-            futures = {n: pool.submit(materialise, df, "marts", n) for n, df in independent.items()}
-            i_punct, f_punct = punctuality_chain()
-            written = {n: f.result() for n, f in futures.items()}
-            days, facts = written["dim_date"], written | {"fct_punctuality": f_punct}
-            parts = metric_parts(facts, days)
-            futures = {k: (t, pool.submit(materialise, df, "aggregates", "_".join(k))) for k, (t, df) in parts.items()}
-            aggregates = {k: StoredParts(f.result(), facts[t], days) for k, (t, f) in futures.items()}
-    else:
-        i_punct = intermediate.int_trip_punctuality(s_sched, s_ptrips, s_inc, s_routes, rollup=rollup)
-        f_punct = marts.fct_punctuality(i_punct)
-        written = independent
-
-    return Warehouse(
+    fixed = dict(
         stg_routes=s_routes,
         stg_vehicles=s_vehicles,
         stg_trips=s_trips,
@@ -165,15 +193,88 @@ def build_warehouse(
         int_trip_occupancy=i_occ,
         int_booking_revenue=i_rev,
         incident_rollup=rollup,
-        int_trip_punctuality=i_punct,
-        fct_punctuality=f_punct,
         feedback_events=raw.feedback_events,
         rejected_feedback=feedback.rejected_events(raw.feedback_events),
-        aggregates=aggregates,
-        reconciliation=read.counts(),
         store=store,
-        **written,
     )
+    if not store:
+        i_punct = intermediate.int_trip_punctuality(s_sched, s_ptrips, s_inc, s_routes, rollup=rollup)
+        return Warehouse(**fixed, **lazy, int_trip_punctuality=i_punct, fct_punctuality=marts.fct_punctuality(i_punct))
+
+    # The rows that the facts are made from are counted while they are read.
+    not_done = {"not completed": ~F.col("trip_status").eqNullSafe("completed")}
+    bad = {QUARANTINED: F.col("_unparsed") != ""}
+    counted: dict[str, list[tuple[str, str, int]]] = {}
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        return materialise(df, "intermediate", name)
+
+    def mart(name: str) -> Callable[[Warehouse], DataFrame]:
+        return lambda wh: materialise(lazy[name], "marts", name)
+
+    def trips(wh: Warehouse) -> DataFrame:
+        read = Reconciliation()
+        done = read.watch("trips", s_trips, not_done)
+        out = materialise(marts.fct_trips(intermediate.int_trip_occupancy(done, s_routes)), "marts", "fct_trips")
+        counted["fct_trips"] = read.counts()
+        return out
+
+    def revenue(wh: Warehouse) -> DataFrame:
+        read = Reconciliation()
+        used = read.watch("bookings", s_bookings, {})
+        out = materialise(marts.fct_revenue(intermediate.int_booking_revenue(used, s_routes)), "marts", "fct_revenue")
+        counted["fct_revenue"] = read.counts()
+        return out
+
+    def assessed_trips(wh: Warehouse) -> DataFrame:
+        read = Reconciliation()
+        done = read.watch("punctuality_trips", s_ptrips, not_done)
+        sched = read.watch("scheduled_trips", staging.read_schedules(raw.scheduled_trips), bad | {"invalid schedule": F.col("_is_invalid_schedule")})
+        inc = read.watch("delay_incidents", staging.read_incidents(raw.delay_incidents), bad | {"invalid record": F.col("_is_invalid_record")})
+        made = intermediate.int_trip_punctuality(sched, done, inc, s_routes, rollup=intermediate.incident_rollup(inc), stage=stage)
+        out = stage(made, "int_trip_punctuality")
+        counted["int_trip_punctuality"] = read.counts()
+        return out
+
+    def punctuality(wh: Warehouse) -> DataFrame:
+        ip = wh.int_trip_punctuality
+        # A table, so that its size is known when the fact is planned and the trips don't move to meet it.
+        benchmarks = stage(marts.route_benchmarks(ip, stage), "route_benchmarks")
+        return materialise(marts.fct_punctuality(ip, benchmarks), "marts", "fct_punctuality")
+
+    def reconciled(wh: Warehouse) -> list[tuple[str, str, int]]:
+        watched = ("fct_trips", "fct_revenue", "int_trip_punctuality")
+        for name in watched:
+            getattr(wh, name)
+        return [row for name in watched for row in counted[name]]
+
+    makers = {name: mart(name) for name in lazy} | {
+        "fct_trips": trips,
+        "fct_revenue": revenue,
+        "int_trip_punctuality": assessed_trips,
+        "fct_punctuality": punctuality,
+        "reconciliation": reconciled,
+    }
+    wh = OnDemandWarehouse(fixed, makers)
+
+    def part(key: tuple[str, str], table: str) -> Callable[[], StoredParts]:
+        def make() -> StoredParts:
+            rows, days = getattr(wh, table), wh.dim_date
+            return StoredParts(materialise(metric_parts({table: rows}, days)[key][1], "aggregates", "_".join(key)), rows, days)
+
+        return make
+
+    wh.aggregates = _PartsOnDemand({key: part(key, table) for key, table in _part_tables().items()})
+    if not on_demand:
+        wh.make_all()
+    return wh
+
+
+def _part_tables() -> dict[tuple[str, str], str]:
+    """The facts, by warehouse table, of the aggregates of both semantic models."""
+    from routecast.plans import aggregates, semantic
+
+    return {(m.name, f): m.tables[f][0] for m in (semantic.OPERATIONS, semantic.PUNCTUALITY) for f in aggregates.fact_tables(m)}
 
 
 def metric_parts(facts: dict[str, DataFrame], dim_date: DataFrame) -> dict[tuple[str, str], tuple[str, DataFrame]]:
@@ -199,8 +300,8 @@ def _version(spark: SparkSession, sf_dir: str) -> str:
 
 
 def warehouse_for(spark: SparkSession, sf_dir: str, materialize: bool = True) -> Warehouse:
-    """Warehouse of the test binding for ``sf_dir``, built once per session
-    and version of the input files.
+    """Warehouse of the test binding for ``sf_dir``, one per session and version
+    of the input files; its tables are written when they are first read.
 
     With ``materialize`` the marts are written under the session's shared
     scratch folder (``spark.checkpoint.dir``). The folder is named after the
@@ -212,5 +313,5 @@ def warehouse_for(spark: SparkSession, sf_dir: str, materialize: bool = True) ->
             tag = hashlib.sha1("|".join(map(str, key)).encode()).hexdigest()[:12]
             store = f"{scratch_dir(spark)}/routecast-{tag}"
             sinks.remove_at_exit(spark, store)
-        _memo[key] = build_warehouse(spark, testdata.bind(spark, sf_dir), testdata.DATE_START, testdata.DATE_END, store)
+        _memo[key] = build_warehouse(spark, testdata.bind(spark, sf_dir), testdata.DATE_START, testdata.DATE_END, store, on_demand=True)
     return _memo[key]

@@ -142,8 +142,8 @@ def raw_bookings(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) ->
         .otherwise("completed")
     )
     return (
-        lineitem.join(ords, F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(cust, F.col("o_custkey") == F.col("c_custkey"))
+        # The narrow sides meet first: line items move once.
+        lineitem.join(ords.join(cust, F.col("o_custkey") == F.col("c_custkey")), F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("booking_id"),
             F.col("l_orderkey").cast("string").alias("trip_id"),
