@@ -232,7 +232,8 @@ def build_warehouse(
         sched = read.watch("scheduled_trips", staging.read_schedules(raw.scheduled_trips), bad | {"invalid schedule": F.col("_is_invalid_schedule")})
         inc = read.watch("delay_incidents", staging.read_incidents(raw.delay_incidents), bad | {"invalid record": F.col("_is_invalid_record")})
         made = intermediate.int_trip_punctuality(sched, done, inc, s_routes, rollup=intermediate.incident_rollup(inc), stage=stage)
-        out = stage(made, "int_trip_punctuality")
+        # Trips of a route lie together, in the files and in the exchange of the fact, which packs them better.
+        out = stage(made.sortWithinPartitions("route_id", "trip_date"), "int_trip_punctuality")
         counted["int_trip_punctuality"] = read.counts()
         return out
 

@@ -53,6 +53,7 @@ def _pick(idx: Column, values: list[str]) -> Column:
 # --- fixed values of the binding (mirrored by the oracle) -----------------
 CHANNELS = ["website", "mobile_app", "partner_api"]
 PAYMENT_METHODS = ["credit_card", "debit_card", "paypal", "ideal", "bancontact"]
+BOOKING_STATUSES = ["refunded", "no_show", "cancelled", "completed"]
 SERVICE_TYPES_RAW = [" Regular", "EXPRESS ", "Peak_Hour"]
 DELAY_CATEGORIES_RAW = [
     " Traffic_Congestion",
@@ -132,18 +133,27 @@ def raw_trips(orders: DataFrame, customer: DataFrame) -> DataFrame:
 def raw_bookings(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
     cust = customer.select(F.col("c_custkey"), F.col("c_nationkey"))
     ords = orders.select("o_orderkey", "o_custkey")
-    pax = (F.lit(1) + F.col("l_quantity").cast("int") % 4).cast("int")
-    fare = F.col("l_extendedprice").cast("decimal(18,2)")
-    ln = F.col("l_linenumber")
     status = (
-        F.when(F.col("l_returnflag") == "R", "refunded")
-        .when((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O"), "no_show")
-        .when(F.col("l_returnflag") == "A", "cancelled")
-        .otherwise("completed")
+        F.when(F.col("l_returnflag") == "R", 0)
+        .when((F.col("l_returnflag") == "A") & (F.col("l_linestatus") == "O"), 1)
+        .when(F.col("l_returnflag") == "A", 2)
+        .otherwise(3)
+    )
+    # Small numbers move to the join, and texts are made of them behind it.
+    items = lineitem.select(
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        "l_shipdate",
+        (F.lit(1) + F.col("l_quantity").cast("int") % 4).cast("int").alias("_pax"),
+        F.col("l_extendedprice").cast("decimal(18,2)").alias("_fare"),
+        status.alias("_status"),
     )
+    pax, fare, ln = F.col("_pax"), F.col("_fare"), F.col("l_linenumber")
     return (
         # The narrow sides meet first: line items move once.
-        lineitem.join(ords.join(cust, F.col("o_custkey") == F.col("c_custkey")), F.col("l_orderkey") == F.col("o_orderkey"))
+        items.join(ords.join(cust, F.col("o_custkey") == F.col("c_custkey")), F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
             F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("booking_id"),
             F.col("l_orderkey").cast("string").alias("trip_id"),
@@ -153,7 +163,7 @@ def raw_bookings(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) ->
             fare.alias("fare_per_passenger"),
             (fare * pax).cast("decimal(18,2)").alias("total_fare"),
             _pick(ln % 5, PAYMENT_METHODS).alias("payment_method"),
-            status.alias("booking_status"),
+            _pick(F.col("_status"), BOOKING_STATUSES).alias("booking_status"),
             _pick(ln % 3, CHANNELS).alias("channel"),
         )
     )
