@@ -15,12 +15,13 @@ is told apart.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from routecast.plans.semantic import Dimension, Metric, SemanticModel, filter_cond
+from routecast.plans.semantic import Dimension, Metric, SemanticModel, calendar_bounds, filter_cond
 from routecast.plans.warehouse import Warehouse
 from routecast.sources.calendar import month_key
 
@@ -69,6 +70,10 @@ def branch(model: SemanticModel, wh: Warehouse, fact: str, dims: Sequence[Dimens
         # NULL joins nothing: a day outside the calendar has no attributes.
         DATES: (months, "__month", F.when(F.col("in_calendar"), F.col("month_key"))),
     }
+    if bounds := calendar_bounds({f: v for f, v in filters.items() if model.dimensions[f].table == DATES}):
+        # The months' directories; the calendar itself decides below.
+        first, last = bounds[0], bounds[1] - dt.timedelta(days=1)
+        df = df.filter(F.col("month_key").between(first.year * 100 + first.month, last.year * 100 + last.month))
     for name, value in filters.items():
         d = model.dimensions[name]
         table, pk, fk = sources[d.table]

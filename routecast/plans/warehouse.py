@@ -163,7 +163,8 @@ def build_warehouse(
 
     def materialise(df: DataFrame, layer: str, name: str) -> DataFrame:
         path = sinks.layer_path(store, layer, name)
-        sinks.write_table(df, path, sort_by=MART_SORT.get(name), partition_by=FACT_PARTITION if name in MART_SORT else None)
+        by_month = name in MART_SORT or layer == "aggregates"
+        sinks.write_table(df, path, sort_by=MART_SORT.get(name), partition_by=FACT_PARTITION if by_month else None)
         return sinks.read_table(spark, path, df.schema).select(*df.columns)
 
     i_occ = intermediate.int_trip_occupancy(s_trips, s_routes)
