@@ -2,8 +2,8 @@
 
 Two ways, with equal results (tests compare both with the library):
 
-* A text of usual size is cut at white space and every word looked up in a
-  per-process table of encoded words. This is exact only for a tokenizer that
+* Texts of usual size are cut at white space, and each distinct word of some
+  hundred texts is looked up in a per-process table of encoded words. This is exact only for a tokenizer that
   drops white space and encodes each word alone; :func:`_encodes_words_alone`
   reads that off the tokenizer's own file, and any other tokenizer gets the
   library's plain ``encode``.
@@ -16,17 +16,20 @@ Ids are ``bytes`` of little-endian unsigned 32-bit integers.
 from __future__ import annotations
 
 import json
+import os
 import re
 import struct
 from functools import lru_cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: A text longer than this many code points is encoded in chunks of this size.
 CHUNK = 1 << 16
 #: First overlap of two chunks, in code points; doubled while they don't agree.
 OVERLAP = 1 << 10
-#: Bytes of words and ids that a process keeps, with so many for an entry besides; the table starts anew beyond.
+#: Bytes of words and ids that a process keeps, with so many for an entry besides; beyond, only words in use stay in the table.
 KEPT_BYTES, ENTRY_BYTES = 96 << 20, 160
 #: A word of more code points is never kept: texts without white space are such words.
 LONGEST_KEPT = 64
@@ -35,11 +38,9 @@ TOGETHER = 2000
 #: Tokens that must agree on both sides of a splice.
 AGREE = 8
 
-#: Control characters that Python's split() takes for white space and the tokenizer does not.
-_ODD_SPACE = re.compile("[\x1c-\x1f]")
-_PLAIN_SPACE = re.compile("[ \t\n\r]+")
 #: Letters whose NFC form is the letter itself and whose lower case is one letter.
-_LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+_LETTERS = "".join(c for c in map(chr, [*range(0x41, 0x7B), *range(0xC0, 0x100)]) if c.isalpha())
+_STEM = re.compile(f"[{_LETTERS}]+")
 #: ASCII marks that may end a word: in no contraction, in no special token, and a pre-token of their own.
 _MARKS = ".,!?;:$&*%#"
 
@@ -68,6 +69,8 @@ class Encoder:
     """Token ids by the tokenizers library for the tokenizer in ``source`` (JSON text)."""
 
     def __init__(self, source: str):
+        # A task has one core: the library's threads would take those of other tasks.
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, pre_tokenizers
 
         self.library = Tokenizer.from_str(source)
@@ -101,47 +104,52 @@ class Encoder:
         return [_packed(e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _by_words(self, texts: list[str]) -> list[bytes]:
-        parts = [_words(t) for t in texts]
-        unseen = set().union(*parts).difference(self.words)
+        """Words are told apart by Arrow, and Python sees each of them once for all texts."""
+        lists = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+        coded = lists.flatten().dictionary_encode()
+        ids = self._word_ids(coded.dictionary).take(coded.indices)
+        _, edges, data = ids.buffers()
+        at = np.frombuffer(edges, np.int64)[lists.offsets.to_numpy()].tolist()
+        data = memoryview(data or b"")
+        return [bytes(data[a:b]) for a, b in zip(at, at[1:])]
+
+    def _word_ids(self, words: pa.Array) -> pa.Array:
+        """The ids of each of these distinct words: those of plain letters and sentence marks from the ids of both, others whole."""
+        stems, tails = pc.utf8_rtrim(words, characters=_MARKS), pc.utf8_ltrim(words, characters=_LETTERS)
+        simple = pc.equal(pc.add(pc.binary_length(stems), pc.binary_length(tails)), pc.binary_length(words))
+        parts = [pc.if_else(simple, pc.utf8_lower(stems), words).dictionary_encode(), pc.if_else(simple, tails, "").dictionary_encode()]
+        # By way of numpy: to_pylist makes a scalar of each word first.
+        keys = [p.dictionary.to_numpy(zero_copy_only=False).tolist() for p in parts]
+        ids = self._known(keys[0] + keys[1])
+        ids = [ids[: len(keys[0])], ids[len(keys[0]) :]]
+        found = [pa.array(x, pa.large_binary()).take(p.indices) for x, p in zip(ids, parts)]
+        return pc.binary_join_element_wise(*found, pa.scalar(b"", pa.large_binary()))
+
+    def _known(self, keys: list[str]) -> list[bytes]:
+        """The ids of each of these keys: lower-case stems, marks, and words of other kinds."""
+        ids = list(map(self.words.get, keys))
+        at = [i for i, x in enumerate(ids) if x is None]
+        unseen = [keys[i] for i in at]
         if unseen and self.kept_bytes > KEPT_BYTES:
-            self.words, self.kept_bytes = {}, 0
-            unseen = set().union(*parts)
-        self._learn(unseen)
-        ids = self.words.__getitem__
-        out = [b"".join(map(ids, p)) for p in parts]
-        for w in unseen:
-            if len(w) > LONGEST_KEPT:
-                del self.words[w]
-                self.kept_bytes -= len(w) + ENTRY_BYTES
-        return out
-
-    def _learn(self, unseen: set[str]) -> None:
-        """Puts words into the table: those of plain letters and sentence marks from the ids of both, others whole."""
-        words, before = self.words, len(self.words)
-        plain, marked, other = [], [], []
-        for w in unseen:
-            if w.isalpha() if w.isascii() else _LETTERS.fullmatch(w):
-                plain.append(w)
-            else:
-                stem = w.rstrip(_MARKS)
-                if stem.isalpha() if stem.isascii() else _LETTERS.fullmatch(stem):
-                    marked.append(w)
-                else:
-                    other.append(w)
-        cut = [w.rstrip(_MARKS) for w in marked]
-        folded = [w.lower() for w in cut]
-        tails = [w[len(c) :] for w, c in zip(marked, cut)]
-        lower = [w.lower() for w in plain]
-        stems = list(set(lower).union(folded).difference(words))
-        self._learn_stems(stems)
-        other += set(tails).difference(words).difference(other)
-        words.update(zip(other, self._plain(other)))
-        words.update(zip(plain, [words[s] for s in lower]))
-        words.update(zip(marked, [words[s] + words[m] for s, m in zip(folded, tails)]))
-        grown = len(words) - before
-        self.kept_bytes += sum(map(len, unseen)) + grown * ENTRY_BYTES
-
-    def _learn_stems(self, stems: list[str]) -> None:
+            # What these texts use is likely to be used again.
+            self.words = {k: x for k, x in zip(keys, ids) if x is not None}
+            self.kept_bytes = sum(map(len, self.words)) + len(self.words) * ENTRY_BYTES
+        learnt = self._learn(unseen)
+        for i, k in zip(at, unseen):
+            ids[i] = learnt[k]
+        kept = {k: x for k, x in learnt.items() if 0 < len(k) <= LONGEST_KEPT}
+        self.words.update(kept)
+        self.kept_bytes += sum(map(len, kept)) + len(kept) * ENTRY_BYTES
+        return ids
+
+    def _learn(self, unseen: list[str]) -> dict[str, bytes]:
+        """The ids of stems and of anything else."""
+        stems, other = [], []
+        for k in unseen:
+            (stems if (k.isalpha() if k.isascii() else _STEM.fullmatch(k)) else other).append(k)
+        return dict(zip(other, self._plain(other))) | self._learn_stems(stems)
+
+    def _learn_stems(self, stems: list[str]) -> dict[str, bytes]:
         """Stems of plain lower-case letters, many in one piece; the model marks the end of each."""
         spelled = [s if s.isascii() else s.translate(self.byte_letters) for s in stems]
         pieces = [" ".join(spelled[i : i + TOGETHER]) for i in range(0, len(spelled), TOGETHER)]
@@ -149,22 +157,15 @@ class Encoder:
         ids = np.concatenate([np.zeros(0, "<u4"), *found])
         ends = (np.flatnonzero(self.ends_word[ids]) + 1).tolist()
         if len(ends) != len(stems) or (ends and ends[-1] != len(ids)):  # a model without such marks
-            self.words.update(zip(stems, self._plain(stems)))
-            return
+            return dict(zip(stems, self._plain(stems)))
         data = ids.tobytes()
-        self.words.update((s, data[4 * a : 4 * b]) for s, a, b in zip(stems, [0, *ends], ends))
+        return {s: data[4 * a : 4 * b] for s, a, b in zip(stems, [0, *ends], ends)}
 
 
 def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def _words(text: str) -> list[str]:
-    if _ODD_SPACE.search(text):
-        return [w for w in _PLAIN_SPACE.split(text) if w]
-    return text.split()
-
-
 def encode_spliced(library, text: str, chunk: int, overlap: int) -> bytes:
     """The ids of ``text`` from chunks of ``chunk`` code points that overlap.
 

@@ -48,6 +48,17 @@ def test_word_table_starts_anew(enc, plain, monkeypatch):
     assert set(enc.words) <= {"two", "ten", "TWO", "ten.", "."}
 
 
+def test_words_share_the_ids_of_their_stem(plain, tokenizer_path, monkeypatch):
+    """Case and marks don't make new entries, and a full table keeps the words that are still in use."""
+    e = encoding.Encoder(encoding.read_tokenizer(tokenizer_path))
+    texts = ["Rain rain RAIN. rain,*** É é. été", "", " \t rain\x0bÉTÉ!\x1cx\x85y\xa0rain. "]
+    assert [_ids(x) for x in e.encode(texts)] == [plain(t) for t in texts]
+    assert {"rain", "é", "été", ".", ",***"} <= set(e.words) and not {"Rain", "RAIN.", "é.", ""} & set(e.words)
+    monkeypatch.setattr(encoding, "KEPT_BYTES", 0)
+    assert [_ids(x) for x in e.encode(["rain sun."])] == [plain("rain sun.")]
+    assert set(e.words) == {"rain", "sun", "."}
+
+
 @pytest.mark.parametrize("name", ["word_bpe_49k.json", "byte_bpe_50k.json"])
 @pytest.mark.parametrize("chunk,overlap", [(64, 8), (200, 64), (1000, 100)])
 def test_spliced_equals_one_encode(name, chunk, overlap):
