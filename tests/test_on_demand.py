@@ -38,6 +38,14 @@ def test_a_query_writes_only_the_tables_it_reads(spark):
     assert "fct_revenue" in _written(store) and "fct_punctuality" not in _written(store)
 
 
+def test_delay_categories_write_the_punctuality_tables_alone(spark):
+    wh, store = _fresh(spark)
+    assert Q.NAMED_QUERIES["V3_common_delay_categories"](wh).count() > 0
+    written = _written(store)
+    assert {"fct_punctuality", "int_trip_punctuality", "dim_delay_categories"} <= written
+    assert not {"fct_trips", "fct_revenue", "feedback"} & written and not list((store / "aggregates").glob("*"))
+
+
 def test_each_table_is_made_once_and_equals_the_whole_build(spark, wh):
     got, store = _fresh(spark)
     assert got.fct_punctuality is got.fct_punctuality
