@@ -274,6 +274,8 @@ def assessed(vc: DataFrame) -> DataFrame:
 
 #: Number of a joined trip, any unique long.
 ROW = "_row"
+#: What the windows W1-W5 add to a joined trip.
+CONTEXT = ["vehicle_rolling_avg_delay_5trips", "prev_trip_delay_minutes", "vehicle_turnaround_minutes", "delay_rank_on_route_day", "route_day_avg_delay"]
 
 
 def numbered(joined: DataFrame) -> DataFrame:
@@ -289,8 +291,7 @@ def assessed_numbered(compared: DataFrame, stage: Callable[[DataFrame, str], Dat
     when they meet their context by number. ``stage`` writes a table and reads it back."""
     narrow = compared.select(ROW, "vehicle_id", *VEHICLE_ORDER, *VEHICLE_CARRY, "route_id", "trip_date")
     of_vehicle = stage(vehicle_context(narrow, lambda df: stage(df, "int_trip_ranges")), "int_vehicle_context")
-    made = ["vehicle_rolling_avg_delay_5trips", "prev_trip_delay_minutes", "vehicle_turnaround_minutes", "delay_rank_on_route_day", "route_day_avg_delay"]
-    return scored(compared.join(route_day_context(of_vehicle).select(ROW, *made), ROW))
+    return scored(compared.join(route_day_context(of_vehicle).select(ROW, *CONTEXT), ROW))
 
 
 def int_trip_punctuality(

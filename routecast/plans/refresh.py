@@ -25,12 +25,18 @@ are. The result is equal to a full build.
 
 The manifest is written last, as a new version, so a refresh that was cut off
 is done again by the next one. One refresh at a time may write to a folder.
+
+Tables that don't need each other are written by concurrent jobs. A first build
+knows without fingerprints that it has to make all months: it takes those of
+trips and bookings from the facts that it has written, whose joins then run once.
 """
 
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from dataclasses import dataclass, field
 from functools import reduce
 
@@ -44,7 +50,7 @@ from routecast.sources import calendar, sinks
 from routecast.sources.schemas import RawInputs
 
 #: Raised when the tables' contents change for the same inputs: everything is then rebuilt.
-LAYOUT = 1
+LAYOUT = 2
 
 
 @dataclass
@@ -102,12 +108,13 @@ class _Folder:
         like = self.spark.read.parquet(f"{self.path('columns')}/{name}")
         return self.spark.read.schema(like.schema).parquet(self.path(name)).select(*like.columns)
 
-    def write_months(self, df: DataFrame, name: str, months: list[int] | None, sort_by: tuple[str, ...] | None = None) -> list[int]:
+    def write_months(self, df: DataFrame, name: str, months: list[int] | None, sort_by: tuple[str, ...] | None = None, number: str | None = None) -> list[int]:
         """Replaces the months' directories of a table; months without rows lose theirs. Returns the months that have rows."""
         if months is None:
-            df.limit(0).write.mode("overwrite").parquet(f"{self.path('columns')}/{name}")
+            columns = df.withColumn(number, F.lit(0).cast("long")) if number else df
+            columns.limit(0).write.mode("overwrite").parquet(f"{self.path('columns')}/{name}")
         before = {m: self.children(self.month_path(name, m)) for m in months or ()}
-        sinks.write_months(df, self.path(name), sort_by=sort_by, whole=months is None)
+        sinks.write_months(df, self.path(name), sort_by=sort_by, whole=months is None, number=number)
         if months is None:
             return sorted(_month_of(d) for d in self.children(self.path(name)) if d.startswith("month_key="))
         # A written file has a new name; where none is, the month has no rows any more.
@@ -144,6 +151,50 @@ def _months(df: DataFrame, column: str = "month_key") -> set[int]:
     return {r[0] for r in df.select(F.coalesce(column, F.lit(NO_MONTH)).alias("m")).distinct().collect()}
 
 
+def _together(*jobs: Callable[[], object]) -> list:
+    """The results of jobs that don't need each other and run side by side, so that none leaves slots idle."""
+    with ThreadPoolExecutor(max_workers=len(jobs)) as pool:
+        return [f.result() for f in [pool.submit(job) for job in jobs]]
+
+
+#: HotSpot interprets methods of more bytecode than this, however often they run.
+_COMPILED_BYTES = 8000
+
+
+@contextmanager
+def _small_methods(spark: SparkSession) -> Iterator[None]:
+    """Wide projections, as the staging ones, run as compiled pieces and not as one interpreted method of Spark's whole-stage code."""
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(min(int(before), _COMPILED_BYTES)))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
+#: The columns of which the staged table's others are made, row by row: rows are equal if these are.
+_OWN_COLUMNS = {
+    "scheduled_trips": [
+        "scheduled_trip_id", "trip_id", "route_id", "vehicle_id", "scheduled_departure_at", "scheduled_arrival_at", "service_type", "schedule_version",
+    ],
+    "delay_incidents": [
+        "incident_id", "trip_id", "route_id", "delay_category", "delay_minutes", "impact_level", "reported_at", "resolved_at", "is_cascading",
+        "affected_passengers",
+    ],
+}
+
+#: An input's rows, and the column of their month.
+_Input = tuple[DataFrame, str | None]
+
+
+def _prints(inputs: dict[str, _Input]) -> dict[tuple[str, int], tuple]:
+    """Fingerprints by input and month, from one scan of each input."""
+    own = {n: df.select(*_OWN_COLUMNS.get(n, df.columns)) for n, (df, _) in inputs.items()}
+    prints = [fingerprints(own[n], calendar.month_key(c) if c else None).select(F.lit(n).alias("input"), "*") for n, (_, c) in inputs.items()]
+    return {(r[0], r[1]): tuple(r)[2:] for r in reduce(DataFrame.unionByName, prints).collect()}
+
+
 def refresh_warehouse(
     spark: SparkSession,
     raw: RawInputs,
@@ -154,9 +205,14 @@ def refresh_warehouse(
     """Brings the warehouse in the folder ``store`` up to date with ``raw``; an empty folder gets a full build.
 
     ``store`` is a shared folder that outlives the session. Dimensions are
-    small and always rewritten. Driver memory is one row for each input and
+    small and always rewritten, feedback if its events have changed. Driver memory is one row for each input and
     month."""
-    at = _Folder(spark, store)
+    with _small_methods(spark):
+        return _refresh(_Folder(spark, store), raw, date_start, date_end)
+
+
+def _refresh(at: _Folder, raw: RawInputs, date_start: dt.date, date_end: dt.date) -> Refreshed:
+    spark = at.spark
     routes = staging.stg_routes(raw.routes)
     occupancy = intermediate.int_trip_occupancy(staging.stg_trips(raw.trips), routes)
     revenue = intermediate.int_booking_revenue(staging.stg_bookings(raw.bookings), routes)
@@ -171,48 +227,67 @@ def refresh_warehouse(
         "scheduled_trips": (scheduled.filter("not _is_invalid_schedule"), "scheduled_departure_at"),
         "delay_incidents": (intermediate.valid_incidents(incidents), "reported_at"),
         "routes": (routes, None),
+        "feedback_events": (raw.feedback_events.select("timestamp", *sorted({column for column, _ in feedback.PATHS.values()})), None),
     }
-    prints = [fingerprints(df, calendar.month_key(c) if c else None).select(F.lit(n).alias("input"), "*") for n, (df, c) in used.items()]
-    now = {(r[0], r[1]): tuple(r)[2:] for r in reduce(DataFrame.unionByName, prints).collect()}
-    now[("layout", NO_MONTH)] = (LAYOUT, 0, 0, 0)
-    version, manifest = at.manifest()
-    old = {(r[0], r[1]): tuple(r)[2:] for r in manifest.collect()} if manifest is not None else {}
-    whole = manifest is None or bool(_differing(now, old, "routes") or _differing(now, old, "layout"))
-    changed = {n: (None if whole else _differing(now, old, n)) for n in used}
-
-    out = Refreshed(warehouse=None)
-    facts = {}
-    for name, source, fact in (("fct_trips", "trips", marts.fct_trips(occupancy)), ("fct_revenue", "bookings", marts.fct_revenue(revenue))):
-        months = changed[source]
-        if months is None or months:
-            out.written[name] = at.write_months(fact.filter(_in(months, F.col("month_key"))), name, _listed(months), MART_SORT[name])
-        else:
-            out.written[name] = []
-        out.touched[name] = _listed(months or ())
-        facts[name] = at.read(name)
-
-    punctuality, halo = _refresh_punctuality(at, used, routes, incidents, changed, old, out)
-    now.update(halo)
-
+    facts = {"fct_trips": ("trips", marts.fct_trips(occupancy)), "fct_revenue": ("bookings", marts.fct_revenue(revenue))}
     tables = {
         "dim_routes": dims.dim_routes(routes),
         "dim_vehicles": dims.dim_vehicles(staging.stg_vehicles(raw.vehicles)),
         "dim_date": calendar.dim_date(spark, date_start, date_end),
         "dim_delay_categories": dims.dim_delay_categories(incidents),
-        "feedback": feedback.typed_events(raw.feedback_events),
     }
-    for name, df in tables.items():
-        sinks.write_table(df, at.path(name))
-    # The stored parts of the metrics, of the months that were written.
-    dimensions = {name: sinks.read_table(spark, at.path(name)) for name in tables}
-    rows = facts | {"fct_punctuality": marts.with_route_statistics(at.read("fct_punctuality"), sinks.read_table(spark, at.path("route_benchmarks")))}
-    aggregates = {}
-    for table, whole_fact in rows.items():
-        fresh = at.read(table).filter(_in(None if whole else out.written[table], F.col("month_key")))
-        for key, (_, parts) in metric_parts({table: fresh}, dimensions["dim_date"]).items():
+    version, manifest = at.manifest()
+    old = {(r[0], r[1]): tuple(r)[2:] for r in manifest.collect()} if manifest is not None else {}
+    first = manifest is None
+    # A fact has its input's rows, one by one, if no route is there twice.
+    in_facts = {source: name for name, (source, _) in facts.items()} if first and _one_each(routes, "route_id") else {}
+    out = Refreshed(warehouse=None)
+    with ThreadPoolExecutor(max_workers=len(tables) + len(facts) + 3) as pool:
+        small = {name: pool.submit(sinks.write_table, df, at.path(name)) for name, df in tables.items()}
+        scanned = pool.submit(_prints, {n: i for n, i in used.items() if n not in in_facts})
+        now = {("layout", NO_MONTH): (LAYOUT, 0, 0, 0)}
+        if not first:
+            now |= scanned.result()
+        whole = first or bool(_differing(now, old, "routes") or _differing(now, old, "layout"))
+        changed = {n: (None if whole else _differing(now, old, n)) for n in used}
+
+        def with_parts(table: str) -> None:
+            """The stored parts of the metrics, of the months that were written."""
+            small["dim_date"].result()
             if whole or out.touched[table]:
-                at.write_months(parts, "_".join(key), None if whole else out.touched[table])
-            aggregates[key] = StoredParts(at.read("_".join(key)), whole_fact, dimensions["dim_date"])
+                fresh = at.read(table).filter(_in(None if whole else out.written[table], F.col("month_key")))
+                made = metric_parts({table: fresh}, sinks.read_table(spark, at.path("dim_date")))
+                months = None if whole else out.touched[table]
+                _together(*[lambda k=key, p=parts: at.write_months(p, "_".join(k), months) for key, (_, parts) in made.items()])
+
+        def fact(name: str) -> dict:
+            source, rows = facts[name]
+            months = changed[source]
+            out.written[name] = []
+            if months is None or months:
+                out.written[name] = at.write_months(rows.filter(_in(months, F.col("month_key"))), name, _listed(months), MART_SORT[name])
+            out.touched[name] = _listed(months or ())
+            read = {source: (at.read(name).select(*used[source][0].columns), used[source][1])} if source in in_facts else {}
+            return _together(lambda: with_parts(name), lambda: _prints(read) if read else {})[1]
+
+        def assessed() -> tuple[DataFrame, dict]:
+            made = _refresh_punctuality(at, used, routes, incidents, changed, old, out)
+            with_parts("fct_punctuality")
+            return made
+
+        if whole or _differing(now, old, "feedback_events"):
+            small["feedback"] = pool.submit(sinks.write_table, feedback.typed_events(raw.feedback_events), at.path("feedback"))
+        writing = [pool.submit(fact, name) for name in facts]
+        punctuality, halo = pool.submit(assessed).result()
+        now = reduce(dict.__or__, [f.result() for f in writing], now | scanned.result() | halo)
+        for f in small.values():
+            f.result()
+
+    dimensions = {name: sinks.read_table(spark, at.path(name)) for name in (*tables, "feedback")}
+    rows = {name: at.read(name) for name in facts}
+    rows["fct_punctuality"] = marts.with_route_statistics(at.read("fct_punctuality"), sinks.read_table(spark, at.path("route_benchmarks")))
+    keys = {table: metric_parts({table: at.read(table)}, dimensions["dim_date"]) for table in rows}
+    aggregates = {key: StoredParts(at.read("_".join(key)), rows[table], dimensions["dim_date"]) for table, made in keys.items() for key in made}
     at.write_manifest([(*k, *v) for k, v in now.items()], version + 1)
     out.warehouse = Warehouse(
         stg_routes=routes,
@@ -237,6 +312,11 @@ def refresh_warehouse(
     return out
 
 
+def _one_each(df: DataFrame, key: str) -> bool:
+    """Whether a key is in no two rows; NULLs, which no join finds, don't count."""
+    return df.filter(F.col(key).isNotNull()).groupBy(key).count().filter("count > 1").isEmpty()
+
+
 def _listed(months: Iterable[int] | None) -> list[int] | None:
     return None if months is None else sorted(months)
 
@@ -245,10 +325,10 @@ def _refresh_punctuality(at: _Folder, used: dict, routes: DataFrame, incidents:
     """The punctuality tables; returns int_trip_punctuality and the halos' fingerprints."""
     trips, scheduled, valid = (used[n][0] for n in ("punctuality_trips", "scheduled_trips", "delay_incidents"))
     trip_month = trips.select(F.col("trip_id").alias("_trip"), calendar.month_key("departure_at").alias("month_key"))
-    parts = [
-        df.select(F.lit(n).alias("input"), calendar.month_key(used[n][1]).alias("input_month"), "trip_id")
+    parts = {
+        n: df.select(F.lit(n).alias("input"), calendar.month_key(used[n][1]).alias("input_month"), "trip_id")
         for n, df in (("scheduled_trips", scheduled), ("delay_incidents", valid))
-    ]
+    }
     if changed["punctuality_trips"] is None:
         months = None
     else:
@@ -258,56 +338,81 @@ def _refresh_punctuality(at: _Folder, used: dict, routes: DataFrame, incidents:
         )
         if changed["scheduled_trips"] or changed["delay_incidents"]:
             landed = at.read("landings").filter(touched)
-            landing = reduce(DataFrame.unionByName, parts).filter(touched).join(trip_month, F.col("trip_id") == F.col("_trip"))
+            landing = reduce(DataFrame.unionByName, parts.values()).filter(touched).join(trip_month, F.col("trip_id") == F.col("_trip"))
             months |= _months(landed) | _months(landing)
 
-    names = ("int_trip_comparison", "vehicle_tails", "int_trip_punctuality", "delay_counts", "fct_punctuality")
     if months is None or months:
         own = trips.filter(_in(months, calendar.month_key("departure_at")))
-        rollup = intermediate.incident_rollup(incidents.join(own.select("trip_id"), "trip_id", "left_semi"))
-        joined = intermediate.flagged_comparison(scheduled, own, routes, rollup)
+        # Where no trip is left out, no incident is.
+        reported = incidents if months is None else incidents.join(own.select("trip_id"), "trip_id", "left_semi")
+        joined = intermediate.flagged_comparison(scheduled, own, routes, intermediate.incident_rollup(reported))
         joined = joined.withColumn("month_key", calendar.month_key("trip_date"))
-        at.write_months(joined, "int_trip_comparison", _listed(months))
-        # Where the inputs' months have landed.
+        at.write_months(joined, "int_trip_comparison", _listed(months), number=intermediate.ROW)
+        comparison = at.read("int_trip_comparison").filter(_in(months, F.col("month_key")))
+        # Where the inputs' months have landed: the joined trips say it of the schedules.
         here = trip_month.filter(_in(months, F.col("month_key")))
-        pairs = reduce(DataFrame.unionByName, parts).join(here, F.col("trip_id") == F.col("_trip")).groupBy("input", "input_month", "month_key").count()
-        at.write_months(pairs.drop("count"), "landings", _listed(months))
+        of_schedules = comparison.select(F.lit("scheduled_trips").alias("input"), calendar.month_key(used["scheduled_trips"][1]).alias("input_month"), "month_key")
+        of_incidents = parts["delay_incidents"].join(here, F.col("trip_id") == F.col("_trip")).select("input", "input_month", "month_key")
+        landings = of_schedules.unionByName(of_incidents).distinct()
         # The last trips of each vehicle in each month.
-        comparison = at.read("int_trip_comparison").filter(_in(months, F.col("month_key")))
         last = Window.partitionBy("month_key", "vehicle_id").orderBy(*[F.col(c).desc_nulls_first() for c in intermediate.VEHICLE_ORDER])
         tail = comparison.select("month_key", "vehicle_id", *intermediate.VEHICLE_ORDER, *intermediate.VEHICLE_CARRY)
         tail = tail.withColumn("_rank", F.row_number().over(last)).filter(F.col("_rank") <= intermediate.LOOKBACK).drop("_rank")
         at.write_months(tail, "vehicle_tails", _listed(months))
 
     halo = _halos(at.read("vehicle_tails"))
-    prints = {("halo", r[0]): tuple(r)[1:] for r in fingerprints(halo, F.col("month_key")).collect()}
-    if months is not None:
-        months = months | _differing(prints, old, "halo")
-    if months is None or months:
-        rows = at.read("int_trip_comparison").filter(_in(months, F.col("month_key"))).withColumn("_before", F.lit(False))
-        edge = halo.filter(_in(months, F.col("month_key"))).withColumn("_before", F.lit(True))
-        both = rows.unionByName(edge, allowMissingColumns=True).withColumn("_in_month", F.struct("month_key", "vehicle_id"))
-
-        def stage(df: DataFrame, name: str) -> DataFrame:
-            path = at.path(f"work/{name}")
-            sinks.write_table(df, path)
-            return sinks.read_table(at.spark, path).select(*df.columns)
-
-        context = intermediate.vehicle_context(both, lambda df: stage(df, "ranged"), key="_in_month").filter("not _before")
-        context = stage(context.drop("_before", "_in_month"), "vehicle_context")
-        assessed = intermediate.assessed(context).withColumn("month_key", calendar.month_key("trip_date"))
-        written = at.write_months(assessed, "int_trip_punctuality", _listed(months))
-        fresh = at.read("int_trip_punctuality").filter(_in(months, F.col("month_key")))
-        at.write_months(marts.trip_facts(fresh), "fct_punctuality", _listed(months), MART_SORT["fct_punctuality"])
+
+    def halo_prints() -> dict:
+        return {("halo", r[0]): tuple(r)[1:] for r in fingerprints(halo, F.col("month_key")).collect()}
+
+    def land() -> None:
+        if months is None or months:
+            at.write_months(landings, "landings", _listed(months))
+
+    if months is None:
+        written, prints, _ = _together(lambda: _assess(at, halo, None), halo_prints, land)
+        assessed = None
+    else:
+        prints = halo_prints()
+        assessed = months | _differing(prints, old, "halo")
+        written = _together(lambda: _assess(at, halo, assessed) if assessed else [], land)[0]
+    out.touched["fct_punctuality"] = _listed(assessed or ())
+    out.written |= {n: written for n in ("int_trip_punctuality", "fct_punctuality")}
+    return at.read("int_trip_punctuality"), prints
+
+
+def _assess(at: _Folder, halo: DataFrame, months: set[int] | None) -> list[int]:
+    """Months of joined trips assessed with the trips before them; returns the months that have rows.
+
+    As in :func:`intermediate.assessed_numbered` the windows move narrow rows; the whole rows meet
+    their context by month and number."""
+    compared = at.read("int_trip_comparison").filter(_in(months, F.col("month_key")))
+    narrow = compared.select(intermediate.ROW, "month_key", "vehicle_id", *intermediate.VEHICLE_ORDER, *intermediate.VEHICLE_CARRY, "route_id", "trip_date")
+    edge = halo.filter(_in(months, F.col("month_key"))).withColumn("_before", F.lit(True))
+    both = narrow.withColumn("_before", F.lit(False)).unionByName(edge, allowMissingColumns=True)
+    both = both.withColumn("_in_month", F.struct("month_key", "vehicle_id"))
+
+    def stage(df: DataFrame, name: str) -> DataFrame:
+        path = at.path(f"work/{name}")
+        sinks.write_table(df, path)
+        return sinks.read_table(at.spark, path).select(*df.columns)
+
+    context = intermediate.vehicle_context(both, lambda df: stage(df, "ranged"), key="_in_month").filter("not _before")
+    context = intermediate.route_day_context(stage(context.drop("_before", "_in_month"), "vehicle_context"))
+    context = context.select(F.col("month_key").alias("_month"), F.col(intermediate.ROW).alias("_number"), *intermediate.CONTEXT)
+    met = compared.join(context, F.col("month_key").eqNullSafe(F.col("_month")) & (F.col(intermediate.ROW) == F.col("_number")))
+    assessed = intermediate.scored(met).withColumn("month_key", calendar.month_key("trip_date"))
+    written = at.write_months(assessed, "int_trip_punctuality", _listed(months))
+    fresh = at.read("int_trip_punctuality").filter(_in(months, F.col("month_key")))
+
+    def benchmarks() -> None:
         at.write_months(marts.delay_counts(fresh, "month_key"), "delay_counts", _listed(months))
         counts = at.read("delay_counts").groupBy("route_id", marts.DELAY).agg(F.sum("n_trips").alias("n_trips"))
         sinks.write_table(marts.benchmarks_of_counts(stage(counts, "counts"), stage), at.path("route_benchmarks"))
-        at.remove(at.path("work"))
-    else:
-        written = []
-    out.touched["fct_punctuality"] = _listed(months or ())
-    out.written |= {n: written for n in names if n in ("int_trip_punctuality", "fct_punctuality")}
-    return at.read("int_trip_punctuality"), prints
+
+    _together(benchmarks, lambda: at.write_months(marts.trip_facts(fresh), "fct_punctuality", _listed(months), MART_SORT["fct_punctuality"]))
+    at.remove(at.path("work"))
+    return written
 
 
 def _halos(tails: DataFrame) -> DataFrame:

@@ -88,6 +88,44 @@ def test_refresh_rewrites_only_what_changed(spark, raw):
     assert {"202401", "202402", "202403", "202404"} <= kept
 
 
+def test_what_has_not_changed_is_not_made_again(spark, raw, monkeypatch):
+    from routecast.plans import refresh
+
+    limit = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    store = f"{scratch_dir(spark)}/refresh-{uuid.uuid4().hex}"
+    widths, scans = {}, []
+    write, scan = refresh.sinks.write_table, refresh.fingerprints
+    monkeypatch.setattr(refresh.sinks, "write_table", lambda df, path, *a, **k: (widths.setdefault(path.rsplit("/", 1)[1], len(df.columns)), write(df, path, *a, **k)))
+    monkeypatch.setattr(refresh, "fingerprints", lambda df, month=None: (scans.append(df), scan(df, month))[1])
+    few = replace(raw, feedback_events=raw.feedback_events.limit(50).checkpoint())
+    first = refresh_warehouse(spark, few, store)
+    # The windows move narrow rows; a booking's print is taken from the written fact, a schedule's of its own columns.
+    assert widths["ranged"] < 16 < len(first.warehouse.int_trip_punctuality.columns)
+    printed = {c: df for df in scans for c in df.columns if c in ("booking_id", "scheduled_trip_id")}
+    assert f"{store}/fct_revenue/" in "".join(printed["booking_id"].inputFiles())
+    assert "departure_window" not in printed["scheduled_trip_id"].columns
+    before = _files(spark, store, "feedback")
+    refresh_warehouse(spark, few, store)
+    assert _files(spark, store, "feedback") == before
+    # One event more is seen, and its table made again.
+    more = replace(few, feedback_events=few.feedback_events.unionAll(few.feedback_events.limit(1)).checkpoint())
+    got = refresh_warehouse(spark, more, store)
+    assert _files(spark, store, "feedback") != before
+    assert got.warehouse.feedback.count() == first.warehouse.feedback_events.count() + 1
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == limit
+
+
+def test_routes_that_are_there_twice(spark, raw):
+    """A fact then has more rows than its input, whose fingerprint isn't that of the fact."""
+    store = f"{scratch_dir(spark)}/refresh-{uuid.uuid4().hex}"
+    twice = replace(raw, routes=raw.routes.unionAll(raw.routes.limit(3)).checkpoint())
+    first = refresh_warehouse(spark, twice, store)
+    routes = staging.stg_routes(twice.routes)
+    assert _rounded(first.warehouse.fct_trips) == _rounded(marts.fct_trips(intermediate.int_trip_occupancy(staging.stg_trips(raw.trips), routes)))
+    again = refresh_warehouse(spark, twice, store)
+    assert all(m == [] for m in again.written.values())
+
+
 def test_refresh_follows_schedules_incidents_and_routes(spark, raw):
     store = f"{scratch_dir(spark)}/refresh-{uuid.uuid4().hex}"
     refresh_warehouse(spark, raw, store)
