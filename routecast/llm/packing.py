@@ -69,6 +69,8 @@ def best_fit_decreasing(lengths: np.ndarray, size: int) -> tuple[np.ndarray, np.
     for i in np.argsort(-lengths, kind="stable").tolist():
         need = int(lengths[i])
         found = tree.take(need)
+        if found is None and need == 0 and made:
+            found = 0, made - 1  # all bins are full, and hold nothing more
         room, at = found if found else (size, made)
         made += found is None
         bins[i], offsets[i] = at, size - room

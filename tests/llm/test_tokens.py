@@ -157,6 +157,12 @@ def test_best_fit_decreasing_equals_brute_force(lengths, size):
     assert sorted(used.values()) == sorted(size - r for r in _brute_best_fit(lengths, size))
 
 
+def test_empty_lengths_open_no_bin_beside_full_ones():
+    bins, offsets = packing.best_fit_decreasing(np.array([0, 50, 0], np.int64), 50)
+    assert bins.tolist() == [0, 0, 0] and offsets.tolist() == [50, 0, 50]
+    assert packing.best_fit_decreasing(np.array([0, 0], np.int64), 50)[0].tolist() == [0, 0]
+
+
 def test_pack_documents(odd_docs, plain, tokenizer_path):
     size = 64
     rows = packing.pack_documents(odd_docs, tokenizer_path, 1, size, group_rows=8).collect()
