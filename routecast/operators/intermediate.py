@@ -13,13 +13,14 @@ Shuffle plan of ``int_trip_punctuality`` (at 1000x the test data):
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from routecast.functions import classifiers as C
 from routecast.functions.timecols import minute_diff
+from routecast.operators.staging import with_schedule_times
 from routecast.session import scratch_dir
 from routecast.operators.windows import lookback_window, rank_and_mean_by_group
 
@@ -140,8 +141,12 @@ def incident_rollup(incidents: DataFrame) -> DataFrame:
     )
 
 
-def trip_comparison(scheduled: DataFrame, trips: DataFrame, routes: DataFrame) -> DataFrame:
-    """J3 + J4 + C1 + C15: schedule vs execution, one row per trip."""
+#: What a joined trip keeps of its schedule; the others are made of these, row by row.
+SCHEDULE_OWN = ["scheduled_trip_id", "trip_id", "route_id", "vehicle_id", "scheduled_departure_at", "scheduled_arrival_at", "service_type"]
+
+
+def met_trips(scheduled: DataFrame, trips: DataFrame, routes: DataFrame) -> DataFrame:
+    """J3 + J4: valid schedules with their completed trips and routes, in the columns that no others are made of."""
     s = scheduled.filter(~F.col("_is_invalid_schedule")).alias("s")
     a = (
         trips.filter(F.col("trip_status") == "completed")
@@ -152,33 +157,35 @@ def trip_comparison(scheduled: DataFrame, trips: DataFrame, routes: DataFrame) -
     j = s.join(a, F.col("s.trip_id") == F.col("a.trip_id")).join(
         r, F.col("s.route_id") == F.col("r.route_id"), "left"
     )
-    actual_minutes = minute_diff("a.departure_at", "a.arrival_at")
     return j.select(
-        "s.scheduled_trip_id",
-        "s.trip_id",
-        "s.route_id",
-        "s.vehicle_id",
-        "s.scheduled_departure_at",
-        "s.scheduled_arrival_at",
-        "s.scheduled_duration_minutes",
-        "s.service_type",
-        "s.departure_window",
-        "s.is_weekend_service",
-        "s.schedule_density",
+        *[f"s.{c}" for c in SCHEDULE_OWN],
         F.col("a.departure_at").alias("actual_departure_at"),
         F.col("a.arrival_at").alias("actual_arrival_at"),
         "a.passengers_onboard",
         "r.route_name",
         "r.distance_km",
         "r.vehicle_type",
-        minute_diff("s.scheduled_departure_at", "a.departure_at").alias("departure_delay_minutes"),
-        minute_diff("s.scheduled_arrival_at", "a.arrival_at").alias("arrival_delay_minutes"),
+    )
+
+
+def with_delays(met: DataFrame) -> DataFrame:
+    """C1-C4 + C15 on met trips, row by row."""
+    actual_minutes = minute_diff("actual_departure_at", "actual_arrival_at")
+    return with_schedule_times(met).select(
+        "*",
+        minute_diff("scheduled_departure_at", "actual_departure_at").alias("departure_delay_minutes"),
+        minute_diff("scheduled_arrival_at", "actual_arrival_at").alias("arrival_delay_minutes"),
         actual_minutes.alias("actual_duration_minutes"),
-        C.ratio_rounded(actual_minutes, "s.scheduled_duration_minutes", 3).alias("travel_time_ratio"),
-        F.col("a.departure_at").cast("date").alias("trip_date"),
+        C.ratio_rounded(actual_minutes, "scheduled_duration_minutes", 3).alias("travel_time_ratio"),
+        F.col("actual_departure_at").cast("date").alias("trip_date"),
     )
 
 
+def trip_comparison(scheduled: DataFrame, trips: DataFrame, routes: DataFrame) -> DataFrame:
+    """J3 + J4 + C1 + C15: schedule vs execution, one row per trip."""
+    return with_delays(met_trips(scheduled, trips, routes))
+
+
 def with_incidents(tc: DataFrame, rollup: DataFrame) -> DataFrame:
     """Left join after the rollup; only counts and sums are zero-filled."""
     r = rollup.withColumnRenamed("trip_id", "_r_trip_id")
@@ -204,11 +211,11 @@ VEHICLE_ORDER = ["actual_departure_at", "trip_id"]
 VEHICLE_CARRY = ["departure_delay_minutes", "actual_arrival_at"]
 
 
-def vehicle_context(df: DataFrame, stage: Callable[[DataFrame], DataFrame], key: str = "vehicle_id") -> DataFrame:
+def vehicle_context(df: DataFrame, stage: Callable[[DataFrame], DataFrame], key: str | Sequence[str] = "vehicle_id") -> DataFrame:
     """Rolling 5-trip mean delay, previous delay and turnaround per
     vehicle, ordered by actual departure (trip_id breaks ties).
 
-    ``key`` is the column of the windows, if not the vehicle alone."""
+    ``key`` are the columns of the windows, if not the vehicle alone."""
 
     def cols(spec):
         return {
@@ -230,10 +237,14 @@ def vehicle_context(df: DataFrame, stage: Callable[[DataFrame], DataFrame], key:
     )
 
 
-def flagged_comparison(scheduled: DataFrame, trips: DataFrame, routes: DataFrame, rollup: DataFrame) -> DataFrame:
-    """J3-J5 with the flags of a trip's own delays."""
-    wi = with_incidents(trip_comparison(scheduled, trips, routes), rollup)
-    return wi.select(
+def joined_trips(scheduled: DataFrame, trips: DataFrame, routes: DataFrame, rollup: DataFrame) -> DataFrame:
+    """The rows that are moved and written; :func:`flagged` makes the other columns of them."""
+    return with_incidents(met_trips(scheduled, trips, routes), rollup)
+
+
+def flagged(joined: DataFrame) -> DataFrame:
+    """Joined trips with their delays (C1-C4, C15) and the flags of these (C16, C17), row by row."""
+    return with_delays(joined).select(
         "*",
         C.on_time("departure_delay_minutes").alias("is_on_time_departure"),
         C.on_time("arrival_delay_minutes").alias("is_on_time_arrival"),
@@ -244,6 +255,11 @@ def flagged_comparison(scheduled: DataFrame, trips: DataFrame, routes: DataFrame
     )
 
 
+def flagged_comparison(scheduled: DataFrame, trips: DataFrame, routes: DataFrame, rollup: DataFrame) -> DataFrame:
+    """J3-J5 with the flags of a trip's own delays."""
+    return flagged(joined_trips(scheduled, trips, routes, rollup))
+
+
 def route_day_context(vc: DataFrame) -> DataFrame:
     """W4, W5. ``vc`` is read twice."""
     return rank_and_mean_by_group(
@@ -267,11 +283,6 @@ def scored(rd: DataFrame) -> DataFrame:
     return final.select(*INT_PUNCTUALITY_COLUMNS, "primary_delay_category")
 
 
-def assessed(vc: DataFrame) -> DataFrame:
-    """W4, W5, C18 and C19 on trips that have their vehicle's context. ``vc`` is read twice."""
-    return scored(route_day_context(vc))
-
-
 #: Number of a joined trip, any unique long.
 ROW = "_row"
 #: What the windows W1-W5 add to a joined trip.
@@ -284,14 +295,28 @@ def numbered(joined: DataFrame) -> DataFrame:
     return joined.withColumn(ROW, F.monotonically_increasing_id())
 
 
-def assessed_numbered(compared: DataFrame, stage: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
-    """W1-W5, C18 and C19 on written, :func:`numbered` trips.
+#: What W1-W5 read of a joined trip, besides its number and its vehicle's order.
+WINDOWED = ["route_id", "departure_delay_minutes", "actual_arrival_at"]
+
+
+def windowed(joined: DataFrame, *more: str) -> DataFrame:
+    """The few columns of joined trips that the windows W1-W5 move."""
+    return flagged(joined).select(ROW, *more, "vehicle_id", *VEHICLE_ORDER, *WINDOWED)
+
+
+def of_vehicles(context: DataFrame, *more: str) -> DataFrame:
+    """What W4 and W5 need of trips that have their vehicle's context."""
+    return context.select(ROW, *more, "route_id", F.col("actual_departure_at").cast("date").alias("trip_date"), "departure_delay_minutes", *CONTEXT[:3])
+
+
+def assessed_numbered(joined: DataFrame, stage: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
+    """W1-W5, C18 and C19 on written, :func:`numbered` trips (:func:`joined_trips`).
 
-    The windows move the few columns that they read; the whole rows move once,
-    when they meet their context by number. ``stage`` writes a table and reads it back."""
-    narrow = compared.select(ROW, "vehicle_id", *VEHICLE_ORDER, *VEHICLE_CARRY, "route_id", "trip_date")
-    of_vehicle = stage(vehicle_context(narrow, lambda df: stage(df, "int_trip_ranges")), "int_vehicle_context")
-    return scored(compared.join(route_day_context(of_vehicle).select(ROW, *CONTEXT), ROW))
+    The windows move the few columns that they read; the joined rows move once,
+    when they meet their context by number, and the columns that are made of
+    them row by row are made after that. ``stage`` writes a table and reads it back."""
+    of_vehicle = stage(of_vehicles(vehicle_context(windowed(joined), lambda df: stage(df, "int_trip_ranges"))), "int_vehicle_context")
+    return scored(flagged(joined.join(route_day_context(of_vehicle).select(ROW, *CONTEXT), ROW)))
 
 
 def int_trip_punctuality(
@@ -311,11 +336,11 @@ def int_trip_punctuality(
     route-day histogram and its join. Without ``stage`` these are checkpoints,
     in the same shared folder."""
     rollup = incident_rollup(incidents) if rollup is None else rollup
-    flagged = flagged_comparison(scheduled, trips, routes, rollup)
+    joined = joined_trips(scheduled, trips, routes, rollup)
     if stage is None:
-        scratch_dir(flagged.sparkSession)  # names the folder of the checkpoints
+        scratch_dir(joined.sparkSession)  # names the folder of the checkpoints
         stage = lambda df, name: df.checkpoint()
-    return assessed_numbered(stage(numbered(flagged), "int_trip_comparison"), stage)
+    return assessed_numbered(stage(numbered(joined), "int_trip_comparison"), stage)
 
 
 INT_PUNCTUALITY_COLUMNS = [

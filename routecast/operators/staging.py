@@ -95,19 +95,24 @@ def stg_scheduled_trips(raw: DataFrame) -> DataFrame:
 
 def read_schedules(raw: DataFrame) -> DataFrame:
     """All schedules with their staged columns; ``_unparsed`` names the columns that don't parse."""
-    typed = _typed_schedules(raw)
+    typed = with_schedule_times(_typed_schedules(raw))
+    enriched = typed.select(
+        "*",
+        C.schedule_quarter("schedule_version").alias("schedule_quarter"),
+        C.invalid_schedule("scheduled_duration_minutes", F.col("scheduled_departure_at"), "scheduled_arrival_at").alias("_is_invalid_schedule"),
+    )
+    return enriched.select(*SCHEDULE_COLUMNS, "_unparsed")
+
+
+def with_schedule_times(schedules: DataFrame) -> DataFrame:
+    """What a schedule's departure and arrival say, row by row."""
     dep = F.col("scheduled_departure_at")
-    enriched = typed.withColumn(
-        "scheduled_duration_minutes", minute_diff(dep, "scheduled_arrival_at")
-    ).select(
+    return schedules.withColumn("scheduled_duration_minutes", minute_diff(dep, "scheduled_arrival_at")).select(
         "*",
         C.departure_window(dep).alias("departure_window"),
         C.is_weekend(dep).alias("is_weekend_service"),
         C.schedule_density(dep).alias("schedule_density"),
-        C.schedule_quarter("schedule_version").alias("schedule_quarter"),
-        C.invalid_schedule("scheduled_duration_minutes", dep, "scheduled_arrival_at").alias("_is_invalid_schedule"),
     )
-    return enriched.select(*SCHEDULE_COLUMNS, "_unparsed")
 
 
 def quarantined_schedules(raw: DataFrame) -> DataFrame:

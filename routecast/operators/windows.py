@@ -48,18 +48,22 @@ def _desc(cols: Sequence[str]) -> list[Column]:
     return [F.col(c).desc_nulls_first() for c in cols]
 
 
-def ranged(df: DataFrame, key: str, order: Sequence[str]) -> DataFrame:
+def _listed(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
+def ranged(df: DataFrame, key: str | Sequence[str], order: Sequence[str]) -> DataFrame:
     """``df`` dealt by ranges of (key, order), with the number of its range.
 
     The result has to be materialised before it is read more than once: two
     runs of a range exchange may cut the ranges at other places."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartitionByRange(n, *_asc([key, *order])).withColumn(_RANGE, F.spark_partition_id())
+    return df.repartitionByRange(n, *_asc([*_listed(key), *order])).withColumn(_RANGE, F.spark_partition_id())
 
 
 def lookback_window(
     df: DataFrame,
-    key: str,
+    key: str | Sequence[str],
     order: Sequence[str],
     depth: int,
     carry: Sequence[str],
@@ -68,8 +72,8 @@ def lookback_window(
 ) -> DataFrame:
     """Add window columns whose frames reach at most ``depth`` rows back.
 
-    ``order`` must make rows unique within a key (add a tie-break column);
-    ``carry`` lists the columns the window expressions read.
+    ``key`` is a column or several; ``order`` must make rows unique within a
+    key (add a tie-break column); ``carry`` lists the columns the window expressions read.
     ``columns(spec)`` returns the new columns, built over ``spec``.
     ``stage`` materialises the ranged rows in shared storage (a written table
     or ``checkpoint``).
@@ -77,18 +81,19 @@ def lookback_window(
     Two exchanges carry the rows: one by range, one by (range, key). The
     halos come from at most ``depth`` rows of each range.
     """
-    payload = list(dict.fromkeys([key, *order, *carry]))
-    base = stage(ranged(df, key, order))
+    keys = _listed(key)
+    payload = list(dict.fromkeys([*keys, *order, *carry]))
+    base = stage(ranged(df, keys, order))
 
     # 1. the last `depth` rows of every range, cut before their exchange
     #    (WindowGroupLimit)
-    last = Window.partitionBy(_RANGE).orderBy(*_desc([key, *order]))
+    last = Window.partitionBy(_RANGE).orderBy(*_desc([*keys, *order]))
     tails = base.select(*payload, _RANGE).withColumn("__rn", F.row_number().over(last)).filter(F.col("__rn") <= depth).drop("__rn")
 
     # 2. over these (ranges x depth rows: bounded by the shuffle partitions,
     #    so a single task may sort them), the rows that precede the first of
     #    a range are the last rows before that range
-    along = Window.orderBy(F.col(_RANGE), *_asc([key, *order]))
+    along = Window.orderBy(F.col(_RANGE), *_asc([*keys, *order]))
     row = F.struct(*[F.col(c) for c in payload])
     lags = F.array(*[F.lag(row, i).over(along) for i in range(1, depth + 1)])
     before = F.lag(F.col(_RANGE), 1).over(along)
@@ -102,7 +107,7 @@ def lookback_window(
 
     # 3. evaluate the frames per (range, key) over the range's rows + its halo
     unioned = base.withColumn(_HALO, F.lit(False)).unionByName(halo.withColumn(_HALO, F.lit(True)), allowMissingColumns=True)
-    spec = Window.partitionBy(_RANGE, key).orderBy(*_asc(order))
+    spec = Window.partitionBy(_RANGE, *keys).orderBy(*_asc(order))
     out = unioned.select("*", *[c.alias(n) for n, c in columns(spec).items()])
     return out.filter(~F.col(_HALO)).drop(_HALO, _RANGE)
 

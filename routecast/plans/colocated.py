@@ -42,13 +42,18 @@ def write_layout(scheduled: DataFrame, trips: DataFrame, incidents: DataFrame, d
         sinks.write_bucketed(df, f"`{database}`.`{name}`", f"{root.rstrip('/')}/{name}", KEY, buckets)
 
 
-def comparison(spark: SparkSession, database: str, routes: DataFrame) -> DataFrame:
-    """J3-J5 from the buckets: :func:`routecast.operators.intermediate.flagged_comparison` of them."""
+def joined_trips(spark: SparkSession, database: str, routes: DataFrame) -> DataFrame:
+    """J3-J5 from the buckets: :func:`routecast.operators.intermediate.joined_trips` of them."""
     scheduled, trips, rollup = (spark.table(f"`{database}`.`{name}`") for name in TABLES)
-    return intermediate.flagged_comparison(scheduled, trips, routes, rollup)
+    return intermediate.joined_trips(scheduled, trips, routes, rollup)
+
+
+def comparison(spark: SparkSession, database: str, routes: DataFrame) -> DataFrame:
+    """The joined trips with their delays and flags: :func:`routecast.operators.intermediate.flagged_comparison` of the buckets."""
+    return intermediate.flagged(joined_trips(spark, database, routes))
 
 
 def int_trip_punctuality(spark: SparkSession, database: str, routes: DataFrame, stage: Callable[[DataFrame, str], DataFrame]) -> DataFrame:
     """The per-trip assessment (W1-W5) from the buckets. The joined trips are written, so the joins run once."""
-    joined = stage(intermediate.numbered(comparison(spark, database, routes)), "int_trip_comparison")
+    joined = stage(intermediate.numbered(joined_trips(spark, database, routes)), "int_trip_comparison")
     return intermediate.assessed_numbered(joined, stage)

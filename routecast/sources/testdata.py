@@ -130,6 +130,24 @@ def raw_trips(orders: DataFrame, customer: DataFrame) -> DataFrame:
     )
 
 
+#: Stand for NULL in a packed item: no line number (an int) and no passengers (-2 to 4, plus 2) have these values.
+_NO_LINE, _NO_PAX = 1 << 31, 7
+
+
+def packed_item(line: Column, pax: Column, status: Column) -> Column:
+    """A line number, passengers (-2 to 4) and a status (0 to 3) as one long, NULLs told apart."""
+    return F.coalesce(line.cast("long"), F.lit(_NO_LINE)) * 32 + F.coalesce(pax + 2, F.lit(_NO_PAX)) * 4 + status
+
+
+def unpacked_item(packed: Column) -> tuple[Column, Column, Column]:
+    line, pax = F.shiftright(packed, 5), F.shiftright(packed, 2).bitwiseAND(F.lit(7))
+    return (
+        F.when(line != _NO_LINE, line).try_cast("int"),
+        F.when(pax != _NO_PAX, pax - 2).cast("int"),
+        packed.bitwiseAND(F.lit(3)).cast("int"),
+    )
+
+
 def raw_bookings(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) -> DataFrame:
     cust = customer.select(F.col("c_custkey"), F.col("c_nationkey"))
     ords = orders.select("o_orderkey", "o_custkey")
@@ -139,23 +157,22 @@ def raw_bookings(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) ->
         .when(F.col("l_returnflag") == "A", 2)
         .otherwise(3)
     )
-    # Small numbers move to the join, and texts are made of them behind it.
+    # Small numbers move to the join, three of them in one, and texts are made of them behind it.
     items = lineitem.select(
         "l_orderkey",
-        "l_linenumber",
+        packed_item(F.col("l_linenumber"), (F.lit(1) + F.col("l_quantity").cast("int") % 4).cast("int"), status).alias("_packed"),
         "l_partkey",
         "l_suppkey",
-        "l_shipdate",
-        (F.lit(1) + F.col("l_quantity").cast("int") % 4).cast("int").alias("_pax"),
         F.col("l_extendedprice").cast("decimal(18,2)").alias("_fare"),
-        status.alias("_status"),
+        "l_shipdate",
     )
-    pax, fare, ln = F.col("_pax"), F.col("_fare"), F.col("l_linenumber")
+    ln, pax, status = unpacked_item(F.col("_packed"))
+    fare = F.col("_fare")
     return (
         # The narrow sides meet first: line items move once.
         items.join(ords.join(cust, F.col("o_custkey") == F.col("c_custkey")), F.col("l_orderkey") == F.col("o_orderkey"))
         .select(
-            F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("booking_id"),
+            F.concat_ws("-", "l_orderkey", ln, "l_partkey", "l_suppkey").alias("booking_id"),
             F.col("l_orderkey").cast("string").alias("trip_id"),
             route_key(F.col("c_nationkey")).alias("route_id"),
             F.col("l_shipdate").cast("timestamp_ntz").alias("booking_datetime"),
@@ -163,7 +180,7 @@ def raw_bookings(lineitem: DataFrame, orders: DataFrame, customer: DataFrame) ->
             fare.alias("fare_per_passenger"),
             (fare * pax).cast("decimal(18,2)").alias("total_fare"),
             _pick(ln % 5, PAYMENT_METHODS).alias("payment_method"),
-            _pick(F.col("_status"), BOOKING_STATUSES).alias("booking_status"),
+            _pick(status, BOOKING_STATUSES).alias("booking_status"),
             _pick(ln % 3, CHANNELS).alias("channel"),
         )
     )

@@ -236,3 +236,53 @@ def test_write_table_partitioned_prunes_directories(spark, tmp_path):
     assert read.count() == 25
     plan = read._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(part" in plan
+
+
+def test_packed_items_are_unpacked_as_they_were(spark):
+    from routecast.sources.testdata import packed_item, unpacked_item
+
+    lines = [None, 0, 1, 7, -1, -6, 2147483647, -2147483648]
+    rows = [(ln, pax, status) for ln in lines for pax in (None, *range(-2, 5)) for status in range(4)]
+    df = spark.createDataFrame(rows, "line int, pax int, status int")
+    packed = df.select("line", "pax", "status", packed_item(F.col("line"), F.col("pax"), F.col("status")).alias("p"))
+    line, pax, status = unpacked_item(F.col("p"))
+    wrong = packed.filter(~(line.eqNullSafe(F.col("line")) & pax.eqNullSafe(F.col("pax")) & status.eqNullSafe(F.col("status"))))
+    assert wrong.count() == 0 and packed.select(line, pax, status).dtypes == [(c, "int") for c in packed.select(line, pax, status).columns]
+
+
+def test_facts_are_written_without_a_shuffle_and_small_files_put_together(spark, tmp_path, monkeypatch):
+    """Rows of 20 tasks: many files a directory at first, then a few, with the same rows in order; NULL has a directory too."""
+    from routecast.sources import sinks
+
+    df = spark.range(0, 4000, 1, 20).select(
+        F.col("id"), (F.col("id") * 37 % 101).cast("int").alias("date_key"), F.when(F.col("id") % 5 != 0, (F.col("id") % 5).cast("int")).alias("month_key")
+    )
+    plans, compact = [], sinks.compact
+    path = str(tmp_path / "t")
+
+    def files():
+        return {d.name: len(list(d.glob("part-*"))) for d in (tmp_path / "t").glob("month_key=*")}
+
+    def noted(*a):
+        plans.append(files())
+        compact(*a)
+
+    monkeypatch.setattr(sinks, "compact", noted)
+    for write in (
+        lambda: sinks.write_table(df, path, sort_by=("date_key",), partition_by=("month_key",)),
+        lambda: sinks.write_months(df, path, sort_by=("date_key",), whole=True),
+        lambda: sinks.write_months(df.filter("month_key = 3"), path, sort_by=("date_key",)),
+    ):
+        write()
+        got = spark.read.parquet(path)
+        assert got.exceptAll(df).count() == 0 and df.exceptAll(got).count() == 0
+        assert len(files()) == 5 and max(files().values()) <= 2
+    # No exchange brought the rows together: each task wrote a file for each month.
+    assert set(plans[0].values()) == {20} and plans[2]["month_key=3"] == 20 and plans[2]["month_key=1"] <= 2
+    for f in (tmp_path / "t").glob("month_key=*/part-*"):
+        dates = [r.date_key for r in spark.read.parquet(str(f)).select("date_key").collect()]
+        assert dates == sorted(dates)
+    # A few files stay as they are.
+    monkeypatch.setattr(sinks, "MOST_FILES", 20)
+    sinks.write_table(df, path, partition_by=("month_key",))
+    assert set(files().values()) == {20}

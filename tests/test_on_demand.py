@@ -80,3 +80,20 @@ def test_repeated_and_null_keys_keep_their_rows_and_rows_move_once(spark, wh):
     assert joined.select(*columns).exceptAll(got.select(*columns)).count() == 0
     # only the columns that the windows read are dealt by vehicle
     assert widths["int_trip_ranges"] < 12 < widths["int_trip_comparison"]
+
+
+def test_joined_trips_move_without_the_columns_made_of_them(spark, wh):
+    """What is made row by row of other columns is neither written with the joined trips nor moved by the windows."""
+    columns = {}
+
+    def stage(df, name):
+        columns[name] = set(df.columns)
+        return df.checkpoint()
+
+    got = intermediate.int_trip_punctuality(wh.stg_scheduled_trips, wh.stg_punctuality_trips, wh.stg_delay_incidents, wh.stg_routes, stage=stage)
+    made = {"scheduled_duration_minutes", "departure_window", "schedule_density", "departure_delay_minutes", "travel_time_ratio", "delay_severity", "is_on_time", "trip_date"}
+    assert made <= set(got.columns) and not made & columns["int_trip_comparison"]
+    assert "trip_date" not in columns["int_trip_ranges"]
+    assert not {"vehicle_id", "trip_id", "actual_departure_at"} & columns["int_vehicle_context"]
+    mine, theirs = got.select(*intermediate.INT_PUNCTUALITY_COLUMNS), wh.int_trip_punctuality.select(*intermediate.INT_PUNCTUALITY_COLUMNS)
+    assert mine.exceptAll(theirs).count() == 0 and theirs.exceptAll(mine).count() == 0
