@@ -113,6 +113,18 @@ def key_filter(parent: DataFrame, pk: str) -> tuple[DataFrame, int] | None:
     return row.select(F.transform("all", lambda x: x["bits"]).alias("words")), words
 
 
+def _inside(key: Column, made: tuple[DataFrame, int]) -> Column:
+    """Whether a key may be in a filter (:func:`key_filter`): true for all that are."""
+    row, words = made
+    word, bits = _place(key, words)
+    return F.element_at(row.scalar(), (word + 1).cast("int")).bitwiseAND(bits) == bits
+
+
+def may_match(child: DataFrame, fk: str, made: tuple[DataFrame, int] | None) -> DataFrame:
+    """Child rows that may have a parent: all that have one, and few others; all rows where there is no filter."""
+    return child if made is None else child.filter(_inside(F.col(fk), made))
+
+
 def filtered_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> DataFrame:
     """D3 for a large parent: child rows whose non-NULL ``fk`` has no parent.
 
@@ -127,12 +139,7 @@ def filtered_orphans(child: DataFrame, fk: str, parent: DataFrame, pk: str) -> D
     known = child.filter(F.col(fk).isNotNull())
     made = key_filter(parent, pk)
     keys = parent.select(F.col(pk).alias("__pk"))
-    inside = F.lit(True)
-    if made is not None:
-        row, words = made
-        word, bits = _place(F.col(fk), words)
-        found = F.element_at(row.scalar(), (word + 1).cast("int"))
-        inside = found.bitwiseAND(bits) == bits
+    inside = F.lit(True) if made is None else _inside(F.col(fk), made)
     told = known.withColumn("__inside", inside)
     proven = told.filter("__inside").select(F.col(fk).alias("__fk")).distinct().join(keys, F.col("__fk") == F.col("__pk"), "left_anti")
     scratch_dir(child.sparkSession)  # names the folder of the checkpoint

@@ -43,14 +43,14 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from routecast.operators import dims, feedback, intermediate, marts, staging
+from routecast.operators import dims, feedback, intermediate, marts, quality, staging
 from routecast.operators.fingerprints import FINGERPRINT, NO_MONTH, fingerprints
 from routecast.plans.warehouse import MART_SORT, StoredParts, Warehouse, metric_parts
 from routecast.sources import calendar, sinks
 from routecast.sources.schemas import RawInputs
 
 #: Raised when the tables' contents change for the same inputs: everything is then rebuilt.
-LAYOUT = 2
+LAYOUT = 3
 
 
 @dataclass
@@ -123,6 +123,12 @@ class _Folder:
             self.remove(self.month_path(name, m))
         return sorted(set(months).difference(gone))
 
+    def stage(self, df: DataFrame, name: str) -> DataFrame:
+        """A table of this refresh alone, written and read back."""
+        path = self.path(f"work/{name}")
+        sinks.write_table(df, path)
+        return sinks.read_table(self.spark, path, df.schema).select(*df.columns)
+
     def month_path(self, name: str, month: int) -> str:
         return f"{self.path(name)}/month_key={month or NO_DIRECTORY}"
 
@@ -343,10 +349,14 @@ def _refresh_punctuality(at: _Folder, used: dict, routes: DataFrame, incidents:
 
     if months is None or months:
         own = trips.filter(_in(months, calendar.month_key("departure_at")))
-        # Where no trip is left out, no incident is.
-        reported = incidents if months is None else incidents.join(own.select("trip_id"), "trip_id", "left_semi")
-        joined = intermediate.flagged_comparison(scheduled, own, routes, intermediate.incident_rollup(reported))
-        joined = joined.withColumn("month_key", calendar.month_key("trip_date"))
+        planned, reported = scheduled, incidents
+        if months is not None:
+            # Of the other trips' schedules and incidents only a few pass the filter, and are shuffled to meet the trips.
+            known = quality.key_filter(own, "trip_id")
+            planned, reported = (quality.may_match(df, "trip_id", known) for df in (scheduled, incidents))
+            reported = reported.join(own.select("trip_id"), "trip_id", "left_semi")
+        joined = intermediate.joined_trips(planned, own, routes, intermediate.incident_rollup(reported))
+        joined = joined.withColumn("month_key", calendar.month_key("actual_departure_at"))
         at.write_months(joined, "int_trip_comparison", _listed(months), number=intermediate.ROW)
         comparison = at.read("int_trip_comparison").filter(_in(months, F.col("month_key")))
         # Where the inputs' months have landed: the joined trips say it of the schedules.
@@ -356,11 +366,14 @@ def _refresh_punctuality(at: _Folder, used: dict, routes: DataFrame, incidents:
         landings = of_schedules.unionByName(of_incidents).distinct()
         # The last trips of each vehicle in each month.
         last = Window.partitionBy("month_key", "vehicle_id").orderBy(*[F.col(c).desc_nulls_first() for c in intermediate.VEHICLE_ORDER])
-        tail = comparison.select("month_key", "vehicle_id", *intermediate.VEHICLE_ORDER, *intermediate.VEHICLE_CARRY)
+        tail = intermediate.with_delays(comparison).select("month_key", "vehicle_id", *intermediate.VEHICLE_ORDER, *intermediate.VEHICLE_CARRY)
         tail = tail.withColumn("_rank", F.row_number().over(last)).filter(F.col("_rank") <= intermediate.LOOKBACK).drop("_rank")
         at.write_months(tail, "vehicle_tails", _listed(months))
 
     halo = _halos(at.read("vehicle_tails"))
+    if months:
+        # Read for its prints, and again for the months that they tell.
+        halo = at.stage(halo, "halo")
 
     def halo_prints() -> dict:
         return {("halo", r[0]): tuple(r)[1:] for r in fingerprints(halo, F.col("month_key")).collect()}
@@ -370,48 +383,46 @@ def _refresh_punctuality(at: _Folder, used: dict, routes: DataFrame, incidents:
             at.write_months(landings, "landings", _listed(months))
 
     if months is None:
-        written, prints, _ = _together(lambda: _assess(at, halo, None), halo_prints, land)
+        written, prints, _ = _together(lambda: _assess(at, None, None), halo_prints, land)
         assessed = None
     else:
         prints = halo_prints()
         assessed = months | _differing(prints, old, "halo")
         written = _together(lambda: _assess(at, halo, assessed) if assessed else [], land)[0]
+    at.remove(at.path("work"))
     out.touched["fct_punctuality"] = _listed(assessed or ())
     out.written |= {n: written for n in ("int_trip_punctuality", "fct_punctuality")}
     return at.read("int_trip_punctuality"), prints
 
 
-def _assess(at: _Folder, halo: DataFrame, months: set[int] | None) -> list[int]:
+def _assess(at: _Folder, halo: DataFrame | None, months: set[int] | None) -> list[int]:
     """Months of joined trips assessed with the trips before them; returns the months that have rows.
 
-    As in :func:`intermediate.assessed_numbered` the windows move narrow rows; the whole rows meet
-    their context by month and number."""
-    compared = at.read("int_trip_comparison").filter(_in(months, F.col("month_key")))
-    narrow = compared.select(intermediate.ROW, "month_key", "vehicle_id", *intermediate.VEHICLE_ORDER, *intermediate.VEHICLE_CARRY, "route_id", "trip_date")
-    edge = halo.filter(_in(months, F.col("month_key"))).withColumn("_before", F.lit(True))
-    both = narrow.withColumn("_before", F.lit(False)).unionByName(edge, allowMissingColumns=True)
-    both = both.withColumn("_in_month", F.struct("month_key", "vehicle_id"))
-
-    def stage(df: DataFrame, name: str) -> DataFrame:
-        path = at.path(f"work/{name}")
-        sinks.write_table(df, path)
-        return sinks.read_table(at.spark, path).select(*df.columns)
-
-    context = intermediate.vehicle_context(both, lambda df: stage(df, "ranged"), key="_in_month").filter("not _before")
-    context = intermediate.route_day_context(stage(context.drop("_before", "_in_month"), "vehicle_context"))
-    context = context.select(F.col("month_key").alias("_month"), F.col(intermediate.ROW).alias("_number"), *intermediate.CONTEXT)
-    met = compared.join(context, F.col("month_key").eqNullSafe(F.col("_month")) & (F.col(intermediate.ROW) == F.col("_number")))
-    assessed = intermediate.scored(met).withColumn("month_key", calendar.month_key("trip_date"))
+    As in :func:`intermediate.assessed_numbered` the windows move narrow rows; the joined rows meet
+    their context by month and number. Where all months are assessed, the trips before a month are
+    at hand: the windows run over the vehicles, numbers are those of one write, and no halo is needed."""
+    joined = at.read("int_trip_comparison").filter(_in(months, F.col("month_key")))
+    by = [] if months is None else ["month_key"]
+    both = intermediate.windowed(joined, *by)
+    if months is not None:
+        edge = halo.filter(_in(months, F.col("month_key"))).withColumn("_before", F.lit(True))
+        both = both.withColumn("_before", F.lit(False)).unionByName(edge, allowMissingColumns=True)
+    context = intermediate.vehicle_context(both, lambda df: at.stage(df, "ranged"), key=[*by, "vehicle_id"])
+    if months is not None:
+        context = context.filter("not _before")
+    context = intermediate.route_day_context(at.stage(intermediate.of_vehicles(context, *by), "vehicle_context"))
+    context = context.select(*[F.col(c).alias(f"_of_{c}") for c in by], F.col(intermediate.ROW).alias("_number"), *intermediate.CONTEXT)
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_of_{c}")) for c in by], F.col(intermediate.ROW) == F.col("_number"))
+    assessed = intermediate.scored(intermediate.flagged(joined.join(context, same))).withColumn("month_key", calendar.month_key("trip_date"))
     written = at.write_months(assessed, "int_trip_punctuality", _listed(months))
     fresh = at.read("int_trip_punctuality").filter(_in(months, F.col("month_key")))
 
     def benchmarks() -> None:
         at.write_months(marts.delay_counts(fresh, "month_key"), "delay_counts", _listed(months))
         counts = at.read("delay_counts").groupBy("route_id", marts.DELAY).agg(F.sum("n_trips").alias("n_trips"))
-        sinks.write_table(marts.benchmarks_of_counts(stage(counts, "counts"), stage), at.path("route_benchmarks"))
+        sinks.write_table(marts.benchmarks_of_counts(at.stage(counts, "counts"), at.stage), at.path("route_benchmarks"))
 
     _together(benchmarks, lambda: at.write_months(marts.trip_facts(fresh), "fct_punctuality", _listed(months), MART_SORT["fct_punctuality"]))
-    at.remove(at.path("work"))
     return written
 
 

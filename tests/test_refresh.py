@@ -178,3 +178,33 @@ def test_fingerprints_see_places_of_nulls_and_repeats(spark):
     assert f([(1, "x", "y")]) != f([(1, "x", "y"), (1, "x", "y")])
     assert f([(1, "x", "y"), (1, "z", "y")]) == f([(1, "z", "y"), (1, "x", "y")])
     assert [r.month_key for r in f([(None, "x", "y")])] == [0]
+
+
+def test_windows_and_joins_of_a_refresh_take_few_rows(spark, raw, monkeypatch):
+    """All months are assessed without rows from before a month; of some months' trips few others' schedules and incidents meet them."""
+    from routecast.plans import refresh
+
+    staged, passed = {}, []
+    stage, match = refresh._Folder.stage, refresh.quality.may_match
+
+    def noted(self, df, name):
+        out = stage(self, df, name)
+        staged[name] = out.count()
+        return out
+
+    def told(df, key, made):
+        out = match(df, key, made)
+        passed.append((out.count(), df.count()))
+        return out
+
+    monkeypatch.setattr(refresh._Folder, "stage", noted)
+    monkeypatch.setattr(refresh.quality, "may_match", told)
+    store = f"{scratch_dir(spark)}/refresh-{uuid.uuid4().hex}"
+    less = replace(raw, punctuality_trips=raw.punctuality_trips.filter(~F.coalesce(F.month("departure_datetime") == 5, F.lit(False))))
+    first = refresh_warehouse(spark, less, store)
+    assert staged["ranged"] == first.warehouse.int_trip_punctuality.count() and "halo" not in staged and passed == []
+    got = refresh_warehouse(spark, raw, store)
+    assert staged["halo"] > 0 and len(passed) == 2 and all(0 < kept < n / 2 for kept, n in passed)
+    _assert_equal(got.warehouse, raw)
+    # Joined trips are written without what is made of them row by row.
+    assert "departure_delay_minutes" not in spark.read.parquet(f"{store}/int_trip_comparison").columns
